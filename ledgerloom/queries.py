@@ -1,0 +1,6 @@
+"""Queries of the evidence operators and the SQL that gives the same rows."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLE: dict = {}
