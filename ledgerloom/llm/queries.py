@@ -5,10 +5,26 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe
+from ledgerloom.llm import bpe, chat, lines, merkle, urls
 from ledgerloom.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "text", "n_lines", "n_removed")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"), *urls.rule_frames(spark))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat.digests(chat.format_chats(chat.text_messages(rows.unionByName(extra))))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode_digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -19,9 +35,22 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op4_url_filter": op4_url_filter,
+    "op5_chat_format": op5_chat_format,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_counts": op8_token_counts,
+    "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": lines.ORACLE,
+    "op4_url_filter": urls.oracle(),
+    "op5_chat_format": chat.ORACLE,
+    "op10_fingerprints": merkle.ORACLE,
+}
