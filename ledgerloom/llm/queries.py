@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, lines, merkle, urls
+from ledgerloom.llm import bpe, chat, lines, merkle, quality, urls
 from ledgerloom.llm.common import table
 
 
@@ -25,6 +26,12 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(chat.text_messages(rows.unionByName(extra))))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.classify(docs, table(spark, sf_dir, "labels"))
+    return found.select("row.doc_id", "held_out", F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode_digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -43,6 +50,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_chat_format": op5_chat_format,
+    "op6_quality": op6_quality,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_counts": op8_token_counts,
     "op10_fingerprints": op10_fingerprints,
