@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, decontam, lines, merkle, quality, urls
+from ledgerloom.llm import bpe, chat, decontam, jaccard, lines, merkle, quality, urls
 from ledgerloom.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_counts": op8_token_counts,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_fingerprints": op10_fingerprints,
 }
 
@@ -65,5 +70,6 @@ ORACLE: dict[str, str] = {
     "op1_line_dedup": lines.ORACLE,
     "op4_url_filter": urls.oracle(),
     "op5_chat_format": chat.ORACLE,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_fingerprints": merkle.ORACLE,
 }
