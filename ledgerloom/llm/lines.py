@@ -14,7 +14,7 @@ however often a line occurs; runs that overlap or touch extend a match both ways
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import id_key, own_columns
@@ -23,9 +23,9 @@ from ledgerloom.llm.common import id_key, own_columns
 WINDOW, LONG_WORDS = 2, 50
 
 
-def _hash(x: Column) -> Column:
+def _hash(*x: Column) -> Column:
     """128 bits: two hashes from different seeds."""
-    return F.struct(F.xxhash64(F.lit(11), x).alias("a"), F.xxhash64(F.lit(22), x).alias("b"))
+    return F.struct(F.xxhash64(F.lit(11), *x).alias("a"), F.xxhash64(F.lit(22), *x).alias("b"))
 
 
 def _spaces(line: Column) -> Column:
@@ -36,49 +36,36 @@ def _blank(line: Column) -> Column:
     return F.trim(F.translate(line, "\t\r\f\v", "    ")) == ""
 
 
-def _sequence(text: Column, long_words: int) -> Column:
-    """(h, long, at) of each line that isn't blank; at: its place among all lines, from 0."""
-    held = F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(_hash(x).alias("h"), (_spaces(x) >= long_words - 1).alias("long"), i.alias("at"), _blank(x).alias("blank")))
-    return F.filter(held, lambda x: ~x["blank"])
-
-
-def _clip(low: Column | int, high: Column | int) -> Column:
-    """low..high, or no number."""
-    low, high = (F.lit(x) if isinstance(x, int) else x for x in (low, high))
-    return F.when(low <= high, F.sequence(low, high)).otherwise(F.expr("cast(array() as array<int>)"))
-
-
 def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
-    """key, i (place in the sequence), fp, runs: the runs that hold it, as (start, length, hash)."""
-    rows = docs.select(id_key().alias("key"), _sequence(F.coalesce("text", F.lit("")), long_words).alias("seq"))
-    h = F.col("seq.h.a")
-    n = F.size("seq")
+    """key, fp, runs: of every fingerprint its hash and the runs that hold it, as (start, places, run).
 
-    def chosen(x: Column, i: Column) -> Column:
-        lowest = F.exists(_clip(F.greatest(i - (window - 1), F.lit(0)), F.least(i, n - window)), lambda s: x["h"]["a"] == F.array_min(F.slice(h, s + 1, window)))
-        return F.when(x["long"] | lowest, i)
-
-    def runs(i: Column) -> Column:
-        starts = _clip(F.greatest(i - (window - 1), F.lit(0)), F.least(i, n - window))
-        found = F.transform(starts, lambda s: F.struct(s.alias("start"), F.lit(window).alias("length"), _hash(F.to_json(F.slice(F.col("seq.h"), s + 1, window))).alias("run")))
-        x = F.get("seq", i)
-        own = F.array(F.struct(i.alias("start"), F.lit(1).alias("length"), x["h"].alias("run")))
-        return F.when(x["long"], F.concat(found, own)).otherwise(found)
-
-    rows = rows.withColumn("i", F.explode(F.filter(F.transform("seq", chosen), lambda i: i.isNotNull())))
-    return rows.select("key", "i", F.get(F.col("seq.h"), F.col("i")).alias("fp"), runs(F.col("i")).alias("runs"))
+    start: the place of a run's first line among all lines of the text; places: those of all its lines.
+    """
+    rows = docs.select(id_key().alias("key"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("at", "line"))
+    rows = rows.filter(~_blank(F.col("line"))).select("key", "at", _hash(F.col("line")).alias("h"), (_spaces(F.col("line")) >= long_words - 1).alias("long"))
+    order = Window.partitionBy("key").orderBy("at", "h")
+    ahead = [F.struct(*(F.lead(c, k).over(order).alias(c) for c in ("at", "h"))) for k in range(window)]
+    rows = rows.select("*", *(x.alias(f"x{k}") for k, x in enumerate(ahead)))
+    full = F.col(f"x{window - 1}.at").isNotNull()
+    held = [F.col(f"x{k}") for k in range(window)]
+    run = F.struct(F.col("at").alias("start"), F.array(*(x["at"] for x in held)).alias("places"), _hash(F.lit(window), *(x["h"] for x in held)).alias("run"))
+    rows = rows.select("key", "at", "h", "long", F.when(full, run).alias("run"), F.when(full, F.least(*(x["h"]["a"] for x in held)) if window > 1 else F.col("h.a")).alias("low"))
+    back = order.rowsBetween(-(window - 1), 0)
+    rows = rows.select("key", "at", "h", "long", F.max("low").over(back).alias("low"), F.collect_list("run").over(back).alias("runs"))
+    own = F.struct(F.col("at").alias("start"), F.array("at").alias("places"), F.col("h").alias("run"))
+    return rows.filter(F.col("long") | (F.col("low") == F.col("h.a"))).select("key", F.col("h").alias("fp"), F.when(F.col("long"), F.concat("runs", F.array(own))).otherwise(F.col("runs")).alias("runs"))
 
 
 def repeated_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WORDS) -> DataFrame:
-    """key, gone: per document the places in its sequence of the lines that go. Documents without any are left out."""
+    """key, gone: per document the places of the lines that go. Documents without any are left out."""
     marks = fingerprints(docs, window, long_words)
     often = marks.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
     runs = marks.join(often, "fp").select("key", F.explode("runs").alias("r")).select("key", "r.*")
-    firsts = runs.groupBy("run", "length").agg(F.min(F.struct("key", "start")).alias("first"), F.max(F.struct("key", "start")).alias("last"))
+    length = F.size("places").alias("length")
+    firsts = runs.groupBy("run", length).agg(F.min(F.struct("key", "start")).alias("first"), F.max(F.struct("key", "start")).alias("last"))
     firsts = firsts.filter("first < last").select("run", "length", "first")
-    later = runs.join(firsts, ["run", "length"]).filter(F.struct("key", "start") > F.col("first"))
-    gone = F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("i")
-    return later.select("key", gone).groupBy("key").agg(F.collect_set("i").alias("gone"))
+    later = runs.withColumn("length", length).join(firsts, ["run", "length"]).filter(F.struct("key", "start") > F.col("first"))
+    return later.select("key", F.explode("places").alias("i")).groupBy("key").agg(F.collect_set("i").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WORDS) -> DataFrame:
@@ -91,16 +78,13 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WO
     rows = own_columns(docs)
     found = repeated_lines(rows, window, long_words)
     rows = rows.withColumn("key", id_key()).join(found, "key", "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    places = F.array_join(F.filter(F.transform(lines, lambda x, i: F.when(~_blank(x), i)), lambda i: i.isNotNull()), ",")
-    # places in the text of the lines that go; the n-th line of the sequence is the n-th that isn't blank
-    rows = rows.withColumn("at", F.when(F.col("gone").isNotNull(), F.split(places, ",").cast("array<int>")))
-    rows = rows.withColumn("at", F.transform("gone", lambda g: F.get(F.col("at"), g)))
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("at"), i)), "\n")
+    rows = rows.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    rows = rows.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"))
+    kept = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
     return rows.select(
         "row",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
-        F.size(lines).cast("long").alias("n_lines"),
+        F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
