@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, decontam, jaccard, lines, merkle, quality, urls
+from ledgerloom.llm import bpe, chat, decontam, jaccard, lines, merkle, quality, suffix, urls
 from ledgerloom.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "text", "n_lines", "n_removed")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digests(suffix.dedup_bytes(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -56,6 +60,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_url_filter": op4_url_filter,
     "op5_chat_format": op5_chat_format,
