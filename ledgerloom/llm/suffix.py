@@ -10,9 +10,12 @@ prefix must be compared between documents:
    same one can share a string; about 1 in 35 positions begins a segment, and only segments are sorted.
 2. Spark sorts (smallest rank, rank of the segment's whole text, doc_id, position). A segment with
    an equal one before it is repeated. One that is alone with its smallest rank is unique and done.
-3. What is left, segments of unlike texts with the same smallest rank, goes on position by
-   position: Spark sorts (rank of 64 bytes, rank of the 64 bytes from THRESHOLD - 64 on, doc_id,
-   position), and a position with an equal pair before it is repeated.
+3. What is left, segments of unlike texts with the same smallest rank, is cut into blocks of
+   BLOCK positions, counted from the place of that rank. All strings of a block share all but
+   BLOCK - 1 of their bytes; Spark sorts the pairs of ranks of 64 bytes that cover those, and blocks
+   with a unique pair are done: short lines that recur in ever other places end here.
+4. The rest goes on position by position: Spark sorts (rank of 64 bytes, rank of the 64 bytes from
+   THRESHOLD - 64 on, doc_id, position), and a position with an equal pair before it is repeated.
 
 Sorting compares a row with the one before it, so no group is held, however large. Rows that a
 batch shows to be repeated already, as in copies and common passages, are settled there.
@@ -25,12 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import NULL_ID, chunks, cut, id_key, joined, mix, span_hashes
 
-THRESHOLD, GRAM = 100, 32
+THRESHOLD, GRAM, BLOCK = 100, 32, 10
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _ODD = [0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0x9E3779B185EBCA87, 0xD6E8FEB86659FD93]
@@ -85,14 +88,17 @@ def settle(a: np.ndarray, b: np.ndarray, key: np.ndarray, at: np.ndarray) -> np.
     return out
 
 
-_ROWS = "a long, b long, key long, at long, len long, known boolean"
+#: spot: place in the text, number of positions (8 bits), whether the row is settled (1 bit).
+_ROWS = "a long, b long, key long, spot long"
+_PART = "named_struct('at', shiftright(spot, 9), 'len', shiftright(spot, 1) & 255)"
 
 
-def _batch(a: np.ndarray, b: np.ndarray, key: np.ndarray, at: np.ndarray, length: np.ndarray) -> pa.RecordBatch:
-    known = settle(a, b, key, at)
-    a = np.where(known, mix(key.astype(np.uint64) * np.uint64(31) + at.astype(np.uint64)), a)  # anywhere
-    arrays = [pa.array(x) for x in (a.view(np.int64), b.view(np.int64), key, at, length, known)]
-    return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "key", "at", "len", "known"])
+def _batch(found: list[tuple[np.ndarray, ...]], known: bool = True) -> pa.RecordBatch:
+    a, b, key, at, length = (np.concatenate(x) for x in zip(*found, strict=True))
+    settled = settle(a, b, key, at) if known else np.zeros(len(a), dtype=bool)
+    a = np.where(settled, mix(key.astype(np.uint64) * np.uint64(31) + at.astype(np.uint64)), a)  # anywhere
+    spot = at << 9 | length << 1 | settled
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (a.view(np.int64), b.view(np.int64), key, spot)], names=["a", "b", "key", "spot"])
 
 
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
@@ -107,13 +113,50 @@ def segment_rows(slim: DataFrame, size: int, gram: int) -> DataFrame:
                 doc, at, n, low, rank = segments(texts, size, gram)
                 found.append((low, rank, keys[first + doc], at, n))
             if found:
-                yield _batch(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                yield _batch(found)
 
     return slim.mapInArrow(run, _ROWS)
 
 
+def _spread(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """at, at + 1 ... of n positions each."""
+    return np.repeat(at - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+
+
+def block_rows(marked: DataFrame, size: int, gram: int) -> DataFrame:
+    """Rank pairs of the blocks of the segments of marked (key, text, parts: array of at, len)."""
+    half, shared = 1 << (size.bit_length() - 1), size - BLOCK + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, parts, found = _ids(batch), batch.column("parts"), []
+            for first, texts in chunks(batch.column("text").to_pylist()):
+                buffer, begins = joined(texts)
+                if len(buffer) < size:
+                    continue
+                small, rank = doubled(buffer, gram), doubled(buffer, half)
+                for k, text in enumerate(texts):
+                    at, n = (parts[first + k].values.field(c).to_numpy() for c in ("at", "len"))
+                    at, n = at[at + n - 1 + size <= len(text)], n[at + n - 1 + size <= len(text)]
+                    low, high = at + begins[k], at + begins[k] + n - 1
+                    place = np.array([h + int(small[h : l + size - gram + 1].argmin()) for l, h in zip(low.tolist(), high.tolist(), strict=True)], dtype=np.int64)
+                    least, most = (place - high) // BLOCK, (place - low) // BLOCK
+                    which = _spread(least, most - least + 1)
+                    own = np.repeat(np.arange(len(at)), most - least + 1)
+                    core = place[own] - BLOCK * which
+                    start = np.maximum(low[own], core - BLOCK + 1)
+                    count = np.minimum(high[own], core) - start + 1
+                    b = mix(rank[core + shared - half] + which.astype(np.uint64))
+                    found.append((rank[core], b, np.full(len(own), keys[first + k]), start - begins[k], count))
+            if found:
+                yield _batch(found, known=False)
+
+    return marked.mapInArrow(run, _ROWS)
+
+
 def position_rows(marked: DataFrame, size: int) -> DataFrame:
     """Rank pairs of the positions of marked (key, text, parts: array of at, len)."""
+    half = 1 << (size.bit_length() - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,37 +165,37 @@ def position_rows(marked: DataFrame, size: int) -> DataFrame:
                 buffer, begins = joined(texts)
                 if len(buffer) < size:
                     continue
-                half = 1 << (size.bit_length() - 1)
                 rank = doubled(buffer, half)
                 for k, text in enumerate(texts):
-                    own = parts[first + k].values
-                    at, n = (own.field(c).to_numpy() for c in ("at", "len"))
-                    s = np.repeat(at - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+                    s = _spread(*(parts[first + k].values.field(c).to_numpy() for c in ("at", "len")))
                     s = np.unique(s[s + size <= len(text)])
                     p = s + begins[k]
                     found.append((rank[p], rank[p + size - half], np.full(len(s), keys[first + k]), s, np.ones(len(s), dtype=np.int64)))
             if found:
-                yield _batch(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                yield _batch(found)
 
     return marked.mapInArrow(run, _ROWS)
 
 
+def _differs(other: str) -> Column:
+    return (F.col(f"{other}.key") != F.col("key")) | (F.shiftright(f"{other}.spot", 9) != F.shiftright("spot", 9))
+
+
 def _sorted(rows: DataFrame) -> DataFrame:
-    """With the row before: known, or equal to an earlier one -> repeated."""
-    order = Window.partitionBy("a").orderBy("b", "key", "at")
-    rows = rows.withColumn("before", F.lag(F.struct("b", "key", "at")).over(order))
-    same = (F.col("before.b") == F.col("b")) & ((F.col("before.key") != F.col("key")) | (F.col("before.at") != F.col("at")))
-    return rows.withColumn("repeated", F.col("known") | F.coalesce(same, F.lit(False)))
+    """With the row before: repeated where a row is settled or equal to an earlier one."""
+    order = Window.partitionBy("a").orderBy("b", "key", "spot")
+    rows = rows.withColumn("before", F.lag(F.struct("b", "key", "spot")).over(order))
+    same = (F.col("before.b") == F.col("b")) & _differs("before")
+    return rows.withColumn("repeated", (F.col("spot") % 2 == 1) | F.coalesce(same, F.lit(False)))
 
 
 def repeated_segments(slim: DataFrame, size: int, gram: int) -> DataFrame:
-    """key, at, len, repeated: segments that repeat, and (false) those to be looked at position by position."""
-    order = Window.partitionBy("a").orderBy("b", "key", "at")
+    """key, spot, repeated: segments that repeat, and (false) those that must be looked at closer."""
+    order = Window.partitionBy("a").orderBy("b", "key", "spot")
     rows = _sorted(segment_rows(slim, size, gram))
-    head = F.first(F.struct("b", "key", "at", "len")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("head", head)
-    own = F.struct("key", "at", "len", "repeated")
-    first = F.struct(F.col("head.key").alias("key"), F.col("head.at").alias("at"), F.col("head.len").alias("len"), F.lit(False).alias("repeated"))
+    rows = rows.withColumn("head", F.first(F.struct("b", "key", "spot")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    own = F.struct("key", "spot", "repeated")
+    first = F.struct(F.col("head.key").alias("key"), F.col("head.spot").alias("spot"), F.lit(False).alias("repeated"))
     other = F.col("before.b") != F.col("b")
     out = (
         F.when(F.col("repeated"), F.array(own))
@@ -162,15 +205,25 @@ def repeated_segments(slim: DataFrame, size: int, gram: int) -> DataFrame:
     return rows.select(F.explode(out).alias("x")).select("x.*")
 
 
+def _by_document(rows: DataFrame, *also: str) -> DataFrame:
+    return rows.groupBy("key", *also).agg(F.collect_list(F.expr(_PART)).alias("parts"))
+
+
 def repeats(docs: DataFrame, size: int = THRESHOLD, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """slim (key, text as bytes) of every row, and marks (key, parts: array of at, len): repeated strings start at at .. at + len - 1."""
+    """slim (key, text as bytes) of every row, and marks (key, parts: array of at, len): repeated strings start at at .. at + len - 1.
+
+    The texts are shuffled by id once; the three joins with them reuse that.
+    """
     slim = docs.select(id_key().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    part = F.struct("at", "len")
-    found = repeated_segments(slim, size, gram).groupBy("key", "repeated").agg(F.collect_list(part).alias("parts"))
-    found = cut(found)
-    marked = slim.join(found.filter(~F.col("repeated")).select("key", "parts"), "key")
-    single = _sorted(position_rows(marked, size)).filter("repeated")
-    single = single.groupBy("key").agg(F.collect_list(part).alias("parts"))
+    found = cut(_by_document(repeated_segments(slim, size, gram), "repeated"))
+    open_ = found.filter(~F.col("repeated")).select("key", "parts")
+    blocks = block_rows(slim.join(open_, "key"), size, gram)
+    order = Window.partitionBy("a").orderBy("b", "key", "spot")
+    row = F.struct("b", "key", "spot")
+    blocks = blocks.withColumn("before", F.lag(row).over(order)).withColumn("after", F.lead(row).over(order))
+    twice = [F.coalesce((F.col(f"{x}.b") == F.col("b")) & _differs(x), F.lit(False)) for x in ("before", "after")]
+    open_ = _by_document(blocks.filter(twice[0] | twice[1]))
+    single = _by_document(_sorted(position_rows(slim.join(open_, "key"), size)).filter("repeated"))
     marks = found.filter("repeated").select("key", "parts").unionByName(single)
     return slim, marks.groupBy("key").agg(F.flatten(F.collect_list("parts")).alias("parts"))
 
