@@ -125,7 +125,8 @@ def _spread(at: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def block_rows(marked: DataFrame, size: int, gram: int) -> DataFrame:
     """Rank pairs of the blocks of the segments of marked (key, text, parts: array of at, len)."""
-    half, shared = 1 << (size.bit_length() - 1), size - BLOCK + 1
+    shared = size - BLOCK + 1
+    half = 1 << (min(shared, 64).bit_length() - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,7 +157,7 @@ def block_rows(marked: DataFrame, size: int, gram: int) -> DataFrame:
 
 def position_rows(marked: DataFrame, size: int) -> DataFrame:
     """Rank pairs of the positions of marked (key, text, parts: array of at, len)."""
-    half = 1 << (size.bit_length() - 1)
+    half = 1 << (min(size, 64).bit_length() - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,8 +213,11 @@ def _by_document(rows: DataFrame, *also: str) -> DataFrame:
 def repeats(docs: DataFrame, size: int = THRESHOLD, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """slim (key, text as bytes) of every row, and marks (key, parts: array of at, len): repeated strings start at at .. at + len - 1.
 
-    The texts are shuffled by id once; the three joins with them reuse that.
+    The texts are shuffled by id once; the three joins with them reuse that. gram is a power of two
+    below size, and two ranks of up to 64 bytes cover size.
     """
+    if not BLOCK < size <= 128 or gram >= size or gram & (gram - 1):
+        raise ValueError("size must be 11 to 128 and gram a smaller power of two")
     slim = docs.select(id_key().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     found = cut(_by_document(repeated_segments(slim, size, gram), "repeated"))
     open_ = found.filter(~F.col("repeated")).select("key", "parts")
