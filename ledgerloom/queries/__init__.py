@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.queries import gazette
+from ledgerloom.queries import gazette, layout, ledger, text
 
-QUERIES: dict = {**gazette.QUERIES}
-ORACLE: dict[str, str] = {**gazette.ORACLE}
+QUERIES: dict = {**gazette.QUERIES, **text.QUERIES, **layout.QUERIES, **ledger.QUERIES}
+ORACLE: dict[str, str] = {**gazette.ORACLE, **text.ORACLE, **layout.ORACLE, **ledger.ORACLE}
