@@ -32,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import NULL_ID, chunks, cut, gram_hashes, id_key, joined, runs, span_hashes
+from ledgerloom.llm.common import NULL_ID, chunks, cut, gram_hashes, id_key, joined, mix, runs, span_hashes
 
 N, PERCENT = 5, 80
 #: Sets of a region that one task joins, pivots of a cut, and how often cells are cut again.
 CELL, PIVOTS, CUTS = 20_000, 8, 3
+#: log2 of the bits of the filter that picks documents of regions.
+BITS = 24
 
 _KINDS = np.ones(256, dtype=np.uint8)
 _KINDS[[9, 10, 11, 12, 13, 32]] = 0
@@ -116,6 +118,25 @@ class Sets:
         self.universe = len(known)
         self.owner = np.repeat(np.arange(len(sets)), self.size)
 
+    def prefixes(self) -> None:
+        """Of each set the slack + 1 elements that the fewest sets hold: joined sets share one of those."""
+        df = np.bincount(self.number, minlength=self.universe)
+        rank = np.empty(self.universe, dtype=np.int64)
+        rank[np.lexsort((np.arange(self.universe), df))] = np.arange(self.universe)
+        order = np.lexsort((rank[self.number], self.owner))
+        place = np.arange(len(order)) - np.repeat(self.end - self.size, self.size)
+        most = np.array([slack(n) for n in self.size.tolist()], dtype=np.int64)
+        keep = order[(place <= most[self.owner[order]]) & (df[self.number[order]] > 1)]
+        self.pre, self.pre_end = self.number[keep], np.cumsum(np.bincount(self.owner[keep], minlength=len(self.size)))
+        by = np.argsort(self.pre, kind="stable")
+        self.held, self.held_end = self.owner[keep][by], np.cumsum(np.bincount(self.pre, minlength=self.universe))
+
+    def sharing(self, i: int) -> np.ndarray:
+        """The sets with a prefix element of set i, itself among them."""
+        own = self.pre[self.pre_end[i - 1] if i else 0 : self.pre_end[i]].tolist()
+        found = [self.held[self.held_end[e - 1] if e else 0 : self.held_end[e]] for e in own]
+        return np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
+
     def one(self, i: int) -> np.ndarray:
         return self.number[self.end[i] - self.size[i] : self.end[i]]
 
@@ -127,13 +148,10 @@ class Sets:
 
 
     def common_with(self, i: int, others: np.ndarray) -> np.ndarray:
-        """The same, looked up for some sets only; 0 for the rest."""
+        """The same, of some sets only."""
         mark = np.zeros(self.universe, dtype=bool)
         mark[self.one(i)] = True
-        out = np.zeros(len(self.size), dtype=np.int64)
-        for j in others.tolist():
-            out[j] = np.count_nonzero(mark[self.one(j)])
-        return out
+        return np.array([np.count_nonzero(mark[self.one(j)]) for j in others.tolist()], dtype=np.int64)
 
 
 def near(common: np.ndarray, a: np.ndarray | int, b: np.ndarray | int) -> np.ndarray:
@@ -145,45 +163,43 @@ def components(sets: list[np.ndarray]) -> np.ndarray:
     """For each set the first one of its component; exact.
 
     Pivots are taken one by one, first from the largest group of sets that aren't settled. A set is
-    settled once it has been a pivot. Pairs that the triangle inequality rules out for a pivot, or
-    that are in one component already, are not looked at again; the sets that no pivot has drawn
-    into the main component are compared with those that remain.
+    settled once it has been a pivot. Only sets are looked at that share one of its rare elements,
+    are of like size, lie at a like distance from the first pivots (triangle inequality), and are
+    not in its component already. When all outside the largest component are settled, so is that.
     """
     x, groups = Sets(sets), Groups(len(sets))
     n = len(sets)
     if n < 2:
         return groups.all()
-    # distance * 1e6 to the first pivots; rows of sets that can't be near by any of them are skipped
-    known: list[np.ndarray] = []
+    x.prefixes()
+    known: list[np.ndarray] = []  # distances to the first pivots, in millionths
     done = np.zeros(n, dtype=bool)
-    for step in range(n):
-        label = groups.all()
-        if label.max() == 0 or done.all():
-            break
-        open_ = np.flatnonzero(~done)
-        # a set outside the largest component; one of it only to begin with
+    label = groups.all()
+    while True:
         main = np.bincount(label).argmax()
-        rest = open_[label[open_] != main]
-        if step == 0:
-            i = int(np.bincount(x.owner, weights=np.bincount(x.number)[x.number]).argmax())
-        elif len(rest):
-            i = int(rest[0])
-        else:
-            break
+        rest = np.flatnonzero(~done & (label != main))
+        if not len(rest):
+            return label
+        # the first pivot is the set with the most common elements; then sets outside the main component
+        i = int(np.bincount(x.owner, weights=np.bincount(x.number)[x.number]).argmax()) if not done.any() else int(rest[0])
         done[i] = True
-        could = (label != label[i]) & (100 * np.minimum(x.size, x.size[i]) >= PERCENT * np.maximum(x.size, x.size[i]))
+        could = x.sharing(i)
+        could = could[(label[could] != label[i]) & (100 * np.minimum(x.size[could], x.size[i]) >= PERCENT * np.maximum(x.size[could], x.size[i]))]
         for d in known:
-            could &= np.abs(d - d[i]) <= 200_001
-        if len(known) >= PIVOTS and not could.any():
+            could = could[np.abs(d[could] - d[i]) <= 200_001]
+        if not len(could):
             continue
-        few = np.flatnonzero(could)
-        common = x.common(i) if len(known) < PIVOTS or 8 * len(few) > n else x.common_with(i, few)
         if len(known) < PIVOTS:
+            common = x.common(i)
             known.append(1e6 * (1 - common / (x.size + x.size[i] - common)))
-        hit = near(common, x.size, x.size[i]) & (label != label[i])
-        for j in np.unique(label[hit]).tolist():
-            groups.link(i, j)
-    return groups.all()
+            common = common[could]
+        else:
+            common = x.common_with(i, could)
+        hit = could[near(common, x.size[could], x.size[i])]
+        if len(hit):
+            for j in np.unique(label[hit]).tolist():
+                groups.link(i, j)
+            label = groups.all()
 
 
 # ---------------------------------------------------------------- the join on Spark
@@ -235,14 +251,14 @@ def least(n: str = "n") -> Column:
 
 def candidate_edges(rows: DataFrame) -> DataFrame:
     """a, b: stars of sets that share an indexed hash. rows: key, n, pre, one row per distinct set."""
-    held = rows.select("key", "n", F.explode("pre").alias("h"))
+    held, sizes = rows.select("key", F.explode("pre").alias("h")), rows.select("key", "n")
     for _ in range(2):
         by = Window.partitionBy("h").orderBy("key")
         held = held.withColumn("other", F.coalesce(F.lag("key").over(by), F.lead("key").over(by)))
-        held = cut(held.filter("other is not null").select("key", "n", "h"))
-        enough = held.groupBy("key", "n").agg(F.count("*").alias("m")).filter(F.col("m") >= least()).select("key")
-        held = held.join(enough, "key").select("key", "n", "h")
-    held = cut(held)
+        held = cut(held.filter("other is not null").select("key", "h"))
+        enough = held.groupBy("key").agg(F.count("*").alias("m")).join(sizes, "key").filter(F.col("m") >= least()).select("key")
+        held = held.join(enough, "key").select("key", "h")
+    held = cut(held.join(sizes, "key").select("key", "n", "h"))
     df = held.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
     # of a set's sampled hashes all but the k - 1 most common; those that no other set holds are the rarest
     order = Window.partitionBy("key").orderBy(F.desc("df"), F.desc("h"))
@@ -252,21 +268,45 @@ def candidate_edges(rows: DataFrame) -> DataFrame:
     return kept.join(hubs, "h").filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
 
 
+def _bit(key: np.ndarray) -> np.ndarray:
+    return (mix(key.astype(np.uint64)) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+
+
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """2 ** BITS bits in bytes (2 MB), one set for every key: a filter without false negatives, of one size whatever the input."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = np.unique(_bit(batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(bit >> 5), pa.array(np.int64(1) << (bit & 31))], names=["word", "bits"])
+
+    words = keys.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    out = np.zeros(1 << (BITS - 5), dtype=np.uint32)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
+    return out
+
+
 def full_sets(docs: DataFrame, regions: DataFrame) -> DataFrame:
-    """region, key, hashes: the whole sets of the documents in regions (key, region, digest)."""
+    """region, key, hashes: the whole sets of the documents in regions (key, region, digest).
+
+    Tasks make the sets of documents that the bitmap lets through, so sets are shuffled, not texts.
+    """
     slim = docs.select(id_key().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    slim = slim.join(regions, "key").select("region", "key", "digest", "text")
+    shared_bits = docs.sparkSession.sparkContext.broadcast(bitmap(regions.select("key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared_bits.value
         for batch in batches:
-            wanted = batch.column("digest").to_pylist()
+            bit = _bit(batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64))
+            batch = batch.filter(pa.array((bits[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1))
+            keys = batch.column("key")
             for first, texts in chunks(batch.column("text").to_pylist()):
                 sets = [s.view(np.int64) for s in shingle_sets(texts)]
-                right = pa.array([digest(s) == d for s, d in zip(sets, wanted[first : first + len(sets)], strict=True)], type=pa.bool_())
-                own = [batch.column(c).slice(first, len(sets)) for c in ("region", "key")]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(sets, type=pa.list_(pa.int64()))], names=["region", "key", "hashes"]).filter(right)
+                columns = [keys.slice(first, len(sets)), pa.array([digest(s) for s in sets], type=pa.binary()), pa.array(sets, type=pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "hashes"])
 
-    return slim.mapInArrow(run, "region string, key long, hashes array<long>")
+    sets = slim.mapInArrow(run, "key long, digest binary, hashes array<long>")
+    return sets.join(regions, ["key", "digest"]).groupBy("region", "key").agg(F.first("hashes").alias("hashes"))
 
 
 def voronoi(sets: DataFrame, large: DataFrame, level: int) -> DataFrame:
@@ -302,7 +342,7 @@ def tiles(sets: DataFrame, counts: DataFrame, cell: int) -> DataFrame:
     return rows.select(pair.alias("region"), "key", "hashes")
 
 
-def join_regions(sets: DataFrame, cell: int = CELL) -> DataFrame:
+def join_regions(sets: DataFrame, cell: int = CELL, cuts: int = CUTS) -> DataFrame:
     """a, b: links that give the components of sets (region, key, hashes)."""
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -313,7 +353,7 @@ def join_regions(sets: DataFrame, cell: int = CELL) -> DataFrame:
         return pd.DataFrame({"a": keys[moved], "b": keys[first[moved]]})
 
     done: list[DataFrame] = []
-    for level in range(CUTS):
+    for level in range(cuts):
         counts = cut(sets.groupBy("region").count().filter(F.col("count") > cell))
         if counts.isEmpty():
             break
@@ -321,7 +361,7 @@ def join_regions(sets: DataFrame, cell: int = CELL) -> DataFrame:
         sets = sets.join(counts.select("region"), "region", "left_semi")
         cells = cut(voronoi(sets, counts.select("region"), level))
         most = lambda df: df.groupBy("region").count().agg(F.max("count")).first()[0]
-        if level == CUTS - 1 or most(cells) > 0.7 * most(sets):
+        if level == cuts - 1 or most(cells) > 0.7 * most(sets):
             sets = tiles(sets, counts, cell)
             break
         sets = cells
@@ -347,8 +387,10 @@ def classes(docs: DataFrame, cell: int = CELL) -> DataFrame:
     rows = all_.join(hubs.withColumnRenamed("digest", "d"), "key").filter("digest = d").groupBy("key", "n").agg(F.first("pre").alias("pre"))
     edges = cut(candidate_edges(rows))
     regions = min_labels(edges).select(F.col("a").alias("key"), F.col("label").cast("string").alias("region")).join(hubs, "key")
-    sets = cut(full_sets(docs, regions).groupBy("region", "key").agg(F.first("hashes").alias("hashes")))
-    links = join_regions(sets, cell)
+    regions = cut(regions)
+    large = not regions.groupBy("region").count().filter(F.col("count") > cell).isEmpty()
+    sets = full_sets(docs, regions)
+    links = join_regions(cut(sets), cell) if large else join_regions(sets, cell, 0)
     copies = all_.filter("n > 0").join(one.withColumnRenamed("key", "hub"), ["digest", "n"]).filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
     found = min_labels(links.union(copies))
     out = all_.select("key", "n").join(found, F.col("key") == F.col("a"), "left")
