@@ -18,6 +18,10 @@ class Edition:
 
     blocks: DataFrame
 
+    def __post_init__(self) -> None:
+        # Spark 4.1 may take a union's parts for partitioned alike after they have been coalesced apart; joins of it then fail
+        self.blocks.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+
     @cached_property
     def mentions(self) -> DataFrame:
         return mentions.mentions(self.blocks)

@@ -45,10 +45,9 @@ KINDS = [
     (9, "ok % 11 = 0", f"case when ok % 2 = 0 then '{V.PUBLICATION_HEADER}' else '{V.IMPRINT} Palácio' end", "'h2'", "false"),
 ]
 
-def blocks_sql(orders: str) -> str:
-    rows = " union all ".join(
-        f"select doc, rn, {k} as k, {text} as text, {role} as role, {noise} as noise from g_orders where {when}" for k, when, text, role, noise in KINDS
-    )
+def blocks_sql(orders: str, each: str) -> str:
+    """each: the dialect's way to repeat a row for k = 0 .. 9."""
+    pick = lambda part: "case k " + " ".join(f"when {kind[0]} then {kind[part]}" for kind in KINDS) + " end"
     return f"""
 g_a as (select o_custkey as doc, o_orderkey as ok, row_number() over (partition by o_custkey order by o_orderkey) as rn from {orders}),
 g_b as (select *, (doc * 7919 + rn % 5) % 10000 as x from g_a),
@@ -57,17 +56,18 @@ g_d as (select *, ({_made((2, 9, 8, 7), '3 + c1 * 2')} + case when ok % 9 = 4 th
 g_orders as (select doc, ok, rn,
   printf('CNPJ 00.00%d.%03d/0001-%d%d', cast(floor(x / 1000) as bigint), x % 1000, c1, c2) as cnpj,
   printf('%05d-%08d/%04d-%02d', rn % 4, doc, 2000 + doc % 26, doc % 89) as process,
-  printf('R$ %d.%03d,%02d', ok % 900 + 1, ok % 1000, ok % 100) as money from g_d),
+  printf('R$ %d.%03d,%02d', ok % 900 + 1, ok % 1000, ok % 100) as money, {each} as k from g_d),
+g_kinds as (select doc, rn, k, {pick(1)} as there, {pick(2)} as text, {pick(3)} as role, {pick(4)} as noise from g_orders),
 blocks as (select doc as doc_id, cast(floor((rn + 1) / 2) as int) as page, cast(rn * 10 + k as int) as ord,
-  printf('p%04d-b%04d', cast(floor((rn + 1) / 2) as int), cast(rn * 10 + k as int)) as block_id, text, role, noise from ({rows}) y)"""
+  printf('p%04d-b%04d', cast(floor((rn + 1) / 2) as int), cast(rn * 10 + k as int)) as block_id, text, role, noise from g_kinds where there)"""
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, page, ord, block_id, text, role, noise."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return spark.sql("with " + blocks_sql("{orders}") + " select * from blocks", orders=orders)
+    return spark.sql("with " + blocks_sql("{orders}", "explode(sequence(0, 9))") + " select * from blocks", orders=orders)
 
 
 def oracle(query: str, *ctes: str) -> str:
     """DuckDB SQL of a query over `blocks` and further common table expressions."""
-    return "with recursive " + ",\n".join([blocks_sql("orders"), *ctes]) + "\n" + query
+    return "with recursive " + ",\n".join([blocks_sql("orders", "unnest(range(0, 10))"), *ctes]) + "\n" + query
