@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerloom.queries import gazette, layout, ledger, text
+from ledgerloom.queries import artifacts, gazette, layout, ledger, text
 
-QUERIES: dict = {**gazette.QUERIES, **text.QUERIES, **layout.QUERIES, **ledger.QUERIES}
-ORACLE: dict[str, str] = {**gazette.ORACLE, **text.ORACLE, **layout.ORACLE, **ledger.ORACLE}
+PARTS = (gazette, text, layout, ledger, artifacts)
+QUERIES: dict = {k: f for part in PARTS for k, f in part.QUERIES.items()}
+ORACLE: dict[str, str] = {k: s for part in PARTS for k, s in part.ORACLE.items()}
