@@ -22,6 +22,14 @@ class Edition:
         # Spark 4.1 may take a union's parts for partitioned alike after they have been coalesced apart; joins of it then fail
         self.blocks.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
 
+    def stored(self) -> Edition:
+        """The same with its segmentation written to spark.checkpoint.dir, for uses that read it more than once."""
+        sc = self.blocks.sparkSession.sparkContext
+        if sc._jsc.sc().getCheckpointDir().isEmpty():
+            sc.setCheckpointDir(self.blocks.sparkSession.conf.get("spark.checkpoint.dir", "/tmp/checkpoints"))
+        self.__dict__["assigned"] = self.assigned.checkpoint(eager=True)
+        return self
+
     @cached_property
     def mentions(self) -> DataFrame:
         return mentions.mentions(self.blocks)

@@ -153,11 +153,15 @@ ORACLE: dict[str, str] = {}
 
 
 def query(name: str, sql: str, *ctes: str):
-    """Registers a function of an Edition; sql is the same over the common table expressions."""
+    """Registers a function of an Edition; sql is the same over the common table expressions.
+
+    What needs every observation reads the segmentation several times, so it is stored first.
+    """
 
     def add(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(Edition(gazette.blocks(spark, sf_dir)))
+            edition = Edition(gazette.blocks(spark, sf_dir))
+            return function(edition.stored() if FRAGMENTS in ctes or ENTITIES in ctes else edition)
 
         QUERIES[name], ORACLE[name] = run, gazette.oracle(sql, *ctes)
         return function
