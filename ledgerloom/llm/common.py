@@ -38,6 +38,8 @@ def parts(spark: SparkSession) -> int:
 
 def cut(df: DataFrame) -> DataFrame:
     """Write df to spark.checkpoint.dir and read it back, so that later jobs start from the files."""
+    # Spark 4.1 may take a union's parts for partitioned alike after they have been coalesced apart; joins of it then fail
+    df.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", f"/tmp/checkpoints/{uuid.uuid4().hex}"))
