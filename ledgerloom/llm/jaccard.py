@@ -9,7 +9,8 @@ apart, so the join has two levels, both exact:
    with. So with the s + k smallest hashes of each set, a joined pair shares at least the lesser
    of its two k, here a tenth of n. Sets with fewer hashes that any other set holds are dropped, twice over,
    and each remaining set is indexed by its rarest sampled hashes, all but the k - 1 most common
-   (two joined sets still share one). Documents that share an indexed hash are of one region.
+   (two joined sets still share one). Documents that share an indexed hash are of one region. A
+   region that passages in common have made large is parted again by the rarest elements of its whole sets.
 2. Pivots. Inside a region distances do vary. A pivot is chosen, each set's distance to it is
    known, sets within 0.2 are linked with it, and the triangle inequality says which others a set
    can be near: those whose distance to the pivot differs by 0.2 at most. A region too large for
@@ -35,8 +36,10 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import NULL_ID, chunks, cut, gram_hashes, id_key, joined, mix, runs, span_hashes
 
 N, PERCENT = 5, 80
+#: Regions of more sets are parted again by their whole sets before they are cut.
+REFINE = 12_000
 #: Sets of a region that one task joins, pivots of a cut, and how often cells are cut again.
-CELL, PIVOTS, CUTS = 20_000, 8, 3
+CELL, PIVOTS, CUTS = 12_000, 8, 3
 #: log2 of the bits of the filter that picks documents of regions.
 BITS = 24
 
@@ -232,7 +235,9 @@ def min_labels(edges: DataFrame) -> DataFrame:
     Each round gives a node the smallest label of itself and its neighbours, then that label's own
     label, so long chains shrink by half; rounds end when nothing changes.
     """
-    both = cut(edges.union(edges.select("b", "a")).union(edges.select("a", "a")).union(edges.select("b", "b")).toDF("a", "b").distinct())
+    pair = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
+    both = edges.select(F.explode(F.array(pair("a", "b"), pair("b", "a"), pair("a", "a"), pair("b", "b"))).alias("e"))
+    both = cut(both.select("e.a", "e.b").distinct())
     labels = cut(both.groupBy("a").agg(F.min("b").alias("label")))
     while True:
         near_ = both.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label"))
@@ -309,6 +314,29 @@ def full_sets(docs: DataFrame, regions: DataFrame) -> DataFrame:
     return sets.join(regions, ["key", "digest"]).groupBy("region", "key").agg(F.first("hashes").alias("hashes"))
 
 
+def finer(docs: DataFrame, large: DataFrame) -> DataFrame:
+    """key, region, digest: large regions (key, region, digest) cut by the whole sets of their documents.
+
+    Joined sets share one of the s + 1 elements of each that the fewest sets of the region hold, so
+    documents that share none of those are parted, and those that share none with any have no link.
+    """
+    held = full_sets(docs, large).select("region", "key", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
+    df = Window.partitionBy("region", "h").orderBy("key")
+    held = held.withColumn("other", F.coalesce(F.lag("key").over(df), F.lead("key").over(df))).filter("other is not null")
+    held = cut(held.select("region", "key", "n", "h"))
+    counts = held.groupBy("region", "h").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("region", "key").orderBy("df", "h")
+    place = F.row_number().over(order)
+    many = F.count("*").over(Window.partitionBy("region", "key"))
+    most = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - F.col("n") + many  # of those that others hold too
+    kept = held.join(counts, ["region", "h"]).withColumn("place", place).withColumn("most", most).filter("place <= most").select("region", "key", "h")
+    kept = cut(kept)
+    hubs = kept.groupBy("region", "h").agg(F.min("key").alias("hub"), F.count("*").alias("m")).filter("m > 1").select("region", "h", "hub")
+    edges = kept.join(hubs, ["region", "h"]).filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
+    labels = min_labels(edges).select(F.col("a").alias("key"), F.col("label").cast("string").alias("region"))
+    return labels.join(large.select("key", "digest"), "key")
+
+
 def voronoi(sets: DataFrame, large: DataFrame, level: int) -> DataFrame:
     """The large regions' sets in cells: region, key, hashes; sets near a border are in several cells."""
     pivots = sets.join(large, "region").select("region", "key", F.xxhash64("key", F.lit(level)).alias("o"))
@@ -372,7 +400,7 @@ def join_regions(sets: DataFrame, cell: int = CELL, cuts: int = CUTS) -> DataFra
     return every.groupBy("region").applyInPandas(link, "a long, b long")
 
 
-def classes(docs: DataFrame, cell: int = CELL) -> DataFrame:
+def classes(docs: DataFrame, cell: int = CELL, refine: int = REFINE) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
     A null or blank text has an empty set and is linked with nothing; its component is its own id.
@@ -388,6 +416,9 @@ def classes(docs: DataFrame, cell: int = CELL) -> DataFrame:
     edges = cut(candidate_edges(rows))
     regions = min_labels(edges).select(F.col("a").alias("key"), F.col("label").cast("string").alias("region")).join(hubs, "key")
     regions = cut(regions)
+    counts = cut(regions.groupBy("region").count().filter(F.col("count") > refine))
+    if not counts.isEmpty():
+        regions = cut(regions.join(counts, "region", "left_anti").unionByName(finer(docs, regions.join(counts, "region", "left_semi")).select(regions.columns)))
     large = not regions.groupBy("region").count().filter(F.col("count") > cell).isEmpty()
     sets = full_sets(docs, regions)
     links = join_regions(cut(sets), cell) if large else join_regions(sets, cell, 0)
@@ -405,3 +436,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     gone = found.filter("k <> c").select("k").distinct()
     rows = docs.select(F.struct("*").alias("row"), id_key().alias("key"))
     return rows.join(gone, F.col("key") == F.col("k"), "left_anti").select("row.*")
+
+
+ORACLE = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(w[i:i + 4], ' ') end as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) as i from w)),
+n as (select doc_id, count(*) as n from s group by 1),
+shared as (select g from s group by 1 having count(*) > 1),
+t as (select s.* from s join shared using (g)),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as c from t a join t b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+edges as (select a, b from links union all select b, a from links),
+reach as (select doc_id, doc_id as r from n union select reach.doc_id, edges.b from reach join edges on edges.a = reach.r)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(m.m, d.doc_id) as component_id from documents d left join n using (doc_id) left join (select doc_id, min(r) as m from reach group by 1) m using (doc_id)
+"""

@@ -76,5 +76,6 @@ ORACLE: dict[str, str] = {
     "op4_url_filter": urls.oracle(),
     "op5_chat_format": chat.ORACLE,
     "op9_jaccard_join": op9_jaccard_join,
+    "op9_jaccard_join": jaccard.ORACLE,
     "op10_fingerprints": merkle.ORACLE,
 }

@@ -118,8 +118,8 @@ def edits(text, rng, n):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("cell", [20_000, 12])
-def test_components_are_exact(spark, cell):
+@pytest.mark.parametrize("cell,refine", [(20_000, 500), (12, 500), (20_000, 3)])
+def test_components_are_exact(spark, cell, refine):
     rng = np.random.default_rng(5)
     texts = []
     for f in range(6):
@@ -128,7 +128,7 @@ def test_components_are_exact(spark, cell):
     passage = prose(99, 60)
     texts += [passage + " " + prose(200 + i, int(rng.integers(3, 40))) for i in range(25)]
     texts += ["one", "One", "one two", "", "  ", None, "one two three four five", "one two three four five one two three four five"]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.classes(documents(spark, texts), cell).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.classes(documents(spark, texts), cell, refine).collect()}
     assert got == sets_brute(list(enumerate(texts)))
 
 
