@@ -12,8 +12,9 @@ prefix must be compared between documents:
    an equal one before it is repeated. One that is alone with its smallest rank is unique and done.
 3. What is left, segments of unlike texts with the same smallest rank, is cut into blocks of
    BLOCK positions, counted from the place of that rank. All strings of a block share all but
-   BLOCK - 1 of their bytes; Spark sorts the pairs of ranks of 64 bytes that cover those, and blocks
-   with a unique pair are done: short lines that recur in ever other places end here.
+   BLOCK - 1 of their bytes; Spark sorts (rank of those, rank of the block's whole text, doc_id,
+   position) as before: equal blocks are repeated, and blocks alone with the bytes that they share are
+   done, so short lines that recur in ever other places end here.
 4. The rest goes on position by position: Spark sorts (rank of 64 bytes, rank of the 64 bytes from
    THRESHOLD - 64 on, doc_id, position), and a position with an equal pair before it is repeated.
 
@@ -90,12 +91,11 @@ def settle(a: np.ndarray, b: np.ndarray, key: np.ndarray, at: np.ndarray) -> np.
 
 #: spot: place in the text, number of positions (8 bits), whether the row is settled (1 bit).
 _ROWS = "a long, b long, key long, spot long"
-_PART = "named_struct('at', shiftright(spot, 9), 'len', shiftright(spot, 1) & 255)"
 
 
-def _batch(found: list[tuple[np.ndarray, ...]], known: bool = True) -> pa.RecordBatch:
+def _batch(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     a, b, key, at, length = (np.concatenate(x) for x in zip(*found, strict=True))
-    settled = settle(a, b, key, at) if known else np.zeros(len(a), dtype=bool)
+    settled = settle(a, b, key, at)
     a = np.where(settled, mix(key.astype(np.uint64) * np.uint64(31) + at.astype(np.uint64)), a)  # anywhere
     spot = at << 9 | length << 1 | settled
     return pa.RecordBatch.from_arrays([pa.array(x) for x in (a.view(np.int64), b.view(np.int64), key, spot)], names=["a", "b", "key", "spot"])
@@ -124,7 +124,7 @@ def _spread(at: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def block_rows(marked: DataFrame, size: int, gram: int) -> DataFrame:
-    """Rank pairs of the blocks of the segments of marked (key, text, parts: array of at, len)."""
+    """Ranks of what the strings of a block share and of its text, for the segments of marked (key, text, parts: array of at, len)."""
     shared = size - BLOCK + 1
     half = 1 << (min(shared, 64).bit_length() - 1)
 
@@ -135,7 +135,7 @@ def block_rows(marked: DataFrame, size: int, gram: int) -> DataFrame:
                 buffer, begins = joined(texts)
                 if len(buffer) < size:
                     continue
-                small, rank = doubled(buffer, gram), doubled(buffer, half)
+                small, rank, made = doubled(buffer, gram), doubled(buffer, half), []
                 for k, text in enumerate(texts):
                     at, n = (parts[first + k].values.field(c).to_numpy() for c in ("at", "len"))
                     at, n = at[at + n - 1 + size <= len(text)], n[at + n - 1 + size <= len(text)]
@@ -147,10 +147,13 @@ def block_rows(marked: DataFrame, size: int, gram: int) -> DataFrame:
                     core = place[own] - BLOCK * which
                     start = np.maximum(low[own], core - BLOCK + 1)
                     count = np.minimum(high[own], core) - start + 1
-                    b = mix(rank[core + shared - half] + which.astype(np.uint64))
-                    found.append((rank[core], b, np.full(len(own), keys[first + k]), start - begins[k], count))
+                    a = mix(rank[core] * np.uint64(3) + rank[core + shared - half] + which.astype(np.uint64))
+                    made.append((a, start, count, np.full(len(own), k)))
+                a, start, count, doc = (np.concatenate(x) for x in zip(*made, strict=True))
+                whole = span_hashes(buffer, start, start + count + size - 1)
+                found.append((a, whole, keys[first + doc], start - begins[doc], count))
             if found:
-                yield _batch(found, known=False)
+                yield _batch(found)
 
     return marked.mapInArrow(run, _ROWS)
 
@@ -190,10 +193,10 @@ def _sorted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("repeated", (F.col("spot") % 2 == 1) | F.coalesce(same, F.lit(False)))
 
 
-def repeated_segments(slim: DataFrame, size: int, gram: int) -> DataFrame:
-    """key, spot, repeated: segments that repeat, and (false) those that must be looked at closer."""
+def told_apart(rows: DataFrame) -> DataFrame:
+    """key, spot, repeated: rows with an equal (a, b) before them, and (false) the first rows of each b of an a that has several."""
     order = Window.partitionBy("a").orderBy("b", "key", "spot")
-    rows = _sorted(segment_rows(slim, size, gram))
+    rows = _sorted(rows)
     rows = rows.withColumn("head", F.first(F.struct("b", "key", "spot")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     own = F.struct("key", "spot", "repeated")
     first = F.struct(F.col("head.key").alias("key"), F.col("head.spot").alias("spot"), F.lit(False).alias("repeated"))
@@ -206,8 +209,14 @@ def repeated_segments(slim: DataFrame, size: int, gram: int) -> DataFrame:
     return rows.select(F.explode(out).alias("x")).select("x.*")
 
 
-def _by_document(rows: DataFrame, *also: str) -> DataFrame:
-    return rows.groupBy("key", *also).agg(F.collect_list(F.expr(_PART)).alias("parts"))
+def _by_document(rows: DataFrame) -> DataFrame:
+    """key, parts (array of at, len, repeated)."""
+    part = F.expr("named_struct('at', shiftright(spot, 9), 'len', shiftright(spot, 1) & 255, 'repeated', repeated)")
+    return rows.groupBy("key").agg(F.collect_list(part).alias("parts"))
+
+
+def _those(found: DataFrame, repeated: bool) -> DataFrame:
+    return found.select("key", F.filter("parts", lambda p: p["repeated"] == repeated).alias("parts")).filter(F.size("parts") > 0)
 
 
 def repeats(docs: DataFrame, size: int = THRESHOLD, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
@@ -219,16 +228,10 @@ def repeats(docs: DataFrame, size: int = THRESHOLD, gram: int = GRAM) -> tuple[D
     if not BLOCK < size <= 128 or gram >= size or gram & (gram - 1):
         raise ValueError("size must be 11 to 128 and gram a smaller power of two")
     slim = docs.select(id_key().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    found = cut(_by_document(repeated_segments(slim, size, gram), "repeated"))
-    open_ = found.filter(~F.col("repeated")).select("key", "parts")
-    blocks = block_rows(slim.join(open_, "key"), size, gram)
-    order = Window.partitionBy("a").orderBy("b", "key", "spot")
-    row = F.struct("b", "key", "spot")
-    blocks = blocks.withColumn("before", F.lag(row).over(order)).withColumn("after", F.lead(row).over(order))
-    twice = [F.coalesce((F.col(f"{x}.b") == F.col("b")) & _differs(x), F.lit(False)) for x in ("before", "after")]
-    open_ = _by_document(blocks.filter(twice[0] | twice[1]))
-    single = _by_document(_sorted(position_rows(slim.join(open_, "key"), size)).filter("repeated"))
-    marks = found.filter("repeated").select("key", "parts").unionByName(single)
+    found = cut(_by_document(told_apart(segment_rows(slim, size, gram))))
+    blocks = _by_document(told_apart(block_rows(slim.join(_those(found, False), "key"), size, gram)))
+    single = _by_document(_sorted(position_rows(slim.join(_those(blocks, False), "key"), size)).filter("repeated").select("key", "spot", "repeated"))
+    marks = _those(found, True).unionByName(_those(blocks, True)).unionByName(single)
     return slim, marks.groupBy("key").agg(F.flatten(F.collect_list("parts")).alias("parts"))
 
 
