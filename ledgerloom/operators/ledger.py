@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.storage import checkpointed
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], version: Sequence[Column | str]) -> DataFrame:
     """One row per key: of both tables' rows the latest by version; new beats old at equal versions."""
@@ -52,22 +54,25 @@ def lineage_edges(runs: DataFrame) -> DataFrame:
     return way("inputs", "input").unionByName(way("outputs", "output"))
 
 
-def ancestry(edges: DataFrame, most: int = 64) -> DataFrame:
-    """artifact, ancestor, depth (the least): what every artifact was made from, over up to `most` runs.
+def ancestry(edges: DataFrame) -> DataFrame:
+    """artifact, ancestor, depth (the least): what every artifact was made from, over any number of runs.
 
-    Each round joins the pairs found last with the runs' own pairs; pairs that are known already
-    drop out, so the rounds end with the longest chain, in a cycle as well.
+    Each round joins the pairs found last with the runs' own pairs and keeps those that are new, so
+    rounds end with the longest chain, in a cycle as well. Rounds are cut from one another.
     """
-    one = edges.filter("direction = 'output'").select("run_key", "artifact").join(edges.filter("direction = 'input'").select("run_key", F.col("artifact").alias("ancestor")), "run_key")
-    step = one.select("artifact", "ancestor").distinct()
-    spark = edges.sparkSession
-    return spark.sql(
-        f"""with recursive up(artifact, ancestor, depth) as (
-          select artifact, ancestor, 1 from {{step}}
-          union all select up.artifact, s.ancestor, depth + 1 from up join {{step}} s on s.artifact = up.ancestor where depth < {most})
-        select artifact, ancestor, min(depth) as depth from up group by artifact, ancestor""",
-        step=step,
-    )
+    made = edges.filter("direction = 'output'").select("run_key", "artifact")
+    used = edges.filter("direction = 'input'").select("run_key", F.col("artifact").alias("ancestor"))
+    step = checkpointed(made.join(used, "run_key").select("artifact", "ancestor").distinct())
+    up = step.select(F.col("artifact").alias("ancestor"), F.col("ancestor").alias("next"))
+    last, depth = step, 1
+    found = step.withColumn("depth", F.lit(1))
+    while True:
+        depth += 1
+        new = last.join(up, "ancestor").select("artifact", F.col("next").alias("ancestor")).distinct()
+        last = checkpointed(new.join(found, ["artifact", "ancestor"], "left_anti"))
+        if last.isEmpty():
+            return found
+        found = checkpointed(found.unionByName(last.withColumn("depth", F.lit(depth))))
 
 
 def lineage_violations(mentions: DataFrame, blocks: DataFrame, runs: DataFrame) -> DataFrame:

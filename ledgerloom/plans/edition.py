@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import vocabulary as V
+from ledgerloom.functions.storage import checkpointed
 from ledgerloom.operators import identity, mentions, observations, segmentation, views
 
 
@@ -24,10 +25,7 @@ class Edition:
 
     def stored(self) -> Edition:
         """The same with its segmentation written to spark.checkpoint.dir, for uses that read it more than once."""
-        sc = self.blocks.sparkSession.sparkContext
-        if sc._jsc.sc().getCheckpointDir().isEmpty():
-            sc.setCheckpointDir(self.blocks.sparkSession.conf.get("spark.checkpoint.dir", "/tmp/checkpoints"))
-        self.__dict__["assigned"] = self.assigned.checkpoint(eager=True)
+        self.__dict__["assigned"] = checkpointed(self.assigned)
         return self
 
     @cached_property

@@ -184,4 +184,6 @@ def test_ledger(spark):
     runs = spark.createDataFrame([("r1", ["a"], ["b"]), ("r2", ["b"], ["c", "d"])], "run_key string, inputs array<string>, outputs array<string>")
     found = {(r.artifact, r.ancestor, r.depth) for r in ledger.ancestry(ledger.lineage_edges(runs)).collect()}
     assert found == {("b", "a", 1), ("c", "b", 1), ("d", "b", 1), ("c", "a", 2), ("d", "a", 2)}
+    loop = spark.createDataFrame([("r1", ["a"], ["b"]), ("r2", ["b"], ["a"])], "run_key string, inputs array<string>, outputs array<string>")
+    assert ledger.ancestry(ledger.lineage_edges(loop)).count() == 4
     assert [tuple(r) for r in against_baseline(spark.createDataFrame([(1, 5)], "k int, n int"), spark.createDataFrame([(1, 6)], "k int, n int"), ["k"]).collect()] == [(1, "n", 5, 6)]
