@@ -76,14 +76,12 @@ def document_hashes(spark, sf_dir):
 
 @query("nominal_keys", "select doc_id, trim(regexp_replace(upper(strip_accents(substr(text, 1, 80))), '[^A-Z0-9]+', ' ', 'g')) as nominal_key from documents where lang in ('fr', 'es', 'en')")
 def nominal_keys(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").filter(F.col("lang").isin("fr", "es", "en"))
-    return docs.select("doc_id", T.nominal_key(F.substring("text", 1, 80)).alias("nominal_key"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.nominal_key(F.col("text")).alias("nominal_key"))
 
 
 @query("nominal_groups", "select nominal_key, count(*) as fragments, array_to_string(list_sort(list(doc_id)), '|') as doc_ids from (select doc_id, trim(regexp_replace(upper(strip_accents(text)), '[^A-Z0-9]+', ' ', 'g')) as nominal_key from documents where length(text) < 400 and lang in ('fr', 'es', 'en')) group by 1 having count(*) >= 2")
 def nominal_groups(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").filter((F.length("text") < 400) & F.col("lang").isin("fr", "es", "en"))
-    rows = docs.groupBy(T.nominal_key(F.col("text")).alias("nominal_key")).agg(F.count("*").alias("fragments"), F.array_join(F.array_sort(F.collect_list("doc_id")), "|").alias("doc_ids"))
+    rows = table(spark, sf_dir, "documents").groupBy(T.nominal_key(F.col("text")).alias("nominal_key")).agg(F.count("*").alias("fragments"), F.array_join(F.array_sort(F.collect_list("doc_id")), "|").alias("doc_ids"))
     return rows.filter("fragments >= 2")
 
 
