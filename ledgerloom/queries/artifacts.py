@@ -90,8 +90,7 @@ def backfill_captures(spark, sf_dir):
 
 @query("token_index", "select token, doc_id, count(*) as occurrences from (select doc_id, unnest(regexp_extract_all(lower(strip_accents(text)), '[\\pL\\pN]+')) as token from documents where lang in ('en', 'fr', 'es')) where length(token) >= 3 group by 1, 2")
 def token_index(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").filter(F.col("lang").isin("en", "fr", "es"))
-    return A.token_index(docs, 3)
+    return A.token_index(table(spark, sf_dir, "documents"))
 
 
 @query("role_targets", "select event_id as doc_id, 'action-' || user_id as target, 'subject_of' as role from events where event_type <> 'click'")
