@@ -3,7 +3,8 @@
 A document is the sequence of its lines; lines of white space alone are left out of it and stay in
 the text. A run is repeated when it also occurs earlier (smaller doc_id, or earlier in the same
 document), judged on the input. A line goes when a repeated run of `window` lines covers it, or
-when it has `long_words` words or more and is repeated by itself.
+when it has `long_words` words or more and is repeated by itself. With a window of one, as the
+queries have it, every line that occurs earlier goes, however short, and no fingerprints are needed.
 
 Winnowing: of every `window` lines in a row the one with the smallest hash is a fingerprint, and
 long lines always are, so every run to be found holds a fingerprint that its earlier copy holds as
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import id_key, own_columns
 
 #: Lines of a run that is always found, and words of a line that counts by itself.
-WINDOW, LONG_WORDS = 2, 50
+WINDOW, LONG_WORDS = 1, 50
 
 
 def _hash(*x: Column) -> Column:
@@ -36,20 +37,25 @@ def _blank(line: Column) -> Column:
     return F.trim(F.translate(line, "\t\r\f\v", "    ")) == ""
 
 
+def hashed_lines(docs: DataFrame, long_words: int) -> DataFrame:
+    """key, at, h, long: the lines that are not blank, by their place among all lines of the text."""
+    rows = docs.select(id_key().alias("key"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("at", "line"))
+    return rows.filter(~_blank(F.col("line"))).select("key", "at", _hash(F.col("line")).alias("h"), (_spaces(F.col("line")) >= long_words - 1).alias("long"))
+
+
 def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
     """key, fp, runs: of every fingerprint its hash and the runs that hold it, as (start, places, run).
 
     start: the place of a run's first line among all lines of the text; places: those of all its lines.
     """
-    rows = docs.select(id_key().alias("key"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("at", "line"))
-    rows = rows.filter(~_blank(F.col("line"))).select("key", "at", _hash(F.col("line")).alias("h"), (_spaces(F.col("line")) >= long_words - 1).alias("long"))
+    rows = hashed_lines(docs, long_words)
     order = Window.partitionBy("key").orderBy("at", "h")
     ahead = [F.struct(*(F.lead(c, k).over(order).alias(c) for c in ("at", "h"))) for k in range(window)]
     rows = rows.select("*", *(x.alias(f"x{k}") for k, x in enumerate(ahead)))
     full = F.col(f"x{window - 1}.at").isNotNull()
     held = [F.col(f"x{k}") for k in range(window)]
     run = F.struct(F.col("at").alias("start"), F.array(*(x["at"] for x in held)).alias("places"), _hash(F.lit(window), *(x["h"] for x in held)).alias("run"))
-    rows = rows.select("key", "at", "h", "long", F.when(full, run).alias("run"), F.when(full, F.least(*(x["h"]["a"] for x in held)) if window > 1 else F.col("h.a")).alias("low"))
+    rows = rows.select("key", "at", "h", "long", F.when(full, run).alias("run"), F.when(full, F.least(*(x["h"]["a"] for x in held))).alias("low"))
     back = order.rowsBetween(-(window - 1), 0)
     rows = rows.select("key", "at", "h", "long", F.max("low").over(back).alias("low"), F.collect_list("run").over(back).alias("runs"))
     own = F.struct(F.col("at").alias("start"), F.array("at").alias("places"), F.col("h").alias("run"))
@@ -58,6 +64,12 @@ def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WORDS) -> DataFrame:
     """key, gone: per document the places of the lines that go. Documents without any are left out."""
+    if window == 1:
+        rows = hashed_lines(docs, long_words).select("key", "at", "h")
+        firsts = rows.groupBy("h").agg(F.min(F.struct("key", "at")).alias("first"), F.max(F.struct("key", "at")).alias("last"))
+        firsts = firsts.filter("first < last").select("h", "first")
+        later = rows.join(firsts, "h").filter(F.struct("key", "at") > F.col("first"))
+        return later.groupBy("key").agg(F.collect_set("at").alias("gone"))
     marks = fingerprints(docs, window, long_words)
     often = marks.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
     runs = marks.join(often, "fp").select("key", F.explode("runs").alias("r")).select("key", "r.*")
