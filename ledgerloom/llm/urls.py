@@ -27,11 +27,15 @@ class HostRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """tokens: literals ([a-z0-9]+, whole tokens of the lower-cased url) in every url that the pattern matches."""
+    """tokens: literals ([a-z0-9]+, whole tokens of the lower-cased url) in every url that the pattern matches.
+
+    others: where the pattern's alternatives have no token in common, the tokens of each of the rest.
+    """
 
     name: str
     pattern: str
     tokens: tuple[str, ...]
+    others: tuple[tuple[str, ...], ...] = ()
 
 
 HOST_RULES = (
@@ -44,9 +48,9 @@ HOST_RULES = (
 PATTERN_RULES = (
     PatternRule("tracking", r"[?&]utm_source=feed(&|#|$)", ("utm", "source", "feed")),
     PatternRule("listing", r"[?&]page=[0-9]+&ref=", ("page", "ref")),
-    PatternRule("blog_page", r"://blog\.[^/?#]*/[a-z]+/[0-9]+\.html", ("blog", "html")),
+    PatternRule("blog_page", r"://blog\.[^/?#]*/[a-z]+/[0-9]+\.html", ("blog",)),
     PatternRule("mobile", r"://m\.[^/?#]*/[^?]*\?page=[0-9]", ("m", "page")),
-    PatternRule("login", r"/(login|signin)(/|\?|#|$)", ("login",)),
+    PatternRule("login", r"/(login|signin)(/|\?|#|$)", ("login",), (("signin",),)),
     PatternRule("signin", r"/signin(/|\?|#|$)", ("signin",)),
     PatternRule("archive_file", r"\.(zip)(\?|#|$)", ("zip",)),
     PatternRule("session", r"[?&]sessionid=[0-9a-f]{8,}", ("sessionid",)),
@@ -82,12 +86,12 @@ def host_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def indexed(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """Each pattern rule with the one of its tokens that the fewest urls have; ties go to the first in order."""
-    wanted = rules.select("name", "pattern", F.explode("tokens").alias("token"))
+    """Each row of the pattern rules with the one of its tokens that the fewest urls have; ties go to the first in order."""
+    wanted = rules.select("name", "pattern", "tokens", F.explode("tokens").alias("token"))
     held = urls.select(F.explode("tokens").alias("token")).join(wanted.select("token").distinct(), "token")
     counts = held.groupBy("token").count()
     rarest = F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token"))
-    return wanted.join(counts, "token", "left").groupBy("name", "pattern").agg(rarest.alias("r")).select("name", "pattern", "r.token")
+    return wanted.join(counts, "token", "left").groupBy("name", "pattern", "tokens").agg(rarest.alias("r")).select("name", "pattern", "r.token")
 
 
 def pattern_matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -99,7 +103,7 @@ def pattern_matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def rule_frames(spark: SparkSession, hosts=HOST_RULES, patterns=PATTERN_RULES) -> tuple[DataFrame, DataFrame]:
     a = spark.createDataFrame([(r.rule, r.verdict) for r in hosts], "rule string, verdict string")
-    b = spark.createDataFrame([(r.name, r.pattern, list(r.tokens)) for r in patterns], "name string, pattern string, tokens array<string>")
+    b = spark.createDataFrame([(r.name, r.pattern, list(t)) for r in patterns for t in (r.tokens, *r.others)], "name string, pattern string, tokens array<string>")
     return a, b
 
 
