@@ -25,6 +25,11 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def twin_key(column: str = "text") -> Column:
+    """Tells rows with one id apart by their texts; (id_key, twin_key) names a document."""
+    return F.xxhash64(text_or_empty(column))
+
+
 def own_columns(docs: DataFrame) -> DataFrame:
     """The whole row as a struct `row`, so that an operator's own columns can't clash with it."""
     return docs.select(

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import id_key, own_columns
+from ledgerloom.llm.common import NULL_ID, id_key, own_columns, twin_key
 
 #: Lines of a run that is always found, and words of a line that counts by itself.
 WINDOW, LONG_WORDS = 1, 50
@@ -37,9 +37,13 @@ def _blank(line: Column) -> Column:
     return F.trim(F.translate(line, "\t\r\f\v", "    ")) == ""
 
 
+def _key() -> Column:
+    return F.struct(id_key().alias("id"), twin_key().alias("twin"))
+
+
 def hashed_lines(docs: DataFrame, long_words: int) -> DataFrame:
     """key, at, h, long: the lines that are not blank, by their place among all lines of the text."""
-    rows = docs.select(id_key().alias("key"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("at", "line"))
+    rows = docs.select(_key().alias("key"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("at", "line"))
     return rows.filter(~_blank(F.col("line"))).select("key", "at", _hash(F.col("line")).alias("h"), (_spaces(F.col("line")) >= long_words - 1).alias("long"))
 
 
@@ -83,14 +87,20 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG
 def dedup_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WORDS) -> DataFrame:
     """row (the whole input row), text (what is left), n_lines, n_removed of every row.
 
-    A null text is empty and stays null. A removed line goes with its newline. Rows that repeat a
-    doc_id count as one document: their equal lines at equal places are the same occurrence. Texts
-    may become empty; their rows stay.
+    A null text is empty and stays null. A removed line goes with its newline. Texts may become
+    empty; their rows stay. Rows with one doc_id, or with none, and unlike texts are documents of
+    their own, in the order of the texts' hashes. Rows that repeat both doc_id and text are one
+    document, but of those without a doc_id one is the first and the others are its copies.
     """
     rows = own_columns(docs)
     found = repeated_lines(rows, window, long_words)
-    rows = rows.withColumn("key", id_key()).join(found, "key", "left")
-    rows = rows.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    rows = rows.withColumn("key", _key()).join(found, "key", "left")
+    again = (F.col("key.id") == F.lit(NULL_ID)) & (F.row_number().over(Window.partitionBy("key").orderBy("key")) > 1)
+    rows = rows.withColumn("again", again).withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    every = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: ~_blank(F.get("lines", i)))
+    alone = F.filter(every, lambda i: _spaces(F.get("lines", i)) >= long_words - 1)
+    every = F.when(F.size(every) >= window, every).when(F.size(alone) > 0, alone)
+    rows = rows.withColumn("gone", F.when(F.col("again"), every).otherwise(F.col("gone")))
     rows = rows.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"))
     kept = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
     return rows.select(

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import NULL_ID, chunks, cut, id_key, joined, mix, span_hashes
+from ledgerloom.llm.common import NULL_ID, chunks, cut, id_key, joined, mix, span_hashes, twin_key
 
 THRESHOLD, GRAM, BLOCK = 100, 32, 10
 
@@ -77,32 +77,35 @@ def segments(texts: list[bytes], size: int = THRESHOLD, gram: int = GRAM) -> tup
     return owner[start], start - begins[owner[start]], end - start, low[start], span_hashes(buffer, start, end + size - 1)
 
 
-def settle(a: np.ndarray, b: np.ndarray, key: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Of rows with equal (a, b) all but those at the first (key, at)."""
-    order = np.lexsort((at, key, b, a))
-    x = [v[order] for v in (a, b, key, at)]
+def settle(a: np.ndarray, b: np.ndarray, key: np.ndarray, twin: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of rows with equal (a, b) all but those at the first (key, twin, at)."""
+    order = np.lexsort((at, twin, key, b, a))
+    x = [v[order] for v in (a, b, key, twin, at)]
     new = np.ones(len(order), dtype=bool)
     new[1:] = (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1])
     first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
     out = np.zeros(len(order), dtype=bool)
-    out[order] = (x[2] != x[2][first]) | (x[3] != x[3][first])
+    out[order] = (x[2] != x[2][first]) | (x[3] != x[3][first]) | (x[4] != x[4][first])
     return out
 
 
 #: spot: place in the text, number of positions (8 bits), whether the row is settled (1 bit).
-_ROWS = "a long, b long, key long, spot long"
+_ROWS = "a long, b long, key long, twin long, spot long"
+#: A document: its id and, for rows that have one id in common, the hash of its text.
+_KEY = ["key", "twin"]
 
 
 def _batch(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    a, b, key, at, length = (np.concatenate(x) for x in zip(*found, strict=True))
-    settled = settle(a, b, key, at)
+    a, b, ids, at, length = (np.concatenate(x) for x in zip(*found, strict=True))
+    key, twin = np.ascontiguousarray(ids[:, 0]), np.ascontiguousarray(ids[:, 1])
+    settled = settle(a, b, key, twin, at)
     a = np.where(settled, mix(key.astype(np.uint64) * np.uint64(31) + at.astype(np.uint64)), a)  # anywhere
     spot = at << 9 | length << 1 | settled
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (a.view(np.int64), b.view(np.int64), key, spot)], names=["a", "b", "key", "spot"])
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (a.view(np.int64), b.view(np.int64), key, twin, spot)], names=["a", "b", *_KEY, "spot"])
 
 
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in _KEY], 1)
 
 
 def segment_rows(slim: DataFrame, size: int, gram: int) -> DataFrame:
@@ -124,7 +127,7 @@ def _spread(at: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def block_rows(marked: DataFrame, size: int, gram: int) -> DataFrame:
-    """Ranks of what the strings of a block share and of its text, for the segments of marked (key, text, parts: array of at, len)."""
+    """Ranks of what the strings of a block share and of its text, for the segments of marked (key, twin, text, parts: array of at, len)."""
     shared = size - BLOCK + 1
     half = 1 << (min(shared, 64).bit_length() - 1)
 
@@ -159,7 +162,7 @@ def block_rows(marked: DataFrame, size: int, gram: int) -> DataFrame:
 
 
 def position_rows(marked: DataFrame, size: int) -> DataFrame:
-    """Rank pairs of the positions of marked (key, text, parts: array of at, len)."""
+    """Rank pairs of the positions of marked (key, twin, text, parts: array of at, len)."""
     half = 1 << (min(size, 64).bit_length() - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +177,7 @@ def position_rows(marked: DataFrame, size: int) -> DataFrame:
                     s = _spread(*(parts[first + k].values.field(c).to_numpy() for c in ("at", "len")))
                     s = np.unique(s[s + size <= len(text)])
                     p = s + begins[k]
-                    found.append((rank[p], rank[p + size - half], np.full(len(s), keys[first + k]), s, np.ones(len(s), dtype=np.int64)))
+                    found.append((rank[p], rank[p + size - half], np.repeat(keys[[first + k]], len(s), axis=0), s, np.ones(len(s), dtype=np.int64)))
             if found:
                 yield _batch(found)
 
@@ -182,24 +185,24 @@ def position_rows(marked: DataFrame, size: int) -> DataFrame:
 
 
 def _differs(other: str) -> Column:
-    return (F.col(f"{other}.key") != F.col("key")) | (F.shiftright(f"{other}.spot", 9) != F.shiftright("spot", 9))
+    return (F.col(f"{other}.key") != F.col("key")) | (F.col(f"{other}.twin") != F.col("twin")) | (F.shiftright(f"{other}.spot", 9) != F.shiftright("spot", 9))
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
     """With the row before: repeated where a row is settled or equal to an earlier one."""
-    order = Window.partitionBy("a").orderBy("b", "key", "spot")
-    rows = rows.withColumn("before", F.lag(F.struct("b", "key", "spot")).over(order))
+    order = Window.partitionBy("a").orderBy("b", *_KEY, "spot")
+    rows = rows.withColumn("before", F.lag(F.struct("b", *_KEY, "spot")).over(order))
     same = (F.col("before.b") == F.col("b")) & _differs("before")
     return rows.withColumn("repeated", (F.col("spot") % 2 == 1) | F.coalesce(same, F.lit(False)))
 
 
 def told_apart(rows: DataFrame) -> DataFrame:
-    """key, spot, repeated: rows with an equal (a, b) before them, and (false) the first rows of each b of an a that has several."""
-    order = Window.partitionBy("a").orderBy("b", "key", "spot")
+    """key, twin, spot, repeated: rows with an equal (a, b) before them, and (false) the first rows of each b of an a that has several."""
+    order = Window.partitionBy("a").orderBy("b", *_KEY, "spot")
     rows = _sorted(rows)
-    rows = rows.withColumn("head", F.first(F.struct("b", "key", "spot")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    own = F.struct("key", "spot", "repeated")
-    first = F.struct(F.col("head.key").alias("key"), F.col("head.spot").alias("spot"), F.lit(False).alias("repeated"))
+    rows = rows.withColumn("head", F.first(F.struct("b", *_KEY, "spot")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    own = F.struct(*_KEY, "spot", "repeated")
+    first = F.struct(*(F.col(f"head.{c}").alias(c) for c in _KEY), F.col("head.spot").alias("spot"), F.lit(False).alias("repeated"))
     other = F.col("before.b") != F.col("b")
     out = (
         F.when(F.col("repeated"), F.array(own))
@@ -210,29 +213,29 @@ def told_apart(rows: DataFrame) -> DataFrame:
 
 
 def _by_document(rows: DataFrame) -> DataFrame:
-    """key, parts (array of at, len, repeated)."""
+    """key, twin, parts (array of at, len, repeated)."""
     part = F.expr("named_struct('at', shiftright(spot, 9), 'len', shiftright(spot, 1) & 255, 'repeated', repeated)")
-    return rows.groupBy("key").agg(F.collect_list(part).alias("parts"))
+    return rows.groupBy(*_KEY).agg(F.collect_list(part).alias("parts"))
 
 
 def _those(found: DataFrame, repeated: bool) -> DataFrame:
-    return found.select("key", F.filter("parts", lambda p: p["repeated"] == repeated).alias("parts")).filter(F.size("parts") > 0)
+    return found.select(*_KEY, F.filter("parts", lambda p: p["repeated"] == repeated).alias("parts")).filter(F.size("parts") > 0)
 
 
 def repeats(docs: DataFrame, size: int = THRESHOLD, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """slim (key, text as bytes) of every row, and marks (key, parts: array of at, len): repeated strings start at at .. at + len - 1.
+    """slim (key, twin, text as bytes) of every row, and marks (key, twin, parts: array of at, len): repeated strings start at at .. at + len - 1.
 
     The texts are shuffled by id once; the three joins with them reuse that. gram is a power of two
     below size, and two ranks of up to 64 bytes cover size.
     """
     if not BLOCK < size <= 128 or gram >= size or gram & (gram - 1):
         raise ValueError("size must be 11 to 128 and gram a smaller power of two")
-    slim = docs.select(id_key().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    slim = docs.select(id_key().alias("key"), twin_key().alias("twin"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     found = cut(_by_document(told_apart(segment_rows(slim, size, gram))))
-    blocks = _by_document(told_apart(block_rows(slim.join(_those(found, False), "key"), size, gram)))
-    single = _by_document(_sorted(position_rows(slim.join(_those(blocks, False), "key"), size)).filter("repeated").select("key", "spot", "repeated"))
+    blocks = _by_document(told_apart(block_rows(slim.join(_those(found, False), _KEY), size, gram)))
+    single = _by_document(_sorted(position_rows(slim.join(_those(blocks, False), _KEY), size)).filter("repeated").select(*_KEY, "spot", "repeated"))
     marks = _those(found, True).unionByName(_those(blocks, True)).unionByName(single)
-    return slim, marks.groupBy("key").agg(F.flatten(F.collect_list("parts")).alias("parts"))
+    return slim, marks.groupBy(*_KEY).agg(F.flatten(F.collect_list("parts")).alias("parts"))
 
 
 def runs_of(at: np.ndarray, length: np.ndarray, size: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -251,17 +254,23 @@ def runs_of(at: np.ndarray, length: np.ndarray, size: int, n: int) -> tuple[np.n
 def dedup_bytes(docs: DataFrame, size: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (array of start, end), kept (bytes) of every row.
 
-    A null text is empty; a null doc_id comes before all others. Rows that repeat a doc_id count
-    as one document: equal places are the same occurrence, and what goes in one goes in all.
+    A null text is empty; a null doc_id comes before all others. Rows with one doc_id, or with none,
+    and unlike texts are documents of their own, in the order of the texts' hashes. Rows that repeat
+    both doc_id and text are one document, but of those without a doc_id one is the first and the
+    others are its copies.
     """
     slim, marks = repeats(docs, size, gram)
-    joined_ = slim.join(marks, "key", "left")
+    again = (F.col("key") == F.lit(NULL_ID)) & (F.row_number().over(Window.partitionBy(*_KEY).orderBy(*_KEY)) > 1)
+    joined_ = slim.join(marks, _KEY, "left").withColumn("again", again)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            parts = batch.column("parts")
+            parts, copies = batch.column("parts"), batch.column("again").to_pylist()
             for k, text in enumerate(batch.column("text").to_pylist()):
+                if copies[k] and len(text) >= size:
+                    out.append((len(text), len(text), [[0, len(text)]], b""))
+                    continue
                 own = parts[k].values
                 if own is None:
                     out.append((len(text), 0, [], text))
