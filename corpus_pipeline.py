@@ -2,8 +2,8 @@
 
 documents -> without those that the quality classifier rejects -> without repeated lines -> one
 document of each group of near copies -> without documents that hold benchmark items -> tokens.
-Every stage works on all rows that the one before kept and returns the columns of documents; the
-last returns what encoding gives.
+Every stage works on all rows that the one before kept, written as Parquet and read again, and
+returns the columns of documents; the last returns what encoding gives.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, decontam, jaccard, lines, quality
-from ledgerloom.llm.common import cut, table
+from ledgerloom.llm.common import stored, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,5 +62,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        docs = stored(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -51,6 +51,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write df as Parquet below spark.checkpoint.dir and read it back."""
+    spark = df.sparkSession
+    folder = f"{spark.conf.get('spark.checkpoint.dir', '/tmp/checkpoints')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 # ---------------------------------------------------------------- bytes inside a task
 
 #: How many bytes of text are looked at together; it bounds a task's arrays.
