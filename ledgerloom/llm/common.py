@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,24 +43,67 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; a folder of this machine serves only where it is unset and Spark runs in one process, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not spark.sparkContext.master.startswith(("local[", "local,")) and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder or f"{tempfile.gettempdir()}/checkpoints/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def plain_unions(spark: SparkSession) -> Iterator[None]:
+    """Inside, a union isn't taken for partitioned alike: Spark 4.1 may do so after its parts were coalesced apart, and joins of it then fail."""
+    name = "spark.sql.unionOutputPartitioning"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to spark.checkpoint.dir and read it back, so that later jobs start from the files."""
-    # Spark 4.1 may take a union's parts for partitioned alike after they have been coalesced apart; joins of it then fail
-    df.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", f"/tmp/checkpoints/{uuid.uuid4().hex}"))
-    return df.checkpoint(eager=True)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
+    with plain_unions(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Write df as Parquet below spark.checkpoint.dir and read it back."""
     spark = df.sparkSession
-    folder = f"{spark.conf.get('spark.checkpoint.dir', '/tmp/checkpoints')}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    folder = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    with plain_unions(spark):
+        df.write.parquet(folder)
     return spark.read.parquet(folder)
 
 
+#: A key is hot when it has more than one in HOT of all rows; so there are fewer than HOT such keys, whatever the input.
+HOT = 500
+
+
+def salted_join(rows: DataFrame, small: DataFrame, on: list[str], by: list[str], how: str = "inner") -> DataFrame:
+    """rows joined with small, which has one row per key and n, the number of rows with that key; n isn't returned.
+
+    Rows of a hot key are dealt over several partitions, in proportion to n, by a hash of their
+    columns `by`, and the one row of small is repeated for each. What is broadcast are hot keys only, fewer than HOT. small should
+    be a table (see cut), as it is read three times. how: inner or left.
+    """
+    total = small.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    salts = F.when(F.col("n") > total // HOT + 1, F.ceil(F.col("n") * parts(rows.sparkSession) / max(total, 1))).otherwise(1).cast("int")
+    small = small.withColumn("salts_", salts).drop("n")
+    hot = small.filter("salts_ > 1").select(*on, "salts_")
+    if hot.isEmpty():
+        return rows.join(small.drop("salts_"), on, how)
+    rows = rows.join(F.broadcast(hot), on, "left")
+    rows = rows.withColumn("salt_", F.pmod(F.xxhash64(*by), F.coalesce("salts_", F.lit(1))).cast("int")).drop("salts_")
+    small = small.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.col("salts_") - 1))).drop("salts_")
+    return rows.join(small, [*on, "salt_"], how).drop("salt_")
+
+
 # ---------------------------------------------------------------- bytes inside a task
 
 #: How many bytes of text are looked at together; it bounds a task's arrays.

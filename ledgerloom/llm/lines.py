@@ -3,14 +3,17 @@
 A document is the sequence of its lines; lines of white space alone are left out of it and stay in
 the text. A run is repeated when it also occurs earlier (smaller doc_id, or earlier in the same
 document), judged on the input. A line goes when a repeated run of `window` lines covers it, or
-when it has `long_words` words or more and is repeated by itself. With a window of one, as the
-queries have it, every line that occurs earlier goes, however short, and no fingerprints are needed.
+when it has `long_words` words or more and is repeated by itself. The queries take a window of
+WINDOW lines and lines of LONG_WORDS words, so that what stays of repeated lines is shorter than
+that and has other neighbours; a window of one removes every line that occurs earlier.
 
 Winnowing: of every `window` lines in a row the one with the smallest hash is a fingerprint, and
 long lines always are, so every run to be found holds a fingerprint that its earlier copy holds as
-well. Fingerprints that occur once go first; nearly all do. Around each of the rest the runs that
-hold it are matched with their first occurrence, not with one another, so rows grow with the input
-however often a line occurs; runs that overlap or touch extend a match both ways.
+well. Fingerprints that occur once go; the places of the others are matched. A match is extended
+from the fingerprint both ways: every run of `window` lines that reaches left or right of it is
+looked up by its hash, and from run to run, as those overlap, a match goes on to the ends of what is
+repeated. Runs meet their first occurrence only, not one another, so rows grow with the input
+however often a line occurs, and the rows of a run that is very common are dealt over many tasks.
 """
 
 from __future__ import annotations
@@ -18,10 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import NULL_ID, id_key, own_columns, twin_key
+from ledgerloom.llm.common import NULL_ID, cut, id_key, own_columns, salted_join, twin_key
 
-#: Lines of a run that is always found, and words of a line that counts by itself.
-WINDOW, LONG_WORDS = 1, 50
+#: Lines of a run that is always found, and words of a line that counts by itself, as the queries and the pipeline have them.
+WINDOW, LONG_WORDS = 2, 5
 
 
 def _hash(*x: Column) -> Column:
@@ -66,25 +69,28 @@ def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
     return rows.filter(F.col("long") | (F.col("low") == F.col("h.a"))).select("key", F.col("h").alias("fp"), F.when(F.col("long"), F.concat("runs", F.array(own))).otherwise(F.col("runs")).alias("runs"))
 
 
-def repeated_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WORDS) -> DataFrame:
+def _later(rows: DataFrame, run: list[str]) -> DataFrame:
+    """key, places of the rows (key, start, places and the columns run) whose run occurs earlier."""
+    spot = F.struct("key", "start")
+    firsts = rows.groupBy(*run).agg(F.min(spot).alias("first"), F.max(spot).alias("last"), F.count("*").alias("n"))
+    firsts = cut(firsts.filter("first < last").select(*run, "first", "n"))
+    return salted_join(rows, firsts, run, ["key", "start"]).filter(spot > F.col("first")).select("key", "places")
+
+
+def repeated_lines(docs: DataFrame, window: int = 1, long_words: int = LONG_WORDS) -> DataFrame:
     """key, gone: per document the places of the lines that go. Documents without any are left out."""
     if window == 1:
-        rows = hashed_lines(docs, long_words).select("key", "at", "h")
-        firsts = rows.groupBy("h").agg(F.min(F.struct("key", "at")).alias("first"), F.max(F.struct("key", "at")).alias("last"))
-        firsts = firsts.filter("first < last").select("h", "first")
-        later = rows.join(firsts, "h").filter(F.struct("key", "at") > F.col("first"))
-        return later.groupBy("key").agg(F.collect_set("at").alias("gone"))
-    marks = fingerprints(docs, window, long_words)
-    often = marks.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
-    runs = marks.join(often, "fp").select("key", F.explode("runs").alias("r")).select("key", "r.*")
-    length = F.size("places").alias("length")
-    firsts = runs.groupBy("run", length).agg(F.min(F.struct("key", "start")).alias("first"), F.max(F.struct("key", "start")).alias("last"))
-    firsts = firsts.filter("first < last").select("run", "length", "first")
-    later = runs.withColumn("length", length).join(firsts, ["run", "length"]).filter(F.struct("key", "start") > F.col("first"))
+        rows = hashed_lines(docs, long_words).select("key", F.col("at").alias("start"), F.array("at").alias("places"), F.col("h").alias("run"))
+        later = _later(rows, ["run"])
+    else:
+        marks = fingerprints(docs, window, long_words)
+        often = cut(marks.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1"))
+        runs = salted_join(marks, often, ["fp"], ["key", "runs"]).select("key", F.explode("runs").alias("r")).select("key", "r.*")
+        later = _later(runs.withColumn("length", F.size("places")), ["run", "length"])
     return later.select("key", F.explode("places").alias("i")).groupBy("key").agg(F.collect_set("i").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = 1, long_words: int = LONG_WORDS) -> DataFrame:
     """row (the whole input row), text (what is left), n_lines, n_removed of every row.
 
     A null text is empty and stays null. A removed line goes with its newline. Texts may become
@@ -99,8 +105,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WO
     rows = rows.withColumn("again", again).withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
     every = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: ~_blank(F.get("lines", i)))
     alone = F.filter(every, lambda i: _spaces(F.get("lines", i)) >= long_words - 1)
-    every = F.when(F.size(every) >= window, every).when(F.size(alone) > 0, alone)
-    rows = rows.withColumn("gone", F.when(F.col("again"), every).otherwise(F.col("gone")))
+    rows = rows.withColumn("gone", F.when(F.col("again"), F.when(F.size(every) >= window, every).when(F.size(alone) > 0, alone)).otherwise(F.col("gone")))
     rows = rows.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"))
     kept = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
     return rows.select(

@@ -53,9 +53,11 @@ def features(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarr
 
 def scores(texts: list[bytes], weights: np.ndarray, bias: float) -> np.ndarray:
     number, counts = features(texts)
-    ends = np.cumsum(counts)
-    total = np.concatenate(([0.0], np.cumsum(weights[number])))
-    raw = (total[ends] - total[ends - counts]) / np.maximum(counts, 1) * SCALE + bias
+    raw = np.full(len(texts), bias)
+    full = np.flatnonzero(counts)
+    if len(full):  # each text is summed by itself, so that a score depends on nothing else
+        begins = (np.cumsum(counts) - counts)[full]
+        raw[full] += np.add.reduceat(weights[number], begins) / counts[full] * SCALE
     return 1.0 / (1.0 + np.exp(-np.clip(raw, -35, 35)))
 
 
@@ -136,7 +138,10 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, max_trained: int = MAX_TRAINED) -> DataFrame:
     """row (the whole input row), quality_score, held_out of every row of docs, repeated rows too.
 
-    Labels, language, source and id are no features: a score depends on the text alone.
+    Labels, language, source and id are no features: a score depends on the text alone, and equal
+    texts have equal scores. Null and empty texts have the score that the bias alone gives. Rows
+    without a doc_id are scored and never learnt from; of rows that share a labelled doc_id all are
+    learnt from with its label. An empty table gives none.
     """
     weights, bias = train(docs.select("doc_id", "text"), labels, max_trained)
     found = score(docs, weights, bias)

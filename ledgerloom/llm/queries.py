@@ -11,7 +11,7 @@ from ledgerloom.llm.common import table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"), lines.WINDOW, lines.LONG_WORDS)
     return found.select("row.doc_id", "text", "n_lines", "n_removed")
 
 
@@ -75,7 +75,6 @@ ORACLE: dict[str, str] = {
     "op1_line_dedup": lines.ORACLE,
     "op4_url_filter": urls.oracle(),
     "op5_chat_format": chat.ORACLE,
-    "op9_jaccard_join": op9_jaccard_join,
     "op9_jaccard_join": jaccard.ORACLE,
     "op10_fingerprints": merkle.ORACLE,
 }

@@ -6,7 +6,8 @@ tokens that every match must contain. Each pattern rule is indexed by the one of
 is rarest among the urls; a url's tokens fetch candidate rules by an equi-join, and only those run
 their expression. Both judge distinct urls, so repeated rows cost nothing, and are joined back.
 
-Rules are small DataFrames; whether they are broadcast is left to Spark, which knows their size.
+Rules are DataFrames; whether they are broadcast is left to Spark, which knows their size. A token
+that is common among the urls is joined only with the rules that have no rarer one.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import cut, salted_join
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -30,6 +33,7 @@ class PatternRule:
     """tokens: literals ([a-z0-9]+, whole tokens of the lower-cased url) in every url that the pattern matches.
 
     others: where the pattern's alternatives have no token in common, the tokens of each of the rest.
+    Patterns mean the same to Java and RE2: `\\z` is the end, as `$` may also stand before a newline.
     """
 
     name: str
@@ -38,6 +42,29 @@ class PatternRule:
     others: tuple[tuple[str, ...], ...] = ()
 
 
+#: What may follow a path's last word, and a parameter.
+PATH_END, PARAMETER_END = r"(?:/|\?|#|\z)", r"(?:&|#|\z)"
+
+
+def path_rule(word: str) -> PatternRule:
+    """A word that is one step of the path; several words joined by - are one step too."""
+    return PatternRule(f"path_{word}", f"/{word}{PATH_END}", tuple(word.split("-")))
+
+
+def file_rule(ending: str) -> PatternRule:
+    return PatternRule(f"file_{ending}", rf"\.{ending}(?:\?|#|\z)", (ending,))
+
+
+def parameter_rule(name: str, value: str = "", tokens: tuple[str, ...] = ()) -> PatternRule:
+    """A parameter; value is a pattern, and tokens are those that every such value has."""
+    return PatternRule(f"parameter_{name}", f"[?&]{name}={value}", (*name.split("_"), *tokens))
+
+
+def host_word_rule(word: str) -> PatternRule:
+    """A host whose first label is the word."""
+    return PatternRule(f"host_{word}", rf"://{word}\.", (word,))
+
+
 HOST_RULES = (
     HostRule("net/", "block"),
     HostRule("example.net/en/", "allow"),
@@ -45,15 +72,30 @@ HOST_RULES = (
     HostRule("org/fr/", "allow"),
 )
 
+#: Accounts, shops, forms, listings, machine pages, files that hold no text, trackers.
+PATHS = (
+    "signup register logout account password-reset my-account cart basket checkout wishlist order-status payment donate subscribe unsubscribe newsletter "
+    "contact contact-us feedback report-abuse share print email-friend search results tag tags category categories archive archives author authors feed rss atom sitemap "
+    "wp-admin wp-login wp-json wp-content xmlrpc cgi-bin api graphql oauth callback redirect goto out ads adserver banner affiliate sponsored "
+    "privacy privacy-policy terms terms-of-service cookies cookie-policy legal imprint disclaimer gallery slideshow calendar events-calendar polls quiz casino poker betting"
+).split()
+FILES = "rar gz tgz bz2 7z iso dmg exe msi apk jar deb rpm jpg jpeg png gif webp svg ico bmp tiff mp3 wav ogg flac mp4 avi mov mkv webm css js json xml woff woff2 ttf eot csv xls xlsx ppt pptx".split()
+PARAMETERS = "utm_medium utm_campaign utm_term utm_content gclid fbclid msclkid replytocom share_id print_view sort_by order_by session_token captcha".split()
+HOST_WORDS = "ads adserver login accounts api cdn static img mail webmail".split()
+
 PATTERN_RULES = (
-    PatternRule("tracking", r"[?&]utm_source=feed(&|#|$)", ("utm", "source", "feed")),
+    PatternRule("tracking", rf"[?&]utm_source=feed{PARAMETER_END}", ("utm", "source", "feed")),
     PatternRule("listing", r"[?&]page=[0-9]+&ref=", ("page", "ref")),
     PatternRule("blog_page", r"://blog\.[^/?#]*/[a-z]+/[0-9]+\.html", ("blog",)),
     PatternRule("mobile", r"://m\.[^/?#]*/[^?]*\?page=[0-9]", ("m", "page")),
-    PatternRule("login", r"/(login|signin)(/|\?|#|$)", ("login",), (("signin",),)),
-    PatternRule("signin", r"/signin(/|\?|#|$)", ("signin",)),
-    PatternRule("archive_file", r"\.(zip)(\?|#|$)", ("zip",)),
+    PatternRule("login", rf"/(?:login|signin){PATH_END}", ("login",), (("signin",),)),
+    PatternRule("signin", rf"/signin{PATH_END}", ("signin",)),
+    PatternRule("archive_file", r"\.zip(?:\?|#|\z)", ("zip",)),
     PatternRule("session", r"[?&]sessionid=[0-9a-f]{8,}", ("sessionid",)),
+    *map(path_rule, PATHS),
+    *map(file_rule, FILES),
+    *map(parameter_rule, PARAMETERS),
+    *map(host_word_rule, HOST_WORDS),
 )
 
 
@@ -113,13 +155,13 @@ def filter_urls(pages: DataFrame, host_rules: DataFrame, pattern_rules: DataFram
     verdict: the host rule's; else block where a pattern matches, else allow. A null url, or one
     without `://`, has an empty host and path and is allowed unless a pattern matches it.
     """
-    urls = pages.select(F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url")).distinct()
+    rows = pages.select("page_id", F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"))
+    urls = rows.groupBy("url").agg(F.count("*").alias("n"))
     host, path = url_parts(F.col("url"))
-    urls = urls.select("url", host.alias("host"), path.alias("path"), url_tokens(F.col("url")).alias("tokens"))
+    urls = cut(urls.select("url", "n", host.alias("host"), path.alias("path"), url_tokens(F.col("url")).alias("tokens")))
     judged = urls.drop("tokens").join(host_verdicts(urls, host_rules), "url", "left").join(pattern_matches(urls, pattern_rules), "url", "left")
     judged = judged.withColumn("verdict", F.coalesce("verdict", F.when(F.col("pattern_rule").isNotNull(), "block").otherwise("allow")))
-    rows = pages.select("page_id", F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"))
-    return rows.join(judged, "url").select("page_id", "host", "path", "rule", "verdict", "pattern_rule")
+    return salted_join(rows, cut(judged), ["url"], ["page_id"]).select("page_id", "host", "path", "rule", "verdict", "pattern_rule")
 
 
 def oracle(hosts=HOST_RULES, patterns=PATTERN_RULES) -> str:
