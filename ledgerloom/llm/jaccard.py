@@ -1,25 +1,29 @@
 """N-gram Jaccard join (operator 9).
 
 A document's set holds its distinct runs of five words. Two sets are joined when their Jaccard
-similarity is 0.8 or more, that is when their Jaccard distance, a metric, is 0.2 or less. Shingle
-sets of unrelated documents are all at distance 1 from one another, and there pivots tell nothing
-apart, so the join has two levels, both exact:
+similarity is 0.8 or more, that is when their Jaccard distance, a metric, is 0.2 or less. Equal sets
+are one node, named by 64 bits of a hash of their elements' 64-bit hashes; so exact means here that
+no two of those hashes collide. Shingle sets of unrelated documents are all at distance 1 from one
+another, and there pivots tell nothing apart, so the join has two levels, both exact:
 
 1. Regions. Of a set of n shingles at most s = n // 5 are missing from a set that it is joined
    with. So with the s + k smallest hashes of each set, a joined pair shares at least the lesser
    of its two k, here a tenth of n. Sets with fewer hashes that any other set holds are dropped, twice over,
    and each remaining set is indexed by its rarest sampled hashes, all but the k - 1 most common
-   (two joined sets still share one). Documents that share an indexed hash are of one region. A
-   region that passages in common have made large is parted again by the rarest elements of its whole sets.
-2. Pivots. Inside a region distances do vary. A pivot is chosen, each set's distance to it is
-   known, sets within 0.2 are linked with it, and the triangle inequality says which others a set
-   can be near: those whose distance to the pivot differs by 0.2 at most. A region too large for
-   one task is cut into Voronoi cells around several pivots, and a set is copied into each cell
-   whose pivot is at most 0.4 farther than its nearest, which keeps every joined pair
-   together in a cell; cells are cut again until they fit or no cut helps.
-
-Equal sets meet as one: only the smallest doc_id of each goes through the join. Links are kept as
-stars, not as all pairs, since the result is the components.
+   (two joined sets still share one). Sets that share an indexed hash are of one region. A region
+   beyond the bound of a cell is first parted by the rarest elements of its whole sets, since
+   passages in common may have made it large.
+2. Pivots and Voronoi cells. A region beyond the bound is cut: of each set the distance to several
+   pivots is known, and it goes to the cell of its nearest pivot. The triangle inequality gives the
+   windows in which boundary sets are copied to further cells: those whose pivot is at most 0.4
+   farther than the nearest. Sets that share nothing with any pivot are a cell of their own, with
+   copies of those at 0.8 or more. Sets within 0.2 of a cell's pivot are linked with it, and those of
+   them that no unlinked set of the cell can be near (its distance to the pivot would be within 0.2
+   of theirs) are settled and leave. Cells are cut again until they are within the bound.
+   What no cut makes smaller is dealt out as pairs of blocks.
+   Inside a cell one task goes on in the same way, pivot by pivot, with windows around each.
+
+Links are kept as stars, not as all pairs, since the result is the components.
 """
 
 from __future__ import annotations
@@ -33,13 +37,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import NULL_ID, chunks, cut, gram_hashes, id_key, joined, mix, runs, span_hashes
+from ledgerloom.llm.common import chunks, cut, gram_hashes, id_key, joined, mix, runs, salted_join, span_hashes, stored, text_or_empty, twin_key
 
 N, PERCENT = 5, 80
-#: Regions of more sets are parted again by their whole sets before they are cut.
-REFINE = 12_000
-#: Sets of a region that one task joins, pivots of a cut, and how often cells are cut again.
-CELL, PIVOTS, CUTS = 12_000, 8, 3
+#: Bound of a cell: sets, and elements of all its sets (8 bytes each). Regions of more than REFINE sets are parted by whole sets before they are cut.
+CELL, ELEMENTS, REFINE = 500, 2_000_000, 500
+#: Most pivots of a cut, and how often cells are cut again.
+PIVOTS, CUTS = 16, 4
+#: Distance within which sets are joined.
+RADIUS = (100 - PERCENT) / 100
 #: log2 of the bits of the filter that picks documents of regions.
 BITS = 24
 
@@ -63,8 +69,9 @@ def shingle_sets(texts: list[bytes], n: int = N) -> list[np.ndarray]:
     return out
 
 
-def digest(hashes: np.ndarray) -> bytes:
-    return hashlib.md5(hashes.tobytes()).digest()
+def name(hashes: np.ndarray) -> int:
+    """The 64-bit name of a set, from its sorted elements."""
+    return int.from_bytes(hashlib.md5(hashes.tobytes()).digest()[:8], "little", signed=True)
 
 
 def slack(n: int) -> int:
@@ -192,7 +199,7 @@ def components(sets: list[np.ndarray]) -> np.ndarray:
             could = could[np.abs(d[could] - d[i]) <= 200_001]
         if not len(could):
             continue
-        if len(known) < PIVOTS:
+        if len(known) < 8:
             common = x.common(i)
             known.append(1e6 * (1 - common / (x.size + x.size[i] - common)))
             common = common[could]
@@ -209,40 +216,45 @@ def components(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sampled(docs: DataFrame) -> DataFrame:
-    """key, n, digest (of the set), pre: the s + k smallest hashes, of every row of docs (doc_id, text)."""
-    slim = docs.select(id_key().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    """doc_id, key, twin, n, node, pre: the s + k smallest hashes, of every row of docs (doc_id, text); node is null for an empty set."""
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_key().alias("key"), twin_key().alias("twin"), text_or_empty().cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column("key")
             for first, texts in chunks(batch.column("text").to_pylist()):
                 sets = shingle_sets(texts)
                 pre = [s[: slack(len(s)) + shared(len(s))].view(np.int64) for s in sets]
                 columns = [
-                    keys.slice(first, len(sets)),
+                    *(batch.column(c).slice(first, len(sets)) for c in ("doc_id", "key", "twin")),
                     pa.array([len(s) for s in sets], type=pa.int64()),
-                    pa.array([digest(s) for s in sets], type=pa.binary()),
+                    pa.array([name(s) if len(s) else None for s in sets], type=pa.int64()),
                     pa.array(pre, type=pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "digest", "pre"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "twin", "n", "node", "pre"])
 
-    return slim.mapInArrow(run, "key long, n long, digest binary, pre array<long>")
+    return slim.mapInArrow(run, "doc_id long, key long, twin long, n long, node long, pre array<long>")
 
 
 def min_labels(edges: DataFrame) -> DataFrame:
     """a, label: for every node of edges (a, b) the smallest node that it reaches.
 
     Each round gives a node the smallest label of itself and its neighbours, then that label's own
-    label, so long chains shrink by half; rounds end when nothing changes.
+    label, so long chains shrink by half; rounds end when nothing changes. Rows with one label are
+    dealt over several tasks: the few labels' own rows are repeated for each.
     """
     pair = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
     both = edges.select(F.explode(F.array(pair("a", "b"), pair("b", "a"), pair("a", "a"), pair("b", "b"))).alias("e"))
     both = cut(both.select("e.a", "e.b").distinct())
     labels = cut(both.groupBy("a").agg(F.min("b").alias("label")))
+    salts = 16
+    salt = F.pmod(F.xxhash64("a"), F.lit(salts)).alias("salt")
     while True:
-        near_ = both.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label"))
-        hop = near_.select(F.col("a").alias("label"), F.col("label").alias("next"))
-        new = cut(near_.join(hop, "label", "left").select("a", F.least("label", F.coalesce("next", "label")).alias("label")))
+        near_ = cut(both.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label")))
+        used = near_.select("label").distinct()
+        hop = near_.select(F.col("a").alias("label"), F.col("label").alias("next")).join(used, "label")
+        hop = hop.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        new = near_.select("a", "label", salt).join(hop, ["label", "salt"], "left")
+        new = cut(new.select("a", F.least("label", F.coalesce("next", "label")).alias("label")))
         changed = new.join(labels.withColumnRenamed("label", "old"), "a").filter("label <> old").limit(1).count()
         labels = new
         if not changed:
@@ -260,10 +272,10 @@ def candidate_edges(rows: DataFrame) -> DataFrame:
     for _ in range(2):
         by = Window.partitionBy("h").orderBy("key")
         held = held.withColumn("other", F.coalesce(F.lag("key").over(by), F.lead("key").over(by)))
-        held = cut(held.filter("other is not null").select("key", "h"))
+        held = stored(held.filter("other is not null").select("key", "h"))
         enough = held.groupBy("key").agg(F.count("*").alias("m")).join(sizes, "key").filter(F.col("m") >= least()).select("key")
         held = held.join(enough, "key").select("key", "h")
-    held = cut(held.join(sizes, "key").select("key", "n", "h"))
+    held = stored(held.join(sizes, "key").select("key", "n", "h"))
     df = held.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
     # of a set's sampled hashes all but the k - 1 most common; those that no other set holds are the rarest
     order = Window.partitionBy("key").orderBy(F.desc("df"), F.desc("h"))
@@ -292,38 +304,39 @@ def bitmap(keys: DataFrame) -> np.ndarray:
 
 
 def full_sets(docs: DataFrame, regions: DataFrame) -> DataFrame:
-    """region, key, hashes: the whole sets of the documents in regions (key, region, digest).
+    """region, key, hashes: the whole set of every node in regions (key: the node, region, doc: a document that holds it).
 
     Tasks make the sets of documents that the bitmap lets through, so sets are shuffled, not texts.
     """
-    slim = docs.select(id_key().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    shared_bits = docs.sparkSession.sparkContext.broadcast(bitmap(regions.select("key")))
+    doc = F.xxhash64(id_key(), twin_key()).alias("key")
+    slim = docs.select(doc, text_or_empty().cast("binary").alias("text"))
+    shared_bits = docs.sparkSession.sparkContext.broadcast(bitmap(regions.select(F.col("doc").alias("key"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared_bits.value
+        bits, seen = shared_bits.value, set()
         for batch in batches:
             bit = _bit(batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64))
             batch = batch.filter(pa.array((bits[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1))
-            keys = batch.column("key")
-            for first, texts in chunks(batch.column("text").to_pylist()):
-                sets = [s.view(np.int64) for s in shingle_sets(texts)]
-                columns = [keys.slice(first, len(sets)), pa.array([digest(s) for s in sets], type=pa.binary()), pa.array(sets, type=pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "hashes"])
+            for _, texts in chunks(batch.column("text").to_pylist()):
+                sets = {name(s): s.view(np.int64) for s in shingle_sets(texts) if len(s)}
+                new = [k for k in sets if k not in seen]  # copies in one task are sent once
+                seen.update(new)
+                yield pa.RecordBatch.from_arrays([pa.array(new, type=pa.int64()), pa.array([sets[k] for k in new], type=pa.list_(pa.int64()))], names=["key", "hashes"])
 
-    sets = slim.mapInArrow(run, "key long, digest binary, hashes array<long>")
-    return sets.join(regions, ["key", "digest"]).groupBy("region", "key").agg(F.first("hashes").alias("hashes"))
+    sets = slim.mapInArrow(run, "key long, hashes array<long>")
+    return sets.join(regions.select("key", "region"), "key").groupBy("region", "key").agg(F.first("hashes").alias("hashes"))
 
 
 def finer(docs: DataFrame, large: DataFrame) -> DataFrame:
-    """key, region, digest: large regions (key, region, digest) cut by the whole sets of their documents.
+    """key, region, n, doc: large regions (key, region, n, doc) cut by the whole sets of their nodes.
 
     Joined sets share one of the s + 1 elements of each that the fewest sets of the region hold, so
-    documents that share none of those are parted, and those that share none with any have no link.
+    sets that share none of those are parted, and those that share none with any have no link.
     """
     held = full_sets(docs, large).select("region", "key", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
     df = Window.partitionBy("region", "h").orderBy("key")
     held = held.withColumn("other", F.coalesce(F.lag("key").over(df), F.lead("key").over(df))).filter("other is not null")
-    held = cut(held.select("region", "key", "n", "h"))
+    held = stored(held.select("region", "key", "n", "h"))
     counts = held.groupBy("region", "h").agg(F.count("*").alias("df"))
     order = Window.partitionBy("region", "key").orderBy("df", "h")
     place = F.row_number().over(order)
@@ -334,43 +347,82 @@ def finer(docs: DataFrame, large: DataFrame) -> DataFrame:
     hubs = kept.groupBy("region", "h").agg(F.min("key").alias("hub"), F.count("*").alias("m")).filter("m > 1").select("region", "h", "hub")
     edges = kept.join(hubs, ["region", "h"]).filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
     labels = min_labels(edges).select(F.col("a").alias("key"), F.col("label").cast("string").alias("region"))
-    return labels.join(large.select("key", "digest"), "key")
+    return labels.join(large.drop("region"), "key")
+
+
+def sizes(sets: DataFrame) -> DataFrame:
+    """region, n (sets), elements."""
+    return sets.groupBy("region").agg(F.count("*").alias("n"), F.sum(F.size("hashes").cast("long")).alias("elements"))
+
 
+def too_large(cell: int, elements: int) -> Column:
+    return (F.col("n") > cell) | ((F.col("elements") > elements) & (F.col("n") > 1))
 
-def voronoi(sets: DataFrame, large: DataFrame, level: int) -> DataFrame:
-    """The large regions' sets in cells: region, key, hashes; sets near a border are in several cells."""
-    pivots = sets.join(large, "region").select("region", "key", F.xxhash64("key", F.lit(level)).alias("o"))
-    first = Window.partitionBy("region").orderBy("o", "key")
-    pivots = pivots.withColumn("p", F.row_number().over(first)).filter(F.col("p") <= PIVOTS).select("region", "key", "p")
-    own = sets.join(pivots, ["region", "key"]).groupBy("region").agg(F.collect_list(F.struct("p", "hashes")).alias("pivots"))
-    rows = sets.join(own, "region")  # PIVOTS sets a row
+
+def pivot_sets(sets: DataFrame, large: DataFrame, cell: int, elements: int, level: int) -> DataFrame:
+    """region, n, pivots (array of p, key, hashes): of each large region one set of each of up to PIVOTS parts, picked by hash."""
+    wanted = F.least(F.lit(PIVOTS), F.greatest(F.lit(2), F.ceil(2 * F.col("n") / cell), F.ceil(2 * F.col("elements") / elements))).cast("int")
+    order = F.xxhash64("key", F.lit(level))
+    rows = sets.select("region", "key").join(large.withColumn("wanted", wanted).select("region", "wanted"), "region")
+    picked = rows.groupBy("region", F.pmod(order, F.col("wanted")).alias("p")).agg(F.min(F.struct(order.alias("o"), "key"))["key"].alias("key"))
+    own = sets.join(picked, ["region", "key"]).groupBy("region").agg(F.collect_list(F.struct("p", "key", "hashes")).alias("pivots"))
+    return own.join(large.select("region", "n"), "region")
+
+
+def voronoi(sets: DataFrame, pivots: DataFrame) -> DataFrame:
+    """region (the cell), key, hashes, pivot, d (distance to the cell's pivot): sets (region, key, hashes) in cells, those near a border in several.
+
+    The cell of what shares nothing with a pivot has none, and d is null.
+    """
+    rows = salted_join(sets, pivots, ["region"], ["key"])  # PIVOTS sets a row
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held: dict[str, list] = {}
             out: list[tuple] = []
-            for region, key, hashes, held in zip(*(batch.column(c).to_pylist() for c in ("region", "key", "hashes", "pivots")), strict=True):
-                a, far = set(hashes), {}
-                for x in held:
-                    common = len(a.intersection(x["hashes"]))
-                    far[x["p"]] = 1 - common / (len(a) + len(x["hashes"]) - common)
+            for k, (region, key) in enumerate(zip(batch.column("region").to_pylist(), batch.column("key").to_pylist(), strict=True)):
+                if region not in held:
+                    held[region] = [(x["p"], x["key"], np.sort(np.array(x["hashes"], dtype=np.int64))) for x in batch.column("pivots")[k].as_py()]
+                own = batch.column("hashes")[k].values.to_numpy()
+                far = {}
+                for p, pivot, hashes in held[region]:
+                    common = len(np.intersect1d(own, hashes, assume_unique=True))
+                    far[p, pivot] = 1 - common / (len(own) + len(hashes) - common)
                 best = min(far.values())
-                out += [(f"{region}/{p}", key, hashes) for p, d in far.items() if d <= best + 2 * (100 - PERCENT) / 100 + 1e-9]
-            columns = list(zip(*out, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.list_(pa.int64())), strict=True)], names=["region", "key", "hashes"])
+                out += [(f"{region}/{p}", key, own, pivot, d) for (p, pivot), d in far.items() if d < 1 and d <= best + 2 * RADIUS + 1e-9]
+                if best >= 1 - RADIUS - 1e-9:
+                    out.append((f"{region}/-", key, own, None, None))
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=["region", "key", "hashes", "pivot", "d"])
+
+    return rows.mapInArrow(run, "region string, key long, hashes array<long>, pivot long, d double")
 
-    return rows.mapInArrow(run, "region string, key long, hashes array<long>")
 
+def open_sets(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of sets with their cell's pivot, and the sets (region, key, hashes) of cells that may have other links.
 
-def tiles(sets: DataFrame, counts: DataFrame, cell: int) -> DataFrame:
-    """Regions that no cut helps, in tiles: every two sets of a region meet in a pair of tiles that fits a task."""
-    rows = sets.join(counts, "region").withColumn("tiles", F.ceil(F.col("count") * 2 / cell).cast("int"))
-    rows = rows.withColumn("t", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
-    rows = rows.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    A linked set leaves unless an unlinked one of its cell has a distance to the pivot within RADIUS of its own.
+    """
+    near_ = F.col("d") <= RADIUS + 1e-9
+    links = cells.filter(near_ & (F.col("key") != F.col("pivot"))).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    least_ = cells.groupBy("region").agg(F.min(F.when(~near_, F.col("d"))).alias("unlinked"), F.bool_or(F.col("d").isNull()).alias("rest"), F.count("*").alias("n"))
+    rows = salted_join(cells, cut(least_.filter("unlinked is not null or rest")), ["region"], ["key"])
+    stay = F.col("d").isNull() | (F.col("d") >= F.col("unlinked") - RADIUS - 2e-9)
+    return links, rows.filter(stay).select("region", "key", "hashes")
+
+
+def blocks(sets: DataFrame, large: DataFrame, cell: int, elements: int) -> DataFrame:
+    """Regions that no cut makes smaller, as pairs of blocks: every two sets of a region meet in a pair that fits a task."""
+    n = F.ceil(F.greatest(F.col("n") * 2 / cell, F.col("elements") * 2 / elements)).cast("int")
+    rows = salted_join(sets, large.select("region", "n", n.alias("blocks")), ["region"], ["key"])
+    rows = rows.withColumn("t", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = F.concat_ws("/", "region", F.least("t", "u").cast("string"), F.greatest("t", "u").cast("string"))
     return rows.select(pair.alias("region"), "key", "hashes")
 
 
-def join_regions(sets: DataFrame, cell: int = CELL, cuts: int = CUTS) -> DataFrame:
+def join_regions(sets: DataFrame, cell: int = CELL, elements: int = ELEMENTS, cuts: int = CUTS) -> DataFrame:
     """a, b: links that give the components of sets (region, key, hashes)."""
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -381,61 +433,87 @@ def join_regions(sets: DataFrame, cell: int = CELL, cuts: int = CUTS) -> DataFra
         return pd.DataFrame({"a": keys[moved], "b": keys[first[moved]]})
 
     done: list[DataFrame] = []
-    for level in range(cuts):
-        counts = cut(sets.groupBy("region").count().filter(F.col("count") > cell))
-        if counts.isEmpty():
+    links: list[DataFrame] = []
+    for level in range(cuts + 1):
+        large = cut(sizes(sets).filter(too_large(cell, elements)))
+        if large.isEmpty():
             break
-        done.append(sets.join(counts, "region", "left_anti"))
-        sets = sets.join(counts.select("region"), "region", "left_semi")
-        cells = cut(voronoi(sets, counts.select("region"), level))
-        most = lambda df: df.groupBy("region").count().agg(F.max("count")).first()[0]
-        if level == cuts - 1 or most(cells) > 0.7 * most(sets):
-            sets = tiles(sets, counts, cell)
+        done.append(sets.join(large, "region", "left_anti"))
+        sets = sets.join(large.select("region"), "region", "left_semi")
+        if level == cuts:
+            sets = blocks(sets, large, cell, elements)
             break
-        sets = cells
-    done.append(sets)
-    every = done[0]
-    for other in done[1:]:
+        cells = cut(voronoi(sets, cut(pivot_sets(sets, large, cell, elements, level))))
+        linked, sets = open_sets(cells)
+        links.append(linked)
+        sets = cut(sets)
+    every = sets
+    for other in done:
         every = every.unionByName(other)
-    return every.groupBy("region").applyInPandas(link, "a long, b long")
+    found = every.groupBy("region").applyInPandas(link, "a long, b long")
+    for other in links:
+        found = found.unionByName(other)
+    return found
 
 
-def classes(docs: DataFrame, cell: int = CELL, refine: int = REFINE) -> DataFrame:
+def near_copies(docs: DataFrame, cell: int = CELL, refine: int = REFINE, elements: int = ELEMENTS) -> tuple[DataFrame, DataFrame]:
+    """rows (doc_id, key, twin, n, node) of docs, and nodes (node, n: rows, component_id, first: the component's first (no_id, key, twin))."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = stored(sampled(docs))
+    nodes = rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("pre").alias("pre"))
+    edges = cut(candidate_edges(nodes.select(F.col("node").alias("key"), "n", "pre")))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "key", "twin")
+    held = cut(rows.filter("n > 0").groupBy("node").agg(F.count("*").alias("n"), F.first("n").alias("size"), F.min("doc_id").alias("id"), F.min(first).alias("first")))
+    regions = min_labels(edges).select(F.col("a").alias("key"), F.col("label").cast("string").alias("region"))
+    doc = F.xxhash64("first.key", "first.twin").alias("doc")
+    regions = cut(regions.join(held.select(F.col("node").alias("key"), F.col("size").alias("n"), doc), "key"))
+    counts = regions.groupBy("region").agg(F.count("*").alias("n"), F.sum("n").alias("elements"))
+    counts = cut(counts.filter(too_large(min(cell, refine), elements)))
+    large = counts.filter(too_large(refine, elements)).select("region")
+    if counts.isEmpty():
+        links = join_regions(full_sets(docs, regions), cell, elements, -1)
+    else:
+        regions = cut(regions.join(large, "region", "left_anti").unionByName(finer(docs, regions.join(large, "region", "left_semi")).select(regions.columns)))
+        links = join_regions(cut(full_sets(docs, regions)), cell, elements)
+    labels = min_labels(links).withColumnRenamed("a", "node")
+    nodes = cut(held.join(labels, "node", "left").select("node", "n", "id", "first", F.coalesce("label", "node").alias("label")))
+    classes_ = cut(nodes.groupBy("label").agg(F.count("*").alias("n"), F.min("id").alias("component_id"), F.min("first").alias("first")))
+    nodes = salted_join(nodes.select("node", F.col("n").alias("rows"), "label"), classes_, ["label"], ["node"])
+    return rows.select("doc_id", "key", "twin", "n", "node"), cut(nodes.select("node", F.col("rows").alias("n"), "component_id", "first"))
+
+
+def classes(docs: DataFrame, cell: int = CELL, refine: int = REFINE, elements: int = ELEMENTS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
     A null or blank text has an empty set and is linked with nothing; its component is its own id.
-    Of rows that repeat a doc_id one set (that of the smallest digest) meets near copies, any set
-    its equals; each row keeps its own n_shingles.
-    A null doc_id is a document of its own, before all others; its component_id is null.
+    Every row is a document of its own, with or without a doc_id, and rows that share one are not
+    linked by that. component_id is the smallest doc_id of the rows in the component; rows without
+    one don't count there, so it is null where none has one. An empty table gives none.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    all_ = cut(sampled(docs))
-    one = all_.filter("n > 0").groupBy("digest", "n").agg(F.min("key").alias("key"))
-    hubs = one.groupBy("key").agg(F.min("digest").alias("digest"))
-    rows = all_.join(hubs.withColumnRenamed("digest", "d"), "key").filter("digest = d").groupBy("key", "n").agg(F.first("pre").alias("pre"))
-    edges = cut(candidate_edges(rows))
-    regions = min_labels(edges).select(F.col("a").alias("key"), F.col("label").cast("string").alias("region")).join(hubs, "key")
-    regions = cut(regions)
-    counts = cut(regions.groupBy("region").count().filter(F.col("count") > refine))
-    if not counts.isEmpty():
-        regions = cut(regions.join(counts, "region", "left_anti").unionByName(finer(docs, regions.join(counts, "region", "left_semi")).select(regions.columns)))
-    large = not regions.groupBy("region").count().filter(F.col("count") > cell).isEmpty()
-    sets = full_sets(docs, regions)
-    links = join_regions(cut(sets), cell) if large else join_regions(sets, cell, 0)
-    copies = all_.filter("n > 0").join(one.withColumnRenamed("key", "hub"), ["digest", "n"]).filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
-    found = min_labels(links.union(copies))
-    out = all_.select("key", "n").join(found, F.col("key") == F.col("a"), "left")
-    label = F.coalesce("label", "key")
-    null = F.lit(NULL_ID)
-    return out.select(F.nullif("key", null).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(label, null).alias("component_id"))
+    rows, nodes = near_copies(docs, cell, refine, elements)
+    n_shingles = F.col("n").alias("n_shingles")
+    full = salted_join(rows.filter("n > 0").select("doc_id", "twin", n_shingles, "node"), nodes.drop("first"), ["node"], ["doc_id", "twin"])
+    empty = rows.filter("n = 0").select("doc_id", n_shingles, F.col("doc_id").alias("component_id"))
+    return full.select("doc_id", "n_shingles", "component_id").unionByName(empty)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that are the first of their component, and all that have no words."""
-    found = classes(docs.select("doc_id", "text")).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("k"), F.coalesce("component_id", F.lit(NULL_ID)).alias("c"))
-    gone = found.filter("k <> c").select("k").distinct()
-    rows = docs.select(F.struct("*").alias("row"), id_key().alias("key"))
-    return rows.join(gone, F.col("key") == F.col("k"), "left_anti").select("row.*")
+    """The rows of docs that are the first of their component, and all that have no words.
+
+    The first is that of the smallest doc_id, rows without one last, ties by the hash of the text.
+    Rows that repeat doc_id and text of the first are that document and stay with it; of rows
+    without a doc_id that repeat a text one stays. Rows are judged each by itself, so that no row
+    goes because another with its doc_id does. An empty table gives none.
+    """
+    rows, nodes = near_copies(docs.select("doc_id", "text"))
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "key", "twin")
+    found = salted_join(rows.filter("n > 0"), nodes.drop("component_id"), ["node"], ["key", "twin"])
+    gone = cut(found.filter(own != F.col("first")).select("key", "twin").distinct())
+    left = docs.select(F.struct("*").alias("row"), id_key().alias("key"), twin_key().alias("twin")).join(gone, ["key", "twin"], "left_anti")
+    # of rows without a doc_id those with one text are copies; texts without words stay
+    alone = F.col("row.doc_id").isNull() & F.coalesce(F.col("row.text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    once = left.filter(alone).groupBy("twin").agg(F.first("row").alias("row"))
+    return left.filter(~alone).select("row").unionByName(once.select("row")).select("row.*")
 
 
 ORACLE = r"""
