@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,16 +87,16 @@ HOT = 500
 
 
 def salted_join(rows: DataFrame, small: DataFrame, on: list[str], by: list[str], how: str = "inner") -> DataFrame:
-    """rows joined with small, which has one row per key and n, the number of rows with that key; n isn't returned.
+    """rows joined with small, which has n, about the number of rows with its key, in each of a key's rows; n isn't returned.
 
     Rows of a hot key are dealt over several partitions, in proportion to n, by a hash of their
-    columns `by`, and the one row of small is repeated for each. What is broadcast are hot keys only, fewer than HOT. small should
+    columns `by`, and those of small are repeated for each. What is broadcast are hot keys only, fewer than HOT. small should
     be a table (see cut), as it is read three times. how: inner or left.
     """
     total = small.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     salts = F.when(F.col("n") > total // HOT + 1, F.ceil(F.col("n") * parts(rows.sparkSession) / max(total, 1))).otherwise(1).cast("int")
     small = small.withColumn("salts_", salts).drop("n")
-    hot = small.filter("salts_ > 1").select(*on, "salts_")
+    hot = small.filter("salts_ > 1").select(*on, "salts_").distinct()
     if hot.isEmpty():
         return rows.join(small.drop("salts_"), on, how)
     rows = rows.join(F.broadcast(hot), on, "left")
@@ -186,3 +187,33 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(1, n):
         total = total * np.uint64(0xA0761D6478BD642F) + words[k : len(words) - n + 1 + k]
     return mix(total)
+
+
+# ---------------------------------------------------------------- a filter of one size
+
+#: log2 of the bits of a filter.
+BITS = 24
+
+
+def _bit(key: np.ndarray) -> np.ndarray:
+    return (mix(key.astype(np.uint64)) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+
+
+def bitmap(rows: DataFrame, column: str) -> np.ndarray:
+    """2 ** BITS bits in bytes (2 MB), one set for every value of a long column: a filter without false negatives, of one size whatever the input."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = np.unique(_bit(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(bit >> 5), pa.array(np.int64(1) << (bit & 31))], names=["word", "bits"])
+
+    words = rows.select(column).mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    out = np.zeros(1 << (BITS - 5), dtype=np.uint32)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether each key may be in a bitmap."""
+    bit = _bit(key)
+    return (bits[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1

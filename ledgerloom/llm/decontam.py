@@ -1,15 +1,18 @@
 """Benchmark decontamination (operator 3).
 
 Words are runs of letters and digits with A-Z lower-cased. Every run of SEED words of a benchmark
-item is a seed (an item with fewer words is one seed); an item's rare seeds are those in at most
-RARE times as many documents as its median seed, so an item that was copied everywhere keeps its
-seeds. One pass over the corpus finds every seed in every whole text and cuts out the passage
-around it, long enough for the item with insertions. Passages with a rare seed are aligned with
-their item by Smith-Waterman on words; the score is the best local alignment's share of the item's
-score with itself, so substituted, inserted and deleted words cost in proportion.
-
-The benchmark goes to the tasks in blocks of about BLOCK words, each one pass, so what is broadcast
-is bounded whatever the benchmark's size. Passages, not documents, are shuffled, by item.
+item is a seed (an item with fewer words is one seed). A first pass over the corpus counts in how
+many documents each seed occurs, summed in tasks before it is shuffled; an item's rare seeds are
+those in at most RARE times as many documents as its median seed, so an item that was copied
+everywhere keeps its seeds. A second pass finds the rare seeds only, with the words around them, and
+Spark joins them with the items by seed. Around each joined seed a passage is cut, long enough for the
+item with insertions, and aligned with it by Smith-Waterman on words; the score is the best local
+alignment's share of the item's score with itself, so substituted, inserted and deleted words cost
+in proportion.
+
+What goes to every task is two filters of a fixed size (see bitmap in common), whatever the
+benchmark's; a seed that passes by chance finds no item. Words around rare seeds are shuffled, not
+documents, and the rows of a seed or an item that very many documents hold are dealt over several tasks.
 """
 
 from __future__ import annotations
@@ -21,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import NULL_ID, chunks, cut, gram_hashes, id_key, joined, runs, span_hashes
+from ledgerloom.llm.common import NULL_ID, bitmap, chunks, cut, gram_hashes, id_key, in_bitmap, joined, runs, salted_join, span_hashes, text_or_empty, twin_key
 
+#: Words of a seed, how much commoner than its item's median a rare one may be, the least score, and cells aligned at once.
 SEED, RARE, THRESHOLD, BLOCK = 3, 8, 0.5, 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -40,50 +44,21 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(_LOWER[buffer], starts, ends), np.bincount(owner, minlength=len(texts))
 
 
-class Seeds:
-    """The seeds of a block of items, to be looked up by hash."""
-
-    def __init__(self, items: list[tuple[int, list[int]]]):
-        self.lengths = {i: len(words) for i, words in items}
-        self.by_size: dict[int, tuple] = {}
-        for size in range(1, SEED + 1):
-            own = [(i, np.array(w, dtype=np.int64).view(np.uint64)) for i, w in items if min(len(w), SEED) == size]
-            if own:
-                grams = [gram_hashes(w, size) for _, w in own]
-                h = np.concatenate(grams)
-                order = np.argsort(h, kind="stable")
-                item = np.repeat(np.array([i for i, _ in own], dtype=np.int64), [len(g) for g in grams])[order]
-                at = np.concatenate([np.arange(len(g)) for g in grams])[order]
-                low = np.zeros(1 << 20, dtype=bool)
-                low[(h & np.uint64(0xFFFFF)).astype(np.int64)] = True
-                self.by_size[size] = (h[order], item, at, low)
-
-    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in words, item, place in the item) of every seed found; a place may hold several items' seeds."""
-        out = [(np.zeros(0, dtype=np.int64),) * 3]
-        for size, (h, item, at, low) in self.by_size.items():
-            g = gram_hashes(words, size)
-            p = np.flatnonzero(low[(g & np.uint64(0xFFFFF)).astype(np.int64)])
-            left, right = np.searchsorted(h, g[p], "left"), np.searchsorted(h, g[p], "right")
-            n = right - left
-            k = np.repeat(left, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            out.append((np.repeat(p, n), item[k], at[k]))
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-def passages(p: np.ndarray, item: np.ndarray, q: np.ndarray, lengths: dict[int, int], n: int) -> list[tuple[int, int, int, list[int]]]:
-    """(item, start, end, seeds' places in the item) of a document of n words; passages of an item that meet are one."""
-    out: list[list] = []
-    order = np.lexsort((p - q, item))
-    for i, d, s in zip(item[order].tolist(), (p - q)[order].tolist(), q[order].tolist(), strict=True):
-        slack = lengths[i] // 2 + 2
-        start, end = max(0, d - slack), min(n, d + lengths[i] + slack)
-        if out and out[-1][0] == i and start <= out[-1][2]:
-            out[-1][2] = max(end, out[-1][2])
-            out[-1][3].add(s)
+def margin(n: int) -> int:
+    """Words that an item of n words may be off its seed's place by insertions and deletions."""
+    return n // 2 + 2
+
+
+def passages(places: np.ndarray, n_item: int, n: int) -> list[tuple[int, int]]:
+    """(start, end) in a document of n words; places: where the item would begin by each seed. Those that meet are one."""
+    out: list[list[int]] = []
+    for d in np.sort(places).tolist():
+        start, end = max(0, d - margin(n_item)), min(n, d + n_item + margin(n_item))
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(end, out[-1][1])
         else:
-            out.append([i, start, end, {s}])
-    return [(i, a, b, sorted(s)) for i, a, b, s in out]
+            out.append([start, end])
+    return [(a, b) for a, b in out]
 
 
 def align(items: list[np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
@@ -107,92 +82,192 @@ def align(items: list[np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def _find(docs: DataFrame, items: list[tuple[int, list[int]]]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def item_words(benchmark: DataFrame) -> DataFrame:
+    """item (names a text under an id), item_id, words (array of hashes) of the items with words, repeated rows once."""
+    slim = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).distinct()
+    slim = slim.select(F.xxhash64("item_id", "text").alias("item"), "item_id", F.col("text").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = Seeds(shared.value)
         for batch in batches:
-            keys, rows = batch.column("key").to_pylist(), []
-            for first, texts in chunks(batch.column("text").to_pylist()):
+            made = []
+            for _, texts in chunks(batch.column("text").to_pylist()):
                 words, counts = word_hashes(texts)
-                ends = np.cumsum(counts)
-                p, item, q = seeds.find(words)
-                doc = np.searchsorted(ends, p, side="right")
-                size = np.array([min(seeds.lengths[i], SEED) for i in item.tolist()], dtype=np.int64)
-                inside = p + size <= ends[doc] if len(p) else np.zeros(0, dtype=bool)
-                p, item, q, doc = p[inside], item[inside], q[inside], doc[inside]
-                for d in np.unique(doc).tolist():
-                    own, begin = doc == d, ends[d] - counts[d]
-                    for i, a, b, s in passages(p[own] - begin, item[own], q[own], seeds.lengths, int(counts[d])):
-                        rows.append((keys[first + d], i, a, b, s, words[begin + a : begin + b].view(np.int64)))
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=["key", "item", "start", "end", "seeds", "words"])
+                made += np.split(words.view(np.int64), np.cumsum(counts)[:-1])
+            yield pa.RecordBatch.from_arrays([batch.column("item"), batch.column("item_id"), pa.array(made, type=pa.list_(pa.int64()))], names=["item", "item_id", "words"])
 
-    return docs.mapInArrow(run, "key long, item long, start long, end long, seeds array<int>, words array<long>")
+    return slim.mapInArrow(run, "item long, item_id long, words array<long>").filter(F.size("words") > 0)
 
 
-def item_words(benchmark: DataFrame) -> DataFrame:
-    """item, words (array of hashes) of items with words; of rows that repeat an id the longest text counts, then the first by text."""
-    slim = benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item"), F.coalesce("text", F.lit("")).alias("text"))
-    best = F.min(F.struct(-F.length("text"), F.col("text")))
-    slim = slim.groupBy("item").agg(best.alias("b")).select("item", F.col("b.text").cast("binary").alias("text"))
+def seeds(items: DataFrame) -> DataFrame:
+    """seed (hash), size (words), item, at (its place in the item), length (words of the item)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
+            rows = [[np.zeros(0, dtype=np.int64)] * 5]
+            for item, words in zip(batch.column("item").to_pylist(), batch.column("words"), strict=True):
+                words = words.values.to_numpy().view(np.uint64)
+                size = min(len(words), SEED)
+                found = gram_hashes(words, size).view(np.int64)
+                full = lambda x: np.full(len(found), x, dtype=np.int64)  # noqa: B023, E731
+                rows.append([found, full(size), full(item), np.arange(len(found)), full(len(words))])
+            columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["seed", "size", "item", "at", "length"])
+
+    return items.mapInArrow(run, "seed long, size long, item long, at long, length long")
+
+
+def _hits(texts: list[bytes], sizes: list[int], bits: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(document, place, seed) of everything that may be a seed, and all texts' words and their ends."""
+    words, counts = word_hashes(texts)
+    ends = np.cumsum(counts)
+    out = [(np.zeros(0, dtype=np.int64),) * 3]
+    for size in sizes:
+        found = gram_hashes(words, size).view(np.int64)
+        p = np.flatnonzero(in_bitmap(bits, found))
+        doc = np.searchsorted(ends, p, side="right")
+        inside = p + size <= ends[doc] if len(p) else np.zeros(0, dtype=bool)
+        out.append((doc[inside], p[inside], found[p[inside]]))
+    return *(np.concatenate(x) for x in zip(*out, strict=True)), words.view(np.int64), ends
+
+
+def seed_counts(slim: DataFrame, sizes: list[int], wanted: DataFrame) -> DataFrame:
+    """seed, n: in how many rows of slim (text) each seed occurs."""
+    shared = slim.sparkSession.sparkContext.broadcast(bitmap(wanted.select("seed"), "seed"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros(0, dtype=np.int64)]
             for _, texts in chunks(batch.column("text").to_pylist()):
-                words, counts = word_hashes(texts)
-                made += np.split(words.view(np.int64), np.cumsum(counts)[:-1])
-            yield pa.RecordBatch.from_arrays([batch.column("item"), pa.array(made, type=pa.list_(pa.int64()))], names=["item", "words"])
+                doc, _, seed, _, _ = _hits(texts, sizes, shared.value)
+                order = np.lexsort((doc, seed))
+                doc, seed = doc[order], seed[order]
+                first = np.ones(len(seed), dtype=bool)
+                first[1:] = (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1])
+                found.append(seed[first])
+            seed, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(seed), pa.array(n)], names=["seed", "n"])
 
-    return slim.mapInArrow(run, "item long, words array<long>").filter(F.size("words") > 0)
+    return slim.select("text").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """doc_id, item_id, score, start, end (words): each document and item whose best passage reaches threshold.
+def surroundings(slim: DataFrame, sizes: list[int], rare: DataFrame, around: int) -> DataFrame:
+    """key, twin, start, words, hits (array of seed, at): rare seeds in rows of slim (key, twin, text) with `around` words on either side.
 
-    Null and empty texts and items match nothing; rows that repeat a doc_id count as one document
-    with the best passage of any. A null doc_id is reported as null.
+    Those that meet are one row. start and at count a document's words from 0.
     """
-    items = cut(item_words(benchmark))
-    total = items.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
-    blocks = max(1, -(-total // block))
-    slim = docs.select(id_key().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    found = None
-    for k in range(blocks):  # each holds about `block` words
-        own = [(r.item, r.words) for r in items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).collect()]
-        part = _find(slim, own)
-        found = part if found is None else found.unionByName(part)
-    found = cut(found)
-    counts = found.select("item", "key", F.explode("seeds").alias("seed")).groupBy("item", "seed").agg(F.count_distinct("key").alias("n"))
-    median = counts.groupBy("item").agg((RARE * F.percentile("n", F.lit(0.5))).alias("most"))
-    rare = counts.join(median, "item").filter("n <= most").groupBy("item").agg(F.collect_list("seed").alias("rare"))
-    known = items.withColumnRenamed("words", "item_words").join(rare, "item")
-    pairs = found.join(known, "item").filter(F.arrays_overlap("seeds", "rare")).select("key", "item", "start", "end", "words", "item_words")
+    shared = slim.sparkSession.sparkContext.broadcast(bitmap(rare.select("seed"), "seed"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # copies with one doc_id in one task are sent once
+        for batch in batches:
+            keys, rows = list(zip(batch.column("key").to_pylist(), batch.column("twin").to_pylist(), strict=True)), []
+            for first, texts in chunks(batch.column("text").to_pylist()):
+                doc, place, seed, words, ends = _hits(texts, sizes, shared.value)
+                order = np.lexsort((place, doc))
+                doc, place, seed = doc[order], place[order], seed[order]
+                new = np.ones(len(doc), dtype=bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > 2 * around)
+                edges = [*np.flatnonzero(new).tolist(), len(doc)]
+                fresh: set[tuple[int, int]] = set()
+                for i, j in zip(edges[:-1], edges[1:], strict=True):
+                    d = int(doc[i])
+                    key = keys[first + d]
+                    if key in seen:
+                        continue
+                    fresh.add(key)
+                    begin = int(ends[d - 1]) if d else 0
+                    start, end = max(begin, int(place[i]) - around), min(int(ends[d]), int(place[j - 1]) + around + SEED)
+                    rows.append((*key, start - begin, words[start:end], seed[i:j], place[i:j] - begin))
+                seen |= fresh
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            longs = pa.list_(pa.int64())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), longs, longs, longs)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=["key", "twin", "start", "words", "seeds", "places"])
+
+    return slim.mapInArrow(run, "key long, twin long, start long, words array<long>, seeds array<long>, places array<long>")
+
+
+def _cut_out(found: DataFrame) -> DataFrame:
+    """key, twin, item, start, end, words: passages of found (key, twin, start, words, item, length, begins)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            columns = [batch.column(c).to_pylist() for c in ("key", "twin", "item", "start", "length", "begins")]
+            for k, (key, twin, item, start, length, begins) in enumerate(zip(*columns, strict=True)):
+                words = batch.column("words")[k].values.to_numpy()
+                for a, b in passages(np.array(begins, dtype=np.int64) - start, length, len(words)):
+                    rows.append((key, twin, item, start + a, start + b, words[a:b]))
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            kinds = (pa.int64(),) * 5 + (pa.list_(pa.int64()),)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=["key", "twin", "item", "start", "end", "words"])
+
+    return found.mapInArrow(run, "key long, twin long, item long, start long, end long, words array<long>")
+
+
+def _scored(pairs: DataFrame, block: int) -> DataFrame:
+    """key, twin, item_id, start, end, score of pairs, which also have words and item_words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items = [np.array(x, dtype=np.int64) for x in batch.column("item_words").to_pylist()]
-            texts = [np.array(x, dtype=np.int64) for x in batch.column("words").to_pylist()]
+            items = [x.values.to_numpy() for x in batch.column("item_words")]
+            texts = [x.values.to_numpy() for x in batch.column("words")]
             score = np.zeros(len(items))
             order = sorted(range(len(items)), key=lambda i: len(texts[i]))
             at = 0
-            while at < len(order):  # pairs of like lengths together, about a million cells
-                own = order[at : at + max(1, 1_000_000 // (len(texts[order[min(at + 511, len(order) - 1)]]) + 1))][:512]
+            while at < len(order):  # pairs of like lengths together
+                own = order[at : at + max(1, block // (len(texts[order[min(at + 511, len(order) - 1)]]) + 1))][:512]
                 score[own] = align([items[i] for i in own], [texts[i] for i in own]) / [MATCH * len(items[i]) for i in own]
                 at += len(own)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "item", "start", "end")), pa.array(score)], names=["key", "item", "start", "end", "score"])
+            names = ["key", "twin", "item_id", "start", "end"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(score)], names=[*names, "score"])
+
+    return pairs.mapInArrow(run, "key long, twin long, item_id long, start long, end long, score double")
+
 
-    scored = pairs.mapInArrow(run, "key long, item long, start long, end long, score double").filter(F.col("score") >= threshold)
-    best = scored.groupBy("key", "item").agg(F.max(F.struct("score", -F.col("start"), -F.col("end"))).alias("b"))
+def _found(docs: DataFrame, benchmark: DataFrame, threshold: float, block: int) -> DataFrame:
+    """key, twin, item_id, b (score, -start, -end of the best passage) of the documents that reach threshold."""
+    items = cut(item_words(benchmark))
+    every = cut(seeds(items))
+    known = every.agg(F.sort_array(F.collect_set("size")).alias("sizes"), F.coalesce(F.max("length"), F.lit(0)).alias("longest")).first()  # up to SEED sizes
+    slim = docs.select(id_key().alias("key"), twin_key().alias("twin"), text_or_empty().cast("binary").alias("text"))
+    counts = every.join(cut(seed_counts(slim, known.sizes, every)), "seed")
+    median = counts.groupBy("item").agg((RARE * F.percentile("n", F.lit(0.5))).alias("most"))
+    rare = cut(counts.join(median, "item").filter("n <= most").select("seed", "n", "item", "at", "length"))
+    around = cut(surroundings(slim, known.sizes, rare, known.longest + margin(known.longest)))
+    where = ["key", "twin", "start"]
+    hits = around.select(*where, F.explode(F.arrays_zip("seeds", "places")).alias("x")).select(*where, F.col("x.seeds").alias("seed"), F.col("x.places").alias("place"))
+    hits = salted_join(hits, rare, ["seed"], where)
+    begins = hits.groupBy(*where, "item", "length").agg(F.collect_set(F.col("place") - F.col("at")).alias("begins"))
+    once = around.groupBy(*where).agg(F.first("words").alias("words"))
+    texts = salted_join(_cut_out(begins.join(once, where)), _by_item(items, rare), ["item"], where)
+    best = F.max(F.struct("score", (-F.col("start")).alias("start"), (-F.col("end")).alias("end"))).alias("b")
+    return _scored(texts, block).filter(F.col("score") >= threshold).groupBy("key", "twin", "item_id").agg(best)
+
+
+def _by_item(items: DataFrame, rare: DataFrame) -> DataFrame:
+    """item, item_id, item_words, n: in how many documents its commonest rare seed is."""
+    return cut(rare.groupBy("item").agg(F.max("n").alias("n")).join(items.withColumnRenamed("words", "item_words"), "item"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """doc_id, item_id, score, start, end (words): each document and item whose best passage reaches threshold.
+
+    Null and empty texts and items match nothing. Rows that share a doc_id, or have none, and unlike
+    texts are documents of their own; rows that repeat both are one. Of benchmark rows that share an
+    item_id, or have none, each text is searched for, and the best counts. Empty tables give none.
+    """
+    found = _found(docs, benchmark, threshold, block)
     key = F.when(F.col("key") != F.lit(NULL_ID), F.col("key"))
-    return best.select(key.alias("doc_id"), F.col("item").alias("item_id"), F.col("b.score").alias("score"), (-F.col("b.col2")).alias("start"), (-F.col("b.col3")).alias("end"))
+    return found.select(key.alias("doc_id"), "item_id", F.col("b.score").alias("score"), (-F.col("b.start")).alias("start"), (-F.col("b.end")).alias("end"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs without the contaminated documents."""
-    bad = contaminated(docs, benchmark, threshold).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("bad_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), id_key().alias("key"))
-    return rows.join(bad, F.col("key") == F.col("bad_id"), "left_anti").select("row.*")
+    """The rows of docs without the contaminated documents.
+
+    Each row is judged by its own text: one that shares its doc_id, or the lack of one, with a
+    contaminated row stays. Null and empty texts stay. Empty tables give none, or all rows.
+    """
+    bad = cut(_found(docs, benchmark, threshold, BLOCK).select("key", "twin").distinct())
+    rows = docs.select(F.struct("*").alias("row"), id_key().alias("key"), twin_key().alias("twin"))
+    return rows.join(bad, ["key", "twin"], "left_anti").select("row.*")

@@ -13,15 +13,15 @@ another, and there pivots tell nothing apart, so the join has two levels, both e
    (two joined sets still share one). Sets that share an indexed hash are of one region. A region
    beyond the bound of a cell is first parted by the rarest elements of its whole sets, since
    passages in common may have made it large.
-2. Pivots and Voronoi cells. A region beyond the bound is cut: of each set the distance to several
-   pivots is known, and it goes to the cell of its nearest pivot. The triangle inequality gives the
-   windows in which boundary sets are copied to further cells: those whose pivot is at most 0.4
-   farther than the nearest. Sets that share nothing with any pivot are a cell of their own, with
-   copies of those at 0.8 or more. Sets within 0.2 of a cell's pivot are linked with it, and those of
-   them that no unlinked set of the cell can be near (its distance to the pivot would be within 0.2
-   of theirs) are settled and leave. Cells are cut again until they are within the bound.
-   What no cut makes smaller is dealt out as pairs of blocks.
-   Inside a cell one task goes on in the same way, pivot by pivot, with windows around each.
+2. Pivots and Voronoi cells. In a region beyond the bound each set's distances to a few pivots are
+   found. Sets within 0.2 of a pivot are linked with it, and pivots that share such a set are of one
+   component, the largest of which is settled: its sets need no comparison with one another. Every
+   other set is a core of the cell of its nearest pivot; cores more than 0.6 from all are a cell of
+   their own. By the triangle inequality what is joined with a core has a distance to the cell's pivot
+   within 0.2 of the core's, so all sets in that window are copied to the cell, and no link is lost.
+   A cell beyond the bound is cut again with pivots of its own; what is still too large after CUTS
+   times is dealt out as pairs of blocks. Inside a cell one task goes on in the same way, pivot by
+   pivot, with windows around each.
 
 Links are kept as stars, not as all pairs, since the result is the components.
 """
@@ -37,17 +37,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import chunks, cut, gram_hashes, id_key, joined, mix, runs, salted_join, span_hashes, stored, text_or_empty, twin_key
+from ledgerloom.llm.common import bitmap, chunks, cut, gram_hashes, id_key, in_bitmap, joined, runs, salted_join, span_hashes, stored, text_or_empty, twin_key
 
 N, PERCENT = 5, 80
 #: Bound of a cell: sets, and elements of all its sets (8 bytes each). Regions of more than REFINE sets are parted by whole sets before they are cut.
-CELL, ELEMENTS, REFINE = 500, 2_000_000, 500
-#: Most pivots of a cut, and how often cells are cut again.
-PIVOTS, CUTS = 16, 4
-#: Distance within which sets are joined.
-RADIUS = (100 - PERCENT) / 100
-#: log2 of the bits of the filter that picks documents of regions.
-BITS = 24
+CELL, ELEMENTS, REFINE = 2_000, 4_000_000, 2_000
+#: Most pivots of a cut (at most 16), and how often cells are cut again.
+PIVOTS, CUTS = 8, 2
+#: Distance within which sets are joined, and beyond which a core is in no pivot's cell.
+RADIUS, FAR, EPS = (100 - PERCENT) / 100, 0.6, 1e-9
 
 _KINDS = np.ones(256, dtype=np.uint8)
 _KINDS[[9, 10, 11, 12, 13, 32]] = 0
@@ -246,18 +244,17 @@ def min_labels(edges: DataFrame) -> DataFrame:
     both = edges.select(F.explode(F.array(pair("a", "b"), pair("b", "a"), pair("a", "a"), pair("b", "b"))).alias("e"))
     both = cut(both.select("e.a", "e.b").distinct())
     labels = cut(both.groupBy("a").agg(F.min("b").alias("label")))
-    salts = 16
+    salts = 8
     salt = F.pmod(F.xxhash64("a"), F.lit(salts)).alias("salt")
     while True:
-        near_ = cut(both.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label")))
-        used = near_.select("label").distinct()
-        hop = near_.select(F.col("a").alias("label"), F.col("label").alias("next")).join(used, "label")
+        old = F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old")
+        near_ = both.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label"), old)
+        hop = near_.select(F.col("a").alias("label"), F.col("label").alias("next")).join(near_.select("label").distinct(), "label")
         hop = hop.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        new = near_.select("a", "label", salt).join(hop, ["label", "salt"], "left")
-        new = cut(new.select("a", F.least("label", F.coalesce("next", "label")).alias("label")))
-        changed = new.join(labels.withColumnRenamed("label", "old"), "a").filter("label <> old").limit(1).count()
-        labels = new
-        if not changed:
+        new = near_.select("a", "label", "old", salt).join(hop, ["label", "salt"], "left")
+        new = cut(new.select("a", F.least("label", F.coalesce("next", "label")).alias("label"), "old"))
+        labels = new.select("a", "label")
+        if new.filter("label <> old").isEmpty():
             return labels
 
 
@@ -285,24 +282,6 @@ def candidate_edges(rows: DataFrame) -> DataFrame:
     return kept.join(hubs, "h").filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
 
 
-def _bit(key: np.ndarray) -> np.ndarray:
-    return (mix(key.astype(np.uint64)) & np.uint64((1 << BITS) - 1)).astype(np.int64)
-
-
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """2 ** BITS bits in bytes (2 MB), one set for every key: a filter without false negatives, of one size whatever the input."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = np.unique(_bit(batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(bit >> 5), pa.array(np.int64(1) << (bit & 31))], names=["word", "bits"])
-
-    words = keys.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-    out = np.zeros(1 << (BITS - 5), dtype=np.uint32)
-    out[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
-    return out
-
-
 def full_sets(docs: DataFrame, regions: DataFrame) -> DataFrame:
     """region, key, hashes: the whole set of every node in regions (key: the node, region, doc: a document that holds it).
 
@@ -310,13 +289,12 @@ def full_sets(docs: DataFrame, regions: DataFrame) -> DataFrame:
     """
     doc = F.xxhash64(id_key(), twin_key()).alias("key")
     slim = docs.select(doc, text_or_empty().cast("binary").alias("text"))
-    shared_bits = docs.sparkSession.sparkContext.broadcast(bitmap(regions.select(F.col("doc").alias("key"))))
+    shared_bits = docs.sparkSession.sparkContext.broadcast(bitmap(regions, "doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = shared_bits.value, set()
         for batch in batches:
-            bit = _bit(batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64))
-            batch = batch.filter(pa.array((bits[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1))
+            batch = batch.filter(pa.array(in_bitmap(bits, batch.column("key").to_numpy())))
             for _, texts in chunks(batch.column("text").to_pylist()):
                 sets = {name(s): s.view(np.int64) for s in shingle_sets(texts) if len(s)}
                 new = [k for k in sets if k not in seen]  # copies in one task are sent once
@@ -369,47 +347,64 @@ def pivot_sets(sets: DataFrame, large: DataFrame, cell: int, elements: int, leve
     return own.join(large.select("region", "n"), "region")
 
 
-def voronoi(sets: DataFrame, pivots: DataFrame) -> DataFrame:
-    """region (the cell), key, hashes, pivot, d (distance to the cell's pivot): sets (region, key, hashes) in cells, those near a border in several.
-
-    The cell of what shares nothing with a pivot has none, and d is null.
-    """
+def distances(sets: DataFrame, pivots: DataFrame) -> DataFrame:
+    """region, key, d (distance to each pivot of its region), mask (bits of the pivots within RADIUS), near (place of the nearest), best (its distance)."""
     rows = salted_join(sets, pivots, ["region"], ["key"])  # PIVOTS sets a row
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: dict[str, list] = {}
-            out: list[tuple] = []
-            for k, (region, key) in enumerate(zip(batch.column("region").to_pylist(), batch.column("key").to_pylist(), strict=True)):
+            d = []
+            for k, region in enumerate(batch.column("region").to_pylist()):
                 if region not in held:
-                    held[region] = [(x["p"], x["key"], np.sort(np.array(x["hashes"], dtype=np.int64))) for x in batch.column("pivots")[k].as_py()]
+                    held[region] = [np.sort(np.array(x["hashes"], dtype=np.int64)) for x in batch.column("pivots")[k].as_py()]
                 own = batch.column("hashes")[k].values.to_numpy()
-                far = {}
-                for p, pivot, hashes in held[region]:
-                    common = len(np.intersect1d(own, hashes, assume_unique=True))
-                    far[p, pivot] = 1 - common / (len(own) + len(hashes) - common)
-                best = min(far.values())
-                out += [(f"{region}/{p}", key, own, pivot, d) for (p, pivot), d in far.items() if d < 1 and d <= best + 2 * RADIUS + 1e-9]
-                if best >= 1 - RADIUS - 1e-9:
-                    out.append((f"{region}/-", key, own, None, None))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=["region", "key", "hashes", "pivot", "d"])
+                common = [len(np.intersect1d(own, x, assume_unique=True)) for x in held[region]]
+                d.append([1 - c / (len(own) + len(x) - c) for c, x in zip(common, held[region], strict=True)])
+            mask = [sum(1 << i for i, x in enumerate(v) if x <= RADIUS + EPS) for v in d]
+            near_ = [int(np.argmin(v)) for v in d]
+            columns = [batch.column("region"), batch.column("key"), pa.array(d, type=pa.list_(pa.float64())), pa.array(mask, type=pa.int32()), pa.array(near_, type=pa.int32()), pa.array([min(v) for v in d], type=pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["region", "key", "d", "mask", "near", "best"])
 
-    return rows.mapInArrow(run, "region string, key long, hashes array<long>, pivot long, d double")
+    return rows.mapInArrow(run, "region string, key long, d array<double>, mask int, near int, best double")
 
 
-def open_sets(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) of sets with their cell's pivot, and the sets (region, key, hashes) of cells that may have other links.
+def settled(far: DataFrame) -> DataFrame:
+    """region, main: the bits of the pivots of each region's largest component. far: what distances gives."""
+    masks = far.filter("mask > 0").groupBy("region", "mask").agg(F.count("*").alias("m"))
+    rows = masks.groupBy("region").agg(F.collect_list(F.struct("mask", "m")).alias("masks"))  # 2 ** PIVOTS at most
 
-    A linked set leaves unless an unlinked one of its cell has a distance to the pivot within RADIUS of its own.
-    """
-    near_ = F.col("d") <= RADIUS + 1e-9
-    links = cells.filter(near_ & (F.col("key") != F.col("pivot"))).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
-    least_ = cells.groupBy("region").agg(F.min(F.when(~near_, F.col("d"))).alias("unlinked"), F.bool_or(F.col("d").isNull()).alias("rest"), F.count("*").alias("n"))
-    rows = salted_join(cells, cut(least_.filter("unlinked is not null or rest")), ["region"], ["key"])
-    stay = F.col("d").isNull() | (F.col("d") >= F.col("unlinked") - RADIUS - 2e-9)
-    return links, rows.filter(stay).select("region", "key", "hashes")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for masks in batch.column("masks").to_pylist():
+                groups: dict[int, int] = {}
+                for x in masks:
+                    mask, m = x["mask"], x["m"]
+                    for other in [g for g in groups if g & mask]:
+                        mask, m = mask | other, m + groups.pop(other)
+                    groups[mask] = m
+                out.append(max(groups, key=lambda g: (groups[g], -g)))  # noqa: B023
+            yield pa.RecordBatch.from_arrays([batch.column("region"), pa.array(out, type=pa.int32())], names=["region", "main"])
+
+    return rows.mapInArrow(run, "region string, main int")
+
+
+def voronoi(sets: DataFrame, large: DataFrame, cell: int, elements: int, level: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of sets with pivots, and the cells of large regions: region, key, hashes of cores and of what may be joined with one."""
+    pivots = cut(pivot_sets(sets, large, cell, elements, level))
+    far = cut(distances(sets, pivots))
+    keys = pivots.select("region", F.posexplode(F.col("pivots")["key"]).alias("i", "pivot"))
+    links = far.filter("mask > 0").select("region", "key", "mask").join(keys, "region").filter("(shiftright(mask, i) & 1) = 1 and key <> pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    cores = far.join(settled(far), "region", "left").filter("mask & coalesce(main, 0) = 0")
+    alone = F.col("best") > FAR
+    cores = cores.select("region", F.when(alone, -1).otherwise(F.col("near")).alias("cell"), "best")
+    windows = cores.groupBy("region", "cell").agg((F.min("best") - RADIUS - EPS).alias("low"), (F.max("best") + RADIUS + EPS).alias("high"))
+    at = F.when(F.col("cell") < 0, F.col("best")).otherwise(F.get("d", F.col("cell")))
+    inside = F.when(F.col("cell") < 0, F.col("best") >= F.col("low")).otherwise(at.between(F.col("low"), F.col("high")))
+    cells = far.join(windows, "region").filter(inside).select("region", "key", "cell")
+    sets = sets.join(cells, ["region", "key"])
+    return links, sets.select(F.concat_ws("/", "region", F.col("cell").cast("string")).alias("region"), "key", "hashes")
 
 
 def blocks(sets: DataFrame, large: DataFrame, cell: int, elements: int) -> DataFrame:
@@ -443,8 +438,7 @@ def join_regions(sets: DataFrame, cell: int = CELL, elements: int = ELEMENTS, cu
         if level == cuts:
             sets = blocks(sets, large, cell, elements)
             break
-        cells = cut(voronoi(sets, cut(pivot_sets(sets, large, cell, elements, level))))
-        linked, sets = open_sets(cells)
+        linked, sets = voronoi(sets, large, cell, elements, level)
         links.append(linked)
         sets = cut(sets)
     every = sets

@@ -7,13 +7,14 @@ when it has `long_words` words or more and is repeated by itself. The queries ta
 WINDOW lines and lines of LONG_WORDS words, so that what stays of repeated lines is shorter than
 that and has other neighbours; a window of one removes every line that occurs earlier.
 
-Winnowing: of every `window` lines in a row the one with the smallest hash is a fingerprint, and
-long lines always are, so every run to be found holds a fingerprint that its earlier copy holds as
-well. Fingerprints that occur once go; the places of the others are matched. A match is extended
-from the fingerprint both ways: every run of `window` lines that reaches left or right of it is
-looked up by its hash, and from run to run, as those overlap, a match goes on to the ends of what is
-repeated. Runs meet their first occurrence only, not one another, so rows grow with the input
-however often a line occurs, and the rows of a run that is very common are dealt over many tasks.
+Winnowing: of every `window` lines in a row the one with the smallest hash is the run's fingerprint,
+and a long line is its own, so a run and its earlier copy have one fingerprint. Spark sorts the runs
+that hold a fingerprint by the run and by place; a run equal to the one before it in that sort is
+repeated. From there a match is extended both ways: the runs that begin a line earlier or later
+overlap it and are looked up in the same way, up to the ends of what is repeated. Nothing is paired
+with all its copies, so rows grow with the input however often a line occurs. Fingerprints with more
+than one in HOT of all rows, fewer than HOT in number, are not sorted together: their runs' first
+places are found by an aggregation that starts in each task, and joined with rows dealt over many.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import NULL_ID, cut, id_key, own_columns, salted_join, twin_key
+from ledgerloom.llm.common import HOT, NULL_ID, cut, id_key, own_columns, salted_join, twin_key
 
 #: Lines of a run that is always found, and words of a line that counts by itself, as the queries and the pipeline have them.
 WINDOW, LONG_WORDS = 2, 5
@@ -44,50 +45,45 @@ def _key() -> Column:
     return F.struct(id_key().alias("id"), twin_key().alias("twin"))
 
 
-def hashed_lines(docs: DataFrame, long_words: int) -> DataFrame:
-    """key, at, h, long: the lines that are not blank, by their place among all lines of the text."""
-    rows = docs.select(_key().alias("key"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("at", "line"))
-    return rows.filter(~_blank(F.col("line"))).select("key", "at", _hash(F.col("line")).alias("h"), (_spaces(F.col("line")) >= long_words - 1).alias("long"))
-
-
-def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
-    """key, fp, runs: of every fingerprint its hash and the runs that hold it, as (start, places, run).
+def runs(docs: DataFrame, window: int, long_words: int) -> DataFrame:
+    """id, twin, start, places, fp, a, b: every run of `window` lines, and every long line, with its fingerprint and its hash (a, b).
 
     start: the place of a run's first line among all lines of the text; places: those of all its lines.
+    A text's lines are an array; shifted copies of it side by side are its windows, so no row moves.
     """
-    rows = hashed_lines(docs, long_words)
-    order = Window.partitionBy("key").orderBy("at", "h")
-    ahead = [F.struct(*(F.lead(c, k).over(order).alias(c) for c in ("at", "h"))) for k in range(window)]
-    rows = rows.select("*", *(x.alias(f"x{k}") for k, x in enumerate(ahead)))
-    full = F.col(f"x{window - 1}.at").isNotNull()
+    line = lambda x, i: F.struct(i.alias("at"), F.xxhash64(F.lit(11), x).alias("a"), F.xxhash64(F.lit(22), x).alias("b"), (_spaces(x) >= long_words - 1).alias("long"), _blank(x).alias("blank"))
+    rows = docs.select("*", F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines_"))
+    rows = rows.select(id_key().alias("id"), twin_key().alias("twin"), F.filter(F.transform("lines_", line), lambda x: ~x["blank"]).alias("x0"))
+    ahead = [F.slice("x0", F.lit(k + 1), F.size("x0")).alias(f"x{k}") for k in range(1, window)]
+    rows = rows.select("id", "twin", F.explode(F.arrays_zip("x0", *ahead)).alias("w")).select("id", "twin", "w.*")
     held = [F.col(f"x{k}") for k in range(window)]
-    run = F.struct(F.col("at").alias("start"), F.array(*(x["at"] for x in held)).alias("places"), _hash(F.lit(window), *(x["h"] for x in held)).alias("run"))
-    rows = rows.select("key", "at", "h", "long", F.when(full, run).alias("run"), F.when(full, F.least(*(x["h"]["a"] for x in held))).alias("low"))
-    back = order.rowsBetween(-(window - 1), 0)
-    rows = rows.select("key", "at", "h", "long", F.max("low").over(back).alias("low"), F.collect_list("run").over(back).alias("runs"))
-    own = F.struct(F.col("at").alias("start"), F.array("at").alias("places"), F.col("h").alias("run"))
-    return rows.filter(F.col("long") | (F.col("low") == F.col("h.a"))).select("key", F.col("h").alias("fp"), F.when(F.col("long"), F.concat("runs", F.array(own))).otherwise(F.col("runs")).alias("runs"))
-
-
-def _later(rows: DataFrame, run: list[str]) -> DataFrame:
-    """key, places of the rows (key, start, places and the columns run) whose run occurs earlier."""
-    spot = F.struct("key", "start")
-    firsts = rows.groupBy(*run).agg(F.min(spot).alias("first"), F.max(spot).alias("last"), F.count("*").alias("n"))
-    firsts = cut(firsts.filter("first < last").select(*run, "first", "n"))
-    return salted_join(rows, firsts, run, ["key", "start"]).filter(spot > F.col("first")).select("key", "places")
+    one = F.struct(F.array("x0.at").alias("places"), F.col("x0.a").alias("fp"), F.col("x0.a").alias("a"), F.col("x0.b").alias("b"))
+    if window == 1:
+        found = F.array(one)
+    else:
+        whole = _hash(F.lit(window), *(x["a"] for x in held), *(x["b"] for x in held))
+        run = F.struct(F.array(*(x["at"] for x in held)).alias("places"), F.least(*(x["a"] for x in held)).alias("fp"), whole["a"].alias("a"), whole["b"].alias("b"))
+        full = F.col(f"x{window - 1}").isNotNull()
+        found = F.when(full & F.col("x0.long"), F.array(one, run)).when(full, F.array(run)).when(F.col("x0.long"), F.array(one))
+    return rows.select("id", "twin", F.col("x0.at").alias("start"), F.explode(found).alias("r")).select("id", "twin", "start", "r.*")
 
 
 def repeated_lines(docs: DataFrame, window: int = 1, long_words: int = LONG_WORDS) -> DataFrame:
     """key, gone: per document the places of the lines that go. Documents without any are left out."""
-    if window == 1:
-        rows = hashed_lines(docs, long_words).select("key", F.col("at").alias("start"), F.array("at").alias("places"), F.col("h").alias("run"))
-        later = _later(rows, ["run"])
-    else:
-        marks = fingerprints(docs, window, long_words)
-        often = cut(marks.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1"))
-        runs = salted_join(marks, often, ["fp"], ["key", "runs"]).select("key", F.explode("runs").alias("r")).select("key", "r.*")
-        later = _later(runs.withColumn("length", F.size("places")), ["run", "length"])
-    return later.select("key", F.explode("places").alias("i")).groupBy("key").agg(F.collect_set("i").alias("gone"))
+    rows = cut(runs(docs, window, long_words))
+    most = rows.count() // HOT + 1
+    hot = cut(rows.groupBy("fp").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("fp"))
+    run, spot = ["fp", "a", "b"], ["id", "twin", "start"]
+    order = Window.partitionBy("fp").orderBy("a", "b", *spot)
+    cold = rows.join(F.broadcast(hot), "fp", "left_anti")
+    before = lambda c: F.lag(c).over(order) == F.col(c)
+    later = cold.withColumn("again", before("a") & before("b")).filter("again").select("id", "twin", "places")
+    common = rows.join(F.broadcast(hot), "fp")
+    firsts = common.groupBy(*run).agg(F.min(F.struct(*spot)).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    firsts = cut(firsts.select(*run, "first", "n"))
+    later = later.unionByName(salted_join(common, firsts, run, spot).filter(F.struct(*spot) > F.col("first")).select("id", "twin", "places"))
+    gone = later.select("id", "twin", F.explode("places").alias("i")).groupBy("id", "twin").agg(F.collect_set("i").alias("gone"))
+    return gone.select(F.struct("id", "twin").alias("key"), "gone")
 
 
 def dedup_lines(docs: DataFrame, window: int = 1, long_words: int = LONG_WORDS) -> DataFrame:

@@ -101,8 +101,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select("doc_id", id_key().alias("key"), twin_key().alias("twin"), text_or_empty().alias("text"))
     rows = rows.withColumn("bucket", _ranges(rows, 4 * parts(docs.sparkSession))).withColumn("guest", F.lit(False))
-    top = F.min(F.struct((-F.col("key")).alias("down"), F.col("twin").alias("twin")))
-    firsts = sorted((b, -x.down, x.twin) for b, x in rows.groupBy("bucket").agg(top).collect())  # a row per range
+    top = F.min(F.struct(F.bitwise_not("key").alias("down"), F.col("twin").alias("twin")))
+    firsts = sorted((b, ~x.down, x.twin) for b, x in rows.groupBy("bucket").agg(top).collect())  # a row per range
     if not firsts:
         return rows.select("doc_id", "text", F.lit("").alias("next_text"))
     below = [(key, twin, b) for (b, _, _), (_, key, twin) in zip(firsts, [firsts[-1], *firsts[:-1]], strict=True)]

@@ -54,7 +54,7 @@ def test_decontamination_of_awkward_rows(spark, awkward, nothing):
     assert decontam.contaminated(awkward, none).count() == 0
     assert [tuple(r)[:2] for r in decontam.contaminated(awkward, some).collect()] == [(None, 1)]
     left = decontam.decontaminate(awkward, some)
-    assert left.columns == awkward.columns and left.count() == awkward.count() - 2
+    assert left.columns == awkward.columns and left.count() == awkward.count() - 1  # the other row without a doc_id stays
     assert decontam.decontaminate(nothing, some).count() == 0
 
 
@@ -183,7 +183,7 @@ def test_pipeline_stages(spark, awkward, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         after = stage(spark, docs, str(tmp_path))
         assert after.columns == docs.columns, name
-        assert after.schema == docs.schema or name
+        assert [(f.name, f.dataType) for f in after.schema.fields] == [(f.name, f.dataType) for f in docs.schema.fields], name
         docs = after
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert 0 < len(rows) <= awkward.count()
