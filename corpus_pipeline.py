@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages; part of the subpackage llm.
 
-documents -> without those that the quality classifier rejects -> without repeated lines -> one
-document of each group of near copies -> without documents that hold benchmark items -> tokens.
+documents -> without those that the quality classifier rejects -> without repeated lines, and without
+documents that consist of them -> one document of each group of near copies -> without documents
+that hold benchmark items -> tokens.
 Every stage works on all rows that the one before kept, written as Parquet and read again, and
 returns the columns of documents; the last returns what encoding gives.
 """
@@ -23,15 +24,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that repeat an earlier run; n_chars follows the text."""
-    found = lines.dedup_lines(docs).withColumnRenamed("text", "left_over")
+    """Documents without the lines that repeat an earlier run; n_chars follows the text.
+
+    A document that had words and has none left goes: all of it was said before. One without words stays.
+    """
+    found = lines.dedup_lines(docs, lines.WINDOW, lines.LONG_WORDS).withColumnRenamed("text", "left_over")
+    blank = lambda c: ~F.coalesce(c.cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    found = found.filter(blank(F.col("row.text")) | ~blank(F.col("left_over")))
     columns = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("text", "n_chars")]
     n_chars = F.coalesce(F.length("left_over"), F.lit(0)).cast("long").alias("n_chars")
     return found.select(*columns, F.col("left_over").alias("text"), n_chars).select(docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near copies, and all documents in no group."""
+    """The smallest doc_id of each group of near copies, and all documents in no group, among them those without words."""
     return jaccard.keep_one(docs)
 
 
