@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df written to spark.checkpoint.dir and read back; a folder in /tmp serves where that is unset, as in tests."""
+    """df written to spark.checkpoint.dir and read back.
+
+    Where that is unset a folder of this machine serves if Spark runs in one process, as in tests;
+    on a cluster it would be lost with an executor, so there it is an error.
+    """
     spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     # Spark 4.1 may take a union's parts for partitioned alike after they have been coalesced apart; joins of it then fail
+    before = spark.conf.get("spark.sql.unionOutputPartitioning")
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/checkpoints"))
-    return df.checkpoint(eager=True)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.unionOutputPartitioning", before)

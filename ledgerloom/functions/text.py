@@ -2,14 +2,33 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import vocabulary as V
 
-#: Letters with marks that Portuguese uses, and what they are without.
-MARKED = "ÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑáàâãäéèêëíìîïóòôõöúùûüçñ"
-PLAIN = "AAAAAEEEEIIIIOOOOOUUUUCNaaaaaeeeeiiiiooooouuuucn"
+
+@cache
+def _folds() -> tuple[dict[str, str], dict[str, str], str]:
+    """Code points whose compatibility decomposition without marks is one other code point, those where it is several, and the marks themselves.
+
+    Hangul stays composed, as its parts are letters and not marks.
+    """
+    one, several, marks = {}, {}, []
+    for number in range(0x80, 0x30000):
+        c = chr(number)
+        if 0xAC00 <= number <= 0xD7A3 or 0xD800 <= number <= 0xDFFF:
+            continue
+        if unicodedata.combining(c):
+            marks.append(c)
+            continue
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if plain != c:
+            (one if len(plain) == 1 else several)[c] = plain
+    return one, several, "".join(marks)
 
 
 def strip(text: Column) -> Column:
@@ -49,11 +68,20 @@ def snippet(text: Column, start: Column, end: Column, radius: int = 90) -> Colum
 
 
 def without_marks(text: Column) -> Column:
-    return F.translate(text, MARKED, PLAIN)
+    """Every code point's compatibility decomposition without its marks, in any script.
+
+    Nearly all texts need one lookup per code point; only a text that holds a code point with
+    several letters in it (a ligature, a fraction) is put together from pieces.
+    """
+    one, several, marks = _folds()
+    plain = F.translate(text, "".join(one) + marks, "".join(one.values()))
+    spread = F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in several.items())), F.lit("\x02"), F.lit("\x01"))
+    pieces = F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(spread, c), c))
+    return F.when(F.length(F.translate(plain, "".join(several), "")) < F.length(plain), F.array_join(pieces, "")).otherwise(plain)
 
 
 def nominal_key(text: Column) -> Column:
-    """Upper case without marks, everything but A-Z and 0-9 one space. Marks outside Latin letters stay apart."""
+    """Upper case without marks, everything but A-Z and 0-9 one space."""
     return strip(F.regexp_replace(F.upper(without_marks(text)), "[^A-Z0-9]+", " "))
 
 
@@ -102,3 +130,9 @@ def portable_uri(path: Column, root: str, sha256: Column) -> Column:
 def run_key(kind: str, *hashes: Column) -> Column:
     """Names a run by its inputs' bytes, so the same input gives the same run."""
     return F.concat_ws(":", F.lit(kind), *hashes)
+
+
+def utc_stamp(time: Column, micros: bool = False) -> Column:
+    """ISO text of a time in UTC, to the second or the microsecond; the session's zone doesn't matter."""
+    utc = F.to_utc_timestamp(time, F.current_timezone())
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'" if micros else "yyyy-MM-dd'T'HH:mm:ss'+00:00'")

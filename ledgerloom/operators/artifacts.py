@@ -48,11 +48,12 @@ def stale(artifacts: DataFrame, tool: str, version: str) -> DataFrame:
     return artifacts.filter((F.col("tool") == tool) & ~F.col("tool_version").eqNullSafe(F.lit(version)))
 
 
-def first_violation(rows: DataFrame, keys: list[str], checks: dict[str, Column]) -> DataFrame:
-    """keys, path, message: of each row that breaks a check the first path in order."""
+def first_violation(rows: DataFrame, keys: list[str], checks: dict[str, Column], contract: str | None = None) -> DataFrame:
+    """keys, path, message (with the contract's name, if given): of each row that breaks a check the first path in order."""
     broken = F.array_compact(F.array(*[F.when(~F.coalesce(c, F.lit(False)), F.lit(p)) for p, c in sorted(checks.items())]))
     found = rows.select(*keys, F.try_element_at(broken, F.lit(1)).alias("path")).filter("path is not null")
-    return found.withColumn("message", F.concat(F.lit("Contrato inválido em "), "path"))
+    name = f"Contrato '{contract}' inválido em " if contract else "Contrato inválido em "
+    return found.withColumn("message", F.concat(F.lit(name), "path"))
 
 
 def counts_in_order(rows: DataFrame, kind: str, first_seen: str) -> DataFrame:

@@ -6,10 +6,11 @@ are made by that value, so a common one is pre-aggregated before its rows meet.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
+from ledgerloom.operators.mentions import in_order
 
 RULES = {"process": "same_scoped_process_identifier_v1", "legal_organization": "same_valid_cnpj_v1"}
 
@@ -48,22 +49,30 @@ def identifiers(found: DataFrame) -> DataFrame:
     )
 
 
+def _material(found: DataFrame) -> DataFrame:
+    return found.filter(F.col("entity_type").isin(*RULES) & F.col("valid"))
+
+
+def _entity() -> dict[str, Column]:
+    """What a material value alone says of its entity, so that no fragment has to be joined with it."""
+    organisation = F.col("entity_type") == "legal_organization"
+    return {
+        "display_name": F.when(organisation, F.concat(F.lit("CNPJ "), "value")).otherwise(F.col("value")),
+        "materiality_basis": F.when(organisation, "U").otherwise("S"),
+        "created_by_rule": F.when(organisation, RULES["legal_organization"]).otherwise(RULES["process"]),
+    }
+
+
 def canonical(found: DataFrame) -> DataFrame:
     """doc_id, entity_type, value, display_name, materiality_basis, created_by_rule: one per process number and valid identifier."""
-    rows = found.filter(F.col("entity_type").isin(*RULES) & F.col("valid")).select("doc_id", "entity_type", "value").distinct()
-    organisation = F.col("entity_type") == "legal_organization"
-    return rows.select(
-        "*", F.when(organisation, F.concat(F.lit("CNPJ "), "value")).otherwise(F.col("value")).alias("display_name"),
-        F.when(organisation, "U").otherwise("S").alias("materiality_basis"),
-        F.when(organisation, RULES["legal_organization"]).otherwise(RULES["process"]).alias("created_by_rule"),
-    )
+    return _material(found).select("doc_id", "entity_type", "value").distinct().withColumns(_entity())
 
 
 def links(found: DataFrame) -> DataFrame:
-    """One link per fragment with a material value, to the entity of that value."""
-    entities = canonical(found).select("doc_id", "entity_type", "value", F.col("created_by_rule").alias("reason"))
-    rows = found.filter(F.col("valid")).join(entities, ["doc_id", "entity_type", "value"])
-    return rows.select("doc_id", "entity_type", "value", "block_id", "page", "start", "end", "label", "source_kind", F.lit("AUTO_LINK").alias("decision"), "reason", F.array("reason", F.lit("no_observed_divergence")).alias("rules"))
+    """One link per fragment with a material value, to the entity of that value (named by doc_id, entity_type, value)."""
+    entity = _entity()
+    rows = _material(found).withColumn("reason", entity["created_by_rule"]).withColumn("display_name", entity["display_name"])
+    return rows.select("doc_id", "entity_type", "value", "display_name", "block_id", "page", "start", "end", "label", "source_kind", F.lit("AUTO_LINK").alias("decision"), "reason", F.array("reason", F.lit("no_observed_divergence")).alias("rules"))
 
 
 def candidate_groups(found: DataFrame, least: int = 2) -> DataFrame:
@@ -91,3 +100,12 @@ def identity_counts(found: DataFrame) -> DataFrame:
         total((F.col("entity_type") == "legal_organization") & ~F.col("linked")).alias("resolution_cases"),
         total(~F.col("linked")).alias("unlinked_fragments"), F.count_if(name & (n >= 2)).alias("candidate_groups"),
     )
+
+
+def numbered_canonical(entities: DataFrame) -> DataFrame:
+    """Canonical entities with id: process numbers by value, then identifiers by value."""
+    return entities.withColumn("id", in_order([F.col("entity_type") != "process", "value"], "canonical", 6))
+
+
+def numbered_candidates(groups: DataFrame) -> DataFrame:
+    return groups.withColumn("id", in_order(["entity_type", "candidate_key"], "candidate", 6))

@@ -99,6 +99,10 @@ def is_span(start: str = "start", end: str = "end") -> Column:
     return (F.col(start) >= 0) & (F.col(start) < F.col(end))
 
 
+def is_box(c: str) -> Column:
+    return F.size(c) == 4
+
+
 def is_page_range(start: str = "start_page", end: str = "end_page") -> Column:
     return (F.col(start) > 0) & (F.col(end) >= F.col(start))
 

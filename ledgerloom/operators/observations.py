@@ -5,12 +5,13 @@ assigned: what segmentation gives. Every span is exact: substring(text, start +
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
 from ledgerloom.functions import vocabulary as V
 from ledgerloom.functions.spans import Rule, extract
+from ledgerloom.operators.mentions import in_order
 
 METHODS = {"cnpj": "cnpj_checksum_v1", "monetary_value": "brl_literal_v1", "norm": "norm_literal_v1"}
 
@@ -45,15 +46,20 @@ def actions(assigned: DataFrame) -> DataFrame:
     return _actions(assigned).select("doc_id", "item", "block_id", "page", "n", "verb", F.col("value").alias("value_original"), "start", "end")
 
 
-def _persons(assigned: DataFrame) -> DataFrame:
-    """The name right behind an action, and what stands between its comma and the next."""
+def _persons(actions_: DataFrame, only: bool = True) -> DataFrame:
+    """The name right behind an action (rows of extract), and what stands between its comma and the next; has_name and has_position.
+
+    only: rows without a name are left out.
+    """
     rest = F.substring("text", F.col("end") + 1, F.length("text"))
-    rows = _actions(assigned).withColumn("lead", F.regexp_extract(rest, V.PERSON, 1)).withColumn("raw", F.regexp_extract(rest, V.PERSON, 2))
-    rows = rows.withColumn("name", T.normalize_spaces(F.col("raw"))).filter("raw <> ''")
-    barred = F.upper("name") != F.col("name")
+    rows = actions_.withColumn("lead", F.regexp_extract(rest, V.PERSON, 1)).withColumn("raw", F.regexp_extract(rest, V.PERSON, 2))
+    rows = rows.withColumn("name", T.normalize_spaces(F.col("raw")))
+    barred = (F.col("raw") == "") | (F.upper("name") != F.col("name"))
     for word in V.NO_PERSON:
         barred = barred | F.col("name").startswith(word)
-    rows = rows.filter(~barred).withColumn("name_start", F.col("end") + F.length("lead")).withColumn("name_end", F.col("end") + F.length("lead") + F.length("raw"))
+    rows = rows.withColumn("has_name", ~barred)
+    rows = rows.filter("has_name") if only else rows
+    rows = rows.withColumn("name_start", F.col("end") + F.length("lead")).withColumn("name_end", F.col("end") + F.length("lead") + F.length("raw"))
     comma = F.instr(F.substring("text", F.col("name_end") + 2, F.length("text")), ",")
     rows = rows.withColumn("gap", F.when(comma > 1, F.substring("text", F.col("name_end") + 2, comma - 1)))
     left = F.length("gap") - F.length(F.regexp_replace("gap", r"(?U)^\s+", ""))
@@ -76,7 +82,7 @@ def entities(assigned: DataFrame) -> DataFrame:
         "doc_id", F.lit("organization").alias("entity_type"), F.col("text").alias("value_original"), F.col("text").alias("value_normalized"), F.lit("editorial_context").alias("role"),
         nothing.alias("item"), "block_id", "page", "n", F.lit(0).alias("start"), F.length("text").alias("end"), nothing.alias("action_start"), F.lit("editorial_heading_v1").alias("method"),
     )
-    rows = _persons(assigned)
+    rows = _persons(_actions(assigned))
     pair = lambda kind, value, role, start, end, method: F.struct(F.lit(kind).alias("entity_type"), value.alias("value_original"), T.normalize_spaces(value).alias("value_normalized"), F.lit(role).alias("role"), start.alias("s"), end.alias("e"), F.lit(method).alias("method"))
     person = pair("person", F.col("name"), "subject_of", F.col("name_start"), F.col("name_end"), "person_after_action_v1")
     position = pair("position", F.col("position"), "current_position_of", F.col("position_start"), F.col("position_start") + F.length("position"), "position_after_person_v1")
@@ -86,19 +92,45 @@ def entities(assigned: DataFrame) -> DataFrame:
     return organisations.unionByName(rest)
 
 
+def numbered_actions(found: DataFrame) -> DataFrame:
+    """Actions with id, in the order of the text."""
+    return found.withColumn("id", in_order(["n", "start"], "action", 6))
+
+
+def numbered_references(found: DataFrame) -> DataFrame:
+    """References with id: block by block, and in a block kind by kind."""
+    kind = F.array_position(F.array(*map(F.lit, METHODS)), F.col("reference_type"))
+    return found.withColumn("id", in_order(["n", kind, "start"], "reference", 6))
+
+
+def numbered_provisions(found: DataFrame) -> DataFrame:
+    return found.withColumn("id", in_order(["n", "start"], "provision", 6))
+
+
+def entity_order() -> list[Column]:
+    """Headings first, then what actions name, each in the order of the text."""
+    return [F.col("item").isNotNull(), F.col("n"), F.coalesce("action_start", F.lit(-1)), F.col("start")]
+
+
+def numbered_entities(found: DataFrame) -> DataFrame:
+    return found.withColumn("id", in_order(entity_order(), "entity", 6))
+
+
 def semantic_counts(assigned: DataFrame) -> DataFrame:
-    """doc_id and its ten counters. Each part is aggregated by document before they meet."""
-    from ledgerloom.operators.segmentation import items
-
-    base = assigned.groupBy("doc_id").agg(
-        F.count("*").alias("blocks_total"),
-        F.count_if(F.col("category") == "section_heading").alias("sections"),
-        F.max("context").cast("long").alias("contexts"),
-    )
-    kinds = items(assigned).groupBy("doc_id").agg(
-        F.count("*").alias("published_items"), F.count_if(F.col("start_page") != F.col("end_page")).alias("multi_page_items"), F.count_if(F.col("item_type") == "unclassified").alias("unclassified_items")
-    )
-    out = base.join(kinds, "doc_id", "left")
-    for name, rows in (("actions", actions(assigned)), ("entity_mentions", entities(assigned)), ("provisions", provisions(assigned)), ("references", references(assigned))):
-        out = out.join(rows.groupBy("doc_id").agg(F.count("*").alias(name)), "doc_id", "left")
-    return out.na.fill(0)
+    """doc_id and its ten counters: blocks are grouped by item and then by document, and matches of all rules are found in one pass."""
+    by_item = assigned.groupBy("doc_id", "item").agg(
+        F.count("*").alias("n"), F.count_if(F.col("category") == "section_heading").alias("sections"), F.max("context").alias("contexts"),
+        (F.min("page") != F.max("page")).alias("multi"), F.bool_or(F.col("begins") & F.col("title")).alias("titled"), F.count_if(F.col("context") > 0).alias("heads"),
+    )
+    real = F.col("item") > 0
+    base = by_item.groupBy("doc_id").agg(
+        F.sum("n").alias("blocks_total"), F.sum("sections").alias("sections"), F.max("contexts").cast("long").alias("contexts"),
+        F.count_if(real).alias("published_items"), F.count_if(real & F.col("multi")).alias("multi_page_items"), F.count_if(real & ~F.col("titled")).alias("unclassified_items"),
+        F.sum("heads").alias("heads"),
+    )
+    found = _persons(extract(_blocks(assigned), "text", [Rule(k, V.PATTERNS[k]) for k in (*METHODS, "article", "action")]), False)
+    is_ = lambda rule: F.col("rule") == rule
+    named = F.when(is_("action") & F.col("has_name"), 1 + F.col("has_position").cast("int")).otherwise(0)
+    counts = found.groupBy("doc_id").agg(F.count_if(is_("action")).alias("actions"), F.sum(named).alias("named"), F.count_if(is_("article")).alias("provisions"), F.count_if(F.col("rule").isin(*METHODS)).alias("references"))
+    out = base.join(counts, "doc_id", "left").na.fill(0)
+    return out.withColumn("entity_mentions", F.col("heads") + F.col("named")).drop("heads", "named")

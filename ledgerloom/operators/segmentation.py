@@ -3,15 +3,20 @@
 blocks: doc_id, page, ord, block_id, text, role, noise. What a block is by itself, what follows it
 and the sections are expressions and windows. Only what depends on the decision before it (is this
 block a context or part of an item, does it join the heading before it, which headings are open) is
-a loop over a document's rows, in a small pandas function; a document is the unit, so documents
-spread over tasks. Items, contexts and their texts are windows and groups again.
+a loop over rows, in one pass over partitions sorted by document and place; the rows pass through it,
+so nothing is joined back, and only headings' texts are looked at. Items, contexts and their texts
+are groups again.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions import vocabulary as V
 
@@ -70,50 +75,71 @@ def flags(blocks: DataFrame) -> DataFrame:
 _KIND = "case when noise then 'noise' when opens then 'section_heading' when section is null and page = 1 then 'summary' when section is null then 'front_matter' when header then 'publication_header' when imprint then 'publication_metadata' else 'live' end"
 
 
-def _decide(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Context or item of each live block of one document, in order."""
-    pdf = pdf.sort_values("n")
-    out = []
-    item, after_context, page, level, label = False, False, None, 0, ""
-    crumb: list[str] = []
-    contexts = items = 0
-    columns = [pdf[c].tolist() for c in ("kind", "page", "text", "role", "title", "start", "more", "leads", "organisation")]
-    for kind, at, text, role, title, start, more, leads, organisation in zip(*columns, strict=True):
-        if kind == "section_heading":
-            item, crumb = False, []
+@dataclass
+class _Document:
+    """What a block's decision depends on: the blocks of its document before it."""
+
+    item: bool = False
+    after_context: bool = False
+    page: int | None = None
+    level: int = 0
+    label: str = ""
+    crumb: list[str] = field(default_factory=list)
+    contexts: int = 0
+    items: int = 0
+
+    def decide(self, kind: str, page: int, role: str, title: bool, start: bool, more: bool, leads: bool, organisation: bool, text: str | None) -> tuple:
+        """(context, item, begins, breadcrumb) of the next block; text is there for those that may be headings."""
         if kind != "live":
-            after_context = False
-            out.append((0, 0, False, None))
-            continue
-        joins = after_context and page == at
-        heading = (more if joins else start) and (leads or not item)
-        if heading:
-            item = False
-            depth = {"h1": 1, "h2": 2}.get(role, 3)
-            if joins and depth == level and not organisation and len(label) + 1 + len(text) <= TITLE_CUT:
-                label = f"{label} {text}"
-                crumb = [*crumb[:-1], label]
-            else:
-                contexts, level, label, page = contexts + 1, depth, text, at
-                crumb = [*crumb[: depth - 1], text]
-            out.append((contexts, 0, False, crumb))
+            if kind == "section_heading":
+                self.item, self.crumb = False, []
+            self.after_context = False
+            return 0, 0, False, None
+        joins = self.after_context and self.page == page
+        self.after_context = (more if joins else start) and (leads or not self.item)
+        if not self.after_context:
+            begins = title or not self.item
+            self.items, self.item = self.items + begins, True
+            return 0, self.items, begins, self.crumb if begins else None
+        self.item = False
+        depth = {"h1": 1, "h2": 2}.get(role, 3)
+        if joins and depth == self.level and not organisation and len(self.label) + 1 + len(text) <= TITLE_CUT:
+            self.label = f"{self.label} {text}"
+            self.crumb = [*self.crumb[:-1], self.label]
         else:
-            begins = title or not item
-            items += begins
-            item = True
-            out.append((0, items, begins, crumb if begins else None))
-        after_context = heading
-    found = pd.DataFrame(out, columns=["context", "item", "begins", "breadcrumb"])
-    return pd.concat([pdf[["doc_id", "n"]].reset_index(drop=True), found], axis=1)
+            self.contexts, self.level, self.label, self.page = self.contexts + 1, depth, text, page
+            self.crumb = [*self.crumb[: depth - 1], text]
+        return self.contexts, 0, False, self.crumb
+
+
+_SEEN = ("kind", "page", "role", "title", "start", "more", "leads", "organisation", "heading")
+_FOUND = {"context": pa.int32(), "item": pa.int32(), "begins": pa.bool_(), "breadcrumb": pa.list_(pa.string())}
+
+
+def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows sorted by document and n, with what is found instead of start, more, organisation and heading."""
+    known, document = None, _Document()
+    for batch in batches:
+        out = []
+        for doc_id, *seen in zip(*(batch.column(c).to_pylist() for c in ("doc_id", *_SEEN)), strict=True):
+            if (doc_id,) != known:
+                known, document = (doc_id,), _Document()
+            out.append(document.decide(*seen))
+        batch = batch.drop_columns(["start", "more", "organisation", "heading"])
+        made = [pa.array(c, type=t) for c, t in zip(zip(*out, strict=True), _FOUND.values(), strict=True)] if out else [pa.array([], type=t) for t in _FOUND.values()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *_FOUND])
 
 
 def assign(blocks: DataFrame) -> DataFrame:
     """Every block once, with category, section, context, item (numbers from 1 in the document, else 0), begins and breadcrumb."""
     rows = flags(blocks).withColumn("kind", F.expr(_KIND))
-    slim = rows.select("doc_id", "n", "kind", "page", "text", "role", "title", "start", "more", "leads", F.col("text").rlike(V.ORGANISATION).alias("organisation"))
-    kind = blocks.schema["doc_id"].dataType.simpleString()
-    found = slim.groupBy("doc_id").applyInPandas(_decide, f"doc_id {kind}, n int, context int, item int, begins boolean, breadcrumb array<string>")
-    out = rows.drop("start", "more", "leads", "roman", "opens", "header", "imprint").join(found, ["doc_id", "n"])
+    heading = F.when(F.col("start") | F.col("more"), F.col("text"))
+    rows = rows.withColumn("heading", heading).withColumn("organisation", F.coalesce(F.col("heading").rlike(V.ORGANISATION), F.lit(False)))
+    # the windows of flags leave each document in one partition, and a sort inside partitions moves no row elsewhere
+    rows = rows.drop("roman", "opens", "header", "imprint").sortWithinPartitions("doc_id", "n")
+    kept = [x for x in rows.schema.fields if x.name not in ("start", "more", "organisation", "heading")]
+    found = [T.StructField("context", T.IntegerType()), T.StructField("item", T.IntegerType()), T.StructField("begins", T.BooleanType()), T.StructField("breadcrumb", T.ArrayType(T.StringType()))]
+    out = rows.mapInArrow(_decided, T.StructType([*kept, *found]))
     category = F.when(F.col("kind") != "live", F.col("kind")).when(F.col("context") > 0, "editorial_context").otherwise("published_item")
     return out.withColumn("category", category).drop("kind")
 

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
+from ledgerloom.operators import identity
+from ledgerloom.operators.mentions import in_order
+from ledgerloom.operators.observations import entity_order
 
 
 def published_items(items: DataFrame, sections: DataFrame) -> DataFrame:
@@ -32,14 +35,17 @@ def action_entities(actions: DataFrame, entities: DataFrame, items: DataFrame) -
     return acts.join(people, ["doc_id", "block_id", "a_start"]).join(items.select("doc_id", "item", F.col("title").alias("item_title")), ["doc_id", "item"]).select("doc_id", "item", "item_title", "verb", "entity_type", "entity_value", "participant_role", "page", "block_id", "start", "end")
 
 
-def material_entities(canonical: DataFrame, links: DataFrame) -> DataFrame:
-    """Canonical entities with the number of fragments linked, 0 too; links are counted before they are joined."""
-    counts = links.groupBy("doc_id", "entity_type", "value").agg(F.count("*").alias("n"))
-    return canonical.join(counts, ["doc_id", "entity_type", "value"], "left").select("doc_id", "entity_type", "display_name", "materiality_basis", "created_by_rule", F.coalesce("n", F.lit(0)).alias("fragment_count"))
+def material_entities(found: DataFrame) -> DataFrame:
+    """Canonical entities with the number of fragments linked: links counted by the entity that they name."""
+    entity = ["doc_id", "entity_type", "display_name"]
+    rows = identity.links(found).groupBy(*entity, "reason").agg(F.count("*").alias("fragment_count"))
+    basis = F.when(F.col("entity_type") == "legal_organization", "U").otherwise("S").alias("materiality_basis")
+    return rows.select(*entity, basis, F.col("reason").alias("created_by_rule"), "fragment_count")
 
 
-def identity_evidence(links: DataFrame, canonical: DataFrame) -> DataFrame:
-    return links.join(canonical.select("doc_id", "entity_type", "value", "display_name"), ["doc_id", "entity_type", "value"]).select("doc_id", "entity_type", "display_name", "label", "source_kind", "page", "block_id", "start", "end", "decision", "reason")
+def identity_evidence(links: DataFrame) -> DataFrame:
+    """Every link with its entity's name and its fragment's place."""
+    return links.select("doc_id", "entity_type", "display_name", "label", "source_kind", "page", "block_id", "start", "end", "decision", "reason")
 
 
 def review_queue(cases: DataFrame) -> DataFrame:
@@ -50,46 +56,57 @@ def review_queue(cases: DataFrame) -> DataFrame:
 
 
 def entity_groups(entities: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, entity_type, name, occurrences, item_ids (sorted, distinct).
+    """doc_id, entity_type, name, id, occurrences (array, in order), item_ids (sorted, distinct).
 
     An organisation also belongs to every item under its heading: breadcrumbs are exploded, so the
-    containment is an equi-join.
+    containment is an equi-join. Groups are numbered by their first occurrence.
     """
     key = ["doc_id", "entity_type", F.col("value_normalized").alias("name")]
-    own = entities.select(*key, "item", F.lit(1).alias("occurrence"))
+    place = F.struct(*(x.alias(f"o{i}") for i, x in enumerate(entity_order())), "block_id", "page", "start", "end", "role", "method", "item")
+    own = entities.select(*key, "item", place.alias("x"))
     under = items.select("doc_id", "item", F.explode(F.array_distinct("breadcrumb")).alias("name"))
     names = entities.filter(F.col("entity_type") == "organization").select(*key).distinct()
-    under = names.join(under, ["doc_id", "name"]).select("doc_id", "entity_type", "name", "item", F.lit(0).alias("occurrence"))
-    rows = own.unionByName(under).groupBy("doc_id", "entity_type", "name")
-    return rows.agg(F.sum("occurrence").alias("occurrences"), F.array_sort(F.collect_set("item")).alias("item_ids"))
+    under = names.join(under, ["doc_id", "name"]).select("doc_id", "entity_type", "name", "item")
+    rows = own.unionByName(under, allowMissingColumns=True).groupBy("doc_id", "entity_type", "name")
+    rows = rows.agg(F.array_sort(F.collect_list("x")).alias("x"), F.array_sort(F.collect_set("item")).alias("item_ids"))
+    occurrence = lambda x: F.struct(*(x[c].alias(c) for c in ("block_id", "page", "start", "end", "role", "method", "item")))
+    rows = rows.withColumn("id", in_order([F.col("x")[0]], "entity-group", 5))
+    return rows.select("doc_id", "entity_type", "name", "id", F.transform("x", occurrence).alias("occurrences"), "item_ids")
 
 
 def process_groups(mentions: DataFrame, assigned: DataFrame) -> DataFrame:
+    """doc_id, value, id, occurrences (array, in order), item_ids of every process number, numbered by its first mention."""
     members = assigned.filter("item > 0").select("doc_id", "block_id", "item")
-    rows = mentions.join(members, ["doc_id", "block_id"], "left").groupBy("doc_id", F.col("value_normalized").alias("value"))
-    return rows.agg(F.count("*").alias("occurrences"), F.array_sort(F.collect_set("item")).alias("item_ids"))
+    place = F.struct("page", "ord", "start", "block_id", "end", "item", F.col("rule").alias("method")).alias("x")
+    rows = mentions.join(members, ["doc_id", "block_id"], "left").select("doc_id", F.col("value_normalized").alias("value"), "item", place)
+    rows = rows.groupBy("doc_id", "value").agg(F.array_sort(F.collect_list("x")).alias("x"), F.array_sort(F.collect_set("item")).alias("item_ids"))
+    occurrence = lambda x: F.struct(*(x[c].alias(c) for c in ("block_id", "page", "start", "end", "item", "method")))
+    rows = rows.withColumn("id", in_order([F.col("x")[0]], "process", 5))
+    return rows.select("doc_id", "value", "id", F.transform("x", occurrence).alias("occurrences"), "item_ids")
 
 
 def actions_with_participant(actions: DataFrame, entities: DataFrame) -> DataFrame:
-    """Every action and the first person that it names, or null."""
-    first = entities.filter(F.col("role") == "subject_of").groupBy("doc_id", "block_id", F.col("action_start").alias("start")).agg(F.min("value_normalized").alias("participant"))
+    """Every action and the first person, in the order of entities, that it names, or null."""
+    first = entities.filter(F.col("role") == "subject_of").groupBy("doc_id", "block_id", F.col("action_start").alias("start")).agg(F.min_by("value_normalized", F.struct("n", "start")).alias("participant"))
     return actions.join(first, ["doc_id", "block_id", "start"], "left").select("doc_id", "item", "block_id", "verb", "start", "end", "participant")
 
 
-def item_links(items: DataFrame, actions: DataFrame, entities: DataFrame, references: DataFrame, provisions: DataFrame, processes: DataFrame) -> DataFrame:
-    """Per item how many actions, distinct entities, references, distinct processes and provisions; each side is grouped first."""
-    by = ["doc_id", "item"]
-    sides = [
-        actions.groupBy(by).agg(F.count("*").alias("actions")),
-        entities.filter("item is not null").groupBy(by).agg(F.count_distinct("entity_type", "value_normalized").alias("entities")),
-        references.groupBy(by).agg(F.count("*").alias("references_found")),
-        provisions.groupBy(by).agg(F.count("*").alias("provision_count")),
-        processes.groupBy(by).agg(F.count_distinct("process_number").alias("processes")),
-    ]
-    out = items.select("doc_id", "item", "title")
-    for side in sides:
-        out = out.join(side, by, "left")
-    return out.na.fill(0)
+def item_links(items: DataFrame, actions: DataFrame, references: DataFrame, provisions: DataFrame, entities: DataFrame, processes: DataFrame) -> DataFrame:
+    """doc_id, item, title, actions, entities, references, processes (sorted ids), provision_count of every item.
+
+    actions and references have an id; entities and processes are groups with id and item_ids, of
+    which those of headings' containment (item_ids without an occurrence) don't count. All sides are
+    stacked by kind and grouped once.
+    """
+    side = lambda rows, kind, id_: rows.select("doc_id", "item", F.lit(kind).alias("kind"), id_.alias("id"))
+    own = lambda rows: rows.select("doc_id", "id", F.explode(F.array_distinct(F.col("occurrences")["item"])).alias("item")).filter("item is not null")
+    rows = side(actions, "a", F.col("id")).unionByName(side(references, "r", F.col("id"))).unionByName(side(provisions, "p", F.lit(None).cast("string")))
+    rows = rows.unionByName(side(own(entities), "e", F.col("id"))).unionByName(side(own(processes), "s", F.col("id")))
+    ids = lambda kind, name: F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.col("id")))).alias(name)
+    found = rows.groupBy("doc_id", "item").agg(ids("a", "actions"), ids("e", "entities"), ids("r", "references"), ids("s", "processes"), F.count_if(F.col("kind") == "p").alias("provision_count"))
+    out = items.select("doc_id", "item", "title").join(found, ["doc_id", "item"], "left")
+    nothing = F.array().cast("array<string>")
+    return out.withColumns({c: F.coalesce(c, nothing) for c in ("actions", "entities", "references", "processes")}).na.fill(0, ["provision_count"])
 
 
 def search(rows: DataFrame, query: str, columns: list[str], facet: str | None = None, value: str | None = None, most: int | None = 150) -> DataFrame:
@@ -119,6 +136,12 @@ def related_items(groups: DataFrame, items: DataFrame, most: int = 8) -> DataFra
     return rows.join(items.select("doc_id", "item", "title"), ["doc_id", "item"])
 
 
-def first_per_group(rows: DataFrame, by: list[str], order: list, most: int) -> DataFrame:
-    """The first rows of each group; the rank prunes before the shuffle."""
-    return rows.withColumn("r_", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("r_") <= most).drop("r_")
+def member_ordinals(items: DataFrame) -> DataFrame:
+    """doc_id, item, block_id, ordinal (from 1) of every item's blocks."""
+    return items.select("doc_id", "item", F.posexplode("block_ids").alias("pos", "block_id")).select("doc_id", "item", "block_id", (F.col("pos") + 1).alias("ordinal"))
+
+
+def first_per_group(rows: DataFrame, by: list[str], order: list, most: int, place: str | None = None) -> DataFrame:
+    """The first rows of each group, with their place if asked for; the rank prunes before the shuffle."""
+    found = rows.withColumn("r_", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("r_") <= most)
+    return found.withColumnRenamed("r_", place) if place else found.drop("r_")

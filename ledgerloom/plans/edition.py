@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import text as T
 from ledgerloom.functions import vocabulary as V
 from ledgerloom.functions.storage import checkpointed
 from ledgerloom.operators import identity, mentions, observations, segmentation, views
@@ -19,13 +20,16 @@ class Edition:
 
     blocks: DataFrame
 
-    def __post_init__(self) -> None:
-        # Spark 4.1 may take a union's parts for partitioned alike after they have been coalesced apart; joins of it then fail
-        self.blocks.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
-
     def stored(self) -> Edition:
         """The same with its segmentation written to spark.checkpoint.dir, for uses that read it more than once."""
         self.__dict__["assigned"] = checkpointed(self.assigned)
+        if "text_original" not in self.blocks.columns:  # the stored rows are the blocks as well
+            self.blocks = self.assigned.select("doc_id", "page", "ord", "block_id", "text", "role", "noise")
+        return self
+
+    def stored_fragments(self) -> Edition:
+        """The same with its fragments written too, for uses that read those more than once."""
+        self.__dict__["fragments"] = checkpointed(self.fragments)
         return self
 
     @cached_property
@@ -82,6 +86,16 @@ def summary(blocks: DataFrame) -> DataFrame:
     return base.join(counts, "doc_id", "left").join(lost, "doc_id", "left").na.fill(0)
 
 
+def dry_run(manifest: DataFrame, blocks: DataFrame, mentions_: DataFrame) -> DataFrame:
+    """One report row per document of manifest (doc_id, filename, sha256): document_key, document_sha256, pages, blocks, mentions, missing_blocks."""
+    base = blocks.groupBy("doc_id").agg(F.count_distinct("page").alias("pages"), F.count("*").alias("blocks"))
+    there = blocks.select("doc_id", "block_id", F.lit(True).alias("there"))
+    found = mentions_.select("doc_id", "block_id").join(there, ["doc_id", "block_id"], "left")
+    found = found.groupBy("doc_id").agg(F.count("*").alias("mentions"), F.count_distinct(F.when(F.col("there").isNull(), F.col("block_id"))).alias("missing_blocks"))
+    rows = manifest.select("doc_id", T.edition_key(F.col("filename"))["document_key"].alias("document_key"), F.col("sha256").alias("document_sha256"))
+    return rows.join(base, "doc_id").join(found, "doc_id", "left").na.fill(0, ["mentions", "missing_blocks"])
+
+
 def against_baseline(found: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:
     """keys, name, actual, expected of counters that differ; null equals null."""
     names = [c for c in found.columns if c not in keys]

@@ -88,7 +88,7 @@ def backfill_captures(spark, sf_dir):
     return A.backfill_captures(captures, documents, blobs, policies).select("o_orderkey", "c_name", "policy")
 
 
-@query("token_index", "select token, doc_id, count(*) as occurrences from (select doc_id, unnest(regexp_extract_all(lower(strip_accents(text)), '[\\pL\\pN]+')) as token from documents where lang in ('en', 'fr', 'es')) where length(token) >= 3 group by 1, 2")
+@query("token_index", "select token, doc_id, count(*) as occurrences from (select doc_id, unnest(regexp_extract_all(lower(strip_accents(text)), '[\\pL\\pN]+')) as token from documents) group by 1, 2")
 def token_index(spark, sf_dir):
     return A.token_index(table(spark, sf_dir, "documents"))
 

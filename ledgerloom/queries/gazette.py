@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import vocabulary as V
 from ledgerloom.operators import identity, layout, mentions, observations, views
 from ledgerloom.plans import gazette
-from ledgerloom.plans.edition import Edition, summary
+from ledgerloom.plans.edition import Edition, dry_run, summary
 
 NOT_LETTER = r"[^\pL\pN_]"
 
@@ -296,7 +296,7 @@ LINKS = "links as (select f.*, created_by_rule as reason, display_name, material
 
 @query("identity_links", "select doc_id, entity_type, value, block_id, page, start, end_ as \"end\", label, source_kind, 'AUTO_LINK' as decision, reason, reason || '|no_observed_divergence' as rules from links", *OBSERVED, LINKS)
 def _(e: Edition) -> DataFrame:
-    return identity.links(e.fragments).withColumn("rules", _joined("rules"))
+    return identity.links(e.fragments).drop("display_name").withColumn("rules", _joined("rules"))
 
 
 @query("candidate_groups", "select doc_id, entity_type, value as candidate_key, count(*) as fragments, 'KEEP_SEPARATE' as decision from frags where source_kind = 'semantic_entity_mention' group by 1, 2, 3 having count(*) >= 2", *OBSERVED)
@@ -354,12 +354,12 @@ def _(e: Edition) -> DataFrame:
 
 @query("view_material_entities", "select c.doc_id, c.entity_type, c.display_name, c.materiality_basis, c.created_by_rule, count(l.value) as fragment_count from canon c left join links l on c.doc_id = l.doc_id and c.entity_type = l.entity_type and c.value = l.value group by all", *OBSERVED, LINKS)
 def _(e: Edition) -> DataFrame:
-    return views.material_entities(identity.canonical(e.fragments), identity.links(e.fragments))
+    return views.material_entities(e.fragments)
 
 
 @query("view_identity_evidence", "select doc_id, entity_type, display_name, label, source_kind, page, block_id, start, end_ as \"end\", 'AUTO_LINK' as decision, reason from links", *OBSERVED, LINKS)
 def _(e: Edition) -> DataFrame:
-    return views.identity_evidence(identity.links(e.fragments), identity.canonical(e.fragments))
+    return views.identity_evidence(identity.links(e.fragments))
 
 
 @query("view_review_queue", "select doc_id, case_type, status, divergence, recommended_decision, label, count(*) as fragment_count from cases group by all", *OBSERVED, CASES)
@@ -367,20 +367,46 @@ def _(e: Edition) -> DataFrame:
     return views.review_queue(identity.cases(e.fragments))
 
 
+GROUPS = """
+eg_o as (select *, row_number() over (partition by doc_id order by item is not null, block_id, coalesce(action_start, -1), start) as seq from ents),
+eg_g as (select doc_id, entity_type, value_normalized as name, min(seq) as seq,
+  string_agg(block_id || ':' || page || ':' || start || ':' || end_ || ':' || role || ':' || method || ':' || coalesce(cast(item as varchar), '-'), '|' order by seq) as occurrences from eg_o group by 1, 2, 3),
+groups as (select *, 'entity-group-' || lpad(cast(row_number() over (partition by doc_id order by seq) as varchar), 5, '0') as id from eg_g)"""
+PROCESSES = """
+pg_m as (select m.*, a.item as in_item, row_number() over (partition by m.doc_id order by m.page, m.ord, m.start) as seq from mentions m left join assigned a on m.doc_id = a.doc_id and m.block_id = a.block_id),
+pg_g as (select doc_id, value_normalized as value, min(seq) as seq, string_agg(block_id || ':' || page || ':' || start || ':' || end_ || ':' || case when in_item > 0 then cast(in_item as varchar) else '-' end || ':' || rule, '|' order by seq) as occurrences,
+  coalesce(array_to_string(list_sort(list_distinct(list(in_item) filter (where in_item > 0))), '|'), '') as item_ids from pg_m group by 1, 2),
+processes as (select *, 'process-' || lpad(cast(row_number() over (partition by doc_id order by seq) as varchar), 5, '0') as id from pg_g)"""
+NUMBERED = """
+n_acts as (select *, 'action-' || lpad(cast(row_number() over (partition by doc_id order by n, start) as varchar), 6, '0') as id from acts),
+n_refs as (select *, 'reference-' || lpad(cast(row_number() over (partition by doc_id order by n, case reference_type when 'cnpj' then 1 when 'monetary_value' then 2 else 3 end, start) as varchar), 6, '0') as id from refs),
+n_prov as (select *, 'provision-' || lpad(cast(row_number() over (partition by doc_id order by n, start) as varchar), 6, '0') as id from provisions),
+n_ents as (select *, 'entity-' || lpad(cast(row_number() over (partition by doc_id order by item is not null, block_id, coalesce(action_start, -1), start) as varchar), 6, '0') as id from ents)"""
+
+
+def _flat(*fields: str):
+    """Occurrences as text: their fields parted by colons, one behind the other."""
+    part = lambda x: F.concat_ws(":", *(F.coalesce(x[c].cast("string"), F.lit("-")) for c in fields))
+    return F.array_join(F.transform("occurrences", part), "|")
+
+
 @query(
     "explorer_entities",
-    """select doc_id, entity_type, name, sum(o) as occurrences, coalesce(array_to_string(list_sort(list_distinct(list(item) filter (where item is not null))), '|'), '') as item_ids from (
-  select doc_id, entity_type, value_normalized as name, item, 1 as o from ents
-  union all select distinct e.doc_id, e.entity_type, e.value_normalized, i.item, 0 from ents e join full_items i on e.doc_id = i.doc_id and list_contains(i.breadcrumb, e.value_normalized) where e.entity_type = 'organization') group by 1, 2, 3""",
-    *OBSERVED,
-)
+    """select g.doc_id, g.entity_type, g.name, g.id, g.occurrences, coalesce(x.item_ids, '') as item_ids from groups g left join (select doc_id, entity_type, name, array_to_string(list_sort(list_distinct(list(item) filter (where item is not null))), '|') as item_ids from (
+  select doc_id, entity_type, value_normalized as name, item from ents
+  union all select distinct e.doc_id, e.entity_type, e.value_normalized, i.item from ents e join full_items i on e.doc_id = i.doc_id and list_contains(i.breadcrumb, e.value_normalized) where e.entity_type = 'organization') group by 1, 2, 3) x
+on g.doc_id = x.doc_id and g.entity_type = x.entity_type and g.name = x.name""",
+    *OBSERVED, GROUPS,
+)
 def _(e: Edition) -> DataFrame:
-    return views.entity_groups(e.entities, e.items).withColumn("item_ids", _joined("item_ids"))
+    rows = views.entity_groups(e.entities, e.items)
+    return rows.withColumns({"occurrences": _flat("block_id", "page", "start", "end", "role", "method", "item"), "item_ids": _joined("item_ids")})
 
 
-@query("explorer_processes", "select m.doc_id, value_normalized as value, count(*) as occurrences, coalesce(array_to_string(list_sort(list_distinct(list(item) filter (where item > 0))), '|'), '') as item_ids from mentions m left join assigned a on m.doc_id = a.doc_id and m.block_id = a.block_id group by 1, 2", *OBSERVED)
+@query("explorer_processes", "select doc_id, value, id, occurrences, item_ids from processes", *OBSERVED, PROCESSES)
 def _(e: Edition) -> DataFrame:
-    return views.process_groups(e.mentions, e.assigned).withColumn("item_ids", _joined("item_ids"))
+    rows = views.process_groups(e.mentions, e.assigned)
+    return rows.withColumns({"occurrences": _flat("block_id", "page", "start", "end", "item", "method"), "item_ids": _joined("item_ids")})
 
 
 @query("explorer_actions", "select a.doc_id, a.item, a.block_id, verb, a.start, a.end_ as \"end\", min(e.value_normalized) as participant from acts a left join ents e on a.doc_id = e.doc_id and a.block_id = e.block_id and a.start = e.action_start and e.role = 'subject_of' group by all", *OBSERVED)
@@ -390,14 +416,86 @@ def _(e: Edition) -> DataFrame:
 
 @query(
     "explorer_items",
-    """select i.doc_id, i.item, i.title, coalesce(a.c, 0) as actions, coalesce(en.c, 0) as entities, coalesce(r.c, 0) as references_found, coalesce(p.c, 0) as provision_count, coalesce(pr.c, 0) as processes from full_items i
-left join (select doc_id, item, count(*) as c from acts group by 1, 2) a using (doc_id, item) left join (select doc_id, item, count(distinct entity_type || ':' || value_normalized) as c from ents group by 1, 2) en using (doc_id, item)
-left join (select doc_id, item, count(*) as c from refs group by 1, 2) r using (doc_id, item) left join (select doc_id, item, count(*) as c from provisions group by 1, 2) p using (doc_id, item)
-left join (select doc_id, item, count(distinct process_number) as c from process_items group by 1, 2) pr using (doc_id, item)""",
+    """select i.doc_id, i.item, i.title, coalesce(a.ids, '') as actions, coalesce(en.ids, '') as entities, coalesce(r.ids, '') as "references", coalesce(pr.ids, '') as processes, coalesce(p.c, 0) as provision_count from full_items i
+left join (select doc_id, item, string_agg(id, '|' order by id) as ids from n_acts group by 1, 2) a using (doc_id, item)
+left join (select doc_id, item, string_agg(id, '|' order by id) as ids from (select distinct e.doc_id, e.item, g.id from ents e join groups g on e.doc_id = g.doc_id and e.entity_type = g.entity_type and e.value_normalized = g.name) group by 1, 2) en using (doc_id, item)
+left join (select doc_id, item, string_agg(id, '|' order by id) as ids from n_refs group by 1, 2) r using (doc_id, item)
+left join (select doc_id, item, string_agg(id, '|' order by id) as ids from (select distinct m.doc_id, m.in_item as item, g.id from pg_m m join processes g on m.doc_id = g.doc_id and m.value_normalized = g.value) group by 1, 2) pr using (doc_id, item)
+left join (select doc_id, item, count(*) as c from provisions group by 1, 2) p using (doc_id, item)""",
+    *OBSERVED, GROUPS, PROCESSES, NUMBERED,
+)
+def _(e: Edition) -> DataFrame:
+    groups, processes = views.entity_groups(e.entities, e.items), views.process_groups(e.mentions, e.assigned)
+    rows = views.item_links(e.items, observations.numbered_actions(e.actions), observations.numbered_references(e.references), e.provisions, groups, processes)
+    return rows.withColumns({c: _joined(c) for c in ("actions", "entities", "references", "processes")})
+
+
+@query(
+    "emission_ids",
+    """select doc_id, id, block_id, start from n_acts union all select doc_id, id, block_id, start from n_refs union all select doc_id, id, block_id, start from n_prov union all select doc_id, id, block_id, start from n_ents""",
+    *OBSERVED, NUMBERED,
+)
+def _(e: Edition) -> DataFrame:
+    made = [observations.numbered_actions(e.actions), observations.numbered_references(e.references), observations.numbered_provisions(e.provisions), observations.numbered_entities(e.entities)]
+    rows = [x.select("doc_id", "id", "block_id", "start") for x in made]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+
+
+@query("item_ids", "select doc_id, 'item-' || lpad(cast(item as varchar), 5, '0') as id, title from full_items", *SEGMENTED)
+def _(e: Edition) -> DataFrame:
+    return e.items.select("doc_id", F.format_string("item-%05d", "item").alias("id"), "title")
+
+
+@query(
+    "canonical_ids",
+    "select doc_id, 'canonical-' || lpad(cast(row_number() over (partition by doc_id order by case entity_type when 'process' then 0 else 1 end, value) as varchar), 6, '0') as id, display_name from canon",
+    *OBSERVED,
+)
+def _(e: Edition) -> DataFrame:
+    return identity.numbered_canonical(identity.canonical(e.fragments)).select("doc_id", "id", "display_name")
+
+
+@query(
+    "candidate_ids",
+    "select doc_id, 'candidate-' || lpad(cast(row_number() over (partition by doc_id order by entity_type, value) as varchar), 6, '0') as id, value as candidate_key from (select doc_id, entity_type, value from frags where source_kind = 'semantic_entity_mention' group by 1, 2, 3 having count(*) >= 2)",
+    *OBSERVED,
+)
+def _(e: Edition) -> DataFrame:
+    return identity.numbered_candidates(identity.candidate_groups(e.fragments)).select("doc_id", "id", "candidate_key")
+
+
+@query("item_blocks", "select doc_id, item, block_id, cast(row_number() over (partition by doc_id, item order by n) as int) as ordinal from assigned where item > 0", *SEGMENTED)
+def _(e: Edition) -> DataFrame:
+    return views.member_ordinals(e.items)
+
+
+@query(
+    "first_processes",
+    "select doc_id, item, process_number, place from (select doc_id, item, process_number, row_number() over (partition by doc_id, item order by process_number) as place from (select distinct doc_id, item, process_number from process_items)) where place <= 12",
     *OBSERVED, PROCESS_ITEMS,
 )
 def _(e: Edition) -> DataFrame:
-    return views.item_links(e.items, e.actions, e.entities, e.references, e.provisions, e.process_items)
+    return views.first_per_group(e.process_items.select("doc_id", "item", "process_number").distinct(), ["doc_id", "item"], ["process_number"], 12, "place").withColumn("place", F.col("place").cast("long"))
+
+
+@query(
+    "same_document",
+    "select doc_id, count(*) as blocks from blocks group by 1",
+)
+def _(e: Edition) -> DataFrame:
+    hashes = e.blocks.groupBy("doc_id").agg(F.count("*").alias("blocks")).withColumn("sha256", F.sha2(F.col("doc_id").cast("string"), 256))
+    return identity.same_document(hashes, hashes.select("doc_id", "sha256")).drop("sha256")
+
+
+@query(
+    "dry_run",
+    """select b.doc_id, 'dodf:' || b.doc_id as document_key, sha256(cast(b.doc_id as varchar)) as document_sha256, b.pages, b.blocks, coalesce(m.c, 0) as mentions, coalesce(m.missing, 0) as missing_blocks from (select doc_id, count(distinct page) as pages, count(*) as blocks from blocks where ord % 20 <> 6 group by 1) b
+left join (select m.doc_id, count(*) as c, count(distinct case when x.block_id is null then m.block_id end) as missing from mentions m left join (select doc_id, block_id from blocks where ord % 20 <> 6) x on m.doc_id = x.doc_id and m.block_id = x.block_id group by 1) m on b.doc_id = m.doc_id""",
+    MENTIONS,
+)
+def _(e: Edition) -> DataFrame:
+    manifest = e.blocks.select("doc_id").distinct().select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")).alias("filename"), F.sha2(F.col("doc_id").cast("string"), 256).alias("sha256"))
+    return dry_run(manifest, e.blocks.filter("ord % 20 <> 6"), e.mentions)
 
 
 @query("explorer_related_items", "select g.doc_id, g.entity_type, g.name, i.item, i.title from (select doc_id, entity_type, value_normalized as name, unnest(list_sort(list_distinct(list(item)))[1:8]) as item from ents where entity_type <> 'organization' group by 1, 2, 3) g join full_items i on g.doc_id = i.doc_id and g.item = i.item", *OBSERVED)
@@ -405,10 +503,10 @@ def _(e: Edition) -> DataFrame:
     return views.related_items(views.entity_groups(e.entities.filter("entity_type <> 'organization'"), e.items), e.items)
 
 
-@query("explorer_search", "select doc_id, item, item_type, title from (select * from full_items where contains(lower(strip_accents(title || ' ' || item_type || ' ' || array_to_string(breadcrumb, ' ') || ' ' || text)), 'beltrana da conceicao') and item_type = 'portaria') order by doc_id, item limit 150", *SEGMENTED)
+@query("explorer_search", "select doc_id, item, item_type, title from (select * from full_items where contains(lower(strip_accents(title || ' ' || item_type || ' ' || array_to_string(breadcrumb, ' ') || ' ' || text)), 'sicrano avila') and item_type = 'portaria') order by doc_id, item limit 150", *SEGMENTED)
 def _(e: Edition) -> DataFrame:
     rows = e.items.select("doc_id", "item", "item_type", "title", "breadcrumb", "text")
-    return views.search(rows, "Beltrana da Conceição", ["title", "item_type", "breadcrumb", "text"], "item_type", "portaria").select("doc_id", "item", "item_type", "title")
+    return views.search(rows, "Sicrano Ávila", ["title", "item_type", "breadcrumb", "text"], "item_type", "portaria").select("doc_id", "item", "item_type", "title")
 
 
 @query("explorer_facets", "select item_type as facet, count(*) as rows from full_items group by 1", *SEGMENTED)

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import layout
+from ledgerloom.operators import layout, ledger
 
 #: Boxes as one SQL text for Spark and DuckDB: orders of a customer are pages, their items blocks.
 BOXES = """
 b_a as (select o_custkey as doc_id, o_orderkey, dense_rank() over (partition by o_custkey order by o_orderkey) as page, l_linenumber, l_partkey, l_suppkey, cast(l_quantity as int) as q,
   row_number() over (partition by o_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) as source_order from {lineitem} join {orders} on l_orderkey = o_orderkey),
 boxes as (select doc_id, cast(page as int) as page, cast(source_order as int) as source_order,
-  cast(case when l_partkey % 4 = 0 then 40 when l_partkey % 4 = 1 then 320 else 40 end as double) as x0, cast(source_order * 97 % 780 as double) as y0,
-  cast(case when l_partkey % 4 = 0 then 560 when l_partkey % 4 = 1 then 560 else 290 end as double) as x1, cast(source_order * 97 % 780 + 20 + q as double) as y1,
+  cast(case when l_partkey % 4 = 0 then 40 when l_partkey % 4 = 1 then 320 else 40 end as double) as x0, cast((source_order * 97 + 690) % 780 as double) as y0,
+  cast(case when l_partkey % 4 = 0 then 560 when l_partkey % 4 = 1 then 560 else 290 end as double) as x1, cast((source_order * 97 + 690) % 780 + 20 + q as double) as y1,
   case when l_partkey % 5 = 0 then 'Diário ' || cast(l_partkey % 2 as varchar(9)) when l_partkey % 7 = 0 then cast(page as varchar(9)) when l_partkey % 11 = 0 then 'PÁGINA 2 Diário Oficial do Distrito Federal hoje'
     when l_partkey % 13 = 0 then 'SEÇÃO II' else 'Texto corrido do bloco numero ' || cast(l_suppkey as varchar(9)) || ' com mais palavras' end as text,
   cast(case when l_suppkey % 6 = 0 then 16 when l_suppkey % 6 = 1 then 11.5 else 10 end as double) as font_size, l_suppkey % 3 = 1 as bold from b_a),
@@ -72,3 +72,15 @@ def _(boxes, sheets):
 @query("noise_counts", "select noise_reason, count(*) as blocks, count(distinct doc_id) as documents from ordered group by 1")
 def _(boxes, sheets):
     return layout.enrich(boxes, sheets).groupBy("noise_reason").agg(F.count("*").alias("blocks"), F.countDistinct("doc_id").alias("documents"))
+
+
+@query("rounded_boxes", "select doc_id, page, source_order, x0, round(y1 / 8 + 0.001, 2) as y1 from boxes")
+def _(boxes, sheets):
+    box = layout.rounded_box(F.array("x0", F.col("y1") / 8 + 0.001))
+    return boxes.select("doc_id", "page", "source_order", box[0].alias("x0"), box[1].alias("y1"))
+
+
+@query("boxes_of_four", "select 'bbox_has_four_values' as constraint_name, count(*) filter (where source_order % 3 = 0) as violations from boxes")
+def _(boxes, sheets):
+    box = F.when(F.col("source_order") % 3 == 0, F.array("x0", "y0", "x1")).otherwise(F.array("x0", "y0", "x1", "y1"))
+    return ledger.violations(boxes.withColumn("bbox", box), {"bbox_has_four_values": ledger.is_box("bbox")})

@@ -74,12 +74,12 @@ def document_hashes(spark, sf_dir):
     return docs.select("doc_id", "sha256", T.run_key("extraction", F.col("sha256")).alias("run_key"), T.run_key("conversion", F.col("sha256"), F.sha2("lang", 256)).alias("conversion_key"), T.portable_uri(path, "/root/x", F.col("sha256")).alias("uri"))
 
 
-@query("nominal_keys", "select doc_id, trim(regexp_replace(upper(strip_accents(substr(text, 1, 80))), '[^A-Z0-9]+', ' ', 'g')) as nominal_key from documents where lang in ('fr', 'es', 'en')")
+@query("nominal_keys", "select doc_id, trim(regexp_replace(upper(replace(strip_accents(text), 'ß', 'ss')), '[^A-Z0-9]+', ' ', 'g')) as nominal_key from documents")
 def nominal_keys(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.nominal_key(F.col("text")).alias("nominal_key"))
 
 
-@query("nominal_groups", "select nominal_key, count(*) as fragments, array_to_string(list_sort(list(doc_id)), '|') as doc_ids from (select doc_id, trim(regexp_replace(upper(strip_accents(text)), '[^A-Z0-9]+', ' ', 'g')) as nominal_key from documents where length(text) < 400 and lang in ('fr', 'es', 'en')) group by 1 having count(*) >= 2")
+@query("nominal_groups", "select nominal_key, count(*) as fragments, array_to_string(list_sort(list(doc_id)), '|') as doc_ids from (select doc_id, trim(regexp_replace(upper(replace(strip_accents(text), 'ß', 'ss')), '[^A-Z0-9]+', ' ', 'g')) as nominal_key from documents) group by 1 having count(*) >= 2")
 def nominal_groups(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").groupBy(T.nominal_key(F.col("text")).alias("nominal_key")).agg(F.count("*").alias("fragments"), F.array_join(F.array_sort(F.collect_list("doc_id")), "|").alias("doc_ids"))
     return rows.filter("fragments >= 2")

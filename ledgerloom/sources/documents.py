@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from ledgerloom.functions import text as T
 
@@ -24,6 +25,12 @@ def read_structured(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STRUCTURED).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def parse_structured(texts: DataFrame, column: str = "value") -> DataFrame:
+    """Structured documents from a column of JSON texts; one that doesn't fit the schema fails the query."""
+    parsed = F.from_json(column, T_.StructType.fromDDL(STRUCTURED), {"mode": "FAILFAST"})
+    return texts.select(parsed.alias("s")).select("s.*")
+
+
 def flatten(structured: DataFrame) -> DataFrame:
     """doc_id (the source's hash), page, ord, block_id, text, role, noise of every block."""
     pages = structured.select(F.col("source.sha256").alias("doc_id"), F.explode("pages").alias("p"))
@@ -51,6 +58,22 @@ def write_json(rows: DataFrame, path: str, mode: str = "error") -> None:
     rows.write.mode(mode).json(path)
 
 
+def write_pretty(rows: DataFrame, path: str, mode: str = "error") -> None:
+    """Each row as indented JSON, ended by a newline: for artifacts that people read."""
+    rows.select(F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"}).alias("value")).write.mode(mode).text(path)
+
+
+def bundles(parts: dict[str, DataFrame], key: str = "doc_id") -> DataFrame:
+    """key, bundle: one compact JSON object per document, with an array per part; parts are grouped apart and then met."""
+    out = None
+    for name, rows in parts.items():
+        held = F.array_sort(F.collect_list(F.to_json(F.struct(*[c for c in rows.columns if c != key]))))
+        side = rows.groupBy(key).agg(F.concat(F.lit("["), F.array_join(held, ","), F.lit("]")).alias(name))
+        out = side if out is None else out.join(side, key, "full")
+    fields = [F.concat(F.lit(f'"{name}":'), F.coalesce(name, F.lit("[]"))) for name in parts]
+    return out.select(key, F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")).alias("bundle"))
+
+
 def write_bundle(rows: DataFrame, path: str, mode: str = "error") -> None:
     """Each row as one line of compact JSON text."""
     rows.select(F.to_json(F.struct("*")).alias("value")).write.mode(mode).text(path)
