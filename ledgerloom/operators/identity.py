@@ -31,7 +31,7 @@ def fragments(entities: DataFrame, mentions: DataFrame, references: DataFrame) -
 def same_document(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of left, failing where its document's hash isn't right's; both have doc_id and sha256."""
     rows = left.join(right.select("doc_id", F.col("sha256").alias("other_")), "doc_id")
-    return rows.filter(F.coalesce(F.col("sha256") == F.col("other_"), F.raise_error(F.lit("artifacts of different documents")).cast("boolean"))).drop("other_")
+    return rows.filter(F.coalesce(F.when(F.col("sha256") == F.col("other_"), True), F.raise_error(F.lit("artifacts of different documents")).cast("boolean"))).drop("other_")
 
 
 def assertions(found: DataFrame) -> DataFrame:

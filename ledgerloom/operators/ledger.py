@@ -58,7 +58,7 @@ def ancestry(edges: DataFrame) -> DataFrame:
     """artifact, ancestor, depth (the least): what every artifact was made from, over any number of runs.
 
     Each round joins the pairs found last with the runs' own pairs and keeps those that are new, so
-    rounds end with the longest chain, in a cycle as well. Rounds are cut from one another.
+    rounds end with the longest chain, in a cycle as well. Every round is written once and appended.
     """
     made = edges.filter("direction = 'output'").select("run_key", "artifact")
     used = edges.filter("direction = 'input'").select("run_key", F.col("artifact").alias("ancestor"))
@@ -72,7 +72,7 @@ def ancestry(edges: DataFrame) -> DataFrame:
         last = checkpointed(new.join(found, ["artifact", "ancestor"], "left_anti"))
         if last.isEmpty():
             return found
-        found = checkpointed(found.unionByName(last.withColumn("depth", F.lit(depth))))
+        found = found.unionByName(last.withColumn("depth", F.lit(depth)))
 
 
 def lineage_violations(mentions: DataFrame, blocks: DataFrame, runs: DataFrame) -> DataFrame:

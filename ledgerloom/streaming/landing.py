@@ -1,7 +1,7 @@
 """An extension: documents that arrive in a folder, run through the batch operators.
 
-The same files seen again change nothing: a document is named by its hash, and what a micro-batch
-writes replaces what the same documents wrote before.
+A document is named by its hash. One that arrives again within a day of the first is dropped; one
+that arrives later is written again, under its hash, and `latest` keeps the last.
 """
 
 from __future__ import annotations
@@ -28,10 +28,16 @@ def mention_stream(rows: DataFrame, blocks: Callable[[DataFrame], DataFrame], ru
     return M.mentions(blocks(rows), rules)
 
 
-def into_table(rows: DataFrame, path: str, checkpoint: str, key: str = "doc_id") -> StreamingQuery:
-    """Append each micro-batch's rows below path, in a folder named by the batch, so a batch that is run again overwrites itself."""
+def into_table(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Each micro-batch's rows below path, in a folder named by the batch, so a batch that is run again overwrites itself only."""
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest(written: DataFrame, key: list[str]) -> DataFrame:
+    """Of what into_table wrote (with its column batch) each document's rows of its last batch; key names a document."""
+    last = written.groupBy(*key).agg(F.max("batch").alias("batch"))
+    return written.join(last, [*key, "batch"], "left_semi")
