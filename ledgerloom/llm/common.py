@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -73,6 +74,15 @@ def cut(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle and checkpoint files of what nothing refers to any more.
+
+    It does so when the driver's JVM collects its garbage, which may come after the disks are full where rounds write much and leave little garbage.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write df as Parquet below spark.checkpoint.dir and read it back."""
     spark = df.sparkSession

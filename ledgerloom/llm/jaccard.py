@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bitmap, chunks, cut, gram_hashes, id_key, in_bitmap, joined, runs, salted_join, span_hashes, stored, text_or_empty, twin_key
+from ledgerloom.llm.common import bitmap, chunks, cut, gram_hashes, id_key, in_bitmap, joined, runs, salted_join, span_hashes, stored, sweep, text_or_empty, twin_key
 
 N, PERCENT = 5, 80
 #: Bound of a cell: sets, and elements of all its sets (8 bytes each). Regions of more than REFINE sets are parted by whole sets before they are cut.
@@ -254,6 +254,7 @@ def min_labels(edges: DataFrame) -> DataFrame:
         new = near_.select("a", "label", "old", salt).join(hop, ["label", "salt"], "left")
         new = cut(new.select("a", F.least("label", F.coalesce("next", "label")).alias("label"), "old"))
         labels = new.select("a", "label")
+        sweep(edges.sparkSession)
         if new.filter("label <> old").isEmpty():
             return labels
 
@@ -264,22 +265,22 @@ def least(n: str = "n") -> Column:
 
 
 def candidate_edges(rows: DataFrame) -> DataFrame:
-    """a, b: stars of sets that share an indexed hash. rows: key, n, pre, one row per distinct set."""
-    held, sizes = rows.select("key", F.explode("pre").alias("h")), rows.select("key", "n")
+    """a, b: stars of sets that share an indexed hash. rows: key, n, pre, one row per distinct set.
+
+    Windows over a hash only look at the row before or behind; those over a key hold one set's hashes.
+    """
+    held = rows.select("key", F.col("n").cast("int").alias("n"), F.explode("pre").alias("h"))
+    own = Window.partitionBy("key")
     for _ in range(2):
         by = Window.partitionBy("h").orderBy("key")
-        held = held.withColumn("other", F.coalesce(F.lag("key").over(by), F.lead("key").over(by)))
-        held = stored(held.filter("other is not null").select("key", "h"))
-        enough = held.groupBy("key").agg(F.count("*").alias("m")).join(sizes, "key").filter(F.col("m") >= least()).select("key")
-        held = held.join(enough, "key").select("key", "h")
-    held = stored(held.join(sizes, "key").select("key", "n", "h"))
+        held = held.withColumn("other", F.coalesce(F.lag("key").over(by), F.lead("key").over(by))).filter("other is not null").drop("other")
+        held = stored(held.withColumn("m", F.count("*").over(own)).filter(F.col("m") >= least()).select("key", "n", "h"))
     df = held.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
     # of a set's sampled hashes all but the k - 1 most common; those that no other set holds are the rarest
-    order = Window.partitionBy("key").orderBy(F.desc("df"), F.desc("h"))
-    kept = held.join(df, "h").withColumn("place", F.row_number().over(order)).filter(F.col("place") >= least())
-    kept = cut(kept.select("key", "h"))
-    hubs = kept.groupBy("h").agg(F.min("key").alias("hub"), F.count("*").alias("m")).filter("m > 1").select("h", "hub")
-    return kept.join(hubs, "h").filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
+    order = own.orderBy(F.desc("df"), F.desc("h"))
+    kept = held.join(df, "h").withColumn("place", F.row_number().over(order)).filter(F.col("place") >= least()).select("key", "h")
+    first = Window.partitionBy("h").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return kept.withColumn("hub", F.first("key").over(first)).filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
 
 
 def full_sets(docs: DataFrame, regions: DataFrame) -> DataFrame:
@@ -321,9 +322,8 @@ def finer(docs: DataFrame, large: DataFrame) -> DataFrame:
     many = F.count("*").over(Window.partitionBy("region", "key"))
     most = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - F.col("n") + many  # of those that others hold too
     kept = held.join(counts, ["region", "h"]).withColumn("place", place).withColumn("most", most).filter("place <= most").select("region", "key", "h")
-    kept = cut(kept)
-    hubs = kept.groupBy("region", "h").agg(F.min("key").alias("hub"), F.count("*").alias("m")).filter("m > 1").select("region", "h", "hub")
-    edges = kept.join(hubs, ["region", "h"]).filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
+    first = Window.partitionBy("region", "h").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edges = kept.withColumn("hub", F.first("key").over(first)).filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
     labels = min_labels(edges).select(F.col("a").alias("key"), F.col("label").cast("string").alias("region"))
     return labels.join(large.drop("region"), "key")
 
@@ -441,6 +441,7 @@ def join_regions(sets: DataFrame, cell: int = CELL, elements: int = ELEMENTS, cu
         linked, sets = voronoi(sets, large, cell, elements, level)
         links.append(linked)
         sets = cut(sets)
+        sweep(sets.sparkSession)
     every = sets
     for other in done:
         every = every.unionByName(other)

@@ -81,9 +81,20 @@ def test_cells_are_cut_and_smaller(spark):
 
     rng = np.random.default_rng(3)
     base = prose(1, 200)
-    texts = [edits(base, rng, 3) for _ in range(60)] + [edits(base, rng, 30) for _ in range(6)]
+    texts = [edits(base, rng, 1) for _ in range(60)] + [edits(base, rng, 30) for _ in range(6)]
     sets = [("r", i, [int(x) for x in s.view(np.int64)]) for i, s in enumerate(jaccard.shingle_sets([t.encode() for t in texts]))]
     frame = spark.createDataFrame(sets, "region string, key long, hashes array<long>")
     links, cells = jaccard.voronoi(frame, jaccard.sizes(frame), 20, 10**9, 0)
-    sizes = {r.region: r.n for r in jaccard.sizes(cells).collect()}
-    assert links.count() >= 40 and sum(sizes.values()) < 3 * len(texts)
+    linked = {r.a for r in links.collect()} | {r.b for r in links.collect()}
+    cores = set(range(66)) - linked
+    held = {}
+    for r in cells.select("region", "key").collect():
+        held.setdefault(r.region, set()).add(r.key)
+    assert len(linked) >= 50 and cores
+    assert all(any(c in keys for keys in held.values()) for c in cores)
+    # what is near a core is in a cell with it, by all pairs
+    plain = {i: set(h) for _, i, h in sets}
+    for i in cores:
+        for j in range(66):
+            if i != j and 100 * len(plain[i] & plain[j]) >= 80 * len(plain[i] | plain[j]):
+                assert any({i, j} <= keys for keys in held.values())
