@@ -89,20 +89,23 @@ def digits(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)\D", "")
 
 
-def check_digit(numbers: Column, length: int) -> Column:
-    """Of the first `length` digits (12 or 13) of an array: weights run down to 2 and then from 9 down to 2."""
+def check_digit(text: Column, length: int) -> Column:
+    """Of the first `length` digits (12 or 13) of a text of ASCII digits: weights run down to 2 and then from 9 down to 2."""
     weights = [*range(length - 7, 1, -1), *range(9, 1, -1)]
-    total = sum((F.try_element_at(numbers, F.lit(i + 1)) * w for i, w in enumerate(weights)), F.lit(0))
+    total = sum((_digit(text, i) * w for i, w in enumerate(weights)), F.lit(0))
     rest = F.pmod(total, F.lit(11))
     return F.when(rest < 2, 0).otherwise(11 - rest)
 
 
+def _digit(text: Column, i: int) -> Column:
+    return F.ascii(F.substring(text, i + 1, 1)) - 48
+
+
 def valid_cnpj(value: Column) -> Column:
     """14 digits, not all the same, whose last two are check digits."""
-    text = digits(value)
-    numbers = F.transform(F.split(text, ""), lambda x: F.expr("cast(null as int)") if x is None else x.try_cast("int"))
-    last = (F.try_element_at(numbers, F.lit(13)) == check_digit(numbers, 12)) & (F.try_element_at(numbers, F.lit(14)) == check_digit(numbers, 13))
-    return F.coalesce((F.length(text) == 14) & ~text.rlike(r"^(\d)\1*$") & last, F.lit(False))
+    # a lambda's variable holds the digits, so that they are taken out of the value once
+    sound = lambda t: t.rlike(r"^(?!([0-9])\1*$)[0-9]{14}$") & (_digit(t, 12) == check_digit(t, 12)) & (_digit(t, 13) == check_digit(t, 13))
+    return F.coalesce(F.transform(F.array(digits(value)), sound)[0], F.lit(False))
 
 
 def edition_key(filename: Column) -> Column:

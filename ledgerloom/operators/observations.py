@@ -49,15 +49,15 @@ def actions(assigned: DataFrame) -> DataFrame:
 def _persons(actions_: DataFrame, only: bool = True) -> DataFrame:
     """The name right behind an action (rows of extract), and what stands between its comma and the next; has_name and has_position.
 
-    only: rows without a name are left out.
+    only: rows without a name are left out. Rows of other rules have none.
     """
-    rest = F.substring("text", F.col("end") + 1, F.length("text"))
+    rest = F.when(F.col("rule") == "action", F.substring("text", F.col("end") + 1, F.length("text")))
     rows = actions_.withColumn("lead", F.regexp_extract(rest, V.PERSON, 1)).withColumn("raw", F.regexp_extract(rest, V.PERSON, 2))
     rows = rows.withColumn("name", T.normalize_spaces(F.col("raw")))
     barred = (F.col("raw") == "") | (F.upper("name") != F.col("name"))
     for word in V.NO_PERSON:
         barred = barred | F.col("name").startswith(word)
-    rows = rows.withColumn("has_name", ~barred)
+    rows = rows.withColumn("has_name", F.coalesce(~barred, F.lit(False)))
     rows = rows.filter("has_name") if only else rows
     rows = rows.withColumn("name_start", F.col("end") + F.length("lead")).withColumn("name_end", F.col("end") + F.length("lead") + F.length("raw"))
     comma = F.instr(F.substring("text", F.col("name_end") + 2, F.length("text")), ",")
