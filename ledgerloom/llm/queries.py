@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, decontam, jaccard, lines, manifest, merkle, quality, suffix, urls
+from ledgerloom.llm import bpe, chat, decontam, jaccard, lines, manifest, merkle, quality, suffix, topk, urls
 from ledgerloom.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op13_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_fingerprints": op10_fingerprints,
+    "op11_exact_top_k": op11_exact_top_k,
     "op13_dataset_manifest": op13_dataset_manifest,
 }
 
@@ -82,5 +87,6 @@ ORACLE: dict[str, str] = {
     "op5_chat_format": chat.ORACLE,
     "op9_jaccard_join": jaccard.ORACLE,
     "op10_fingerprints": merkle.ORACLE,
+    "op11_exact_top_k": topk.ORACLE,
     "op13_dataset_manifest": manifest.oracle(),
 }
