@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, decontam, jaccard, lines, manifest, merkle, quality, suffix, topk, urls
+from ledgerloom.llm import bpe, chat, decontam, jaccard, lines, manifest, merkle, phrases, quality, suffix, topk, urls
 from ledgerloom.llm.common import table
 
 
@@ -62,6 +62,10 @@ def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(table(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_fingerprints": op10_fingerprints,
     "op11_exact_top_k": op11_exact_top_k,
+    "op12_collocations": op12_collocations,
     "op13_dataset_manifest": op13_dataset_manifest,
 }
 
@@ -88,5 +93,6 @@ ORACLE: dict[str, str] = {
     "op9_jaccard_join": jaccard.ORACLE,
     "op10_fingerprints": merkle.ORACLE,
     "op11_exact_top_k": topk.ORACLE,
+    "op12_collocations": phrases.ORACLE,
     "op13_dataset_manifest": manifest.oracle(),
 }
