@@ -15,6 +15,7 @@ each is sent to the tasks. Beyond that more phrases pass the sketch and are coun
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -33,12 +34,12 @@ TOP = 2000
 #: A phrase goes if a longer one that contains it has this share of its occurrences, in hundredths.
 SHARE = 50
 
-#: Cells of a sketch row: a power of two near the texts' bytes / 64, within these bounds (a bit each is broadcast, 16 MB a row at most).
+#: Cells of a sketch row: a power of two above the texts' bytes / 32, within these bounds (a bit each is broadcast, 16 MB a row at most).
 FEWEST, MOST = 1 << 16, 1 << 27
 #: Cells that are summed and sent together.
-SLICE = 1 << 14
-#: Bytes of text that are looked at together.
-BATCH = 1 << 23
+SLICE = 1 << 17
+#: Bytes of text that are hashed together, and of those that one automaton scans.
+BATCH, SHARD = 1 << 20, 1 << 22
 
 SMALL = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 ENDS = bytes(0x0A if c in b".,;:!?\x0a\x0b\x0c\x0d" else c for c in SMALL)
@@ -97,7 +98,7 @@ def cells(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def width_for(size: int) -> int:
-    return min(MOST, max(FEWEST, 1 << max(size // 64, 1).bit_length()))
+    return min(MOST, max(FEWEST, 1 << max(size // 32, 1).bit_length()))
 
 
 def sketched(texts: DataFrame, width: int, least: int, words: int) -> np.ndarray:
@@ -110,23 +111,26 @@ def sketched(texts: DataFrame, width: int, least: int, words: int) -> np.ndarray
     top = np.iinfo(kind).max
 
     def count(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(2 * width, dtype=np.uint32)
+        own = np.zeros(2 * width, dtype=kind)
         for lang, text in batches_by_lang(found):
             seen = Words(lang, text)
-            for n in range(1, words + 1):
-                for row, cell in enumerate(cells(seen.phrases(n)[1], width)):
-                    np.add.at(own, cell + row * width, np.uint32(1))
+            hashes = np.concatenate([seen.phrases(n)[1] for n in range(1, words + 1)])
+            for row, cell in enumerate(cells(hashes, width)):
+                cell = np.sort(cell.astype(np.uint32))
+                first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else cell
+                at, times = cell[first].astype(np.int64) + row * width, np.diff(np.append(first, len(cell)))
+                own[at] = np.minimum(own[at] + times.astype(np.uint64), top)
         for at in range(0, 2 * width, SLICE):
             part = own[at : at + SLICE]
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([at // SLICE]), pa.array([np.minimum(part, top).astype(kind).tobytes()])], names=["slice", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([at // SLICE]), pa.array([zlib.compress(part, 1)])], names=["slice", "counts"])
 
     def add(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in found:
             for at, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(counts, dtype=kind)
-                sums[at] = np.minimum(sums.get(at, np.uint64(0)) + part.astype(np.uint64), top).astype(kind)
+                part = np.frombuffer(zlib.decompress(counts), dtype=kind)
+                sums[at] = np.minimum(sums[at] + part.astype(np.uint64), top).astype(kind) if at in sums else part
         for at, counts in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([np.packbits(counts >= least).tobytes()])], names=["slice", "bits"])
 
@@ -145,40 +149,65 @@ def reaches(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ok
 
 
-def scanned(lang: str, text: bytes, bits: np.ndarray, words: int) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Phrases of a batch whose bound reaches the least frequency, their numbers of words, and their counts in it."""
-    seen = Words(lang, text)
-    patterns: dict[bytes, int] = {}
-    for n in range(1, words + 1):
-        first, hashes = seen.phrases(n)
-        some = reaches(bits, hashes)
-        _, one = np.unique(hashes[some], return_index=True)
-        first = first[some][one]
-        for a, b in zip((seen.starts[first] - 1).tolist(), (seen.ends[first + n - 1] + 1).tolist(), strict=True):
-            patterns[text[a:b]] = n
-    found = [p.decode("utf-8", "surrogatepass") for p in patterns]
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for i, p in enumerate(found):
-        automaton.add_word(p, i)
-    if not found:
-        return [], np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    automaton.make_automaton()
-    hits = np.fromiter((i for _, i in automaton.iter(text.decode("utf-8", "surrogatepass"))), dtype=np.int64)
-    return [p[1:-1] for p in found], np.array(list(patterns.values()), dtype=np.int64), np.bincount(hits, minlength=len(found))
+class Shard:
+    """Texts of one language: the phrases in them whose bound reaches the least frequency, and their counts by an automaton."""
+
+    def __init__(self, lang: str, bits: np.ndarray, words: int):
+        self.lang, self.bits, self.words = lang, bits, words
+        self.texts: list[bytes] = []
+        self.size = self.total = 0
+        self.patterns: dict[bytes, int] = {}
+
+    def add(self, text: bytes) -> None:
+        seen = Words(self.lang, text)
+        self.texts.append(text)
+        self.size += len(text)
+        self.total += len(seen.starts)
+        for n in range(1, self.words + 1):
+            first, hashes = seen.phrases(n)
+            some = np.flatnonzero(reaches(self.bits, hashes))
+            _, one = np.unique(hashes[some], return_index=True)
+            first = first[some[one]]
+            for a, b in zip((seen.starts[first] - 1).tolist(), (seen.ends[first + n - 1] + 1).tolist(), strict=True):
+                self.patterns[text[a:b]] = n
+
+    def counts(self) -> pa.RecordBatch:
+        """lang, phrase, k words, f; the phrase null carries the number of words."""
+        found = [p.decode("utf-8", "surrogatepass") for p in self.patterns]
+        times = np.zeros(len(found), dtype=np.int64)
+        if found:
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+            for i, p in enumerate(found):
+                automaton.add_word(p, i)
+            automaton.make_automaton()
+            for text in self.texts:
+                hits = np.fromiter((i for _, i in automaton.iter(text.decode("utf-8", "surrogatepass"))), dtype=np.int64)
+                times += np.bincount(hits, minlength=len(found))
+        columns = [
+            pa.array([self.lang] * (len(found) + 1)), pa.array([*(p[1:-1] for p in found), None], pa.string()),
+            pa.array([*self.patterns.values(), 0], pa.int32()), pa.array(np.append(times, self.total), pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "f"])
+
+
+def shards(found: Iterator[pa.RecordBatch], bits: np.ndarray, words: int) -> Iterator[Shard]:
+    """The texts in shards of about SHARD bytes of one language; all of them together hold less than twice that."""
+    held: dict[str, Shard] = {}
+    for lang, text in batches_by_lang(found):
+        held.setdefault(lang, Shard(lang, bits, words)).add(text)
+        if held[lang].size >= SHARD:
+            yield held.pop(lang)
+        elif sum(x.size for x in held.values()) >= 2 * SHARD:
+            yield held.pop(max(held, key=lambda x: held[x].size))
+    yield from held.values()
 
 
 def counted(texts: DataFrame, bits: np.ndarray, least: int, words: int) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, k words, f) of every phrase of up to `words` words with f >= least; and (lang, n), the words of each language."""
 
     def scan(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, text in batches_by_lang(found):
-            phrases, k, f = scanned(lang, text, bits, words)
-            total = len(Words(lang, text).starts)
-            # the phrase null carries the number of words
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * (len(phrases) + 1)), pa.array([*phrases, None], pa.string()), pa.array([*k.tolist(), 0], pa.int32()), pa.array([*f.tolist(), total], pa.int64())],
-                names=["lang", "phrase", "k", "f"],
-            )
+        for shard in shards(found, bits, words):
+            yield shard.counts()
 
     counts = texts.mapInArrow(scan, "lang string, phrase string, k int, f long")
     counts = stored(counts.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")).filter((F.col("f") >= least) | F.col("phrase").isNull()))
