@@ -1,22 +1,16 @@
 """Segmentation of a document's blocks into sections, editorial contexts and published items.
 
-blocks: doc_id, page, ord, block_id, text, role, noise. What a block is by itself, what follows it
-and the sections are expressions and windows. Only what depends on the decision before it (is this
-block a context or part of an item, does it join the heading before it, which headings are open) is
-a loop over rows, in one pass over partitions sorted by document and place; the rows pass through it,
-so nothing is joined back, and only headings' texts are looked at. Items, contexts and their texts
-are groups again.
+blocks: doc_id, page, ord, block_id, text, role, noise. What a block is by itself is an expression;
+what depends on the blocks before it (is it a context or part of an item, which headings are open) is
+made of running sums, extremes and last values, in windows that share one order: a document is
+shuffled and sorted once and streams through them, however long it is. Items, contexts and their
+texts are groups.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloom.functions import vocabulary as V
 
@@ -75,71 +69,103 @@ def flags(blocks: DataFrame) -> DataFrame:
 _KIND = "case when noise then 'noise' when opens then 'section_heading' when section is null and page = 1 then 'summary' when section is null then 'front_matter' when header then 'publication_header' when imprint then 'publication_metadata' else 'live' end"
 
 
-@dataclass
-class _Document:
-    """What a block's decision depends on: the blocks of its document before it."""
-
-    item: bool = False
-    after_context: bool = False
-    page: int | None = None
-    level: int = 0
-    label: str = ""
-    crumb: list[str] = field(default_factory=list)
-    contexts: int = 0
-    items: int = 0
-
-    def decide(self, kind: str, page: int, role: str, title: bool, start: bool, more: bool, leads: bool, organisation: bool, text: str | None) -> tuple:
-        """(context, item, begins, breadcrumb) of the next block; text is there for those that may be headings."""
-        if kind != "live":
-            if kind == "section_heading":
-                self.item, self.crumb = False, []
-            self.after_context = False
-            return 0, 0, False, None
-        joins = self.after_context and self.page == page
-        self.after_context = (more if joins else start) and (leads or not self.item)
-        if not self.after_context:
-            begins = title or not self.item
-            self.items, self.item = self.items + begins, True
-            return 0, self.items, begins, self.crumb if begins else None
-        self.item = False
-        depth = {"h1": 1, "h2": 2}.get(role, 3)
-        if joins and depth == self.level and not organisation and len(self.label) + 1 + len(text) <= TITLE_CUT:
-            self.label = f"{self.label} {text}"
-            self.crumb = [*self.crumb[:-1], self.label]
-        else:
-            self.contexts, self.level, self.label, self.page = self.contexts + 1, depth, text, page
-            self.crumb = [*self.crumb[: depth - 1], text]
-        return self.contexts, 0, False, self.crumb
-
-
-_SEEN = ("kind", "page", "role", "title", "start", "more", "leads", "organisation", "heading")
-_FOUND = {"context": pa.int32(), "item": pa.int32(), "begins": pa.bool_(), "breadcrumb": pa.list_(pa.string())}
-
-
-def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of rows sorted by document and n, with what is found instead of start, more, organisation and heading."""
-    known, document = None, _Document()
-    for batch in batches:
-        out = []
-        for doc_id, *seen in zip(*(batch.column(c).to_pylist() for c in ("doc_id", *_SEEN)), strict=True):
-            if (doc_id,) != known:
-                known, document = (doc_id,), _Document()
-            out.append(document.decide(*seen))
-        batch = batch.drop_columns(["start", "more", "organisation", "heading"])
-        made = [pa.array(c, type=t) for c, t in zip(zip(*out, strict=True), _FOUND.values(), strict=True)] if out else [pa.array([], type=t) for t in _FOUND.values()]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *_FOUND])
+def _states(rows: DataFrame, order: Window) -> DataFrame:
+    """rows of flags with kind, and before and after: I, an item is open; C, the block was a context; N, neither.
+
+    A block is a function of the state before it. Most have one result whatever that is: a section
+    heading gives N, a heading that leads to a title C, a block that can't be a heading I. The others keep an open item;
+    otherwise a block outside the text (noise, running lines) gives N, a heading that leads nowhere C,
+    and a mere continuation keeps C, but after N it opens an item. So an item is open when the last block of
+    one result says so, or when a continuation after N came since; or else the last block that isn't a continuation
+    tells the state. Sums, maxima and last values of prefixes are all it takes, so no row waits for another's.
+    """
+    rows = rows.withColumn("kind", F.expr(_KIND)).withColumn("same", F.coalesce(F.lag("page").over(order) == F.col("page"), F.lit(False)))
+    live, start = F.col("kind") == "live", F.col("start")
+    joins = F.when(F.col("same"), F.col("more")).otherwise(start)
+    code = (
+        F.when(F.col("kind") == "section_heading", "N").when(~live, "outside").when(start & F.col("leads"), "C")
+        .when(~joins & ~start, "I").when(start, "heading").otherwise("continues")
+    )
+    rows = rows.withColumn("code", code)
+    upto, earlier = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, -1)
+    fixed, told = F.col("code").isin("N", "C", "I"), F.when(F.col("code") != "continues", F.col("code"))
+    rows = rows.select(
+        "*",
+        F.last(F.when(fixed, F.struct("n", "code")), ignorenulls=True).over(upto).alias("fixed"),
+        F.coalesce(F.last(told, ignorenulls=True).over(earlier), F.lit("N")).alias("told_before"),
+        F.coalesce(F.last(told, ignorenulls=True).over(upto), F.lit("N")).alias("told"),
+    )
+    opens = (F.col("code") == "continues") & F.col("told_before").isin("N", "outside")
+    rows = rows.withColumn("opened", F.max(F.when(opens, F.col("n"))).over(upto))
+    item = (F.col("fixed.code") == "I") | (F.col("opened") > F.coalesce("fixed.n", F.lit(0)))
+    after = F.when(F.coalesce(item, F.lit(False)), "I").when(F.col("told").isin("C", "heading"), "C").otherwise("N")
+    rows = rows.withColumn("after", after).withColumn("before", F.coalesce(F.lag("after").over(order), F.lit("N")))
+    return rows.drop("code", "fixed", "told_before", "told", "opened")
+
+
+def _labels(rows: DataFrame, order: Window) -> DataFrame:
+    """rows with is_context, depth, label (up to this block) and new, whether the block begins a context.
+
+    A heading joins the label before it if it follows it on its page at its level, names no organisation
+    and the label stays within bounds. Only neighbours on one page can join, so a run of them is short.
+    """
+    depth = F.when(F.col("role") == "h1", 1).when(F.col("role") == "h2", 2).otherwise(3)
+    rows = rows.withColumn("is_context", (F.col("kind") == "live") & (F.col("after") == "C")).withColumn("depth", depth)
+    names = F.col("is_context") & F.col("text").rlike(V.ORGANISATION)
+    joins = F.col("is_context") & (F.col("before") == "C") & F.col("same") & (F.lag("depth").over(order) == F.col("depth")) & ~names
+    rows = rows.withColumn("joins", F.coalesce(joins, F.lit(False)))
+    rows = rows.withColumn("run", F.sum((~F.col("joins")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    run = Window.partitionBy("doc_id", "run").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    fits = lambda label, x: (label != "") & (F.length(label) + 1 + F.length(x) <= TITLE_CUT)
+    texts = F.collect_list(F.when(F.col("is_context"), F.col("text"))).over(run)
+    label = F.aggregate(texts, F.lit(""), lambda label, x: F.when(fits(label, x), F.concat(label, F.lit(" "), x)).otherwise(x))
+    rows = rows.withColumn("label", F.when(F.col("is_context"), label))
+    return rows.withColumn("new", F.col("is_context") & (F.col("label") == F.col("text"))).drop("joins", "run")
+
+
+#: More than the blocks of any document.
+_FAR = 1 << 40
+
+
+def _breadcrumbs(rows: DataFrame, order: Window) -> DataFrame:
+    """rows with context, item, begins and breadcrumb.
+
+    A context of level d cuts the open headings to d - 1 and is added, so their number is the least, over
+    the contexts of its section up to it, of a context's level and the contexts since. A heading is
+    the last label that was added at its place.
+    """
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    in_item = (F.col("kind") == "live") & (F.col("after") == "I")
+    rows = rows.withColumn("begins", in_item & (F.col("title") | (F.col("before") != "I")))
+    rows = rows.withColumns({"contexts": F.sum(F.col("new").cast("int")).over(upto), "items": F.sum(F.col("begins").cast("int")).over(upto)})
+    # a later section's values are below all earlier ones', so the least so far is the section's own
+    far = F.coalesce(F.array_position(F.array(*map(F.lit, V.SECTIONS)), F.col("section")), F.lit(0)) * _FAR
+    rows = rows.withColumn("far", far)
+    rows = rows.withColumns({
+        "least": F.min(F.when(F.col("is_context"), F.col("depth") - F.col("contexts") - F.col("far"))).over(upto),
+        "outset": F.coalesce(F.last(F.when(F.col("opens"), F.col("contexts")), ignorenulls=True).over(upto), F.lit(0)),
+    })
+    place = F.least(F.col("contexts") - F.col("outset"), F.col("contexts") + F.col("least") + F.col("far"))
+    rows = rows.withColumn("place", F.when(F.col("is_context"), place))
+    open_ = [F.last(F.when(F.col("place") == p, F.col("label")), ignorenulls=True).over(upto) for p in (1, 2, 3)]
+    rows = rows.withColumn("open", F.array(*open_)).withColumn("deep", F.last("place", ignorenulls=True).over(upto))
+    deep = F.when(F.col("contexts") > F.col("outset"), F.col("deep")).otherwise(F.lit(0)).cast("int")
+    return rows.select(
+        *[c for c in rows.columns if c in _KEPT],
+        F.when(F.col("is_context"), F.col("contexts")).otherwise(F.lit(0)).cast("int").alias("context"),
+        F.when(in_item, F.col("items")).otherwise(F.lit(0)).cast("int").alias("item"),
+        "begins",
+        F.when(F.col("is_context") | F.col("begins"), F.slice("open", F.lit(1), deep)).alias("breadcrumb"),
+    )
+
+
+_KEPT = ("doc_id", "page", "ord", "block_id", "text", "role", "noise", "n", "title", "leads", "section", "kind")
 
 
 def assign(blocks: DataFrame) -> DataFrame:
     """Every block once, with category, section, context, item (numbers from 1 in the document, else 0), begins and breadcrumb."""
-    rows = flags(blocks).withColumn("kind", F.expr(_KIND))
-    heading = F.when(F.col("start") | F.col("more"), F.col("text"))
-    rows = rows.withColumn("heading", heading).withColumn("organisation", F.coalesce(F.col("heading").rlike(V.ORGANISATION), F.lit(False)))
-    # the windows of flags leave each document in one partition, and a sort inside partitions moves no row elsewhere
-    rows = rows.drop("roman", "opens", "header", "imprint").sortWithinPartitions("doc_id", "n")
-    kept = [x for x in rows.schema.fields if x.name not in ("start", "more", "organisation", "heading")]
-    found = [T.StructField("context", T.IntegerType()), T.StructField("item", T.IntegerType()), T.StructField("begins", T.BooleanType()), T.StructField("breadcrumb", T.ArrayType(T.StringType()))]
-    out = rows.mapInArrow(_decided, T.StructType([*kept, *found]))
+    order = Window.partitionBy("doc_id").orderBy("n")
+    out = _breadcrumbs(_labels(_states(flags(blocks), order), order), order)
     category = F.when(F.col("kind") != "live", F.col("kind")).when(F.col("context") > 0, "editorial_context").otherwise("published_item")
     return out.withColumn("category", category).drop("kind")
 
