@@ -1,8 +1,9 @@
 r"""Phrase collocation mining (operator 12).
 
 Texts are lower-cased (A-Z) and split at `[.,;:!?\x0A-\x0D]` into pieces, those at spaces and tabs into words.
-First every task counts the phrases of its texts in a count-min sketch: two rows of cells, by hash;
-Spark adds the tasks' sketches up, so a phrase's smaller cell is an upper bound of its frequency. Then every
+First every task counts the phrases of its texts in a sketch, one row of cells by hash;
+Spark adds the tasks' sketches up, so a phrase's cell is an upper bound of its frequency. (A second row
+would double what tasks send; one of twice the width passes about as few rare phrases.) Then every
 task takes from each batch of its texts the phrases whose bound reaches the least frequency, compiles
 them into an Aho-Corasick automaton and counts their overlapping matches in the batch. A pattern begins and
 ends with the space that stands around every word of the rewritten text, so it matches whole words
@@ -34,8 +35,8 @@ TOP = 2000
 #: A phrase goes if a longer one that contains it has this share of its occurrences, in hundredths.
 SHARE = 50
 
-#: Cells of a sketch row: a power of two above the texts' bytes / 32, within these bounds (a bit each is broadcast, 16 MB a row at most).
-FEWEST, MOST = 1 << 16, 1 << 27
+#: Cells of a sketch: a power of two above the texts' bytes / 16, within these bounds (a bit each is broadcast, 32 MB at most).
+FEWEST, MOST = 1 << 17, 1 << 28
 #: Cells that are summed and sent together.
 SLICE = 1 << 17
 #: Bytes of text that are hashed together, and of those that one automaton scans.
@@ -91,18 +92,16 @@ class Words:
         return first, grams[first]
 
 
-def cells(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The cell of each hash in either row of a sketch."""
-    mask = np.uint64(width - 1)
-    return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(32)) & mask).astype(np.int64)
+def cells(hashes: np.ndarray, width: int) -> np.ndarray:
+    return (hashes & np.uint64(width - 1)).astype(np.int64)
 
 
 def width_for(size: int) -> int:
-    return min(MOST, max(FEWEST, 1 << max(size // 32, 1).bit_length()))
+    return min(MOST, max(FEWEST, 1 << max(size // 16, 1).bit_length()))
 
 
 def sketched(texts: DataFrame, width: int, least: int, words: int) -> np.ndarray:
-    """Bits of both rows of the sketch of texts (lang, text): whether a cell's count reaches `least`.
+    """Bits of the sketch of texts (lang, text): whether a cell's count reaches `least`.
 
     A task sends slices of its cells, counts up to 255 (or as wide as `least` needs); a slice's sum stands as soon as
     all tasks' are added, which goes on batch by batch, so a task holds the sums of its slices only.
@@ -111,16 +110,15 @@ def sketched(texts: DataFrame, width: int, least: int, words: int) -> np.ndarray
     top = np.iinfo(kind).max
 
     def count(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(2 * width, dtype=kind)
+        own = np.zeros(width, dtype=kind)
         for lang, text in batches_by_lang(found):
             seen = Words(lang, text)
-            hashes = np.concatenate([seen.phrases(n)[1] for n in range(1, words + 1)])
-            for row, cell in enumerate(cells(hashes, width)):
-                cell = np.sort(cell.astype(np.uint32))
-                first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else cell
-                at, times = cell[first].astype(np.int64) + row * width, np.diff(np.append(first, len(cell)))
+            cell = np.sort(cells(np.concatenate([seen.phrases(n)[1] for n in range(1, words + 1)]), width).astype(np.uint32))
+            if len(cell):
+                first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+                at, times = cell[first], np.diff(np.append(first, len(cell)))
                 own[at] = np.minimum(own[at] + times.astype(np.uint64), top)
-        for at in range(0, 2 * width, SLICE):
+        for at in range(0, width, SLICE):
             part = own[at : at + SLICE]
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([at // SLICE]), pa.array([zlib.compress(part, 1)])], names=["slice", "counts"])
@@ -135,18 +133,16 @@ def sketched(texts: DataFrame, width: int, least: int, words: int) -> np.ndarray
             yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([np.packbits(counts >= least).tobytes()])], names=["slice", "bits"])
 
     parts = texts.mapInArrow(count, "slice long, counts binary").repartition("slice").mapInArrow(add, "slice long, bits binary").toPandas()
-    out = np.zeros((2 * width // SLICE, SLICE // 8), dtype=np.uint8)
+    out = np.zeros((width // SLICE, SLICE // 8), dtype=np.uint8)
     for at, bits in zip(parts["slice"], parts["bits"], strict=True):
         out[at] = np.frombuffer(bits, dtype=np.uint8)
-    return out.reshape(2, -1)
+    return out.reshape(-1)
 
 
 def reaches(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether a phrase's upper bound reaches the least frequency."""
-    ok = np.ones(len(hashes), dtype=bool)
-    for row, cell in zip(bits, cells(hashes, bits.shape[1] * 8), strict=True):
-        ok &= (row[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
-    return ok
+    cell = cells(hashes, 8 * len(bits))
+    return (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
 
 
 class Shard:
@@ -156,7 +152,7 @@ class Shard:
         self.lang, self.bits, self.words = lang, bits, words
         self.texts: list[bytes] = []
         self.size = self.total = 0
-        self.patterns: dict[bytes, int] = {}
+        self.patterns: set[bytes] = set()
 
     def add(self, text: bytes) -> None:
         seen = Words(self.lang, text)
@@ -169,10 +165,10 @@ class Shard:
             _, one = np.unique(hashes[some], return_index=True)
             first = first[some[one]]
             for a, b in zip((seen.starts[first] - 1).tolist(), (seen.ends[first + n - 1] + 1).tolist(), strict=True):
-                self.patterns[text[a:b]] = n
+                self.patterns.add(text[a:b])
 
     def counts(self) -> pa.RecordBatch:
-        """lang, phrase, k words, f; the phrase null carries the number of words."""
+        """key, f: the key is the language's length, `:`, the language and the phrase; the empty phrase carries the number of words."""
         found = [p.decode("utf-8", "surrogatepass") for p in self.patterns]
         times = np.zeros(len(found), dtype=np.int64)
         if found:
@@ -183,11 +179,8 @@ class Shard:
             for text in self.texts:
                 hits = np.fromiter((i for _, i in automaton.iter(text.decode("utf-8", "surrogatepass"))), dtype=np.int64)
                 times += np.bincount(hits, minlength=len(found))
-        columns = [
-            pa.array([self.lang] * (len(found) + 1)), pa.array([*(p[1:-1] for p in found), None], pa.string()),
-            pa.array([*self.patterns.values(), 0], pa.int32()), pa.array(np.append(times, self.total), pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "f"])
+        head = f"{len(self.lang)}:{self.lang}"
+        return pa.RecordBatch.from_arrays([pa.array([head, *(head + p[1:-1] for p in found)]), pa.array(np.append(self.total, times), pa.int64())], names=["key", "f"])
 
 
 def shards(found: Iterator[pa.RecordBatch], bits: np.ndarray, words: int) -> Iterator[Shard]:
@@ -209,9 +202,13 @@ def counted(texts: DataFrame, bits: np.ndarray, least: int, words: int) -> tuple
         for shard in shards(found, bits, words):
             yield shard.counts()
 
-    counts = texts.mapInArrow(scan, "lang string, phrase string, k int, f long")
-    counts = stored(counts.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")).filter((F.col("f") >= least) | F.col("phrase").isNull()))
-    return counts.filter("phrase is not null"), counts.filter("phrase is null").select("lang", F.col("f").alias("n"))
+    counts = texts.mapInArrow(scan, "key string, f long").groupBy("key").agg(F.sum("f").alias("f"))
+    size = F.substring_index("key", ":", 1)
+    rest = F.substring("key", F.length(size) + 2, F.length("key"))
+    counts = counts.select(F.substring(rest, F.lit(1), size.cast("int")).alias("lang"), F.substring(rest, size.cast("int") + 1, F.length("key")).alias("phrase"), "f")
+    counts = stored(counts.filter((F.col("f") >= least) | (F.col("phrase") == "")))
+    k = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1
+    return counts.filter("phrase <> ''").withColumn("k", k), counts.filter("phrase = ''").select("lang", F.col("f").alias("n"))
 
 
 def _whole(c: str) -> Column:

@@ -188,14 +188,14 @@ def test_sketch_bounds_frequencies_from_above(spark):
     texts = spark.createDataFrame([("en", prose(i % 9, 400)) for i in range(60)], "lang string, text string").repartition(6)
     whole = b"".join(phrases.rewritten(prose(i % 9, 400).encode()) for i in range(60))
     seen = phrases.Words("en", whole)
-    for width in (phrases.SLICE, 1 << 18):
+    for width in (phrases.SLICE, 1 << 22):
         bits = phrases.sketched(texts, width, 7, 3)
         for n in (1, 2, 3):
             _, hashes = seen.phrases(n)
             values, counts = np.unique(hashes, return_counts=True)
             passed = phrases.reaches(bits, values)
             assert passed[counts >= 7].all()
-            if width == 1 << 18:
+            if width == 1 << 22:
                 assert passed[counts < 7].mean() < 0.01 if (counts < 7).any() else True
 
 
