@@ -6,7 +6,7 @@ are made by that value, so a common one is pre-aggregated before its rows meet.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
@@ -18,13 +18,15 @@ RULES = {"process": "same_scoped_process_identifier_v1", "legal_organization": "
 def fragments(entities: DataFrame, mentions: DataFrame, references: DataFrame) -> DataFrame:
     """doc_id, entity_type, source_kind, label, block_id, page, start, end, item, method, value, valid.
 
-    value: the nominal key of an entity, the process number or the digits of an identifier.
+    value: the nominal key of an entity, the process number or the digits of an identifier. Where all three
+    come with id, fragments have source_id and value_original too.
     """
     place = ["block_id", "page", "start", "end"]
+    named = lambda rows: [F.col("id").alias("source_id"), "value_original"] if "id" in rows.columns else []
     whole = F.lit(None).cast("boolean")
-    a = entities.select("doc_id", "entity_type", F.lit("semantic_entity_mention").alias("source_kind"), F.col("value_original").alias("label"), *place, "item", "method", T.nominal_key(F.col("value_normalized")).alias("value"), whole.alias("valid"))
-    b = mentions.filter(F.col("rule") == "processo_sei").select("doc_id", F.lit("process").alias("entity_type"), F.lit("evidence_mention").alias("source_kind"), F.col("value_normalized").alias("label"), *place, F.lit(None).cast("int").alias("item"), F.lit("process_number_observation_v1").alias("method"), F.col("value_normalized").alias("value"), F.lit(True).alias("valid"))
-    c = references.filter(F.col("reference_type") == "cnpj").select("doc_id", F.lit("legal_organization").alias("entity_type"), F.lit("semantic_reference").alias("source_kind"), F.col("value_original").alias("label"), *place, "item", "method", T.digits(F.col("value_normalized")).alias("value"), "valid")
+    a = entities.select("doc_id", "entity_type", F.lit("semantic_entity_mention").alias("source_kind"), F.col("value_original").alias("label"), *place, "item", "method", T.nominal_key(F.col("value_normalized")).alias("value"), whole.alias("valid"), *named(entities))
+    b = mentions.filter(F.col("rule") == "processo_sei").select("doc_id", F.lit("process").alias("entity_type"), F.lit("evidence_mention").alias("source_kind"), F.col("value_normalized").alias("label"), *place, F.lit(None).cast("int").alias("item"), F.lit("process_number_observation_v1").alias("method"), F.col("value_normalized").alias("value"), F.lit(True).alias("valid"), *named(mentions))
+    c = references.filter(F.col("reference_type") == "cnpj").select("doc_id", F.lit("legal_organization").alias("entity_type"), F.lit("semantic_reference").alias("source_kind"), F.col("value_original").alias("label"), *place, "item", "method", T.digits(F.col("value_normalized")).alias("value"), "valid", *named(references))
     return a.unionByName(b).unionByName(c)
 
 
@@ -102,6 +104,59 @@ def identity_counts(found: DataFrame) -> DataFrame:
     )
 
 
+def numbered_fragments(entities: DataFrame, mentions: DataFrame, references: DataFrame) -> DataFrame:
+    """Fragments with source_id, value_original, number and id: entities first, then process numbers, then identifiers, each in the order of their ids.
+
+    All three come with id, as their numbered_... functions give it.
+    """
+    kinds = ("semantic_entity_mention", "evidence_mention", "semantic_reference")
+    found = fragments(entities, mentions, references)
+    order = F.array_position(F.array(*map(F.lit, kinds)), F.col("source_kind"))
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy(order, F.length("source_id"), "source_id"))
+    return found.withColumn("number", number).withColumn("id", F.format_string("fragment-%06d", "number"))
+
+
+def numbered_assertions(found: DataFrame) -> DataFrame:
+    """Assertions of numbered fragments with id and fragment_id; entities are the first fragments, so the numbers are the same."""
+    rows = found.filter(F.col("source_kind") == "semantic_entity_mention")
+    attribute = F.when(F.col("entity_type") == "position", "title").otherwise("name")
+    return rows.select("doc_id", F.format_string("assertion-%06d", "number").alias("id"), F.col("id").alias("fragment_id"), attribute.alias("attribute"), "value_original", F.col("value").alias("value_normalized"), F.lit("N").alias("materiality_class"), F.lit("exact_nominal_normalization_v1").alias("method"))
+
+
+def numbered_identifiers(found: DataFrame) -> DataFrame:
+    """Identifiers of numbered fragments with id and fragment_id, in the fragments' order."""
+    rows = found.filter(F.col("source_kind") != "semantic_entity_mention").withColumn("number", F.row_number().over(Window.partitionBy("doc_id").orderBy("number")))
+    process = F.col("entity_type") == "process"
+    return rows.select(
+        "doc_id", F.format_string("identifier-%06d", "number").alias("id"), F.col("id").alias("fragment_id"), F.when(process, "processo_sei").otherwise("cnpj").alias("identifier_type"),
+        "value_original", F.col("value").alias("value_normalized"), F.when(process, "S").otherwise("U").alias("materiality_class"),
+        F.when(process, "processo_administrativo_df").otherwise("brasil").alias("scope"), F.col("valid").alias("is_valid"),
+        F.when(process, "scoped_nontransferable").otherwise("nontransferable").alias("transferability"), F.when(process, "processo_sei_regex_v1").otherwise("cnpj_checksum_v1").alias("method"),
+    )
+
+
+def numbered_links(found: DataFrame) -> DataFrame:
+    """Links of numbered fragments with id, fragment_id and canonical_entity_id: entities by kind and value, each one's fragments in their order."""
+    each = [F.col("entity_type") != "process", F.col("value")]
+    document = Window.partitionBy("doc_id")
+    rows = _material(found).withColumn("entity", F.dense_rank().over(document.orderBy(*each))).withColumn("link", F.row_number().over(document.orderBy(*each, "number")))
+    return rows.select("doc_id", F.format_string("link-%06d", "link").alias("id"), F.col("id").alias("fragment_id"), F.format_string("canonical-%06d", "entity").alias("canonical_entity_id"), _entity()["created_by_rule"].alias("reason"))
+
+
+def numbered_cases(found: DataFrame) -> DataFrame:
+    """Cases of numbered fragments with id and fragment_id, in the fragments' order."""
+    bad = found.filter((F.col("entity_type") == "legal_organization") & ~F.col("valid")).withColumn("number", F.row_number().over(Window.partitionBy("doc_id").orderBy("number")))
+    return bad.select("doc_id", F.format_string("case-%06d", "number").alias("id"), F.col("id").alias("fragment_id"))
+
+
+def candidate_members(found: DataFrame, least: int = 2) -> DataFrame:
+    """doc_id, id, entity_type, candidate_key, fragment_ids (in order) of the names that several numbered fragments share."""
+    names = found.filter(F.col("source_kind") == "semantic_entity_mention")
+    members = F.array_sort(F.collect_list(F.struct("number", "id")))
+    groups = names.groupBy("doc_id", "entity_type", F.col("value").alias("candidate_key")).agg(members.alias("m")).filter(F.size("m") >= least)
+    return numbered_candidates(groups).select("doc_id", "id", "entity_type", "candidate_key", F.col("m.id").alias("fragment_ids"))
+
+
 def numbered_canonical(entities: DataFrame) -> DataFrame:
     """Canonical entities with id: process numbers by value, then identifiers by value."""
     return entities.withColumn("id", in_order([F.col("entity_type") != "process", "value"], "canonical", 6))

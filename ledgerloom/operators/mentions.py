@@ -50,4 +50,4 @@ def in_order(order: list[Column | str], prefix: str, digits: int, per: str = "do
     from pyspark.sql import Window
 
     number = F.row_number().over(Window.partitionBy(per).orderBy(*order))
-    return F.concat(F.lit(prefix + "-"), F.lpad(number.cast("string"), digits, "0"))
+    return F.format_string(f"{prefix}-%0{digits}d", number)

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import vocabulary as V
 from ledgerloom.operators import identity, layout, mentions, observations, views
-from ledgerloom.plans import gazette
+from ledgerloom.plans import artifacts, gazette
 from ledgerloom.plans.edition import Edition, dry_run, summary
+from ledgerloom.functions.storage import checkpointed
+from ledgerloom.sources import formats, schemas
 
 NOT_LETTER = r"[^\pL\pN_]"
 
@@ -529,3 +531,111 @@ def _(e: Edition) -> DataFrame:
     return layout.markdown(e.blocks, page_markers=True)
 
 
+NUMBERED_FRAGMENTS = """
+n_ments as (select *, 'processo_sei-' || lpad(cast(row_number() over (partition by doc_id order by page, ord, start) as varchar), 6, '0') as id from mentions),
+n_all as (select doc_id, 0 as kind, id as source_id, entity_type, block_id, start, trim(regexp_replace(upper(strip_accents(value_normalized)), '[^A-Z0-9]+', ' ', 'g')) as value, cast(null as boolean) as valid from n_ents
+  union all select doc_id, 1, id, 'process', block_id, start, value_normalized, true from n_ments
+  union all select doc_id, 2, id, 'legal_organization', block_id, start, regexp_replace(value_normalized, '\\D', '', 'g'), valid from n_refs where reference_type = 'cnpj'),
+n_frags as (select *, row_number() over (partition by doc_id order by kind, source_id) as number, row_number() over (partition by doc_id, kind > 0 order by kind, source_id) as number_of_kind from n_all)"""
+
+
+@query(
+    "fragment_ids",
+    """select doc_id, 'fragment-' || lpad(cast(number as varchar), 6, '0') as id, source_id, case when kind = 0 then 'assertion-' else 'identifier-' end || lpad(cast(number_of_kind as varchar), 6, '0') as observation_id from n_frags""",
+    *OBSERVED, NUMBERED, NUMBERED_FRAGMENTS,
+)
+def _(e: Edition) -> DataFrame:
+    found = artifacts.fragments(e)
+    seen = identity.numbered_assertions(found).unionByName(identity.numbered_identifiers(found), allowMissingColumns=True)
+    return found.select("doc_id", "id", "source_id").join(seen.select("doc_id", F.col("fragment_id").alias("id"), F.col("id").alias("observation_id")), ["doc_id", "id"])
+
+
+@query(
+    "link_ids",
+    """select doc_id, 'link-' || lpad(cast(row_number() over (partition by doc_id order by kind, value, number) as varchar), 6, '0') as id, 'fragment-' || lpad(cast(number as varchar), 6, '0') as fragment_id,
+  'canonical-' || lpad(cast(dense_rank() over (partition by doc_id order by kind, value) as varchar), 6, '0') as target from n_frags where kind > 0 and valid
+union all select doc_id, 'case-' || lpad(cast(row_number() over (partition by doc_id order by number) as varchar), 6, '0'), 'fragment-' || lpad(cast(number as varchar), 6, '0'), 'UNRESOLVED' from n_frags where kind = 2 and not valid""",
+    *OBSERVED, NUMBERED, NUMBERED_FRAGMENTS,
+)
+def _(e: Edition) -> DataFrame:
+    found = checkpointed(artifacts.fragments(e))
+    links = identity.numbered_links(found).select("doc_id", "id", "fragment_id", F.col("canonical_entity_id").alias("target"))
+    return links.unionByName(identity.numbered_cases(found).select("doc_id", "id", "fragment_id", F.lit("UNRESOLVED").alias("target")))
+
+
+@query("context_ids", "select doc_id, 'context-' || lpad(cast(context as varchar), 4, '0') as id, string_agg(text, ' ' order by n) as label, 'section-' || lower(any_value(section)) as section_id from assigned where context > 0 group by doc_id, context", FLAGS)
+def _(e: Edition) -> DataFrame:
+    return e.contexts.select("doc_id", F.format_string("context-%04d", "context").alias("id"), "label", F.concat(F.lit("section-"), F.lower("section")).alias("section_id"))
+
+
+def _sources(e: Edition) -> DataFrame:
+    documents = e.assigned.select("doc_id").distinct()
+    return documents.select("doc_id", F.concat(F.lit("repo:///d"), "doc_id").alias("uri"), F.concat(F.lit("repo:///m"), "doc_id").alias("mentions_uri"), F.sha2(F.col("doc_id").cast("string"), 256).alias("sha256"))
+
+
+def _damaged(rows: DataFrame, ways: list) -> DataFrame:
+    """Artifacts, those of each remainder of doc_id changed in the way of that place."""
+    text = F.col("artifact")
+    changed = text
+    for i, way in enumerate(ways):
+        changed = F.when(F.col("doc_id") % len(ways) == i, way(text)).otherwise(changed)
+    return rows.select("doc_id", changed.alias("artifact"))
+
+
+def _swap(old: str, new: str):
+    return lambda text: F.replace(text, F.lit(old), F.lit(new))
+
+
+def _contract(ways: list[tuple]) -> tuple[list, str]:
+    """The ways, and SQL that gives path and rule of each."""
+    n = len(ways)
+    cases = " ".join(f"when doc_id % {n} = {i} then {path}" for i, (_, path, _) in enumerate(ways) if path)
+    rules = " ".join(f"when doc_id % {n} = {i} then '{rule}'" for i, (_, path, rule) in enumerate(ways) if path)
+    return [w for w, _, _ in ways], f"select doc_id, path, rule from (select doc_id, case {cases} end as path, case {rules} end as rule from known) where path is not null"
+
+
+SEMANTIC_WAYS, SEMANTIC_SQL = _contract([
+    (lambda text: text, None, None),
+    (_swap('"schema_version":"1.0"', '"schema_version":"2.0"'), "'schema_version'", "const"),
+    (lambda text: F.regexp_replace(text, r',"counts":\{[^}]*\}\}$', "}"), "'<root>'", "required"),
+    (_swap('{"schema_version"', '{"extra":[],"schema_version"'), "'<root>'", "additionalProperties"),
+    (_swap('"kind":"article"', '"kind":"clause"'), "case when provisions > 0 then 'provisions.0.kind' end", "const"),
+    (_swap('"entity_type":"person"', '"entity_type":"human"'), "case when persons > 0 then 'entity_mentions.' || organisations || '.entity_type' end", "enum"),
+    (lambda text: F.regexp_replace(text, r'"page":\d+', '"page":0'), "case when actions > 0 then 'actions.0.page' when contexts > 0 then 'editorial_contexts.0.page' when provisions > 0 then 'provisions.0.page' end", "minimum"),
+    (lambda text: F.regexp_replace(text, r'"document_sha256":"[0-9a-f]{8}', '"document_sha256":"SHA256: '), "'source.document_sha256'", "pattern"),
+    (lambda text: _swap('{"schema_version":"1.0"', '{"extra":1,"schema_version":1')(text), "'<root>'", "additionalProperties"),
+    (_swap('"valid":true', '"valid":"yes"'), "case when first_valid > 0 then 'references.' || (first_valid - 1) || '.valid' end", "type"),
+    (lambda text: F.regexp_replace(text, r'"block_ids":\[[^\]]*\]', '"block_ids":[]'), "case when contexts > 0 then 'editorial_contexts.0.block_ids' when items > 0 then 'published_items.0.block_ids' end", "minItems"),
+    (lambda text: F.concat(F.lit("x"), text), "'<root>'", "json"),
+])
+KNOWN = """known as (select d.doc_id, coalesce(p.n, 0) as provisions, coalesce(a.n, 0) as actions, coalesce(e.persons, 0) as persons, coalesce(e.organisations, 0) as organisations, coalesce(e.organisations, 0) as contexts, coalesce(r.first_valid, 0) as first_valid, coalesce(i.n, 0) as items
+  from (select distinct doc_id from assigned) d left join (select doc_id, count(*) as n from n_prov group by 1) p using (doc_id) left join (select doc_id, count(*) as n from n_acts group by 1) a using (doc_id)
+  left join (select doc_id, count(*) filter (where entity_type = 'person') as persons, count(*) filter (where entity_type = 'organization') as organisations from n_ents group by 1) e using (doc_id)
+  left join (select doc_id, min(cast(id[11:] as int)) filter (where valid) as first_valid from n_refs group by 1) r using (doc_id)
+  left join (select doc_id, count(*) as n from full_items group by 1) i using (doc_id))"""
+
+
+@query("semantic_contract", SEMANTIC_SQL, *OBSERVED, NUMBERED, KNOWN)
+def _(e: Edition) -> DataFrame:
+    made = artifacts.semantic(e, _sources(e), "2026-06-22T00:00:00+00:00")
+    return schemas.violations(_damaged(made, SEMANTIC_WAYS), "artifact", formats.SEMANTIC, "semantic-document", ["doc_id"]).select("doc_id", "path", "rule")
+
+
+IDENTITY_WAYS, IDENTITY_SQL = _contract([
+    (lambda text: text, None, None),
+    (_swap('"default":"KEEP_SEPARATE"', '"default":"MERGE"'), "'policy.default'", "const"),
+    (_swap('"has_divergence":false', '"has_divergence":0'), "case when links > 0 then 'identity_links.0.has_divergence' end", "const"),
+    (_swap('"scope":null,', ""), "case when assertions > 0 then 'assertions.0' end", "required"),
+    (_swap('"is_valid":false', '"is_valid":"no"'), "case when first_invalid > 0 then 'identifiers.' || (first_invalid - 1) || '.is_valid' end", "type"),
+    (_swap('"materiality_classes":["N"]', '"materiality_classes":["N","Q"]'), "case when candidates > 0 then 'candidate_groups.0.materiality_classes.1' end", "enum"),
+    (lambda text: F.regexp_replace(text, r'"fragments":\d+', '"fragments":-1'), "'counts.fragments'", "minimum"),
+    (lambda text: F.regexp_replace(text, r'"principles":\["(\w+)",', '"principles":["links_are_reversible_and_versioned",'), "'policy.principles'", "uniqueItems"),
+])
+KNOWN_IDENTITY = """known as (select doc_id, count(*) filter (where kind > 0 and valid) as links, count(*) filter (where kind = 0) as assertions, coalesce(min(number_of_kind) filter (where kind = 2 and not valid), 0) as first_invalid, any_value(coalesce(c.n, 0)) as candidates
+  from n_frags left join (select doc_id, count(*) as n from (select doc_id from n_frags where kind = 0 group by doc_id, entity_type, value having count(*) > 1) group by 1) c using (doc_id) group by doc_id)"""
+
+
+@query("identity_contract", IDENTITY_SQL, *OBSERVED, NUMBERED, NUMBERED_FRAGMENTS, KNOWN_IDENTITY)
+def _(e: Edition) -> DataFrame:
+    made = artifacts.identities(checkpointed(artifacts.fragments(e)), _sources(e), "2026-06-22T00:00:00+00:00")
+    return schemas.violations(_damaged(made, IDENTITY_WAYS), "artifact", formats.IDENTITY, "identity-resolution", ["doc_id"]).select("doc_id", "path", "rule")
