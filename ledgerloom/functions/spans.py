@@ -1,11 +1,13 @@
 """Matches of a pattern with their places: Spark has no built-in that returns offsets.
 
-The matches and what lies between them are two arrays; one fold adds their lengths up. Offsets are
+The matches and what lies between them are two arrays, whose lengths add up to the places: sums of
+pieces of CHUNK first, then inside each piece, so the time follows the number of matches. Offsets are
 code points, so substring(text, start + 1, end - start) is the match again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,19 +16,46 @@ from pyspark.sql import functions as F
 EMPTY = "cast(array() as array<struct<start:int,end:int,value:string>>)"
 
 
+#: A fold that adds to an array copies it at each step, so arrays stay this short.
+CHUNK = 256
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sums(steps: Column, first: Column) -> Column:
+    """first, and first plus each prefix of a short array but the whole."""
+    zero = F.struct(first.alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+    return F.aggregate(steps, zero, lambda done, x: F.struct((done["at"] + x).alias("at"), F.array_append(done["out"], done["at"]).alias("out")))["out"]
+
+
+def running(steps: Column) -> Column:
+    """The sum of the steps before each step of an array of int."""
+
+    def joined(pieces: Column) -> Column:
+        firsts = _sums(F.transform(pieces, lambda x: F.aggregate(x, F.lit(0), lambda a, b: a + b)), F.lit(0))
+        return F.flatten(F.zip_with(pieces, firsts, _sums))
+
+    def summed(all_: Column) -> Column:
+        pieces = F.transform(F.sequence(F.lit(0), F.size(all_) - 1, F.lit(CHUNK)), lambda i: F.slice(all_, i + 1, F.lit(CHUNK)))
+        return F.when(F.size(all_) <= CHUNK, _sums(all_, F.lit(0))).otherwise(_let(pieces, joined))
+
+    return _let(steps, summed)
+
+
 def spans(text: Column, pattern: str) -> Column:
     """array of (start, end, value) of the matches, left to right; the pattern never matches nothing."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    pairs = F.arrays_zip(gaps.alias("gap"), found.alias("value"))
 
-    def add(done: Column, x: Column) -> Column:
-        start = done["at"] + F.length(x["gap"])
-        end = start + F.length(x["value"])
-        return F.struct(end.alias("at"), F.array_append(done["out"], F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))).alias("out"))
+    def placed(found: Column) -> Column:
+        gaps = F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), lambda x: F.length(x))
+        steps = lambda g: F.zip_with(g, found, lambda x, v: x + F.length(v))
+        ends = lambda g: F.zip_with(running(steps(g)), g, lambda at, x: at + x)
+        made = lambda start, v: F.struct(start.alias("start"), (start + F.length(v)).alias("end"), v.alias("value"))
+        return F.when(F.size(found) > 0, _let(gaps, lambda g: F.zip_with(ends(g), found, made))).otherwise(F.expr(EMPTY))
 
-    zero = F.struct(F.lit(0).alias("at"), F.expr(EMPTY).alias("out"))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, zero, add)["out"]).otherwise(F.expr(EMPTY))
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 @dataclass(frozen=True)
