@@ -46,7 +46,8 @@ def text_index(rows: DataFrame, keys: Sequence[str], text: str = "text", stop: S
     found = rows.select(*keys, words(F.col(text)).alias("words_")).select(*keys, F.size("words_").alias("length"), F.posexplode("words_").alias("at", "word"))
     found = found.filter(~F.col("word").isin(*stop)) if stop else found
     found = found.groupBy(*keys, "length", "word").agg(F.collect_list(F.col("at") + 1).alias("at"))
-    found = found.withColumn("term", term(F.col("word"))).groupBy("term", *keys, "length").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("positions"))
+    # never null, so that no filter on it is inferred and computed before the words are grouped
+    found = found.withColumn("term", F.coalesce(term(F.col("word")), F.lit(""))).groupBy("term", *keys, "length").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("positions"))
     return TextIndex(found.select("term", *keys, "positions", F.size("positions").alias("occurrences"), "length"), list(keys), list(stop), term)
 
 
