@@ -13,7 +13,7 @@ another, and there pivots tell nothing apart, so the join has two levels, both e
    (two joined sets still share one). Sets that share an indexed hash are of one region. A region
    beyond the bound of a cell is first parted by the rarest elements of its whole sets, since
    passages in common may have made it large.
-2. Pivots and Voronoi cells. In a region beyond the bound each set's distances to a few pivots are
+2. Pivots and Voronoi cells. In every region, whatever its size, each set's distances to a few pivots are
    found. Sets within 0.2 of a pivot are linked with it, and pivots that share such a set are of one
    component, the largest of which is settled: its sets need no comparison with one another. Every
    other set is a core of the cell of its nearest pivot; cores more than 0.6 from all are a cell of
@@ -430,7 +430,8 @@ def join_regions(sets: DataFrame, cell: int = CELL, elements: int = ELEMENTS, cu
     done: list[DataFrame] = []
     links: list[DataFrame] = []
     for level in range(cuts + 1):
-        large = cut(sizes(sets).filter(too_large(cell, elements)))
+        # every region is cut by pivots once, and again where it is beyond the bound
+        large = cut(sizes(sets).filter(too_large(cell, elements) if level else F.lit(True)))
         if large.isEmpty():
             break
         done.append(sets.join(large, "region", "left_anti"))
@@ -465,11 +466,9 @@ def near_copies(docs: DataFrame, cell: int = CELL, refine: int = REFINE, element
     counts = regions.groupBy("region").agg(F.count("*").alias("n"), F.sum("n").alias("elements"))
     counts = cut(counts.filter(too_large(min(cell, refine), elements)))
     large = counts.filter(too_large(refine, elements)).select("region")
-    if counts.isEmpty():
-        links = join_regions(full_sets(docs, regions), cell, elements, -1)
-    else:
+    if not counts.isEmpty():
         regions = cut(regions.join(large, "region", "left_anti").unionByName(finer(docs, regions.join(large, "region", "left_semi")).select(regions.columns)))
-        links = join_regions(cut(full_sets(docs, regions)), cell, elements)
+    links = join_regions(cut(full_sets(docs, regions)), cell, elements)
     labels = min_labels(links).withColumnRenamed("a", "node")
     nodes = cut(held.join(labels, "node", "left").select("node", "n", "id", "first", F.coalesce("label", "node").alias("label")))
     classes_ = cut(nodes.groupBy("label").agg(F.count("*").alias("n"), F.min("id").alias("component_id"), F.min("first").alias("first")))
