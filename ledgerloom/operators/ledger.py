@@ -57,22 +57,23 @@ def lineage_edges(runs: DataFrame) -> DataFrame:
 def ancestry(edges: DataFrame) -> DataFrame:
     """artifact, ancestor, depth (the least): what every artifact was made from, over any number of runs.
 
-    Each round joins the pairs found last with the runs' own pairs and keeps those that are new, so
-    rounds end with the longest chain, in a cycle as well. Every round is written once and appended.
+    Paths are doubled: with all pairs up to 2^k runs apart and the pairs that a path of just 2^k runs joins, one
+    join gives the pairs up to 2^(k+1) apart, and another the paths of twice the length. So a chain of n runs takes
+    log2(n) rounds, and each finds its pairs once. A round without a new pair is the last, in a cycle as well.
     """
     made = edges.filter("direction = 'output'").select("run_key", "artifact")
     used = edges.filter("direction = 'input'").select("run_key", F.col("artifact").alias("ancestor"))
-    step = checkpointed(made.join(used, "run_key").select("artifact", "ancestor").distinct())
-    up = step.select(F.col("artifact").alias("ancestor"), F.col("ancestor").alias("next"))
-    last, depth = step, 1
-    found = step.withColumn("depth", F.lit(1))
+    paths = checkpointed(made.join(used, "run_key").select("artifact", "ancestor").distinct())
+    found, length = paths.withColumn("depth", F.lit(1)), 1
     while True:
-        depth += 1
-        new = last.join(up, "ancestor").select("artifact", F.col("next").alias("ancestor")).distinct()
-        last = checkpointed(new.join(found, ["artifact", "ancestor"], "left_anti"))
-        if last.isEmpty():
+        onward = paths.select(F.col("artifact").alias("ancestor"), F.col("ancestor").alias("next"))
+        new = found.join(onward, "ancestor").groupBy("artifact", F.col("next").alias("ancestor")).agg((F.min("depth") + length).alias("depth"))
+        new = checkpointed(new.join(found, ["artifact", "ancestor"], "left_anti"))
+        if new.isEmpty():
             return found
-        found = found.unionByName(last.withColumn("depth", F.lit(depth)))
+        found = found.unionByName(new)
+        paths = checkpointed(paths.join(onward, "ancestor").select("artifact", F.col("next").alias("ancestor")).distinct())
+        length *= 2
 
 
 def lineage_violations(mentions: DataFrame, blocks: DataFrame, runs: DataFrame) -> DataFrame:
