@@ -3,8 +3,21 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A folder of its own below spark.checkpoint.dir; where that is unset one of this machine, in one process only."""
+    return f"{_base(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def _base(spark: SparkSession) -> str:
+    folder, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if folder is None and not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder or tempfile.mkdtemp(prefix="checkpoints-")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -16,10 +29,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not (sc.master == "local" or sc.master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+        sc.setCheckpointDir(_base(spark))
     # Spark 4.1 may take a union's parts for partitioned alike after they have been coalesced apart; joins of it then fail
     before = spark.conf.get("spark.sql.unionOutputPartitioning")
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")

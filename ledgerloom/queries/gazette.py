@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import rules
 from ledgerloom.functions import vocabulary as V
+from ledgerloom.functions.spans import Rule
 from ledgerloom.operators import identity, layout, mentions, observations, views
 from ledgerloom.plans import artifacts, gazette
 from ledgerloom.plans.edition import Edition, dry_run, summary
@@ -639,3 +641,18 @@ KNOWN_IDENTITY = """known as (select doc_id, count(*) filter (where kind > 0 and
 def _(e: Edition) -> DataFrame:
     made = artifacts.identities(checkpointed(artifacts.fragments(e)), _sources(e), "2026-06-22T00:00:00+00:00")
     return schemas.violations(_damaged(made, IDENTITY_WAYS), "artifact", formats.IDENTITY, "identity-resolution", ["doc_id"]).select("doc_id", "path", "rule")
+
+
+@query(
+    "rules_in_sql",
+    "select reference_type as rule, doc_id, block_id, start, end_ as \"end\", value_original as value from refs union all select 'article', doc_id, block_id, start, end_, value from provisions",
+    *SEGMENTED, REFERENCES, PROVISIONS,
+)
+def _(e: Edition) -> DataFrame:
+    """References and provisions of items, found by SQL functions that stand in LATERAL."""
+    spark = e.blocks.sparkSession
+    names = [*observations.METHODS, "article"]
+    rules.register(spark, [Rule(k, V.PATTERNS[k]) for k in names])
+    e.stored()
+    parts = [f"select m.rule, b.doc_id, b.block_id, m.start, m.end, m.value from {{blocks}} b, lateral find_{k}(b.text) m where b.item > 0" for k in names]
+    return spark.sql(" union all ".join(parts), blocks=e.assigned)
