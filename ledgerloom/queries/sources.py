@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import storage
 from ledgerloom.functions import text as T
+from ledgerloom.operators import ledger
 from ledgerloom.queries.text import LINES, table
-from ledgerloom.sources import contracts
+from ledgerloom.sources import contracts, editions
 from ledgerloom.sources import documents as D
+from ledgerloom.sources.tablesets import TableSets
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +73,32 @@ def contract_violations(spark, sf_dir):
 @query("utc_stamps", "select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') as stamp from events")
 def utc_stamps(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", T.utc_stamp(F.col("ts")).alias("stamp"))
+
+
+@query("table_sets", "select 'documents' as table_name, count(*) as rows from documents union all select 'pages', count(*) from pages")
+def table_sets(spark, sf_dir):
+    """Two tables committed as one set, then a newer write that ended before its commit: readers still have the set."""
+    sets = TableSets(spark, storage.new_folder(spark, "sets"))
+    documents, pages = table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "pages").select("page_id", "url")
+    sets.write("load-1", {"documents": documents, "pages": pages})
+    documents.unionByName(documents).write.parquet(f"{sets.root}/load-2.{'0' * 32}/documents")
+    return ledger.table_counts(sets.tables())
+
+
+@query("json_sink", "select doc_id, lang, source, n_chars from documents")
+def json_sink(spark, sf_dir):
+    """Rows written as JSON lines and read again."""
+    folder = storage.new_folder(spark, "json")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    D.write_json(rows, folder)
+    return spark.read.schema(rows.schema).json(folder)
+
+
+@query("edition_source", ORACLE["structured_blocks"])
+def edition_source(spark, sf_dir):
+    """Structured documents written as one file each by the data source of editions, and read again as blocks."""
+    editions.register(spark)
+    folder = storage.new_folder(spark, "editions")
+    rows = _structured(spark, sf_dir)
+    rows.select(F.get_json_object("value", "$.source.sha256").alias("name"), "value").write.format("editions").mode("append").save(folder)
+    return spark.read.format("editions").load(folder)
