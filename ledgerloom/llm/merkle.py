@@ -1,8 +1,10 @@
 r"""Document fingerprints (operator 10), in DataFrame operations only.
 
 A text is a tree: sections are parted by an empty line, paragraphs by a newline, and a paragraph's
-leaves are pieces of up to three words with the spaces behind them, so that the leaves behind one
-another are the paragraph again. A leaf's node is the SHA-256 of its piece, a paragraph's that of
+leaves are pieces of some words with the spaces behind them, so that the leaves behind one
+another are the paragraph again. A piece ends where its content says so, behind a word that ends in one of a
+few characters (about every third word) or after LONGEST words, so a word put in or taken out
+changes the pieces around it and no others. A leaf's node is the SHA-256 of its piece, a paragraph's that of
 its leaves' nodes, a section's that of its paragraphs' nodes, and the root, the fingerprint, that of
 its sections' nodes. Roots are equal exactly when texts are; `differing` follows unequal branches
 down to the paragraphs that were edited. The likeness of two trees is the share of leaf nodes that
@@ -16,7 +18,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import id_key, parts, text_or_empty, twin_key
 
-LEAF = r"[^ ]+(?: +[^ ]+){0,2} *| +"
+#: Last characters of a word that end a piece, and the most words of one.
+ENDS, LONGEST = "es.", 8
+LEAF = rf"(?:[^ ]*[^ {ENDS}] +){{0,{LONGEST - 1}}}[^ ]+ *| +"
 
 
 def tree(text: Column) -> Column:
@@ -148,12 +152,13 @@ def compare_fingerprints(docs: DataFrame) -> DataFrame:
     )
 
 
-_SQL_LEAVES = "list_transform(regexp_extract_all({p}, '[^ ]+(?: +[^ ]+){{0,2}} *| +'), lambda x: sha256(x))"
+def _sql_leaves_of(p: str) -> str:
+    return f"list_transform(regexp_extract_all({p}, '{LEAF}'), lambda x: sha256(x))"
 
 
 def _sql_tree(text: str) -> str:
     """list per section of lists per paragraph of (p: node, l: leaf nodes)."""
-    leaf = _SQL_LEAVES.format(p="p")
+    leaf = _sql_leaves_of("p")
     return (
         f"list_transform(string_split({text}, chr(10) || chr(10)), lambda s: "
         f"list_transform(string_split(s, chr(10)), lambda p: struct_pack(p := sha256(array_to_string({leaf}, '')), l := {leaf})))"
