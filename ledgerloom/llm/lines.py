@@ -10,8 +10,9 @@ that and has other neighbours; a window of one removes every line that occurs ea
 Winnowing: of every `window` lines in a row the one with the smallest hash is the run's fingerprint,
 and a long line is its own, so a run and its earlier copy have one fingerprint. Spark sorts the runs
 that hold a fingerprint by the run and by place; a run equal to the one before it in that sort is
-repeated. From there a match is extended both ways: the runs that begin a line earlier or later
-overlap it and are looked up in the same way, up to the ends of what is repeated. Nothing is paired
+repeated. Every run is kept, not only those around minima: with windows as short as two lines a match
+reaches as far as its overlapping runs are repeated, which is what extending it from a minimum both ways
+would find, so there is no step of its own for that. Nothing is paired
 with all its copies, so rows grow with the input however often a line occurs. Fingerprints with more
 than one in HOT of all rows, fewer than HOT in number, are not sorted together: their runs' first
 places are found by an aggregation that starts in each task, and joined with rows dealt over many.
