@@ -20,9 +20,25 @@ def _blocks(assigned: DataFrame) -> DataFrame:
     return assigned.filter("item > 0").select("doc_id", "item", "block_id", "page", "n", "text")
 
 
-def references(assigned: DataFrame) -> DataFrame:
+def observed(assigned: DataFrame) -> DataFrame:
+    """The matches of all rules in the blocks of items, in one pass; only actions carry their block's text, for the names behind them.
+
+    Stored, it serves references, provisions, actions, entities and the counters: each takes its rows from it.
+    """
+    found = extract(_blocks(assigned), "text", [Rule(k, V.PATTERNS[k]) for k in (*METHODS, "article", "action")])
+    return found.withColumn("text", F.when(F.col("rule") == "action", F.col("text")))
+
+
+def _matches(assigned: DataFrame, found: DataFrame | None, rules: tuple[str, ...]) -> DataFrame:
+    """The matches of some rules, from what observed gave or from the blocks."""
+    if found is not None:
+        return found.filter(F.col("rule").isin(*rules))
+    return extract(_blocks(assigned), "text", [Rule(k, V.PATTERNS[k]) for k in rules])
+
+
+def references(assigned: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """doc_id, item, block_id, page, n, reference_type, start, end, value_original, value_normalized, valid, method."""
-    found = extract(_blocks(assigned), "text", [Rule(k, V.PATTERNS[k]) for k in METHODS])
+    found = _matches(assigned, found, tuple(METHODS))
     method = F.create_map(*[F.lit(x) for kv in METHODS.items() for x in kv])[F.col("rule")]
     return found.select(
         "doc_id", "item", "block_id", "page", "n", F.col("rule").alias("reference_type"), "start", "end", F.col("value").alias("value_original"),
@@ -31,19 +47,19 @@ def references(assigned: DataFrame) -> DataFrame:
     )
 
 
-def provisions(assigned: DataFrame) -> DataFrame:
-    found = extract(_blocks(assigned), "text", [Rule("article", V.PATTERNS["article"])])
+def provisions(assigned: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    found = _matches(assigned, found, ("article",))
     return found.select("doc_id", "item", "block_id", "page", "n", F.col("rule").alias("kind"), F.col("value").alias("label"), "start", "end")
 
 
-def _actions(assigned: DataFrame) -> DataFrame:
-    found = extract(_blocks(assigned), "text", [Rule("action", V.PATTERNS["action"])])
+def _actions(assigned: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    found = _matches(assigned, found, ("action",))
     return found.withColumn("verb", F.regexp_replace(F.upper("value"), r"(?U)\s+", "_"))
 
 
-def actions(assigned: DataFrame) -> DataFrame:
+def actions(assigned: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """doc_id, item, block_id, page, n, verb, value_original, start, end; (doc_id, block_id, start) names one."""
-    return _actions(assigned).select("doc_id", "item", "block_id", "page", "n", "verb", F.col("value").alias("value_original"), "start", "end")
+    return _actions(assigned, found).select("doc_id", "item", "block_id", "page", "n", "verb", F.col("value").alias("value_original"), "start", "end")
 
 
 def _persons(actions_: DataFrame, only: bool = True) -> DataFrame:
@@ -70,7 +86,7 @@ def _persons(actions_: DataFrame, only: bool = True) -> DataFrame:
     return rows.withColumn("has_position", F.coalesce(~barred, F.lit(False)))
 
 
-def entities(assigned: DataFrame) -> DataFrame:
+def entities(assigned: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """doc_id, entity_type, value_original, value_normalized, role, item, block_id, page, n, start, end, action_start, method.
 
     Organisations are the blocks of contexts (item null); persons and positions follow actions,
@@ -82,7 +98,7 @@ def entities(assigned: DataFrame) -> DataFrame:
         "doc_id", F.lit("organization").alias("entity_type"), F.col("text").alias("value_original"), F.col("text").alias("value_normalized"), F.lit("editorial_context").alias("role"),
         nothing.alias("item"), "block_id", "page", "n", F.lit(0).alias("start"), F.length("text").alias("end"), nothing.alias("action_start"), F.lit("editorial_heading_v1").alias("method"),
     )
-    rows = _persons(_actions(assigned))
+    rows = _persons(_actions(assigned, found))
     pair = lambda kind, value, role, start, end, method: F.struct(F.lit(kind).alias("entity_type"), value.alias("value_original"), T.normalize_spaces(value).alias("value_normalized"), F.lit(role).alias("role"), start.alias("s"), end.alias("e"), F.lit(method).alias("method"))
     person = pair("person", F.col("name"), "subject_of", F.col("name_start"), F.col("name_end"), "person_after_action_v1")
     position = pair("position", F.col("position"), "current_position_of", F.col("position_start"), F.col("position_start") + F.length("position"), "position_after_person_v1")
@@ -116,7 +132,7 @@ def numbered_entities(found: DataFrame) -> DataFrame:
     return found.withColumn("id", in_order(entity_order(), "entity", 6))
 
 
-def semantic_counts(assigned: DataFrame) -> DataFrame:
+def semantic_counts(assigned: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """doc_id and its ten counters: blocks are grouped by item and then by document, and matches of all rules are found in one pass."""
     by_item = assigned.groupBy("doc_id", "item").agg(
         F.count("*").alias("n"), F.count_if(F.col("category") == "section_heading").alias("sections"), F.max("context").alias("contexts"),
@@ -128,7 +144,7 @@ def semantic_counts(assigned: DataFrame) -> DataFrame:
         F.count_if(real).alias("published_items"), F.count_if(real & F.col("multi")).alias("multi_page_items"), F.count_if(real & ~F.col("titled")).alias("unclassified_items"),
         F.sum("heads").alias("heads"),
     )
-    found = _persons(extract(_blocks(assigned), "text", [Rule(k, V.PATTERNS[k]) for k in (*METHODS, "article", "action")]), False)
+    found = _persons(_matches(assigned, found, (*METHODS, "article", "action")), False)
     is_ = lambda rule: F.col("rule") == rule
     named = F.when(is_("action") & F.col("has_name"), 1 + F.col("has_position").cast("int")).otherwise(0)
     counts = found.groupBy("doc_id").agg(F.count_if(is_("action")).alias("actions"), F.sum(named).alias("named"), F.count_if(is_("article")).alias("provisions"), F.count_if(F.col("rule").isin(*METHODS)).alias("references"))

@@ -98,7 +98,7 @@ def semantic(edition: Edition, sources: DataFrame, created_at: str) -> DataFrame
         _part(blocks, "block_assignments", ["n"], assignments, nulls=False),
     ]
     source = F.to_json(F.struct(F.col("uri").alias("structured_uri"), F.col("sha256").alias("document_sha256")))
-    return _artifact(sources, _head(created_at, SEMANTIC_TOOL, [("source", source)]), parts, observations.semantic_counts(blocks))
+    return _artifact(sources, _head(created_at, SEMANTIC_TOOL, [("source", source)]), parts, observations.semantic_counts(blocks, edition.observed))
 
 
 def fragments(edition: Edition) -> DataFrame:

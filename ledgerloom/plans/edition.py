@@ -21,8 +21,9 @@ class Edition:
     blocks: DataFrame
 
     def stored(self) -> Edition:
-        """The same with its segmentation written to spark.checkpoint.dir, for uses that read it more than once."""
+        """The same with its segmentation and the matches of all rules written to spark.checkpoint.dir, for uses that read them more than once."""
         self.__dict__["assigned"] = checkpointed(self.assigned)
+        self.__dict__["observed"] = checkpointed(observations.observed(self.assigned))
         if "text_original" not in self.blocks.columns:  # the stored rows are the blocks as well
             self.blocks = self.assigned.select("doc_id", "page", "ord", "block_id", "text", "role", "noise")
         return self
@@ -40,6 +41,11 @@ class Edition:
     def assigned(self) -> DataFrame:
         return segmentation.assign(self.blocks)
 
+    @cached_property
+    def observed(self) -> DataFrame | None:
+        """The stored matches of all rules; without them each table finds its own."""
+        return None
+
     @cached_property
     def sections(self) -> DataFrame:
         return segmentation.sections(self.assigned)
@@ -54,19 +60,19 @@ class Edition:
 
     @cached_property
     def references(self) -> DataFrame:
-        return observations.references(self.assigned)
+        return observations.references(self.assigned, self.observed)
 
     @cached_property
     def provisions(self) -> DataFrame:
-        return observations.provisions(self.assigned)
+        return observations.provisions(self.assigned, self.observed)
 
     @cached_property
     def actions(self) -> DataFrame:
-        return observations.actions(self.assigned)
+        return observations.actions(self.assigned, self.observed)
 
     @cached_property
     def entities(self) -> DataFrame:
-        return observations.entities(self.assigned)
+        return observations.entities(self.assigned, self.observed)
 
     @cached_property
     def fragments(self) -> DataFrame:
