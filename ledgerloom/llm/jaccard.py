@@ -393,7 +393,9 @@ def settled(far: DataFrame) -> DataFrame:
 def voronoi(sets: DataFrame, large: DataFrame, cell: int, elements: int, level: int) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) of sets with pivots, and the cells of large regions: region, key, hashes of cores and of what may be joined with one."""
     pivots = cut(pivot_sets(sets, large, cell, elements, level))
+    sweep(sets.sparkSession)
     far = cut(distances(sets, pivots))
+    sweep(sets.sparkSession)
     keys = pivots.select("region", F.posexplode(F.col("pivots")["key"]).alias("i", "pivot"))
     links = far.filter("mask > 0").select("region", "key", "mask").join(keys, "region").filter("(shiftright(mask, i) & 1) = 1 and key <> pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b"))
     cores = far.join(settled(far), "region", "left").filter("mask & coalesce(main, 0) = 0")
@@ -458,17 +460,22 @@ def near_copies(docs: DataFrame, cell: int = CELL, refine: int = REFINE, element
     rows = stored(sampled(docs))
     nodes = rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("pre").alias("pre"))
     edges = cut(candidate_edges(nodes.select(F.col("node").alias("key"), "n", "pre")))
+    sweep(docs.sparkSession)
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "key", "twin")
     held = cut(rows.filter("n > 0").groupBy("node").agg(F.count("*").alias("n"), F.first("n").alias("size"), F.min("doc_id").alias("id"), F.min(first).alias("first")))
     regions = min_labels(edges).select(F.col("a").alias("key"), F.col("label").cast("string").alias("region"))
     doc = F.xxhash64("first.key", "first.twin").alias("doc")
     regions = cut(regions.join(held.select(F.col("node").alias("key"), F.col("size").alias("n"), doc), "key"))
+    sweep(docs.sparkSession)
     counts = regions.groupBy("region").agg(F.count("*").alias("n"), F.sum("n").alias("elements"))
     counts = cut(counts.filter(too_large(min(cell, refine), elements)))
     large = counts.filter(too_large(refine, elements)).select("region")
     if not counts.isEmpty():
         regions = cut(regions.join(large, "region", "left_anti").unionByName(finer(docs, regions.join(large, "region", "left_semi")).select(regions.columns)))
-    links = join_regions(cut(full_sets(docs, regions)), cell, elements)
+    sets = cut(full_sets(docs, regions))
+    sweep(docs.sparkSession)
+    links = cut(join_regions(sets, cell, elements))
+    sweep(docs.sparkSession)
     labels = min_labels(links).withColumnRenamed("a", "node")
     nodes = cut(held.join(labels, "node", "left").select("node", "n", "id", "first", F.coalesce("label", "node").alias("label")))
     classes_ = cut(nodes.groupBy("label").agg(F.count("*").alias("n"), F.min("id").alias("component_id"), F.min("first").alias("first")))
