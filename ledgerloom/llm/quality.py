@@ -127,8 +127,10 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = shared.value
         for batch in batches:
-            texts = batch.column("row").field("text").cast(pa.binary()).to_pylist()
-            found = [scores(part, w, b) for _, part in chunks(texts)]
+            texts = batch.column("row").field("text").cast(pa.binary())
+            # a few hundred texts at a time are copied into Python
+            some = (texts.slice(at, 256).to_pylist() for at in range(0, len(texts), 256))
+            found = [scores(part, w, b) for held in some for _, part in chunks(held)]
             made = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(made)], names=["row", "quality_score"])
 
