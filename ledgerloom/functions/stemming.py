@@ -127,4 +127,5 @@ def stem(word: Column) -> Column:
         before = lambda pattern: F.coalesce(F.nullif(F.length(F.regexp_extract(w, pattern, 0)), F.lit(0)), F.length(w))
         return _let(F.struct(w.alias("word"), before(RV).alias("rv"), before(R1).alias("r1"), before(R2).alias("r2")), _stem)
 
-    return _let(tilded, marked)
+    # every suffix ends with a letter, so a word that doesn't is its own stem
+    return F.when(word.rlike(r"\p{L}$"), _let(tilded, marked)).otherwise(F.lower(word))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import stemming
 from ledgerloom.functions import text as T
+from ledgerloom.functions.storage import checkpointed
 
 WORD = r"(?U)[\p{L}\p{N}]+"
 
@@ -38,6 +39,22 @@ class TextIndex:
         return rows.select("query_id", "offset", self.term(F.col("word")).alias("term"))
 
 
+#: Up to so many terms of searches are sent to every task; more are joined by a shuffle.
+SENT = 100_000
+
+
+def _met(index: TextIndex, terms: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The terms of searches, computed once; the postings of those, keys and columns; and how to join with what is as long as the terms.
+
+    Few terms (their number is the searches', not the index's) go to the postings instead of these to them: no common term
+    is sorted by one task, and an index that isn't stored makes no other postings, as the filter goes below its grouping.
+    """
+    terms = checkpointed(terms)
+    few = terms.count() <= SENT
+    sent = lambda rows: F.broadcast(rows) if few else rows
+    return terms, index.postings.join(sent(terms.select("term").distinct()), "term", "left_semi").select("term", *index.keys, *columns), sent
+
+
 def text_index(rows: DataFrame, keys: Sequence[str], text: str = "text", stop: Sequence[str] = tuple(stemming.STOP_WORDS), term: Callable[[Column], Column] = stemming.stem) -> TextIndex:
     """The index of rows that keys name. Stop words have no postings but keep their positions; null texts and texts without words have none.
 
@@ -59,20 +76,21 @@ def boolean(index: TextIndex, queries: DataFrame) -> DataFrame:
     sides = F.array(*[F.struct(F.lit(role).alias("role"), F.concat_ws(" ", F.coalesce(F.col(role), F.array())).alias("text_")) for role in ("all", "any", "none")])
     sides = queries.select(F.col("query_id").alias("q_"), F.explode(sides).alias("s_")).select(F.struct("q_", "s_.role").alias("query_id"), "s_.text_")
     sides = index.terms(sides, "text_").select(F.col("query_id.q_").alias("query_id"), "query_id.role", "term").distinct()
+    sides, met, sent = _met(index, sides)
     has = lambda role: F.count_if(F.col("role") == role)
     wanted = sides.groupBy("query_id").agg(has("all").alias("n_all"), has("any").alias("n_any"))
-    found = sides.join(index.postings.select("term", *index.keys), "term").groupBy("query_id", *index.keys).agg(has("all").alias("all_"), has("any").alias("any_"), has("none").alias("none_"))
-    found = found.join(wanted, "query_id").filter("all_ = n_all and (n_any = 0 or any_ > 0) and none_ = 0 and n_all + n_any > 0")
+    found = met.join(sent(sides), "term").groupBy("query_id", *index.keys).agg(has("all").alias("all_"), has("any").alias("any_"), has("none").alias("none_"))
+    found = found.join(sent(wanted), "query_id").filter("all_ = n_all and (n_any = 0 or any_ > 0) and none_ = 0 and n_all + n_any > 0")
     return found.select("query_id", *index.keys)
 
 
 def phrases(index: TextIndex, queries: DataFrame) -> DataFrame:
     """query_id, keys, occurrences of the rows where the words of `phrase` stand behind one another; a stop word stands for any one word."""
-    asked = index.terms(queries, "phrase")
+    asked, met, sent = _met(index, index.terms(queries, "phrase"), "positions")
     size = asked.groupBy("query_id").agg(F.count("*").alias("n"))
-    at = asked.join(index.postings.select("term", *index.keys, "positions"), "term").select("query_id", *index.keys, "offset", F.explode("positions").alias("at"))
+    at = met.join(sent(asked), "term").select("query_id", *index.keys, "offset", F.explode("positions").alias("at"))
     starts = at.groupBy("query_id", *index.keys, (F.col("at") - F.col("offset")).alias("start")).agg(F.count("*").alias("met"))
-    found = starts.join(size, "query_id").filter("met = n")
+    found = starts.join(sent(size), "query_id").filter("met = n")
     return found.groupBy("query_id", *index.keys).agg(F.count("*").alias("occurrences"))
 
 
@@ -83,11 +101,11 @@ def ranked(index: TextIndex, queries: DataFrame, most: int | None = None, k1: fl
     """
     rows = index.postings.select(*index.keys, "length").distinct().agg(F.count("*").alias("rows"), F.avg("length").alias("mean")).first()
     asked = index.terms(queries, "text").groupBy("query_id", "term").agg(F.count("*").alias("times"))
-    met = index.postings.join(asked.select("term").distinct(), "term", "left_semi").select("term", *index.keys, "occurrences", "length")
+    asked, met, sent = _met(index, asked, "occurrences", "length")
     held = met.groupBy("term").agg(F.count("*").alias("holders"))
     rare = F.log1p((F.lit(rows["rows"]) - F.col("holders") + 0.5) / (F.col("holders") + 0.5))
     share = F.col("occurrences") * (k1 + 1) / (F.col("occurrences") + k1 * (1 - b + b * F.col("length") / F.lit(rows["mean"] or 1.0)))
-    found = asked.join(held, "term").join(met, "term").groupBy("query_id", *index.keys).agg(F.sum(F.col("times") * rare * share).alias("score"))
+    found = met.join(sent(asked.join(held, "term")), "term").groupBy("query_id", *index.keys).agg(F.sum(F.col("times") * rare * share).alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), *index.keys)
     found = found.withColumn("rank", F.row_number().over(order))
     return found.filter(F.col("rank") <= most) if most else found
