@@ -7,6 +7,7 @@ import json
 
 import pytest
 from ledgerloom.sources import formats, schemas
+from pyspark.sql import functions as F
 
 SCHEMA = {
     "type": "object", "additionalProperties": False, "required": ["a", "list"],
@@ -89,3 +90,13 @@ def test_own_formats_compile(spark):
     for schema in (formats.SEMANTIC, formats.IDENTITY):
         frame = spark.createDataFrame([(1, "{}")], "k int, doc string")
         assert [r.rule for r in schemas.violations(frame, "doc", schema, "x", ["k"]).collect()] == ["required"]
+
+
+def test_a_document_is_parsed_and_checked_once_behind_a_join(spark):
+    left = spark.createDataFrame([(1, '{"a":'), (2, '{"b":')], "doc_id int, x string")
+    right = spark.createDataFrame([(1, "1}"), (2, "2}")], "doc_id int, y string")
+    rows = left.hint("merge").join(right, "doc_id").select("doc_id", F.concat("x", "y").alias("text"))
+    schema = {"type": "object", "required": ["a"], "properties": {"a": {"type": "integer"}}}
+    found = schemas.violations(rows, "text", schema, "n", ["doc_id"])
+    assert [tuple(r) for r in found.select("doc_id", "path", "rule").collect()] == [(2, "<root>", "required")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
