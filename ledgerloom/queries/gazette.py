@@ -552,7 +552,7 @@ n_frags as (select *, row_number() over (partition by doc_id order by kind, sour
     *OBSERVED, NUMBERED, NUMBERED_FRAGMENTS,
 )
 def _(e: Edition) -> DataFrame:
-    found = artifacts.fragments(e)
+    found = checkpointed(artifacts.fragments(e))  # it is read three times
     seen = identity.numbered_assertions(found).unionByName(identity.numbered_identifiers(found), allowMissingColumns=True)
     return found.select("doc_id", "id", "source_id").join(seen.select("doc_id", F.col("fragment_id").alias("id"), F.col("id").alias("observation_id")), ["doc_id", "id"])
 
