@@ -236,27 +236,27 @@ def sampled(docs: DataFrame) -> DataFrame:
 def min_labels(edges: DataFrame) -> DataFrame:
     """a, label: for every node of edges (a, b) the smallest node that it reaches.
 
-    Each round gives a node the smallest label of itself and its neighbours, then that label's own
-    label, so long chains shrink by half; rounds end when nothing changes. Rows with one label are
-    dealt over several tasks: the few labels' own rows are repeated for each.
+    Each round ties a node's larger neighbours to the smallest of it and its neighbours (large star), then a node
+    and its smaller neighbours to the smallest of those (small star). Both keep what is connected, and each edge
+    becomes one edge, so a round has no more rows than the one before, and no join makes rows. Rounds end when only
+    stars are left, whose centres are their smallest nodes.
     """
+    pairs = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    smallest = F.first("b").over(Window.partitionBy("a").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     pair = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
-    both = edges.select(F.explode(F.array(pair("a", "b"), pair("b", "a"), pair("a", "a"), pair("b", "b"))).alias("e"))
-    both = cut(both.select("e.a", "e.b").distinct())
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("label")))
-    salts = 8
-    salt = F.pmod(F.xxhash64("a"), F.lit(salts)).alias("salt")
+    stars = pairs.filter("a <> b")
     while True:
-        old = F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old")
-        near_ = both.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label"), old)
-        hop = near_.select(F.col("a").alias("label"), F.col("label").alias("next")).join(near_.select("label").distinct(), "label")
-        hop = hop.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        new = near_.select("a", "label", "old", salt).join(hop, ["label", "salt"], "left")
-        new = cut(new.select("a", F.least("label", F.coalesce("next", "label")).alias("label"), "old"))
-        labels = new.select("a", "label")
+        ends = stars.select(F.explode(F.array(pair("a", "b"), pair("b", "a"))).alias("e")).select("e.a", (F.col("e.a") > F.col("e.b")).alias("leaf"))
+        ends = ends.groupBy("a").agg(F.count_if("leaf").alias("above"), F.bool_or(~F.col("leaf")).alias("centre"))
+        if ends.filter("above > 1 or (above = 1 and centre)").isEmpty():
+            break
+        both = stars.select(F.explode(F.array(pair("a", "b"), pair("b", "a"))).alias("e")).select("e.a", "e.b")
+        large = both.withColumn("m", F.least("a", smallest)).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        small = large.withColumn("m", smallest).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+        stars = cut(small.distinct())
         sweep(edges.sparkSession)
-        if new.filter("label <> old").isEmpty():
-            return labels
+    found = stars.select(F.explode(F.array(pair("a", "b"), pair("b", "b"))).alias("e")).select("e.a", "e.b").unionByName(pairs.filter("a = b"))
+    return cut(found.groupBy("a").agg(F.min("b").alias("label")))
 
 
 def least(n: str = "n") -> Column:
