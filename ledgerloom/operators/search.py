@@ -152,18 +152,25 @@ def containing(index: GramIndex, queries: DataFrame, text: str = "text") -> Data
 
     Of a query's grams the rarest few are looked up; rows in all of their postings are read and verified. A query
     shorter than a gram looks up every gram that holds it. An empty or null one finds nothing.
+    Queries with one text are one until the end, and a text meets what is asked of it in the join that verifies, so no text is
+    written once for each query that may be in it.
     """
-    asked = queries.select("query_id", folded(F.coalesce(F.col(text), F.lit(""))).alias("asked")).filter("asked <> ''")
-    long = asked.filter(F.length("asked") >= GRAM).select("query_id", F.explode(_grams(F.col("asked"))).alias("gram"))
-    order = Window.partitionBy("query_id").orderBy(F.coalesce("rows", F.lit(0)), "gram")
+    named = checkpointed(queries.select("query_id", folded(F.coalesce(F.col(text), F.lit(""))).alias("asked")).filter("asked <> ''"))
+    few = named.count() <= SENT
+    sent = lambda rows: F.broadcast(rows) if few else rows
+    asked = named.select("asked").distinct()
+    long = asked.filter(F.length("asked") >= GRAM).select("asked", F.explode(_grams(F.col("asked"))).alias("gram"))
+    order = Window.partitionBy("asked").orderBy(F.coalesce("rows", F.lit(0)), "gram")
     long = long.join(index.holders, "gram", "left").withColumn("r_", F.row_number().over(order)).filter(F.col("r_") <= RAREST)
-    size = long.groupBy("query_id").agg(F.count("*").alias("n"))
-    found = long.select("query_id", "gram").join(index.postings, "gram").groupBy("query_id", *index.keys).agg(F.count("*").alias("met"))
-    found = found.join(size, "query_id").filter("met = n").select("query_id", *index.keys)
+    long = long.select("asked", "gram", F.count("*").over(Window.partitionBy("asked")).alias("n"))
     # a short query's pieces of a gram: equal ones are joined, so no query is compared with every gram
     pieces = F.array_distinct(F.flatten(F.array(*[F.array(*[F.substring("gram", i, n) for i in range(1, GRAM - n + 2)]) for n in range(1, GRAM)])))
-    short = asked.filter(F.length("asked") < GRAM).select("query_id", F.col("asked").alias("piece"))
-    inside = index.holders.select("gram", F.explode(pieces).alias("piece")).join(short, "piece").select("query_id", "gram")
-    found = found.unionByName(inside.join(index.postings, "gram").select("query_id", *index.keys).distinct())
-    rows = found.join(index.texts, index.keys).join(asked, "query_id")
-    return rows.filter(F.contains("folded", "asked")).select("query_id", *index.keys)
+    short = asked.filter(F.length("asked") < GRAM)
+    inside = index.holders.select("gram", F.explode(pieces).alias("asked")).join(sent(short), "asked").select("asked", "gram", F.lit(1).cast("long").alias("n"))
+    looked = checkpointed(long.unionByName(inside))
+    met = index.postings.join(F.broadcast(looked) if looked.count() <= SENT else looked, "gram")
+    found = met.groupBy("asked", "n", *index.keys).agg(F.count("*").alias("met")).filter("met >= n").select("asked", *[F.col(k).alias(f"{k}_") for k in index.keys])
+    same = F.contains("folded", "asked")
+    for k in index.keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
+    return found.join(index.texts, same).select("asked", *index.keys).join(sent(named), "asked").select("query_id", *index.keys)

@@ -141,8 +141,7 @@ def item_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item's second to fourth words, and its last two letters, looked for in all documents."""
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     index = search.gram_index(docs, ["doc_id"], ["text"])
-    index.postings = checkpointed(index.postings)
-    index.holders = index.postings.groupBy("gram").agg(F.count("*").alias("rows"))
+    index.holders = checkpointed(index.holders)
     words = F.array_join(F.slice(F.split("text", " "), 2, 3), " ")
     both = F.array(F.struct(F.col("item_id").alias("q"), words.alias("t")), F.struct((-1 - F.col("item_id")).alias("q"), F.substring("text", -2, 2).alias("t")))
     queries = items.select(F.explode(both).alias("x")).select(F.col("x.q").alias("query_id"), F.col("x.t").alias("text"))
