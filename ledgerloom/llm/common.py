@@ -136,6 +136,21 @@ def chunks(texts: Iterable[bytes | None], limit: int = CHUNK) -> Iterator[tuple[
         yield first, held
 
 
+#: How many rows are copied into Python at a time.
+ROWS = 256
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of some rows, so that of a batch's texts only a few are Python objects; at the end Arrow's free memory goes back.
+
+    A Python worker lives on for later stages, and what it holds is added to what the JVM takes then.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def joined(texts: list[bytes], gap: bytes = b" ") -> tuple[np.ndarray, np.ndarray]:
     """The texts behind one another, each ended by a gap byte, and where each begins (and the end)."""
     buffer = np.frombuffer(gap.join([*texts, b""]), dtype=np.uint8)

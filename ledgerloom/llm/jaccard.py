@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bitmap, chunks, cut, gram_hashes, id_key, in_bitmap, joined, runs, salted_join, span_hashes, stored, sweep, text_or_empty, twin_key
+from ledgerloom.llm.common import bitmap, chunks, cut, gram_hashes, id_key, in_bitmap, joined, runs, salted_join, slices, span_hashes, stored, sweep, text_or_empty, twin_key
 
 N, PERCENT = 5, 80
 #: Bound of a cell: sets, and elements of all its sets (8 bytes each). Regions of more than REFINE sets are parted by whole sets before they are cut.
@@ -47,6 +47,9 @@ PIVOTS, CUTS = 8, 2
 #: Distance within which sets are joined, and beyond which a core is in no pivot's cell.
 RADIUS, FAR, EPS = (100 - PERCENT) / 100, 0.6, 1e-9
 
+#: Bytes of texts whose sets are made together; their arrays take many times that.
+SOME = 1 << 18
+
 _KINDS = np.ones(256, dtype=np.uint8)
 _KINDS[[9, 10, 11, 12, 13, 32]] = 0
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -218,8 +221,8 @@ def sampled(docs: DataFrame) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_key().alias("key"), twin_key().alias("twin"), text_or_empty().cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, texts in chunks(batch.column("text").to_pylist()):
+        for batch in slices(batches):
+            for first, texts in chunks(batch.column("text").to_pylist(), SOME):
                 sets = shingle_sets(texts)
                 pre = [s[: slack(len(s)) + shared(len(s))].view(np.int64) for s in sets]
                 columns = [
@@ -294,9 +297,9 @@ def full_sets(docs: DataFrame, regions: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = shared_bits.value, set()
-        for batch in batches:
+        for batch in slices(batches):
             batch = batch.filter(pa.array(in_bitmap(bits, batch.column("key").to_numpy())))
-            for _, texts in chunks(batch.column("text").to_pylist()):
+            for _, texts in chunks(batch.column("text").to_pylist(), SOME):
                 sets = {name(s): s.view(np.int64) for s in shingle_sets(texts) if len(s)}
                 new = [k for k in sets if k not in seen]  # copies in one task are sent once
                 seen.update(new)
