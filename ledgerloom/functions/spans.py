@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EMPTY = "cast(array() as array<struct<start:int,end:int,value:string>>)"
+NOTHING = "cast(array() as array<struct<rule:string,rule_version:string,start:int,end:int,value:string>>)"
 
 
 #: A fold that adds to an array copies it at each step, so arrays stay this short.
@@ -23,8 +24,12 @@ CHUNK = 256
 FEW = 4
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is computed once."""
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once.
+
+    Spark runs a lambda's body as a tree of expressions, each in code that the JVM compiles. The same steps as plain
+    columns become one generated method, which the JVM interprets where it is too long.
+    """
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
@@ -48,9 +53,9 @@ def running(steps: Column) -> Column:
 
     def summed(all_: Column) -> Column:
         pieces = F.transform(F.sequence(F.lit(0), F.size(all_) - 1, F.lit(CHUNK)), lambda i: F.slice(all_, i + 1, F.lit(CHUNK)))
-        return F.when(F.size(all_) <= CHUNK, _sums(all_, F.lit(0))).otherwise(_let(pieces, joined))
+        return F.when(F.size(all_) <= CHUNK, _sums(all_, F.lit(0))).otherwise(let(pieces, joined))
 
-    return _let(steps, summed)
+    return let(steps, summed)
 
 
 def spans(text: Column, pattern: str) -> Column:
@@ -63,14 +68,14 @@ def spans(text: Column, pattern: str) -> Column:
     def placed(found: Column) -> Column:
         ends = lambda steps: F.zip_with(running(steps), steps, lambda at, x: at + x)
         steps = F.transform(F.regexp_extract_all(text, upto, F.lit(0)), lambda x: F.length(x))
-        many = _let(steps, lambda x: F.zip_with(ends(x), found, made))
+        many = let(steps, lambda x: F.zip_with(ends(x), found, made))
         # a few matches whose texts stand nowhere else are found by those, without a second look for the pattern
         at = lambda v: _locate(v, text, F.lit(1))
         once = F.forall(found, lambda v: _locate(v, text, at(v) + 1) == 0)
-        few = F.transform(found, lambda v: _let(at(v) - 1 + F.length(v), lambda end: made(end, v)))
+        few = F.transform(found, lambda v: let(at(v) - 1 + F.length(v), lambda end: made(end, v)))
         return F.when(F.size(found) == 0, F.expr(EMPTY)).when((F.size(found) <= FEW) & once, few).otherwise(many)
 
-    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 @dataclass(frozen=True)
@@ -82,10 +87,14 @@ class Rule:
     version: str = "1.0.0"
 
 
-def extract(rows: DataFrame, text: str, rules: list[Rule]) -> DataFrame:
-    """Every column of rows, and rule, rule_version, start, end, value: one row per match."""
+def extract(rows: DataFrame, text: str, rules: list[Rule], where: dict[str, Column] | None = None, more: tuple[Column, ...] = ()) -> DataFrame:
+    """Every column of rows, and rule, rule_version, start, end, value: one row per match.
+
+    where: the rows that a rule is looked for in, by its name. more: arrays (not null) of further such rows.
+    """
     def made(r: Rule) -> Column:
         own = lambda x: F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("rule_version"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"))
-        return F.transform(spans(F.col(text), r.pattern), own)
+        found = F.transform(spans(F.col(text), r.pattern), own)
+        return F.when(where[r.name], found).otherwise(F.expr(NOTHING)) if where and r.name in where else found
 
-    return rows.select("*", F.explode(F.concat(*map(made, rules))).alias("match_")).select(*rows.columns, "match_.*")
+    return rows.select("*", F.explode(F.concat(*more, *map(made, rules))).alias("match_")).select(*rows.columns, "match_.*")

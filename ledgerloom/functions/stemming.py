@@ -49,7 +49,7 @@ def ending(suffixes: list[str]) -> str:
 STANDARD = ending([*GO, *TO_LOG, *TO_U, *TO_ENTE, "amente", "mente", *ABILITY, *IVE, *IRA])
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body of a value that is computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -65,7 +65,7 @@ def _dropped(word: Column, suffixes: list[str], region: Column, then: Callable[[
         rest = _less(word, suffix)
         return F.when((suffix != "") & (F.length(rest) >= region), then(rest, suffix) if then else rest).otherwise(word)
 
-    return _let(F.regexp_extract(word, ending(suffixes), 0), cut)
+    return let(F.regexp_extract(word, ending(suffixes), 0), cut)
 
 
 def _standard(m: Column) -> Column:
@@ -90,13 +90,13 @@ def _standard(m: Column) -> Column:
             .otherwise(_dropped(base, ["at"], r2))
         )
 
-    return _let(F.regexp_extract(word, STANDARD, 0), apply)
+    return let(F.regexp_extract(word, STANDARD, 0), apply)
 
 
 def _verb(m: Column) -> Column:
     """The word without the longest verb suffix of its region; null where there is none."""
     region = F.substring(m["word"], m["rv"] + 1, F.length(m["word"]))
-    return _let(F.regexp_extract(region, ending(VERB), 0), lambda suffix: F.when(suffix != "", _less(m["word"], suffix)))
+    return let(F.regexp_extract(region, ending(VERB), 0), lambda suffix: F.when(suffix != "", _less(m["word"], suffix)))
 
 
 def _last(word: Column, rv: Column) -> Column:
@@ -104,7 +104,7 @@ def _last(word: Column, rv: Column) -> Column:
     rest = F.substring(word, F.lit(1), F.length(word) - 1)
     soft = lambda x: F.when(x.rlike("(?:gu|ci)$") & (F.length(x) - 1 >= rv), F.substring(x, F.lit(1), F.length(x) - 1)).otherwise(x)
     final = word.rlike("[eéê]$")
-    return F.when(final & (F.length(word) - 1 >= rv), _let(rest, soft)).when(word.endswith("ç"), F.concat(rest, F.lit("c"))).otherwise(word)
+    return F.when(final & (F.length(word) - 1 >= rv), let(rest, soft)).when(word.endswith("ç"), F.concat(rest, F.lit("c"))).otherwise(word)
 
 
 def _stem(m: Column) -> Column:
@@ -114,8 +114,8 @@ def _stem(m: Column) -> Column:
         no_i = F.when(cut.endswith("ci") & (F.length(cut) - 1 >= rv), F.substring(cut, F.lit(1), F.length(cut) - 1)).otherwise(cut)
         return F.when(cut.isNotNull(), no_i).otherwise(_dropped(m["word"], LEFT_OVER, rv))
 
-    cut = _let(_standard(m), lambda first: F.when(first.isNotNull(), first).otherwise(_verb(m)))
-    found = _let(_let(cut, settle), lambda word: _last(word, rv))
+    cut = let(_standard(m), lambda first: F.when(first.isNotNull(), first).otherwise(_verb(m)))
+    found = let(let(cut, settle), lambda word: _last(word, rv))
     return F.replace(F.replace(found, F.lit("a~"), F.lit("ã")), F.lit("o~"), F.lit("õ"))
 
 
@@ -125,7 +125,7 @@ def stem(word: Column) -> Column:
 
     def marked(w: Column) -> Column:
         before = lambda pattern: F.coalesce(F.nullif(F.length(F.regexp_extract(w, pattern, 0)), F.lit(0)), F.length(w))
-        return _let(F.struct(w.alias("word"), before(RV).alias("rv"), before(R1).alias("r1"), before(R2).alias("r2")), _stem)
+        return let(F.struct(w.alias("word"), before(RV).alias("rv"), before(R1).alias("r1"), before(R2).alias("r2")), _stem)
 
     # every suffix ends with a letter, so a word that doesn't is its own stem
-    return F.when(word.rlike(r"\p{L}$"), _let(tilded, marked)).otherwise(F.lower(word))
+    return F.when(word.rlike(r"\p{L}$"), let(tilded, marked)).otherwise(F.lower(word))

@@ -10,11 +10,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
-from ledgerloom.operators.mentions import in_order
+from ledgerloom.functions import vocabulary as V
+from ledgerloom.functions.spans import Rule, extract, let
+from ledgerloom.operators.mentions import PROCESS_RULES, in_order, visible
 
 RULES = {"process": "same_scoped_process_identifier_v1", "legal_organization": "same_valid_cnpj_v1"}
 
 
+def named(entities: DataFrame) -> DataFrame:
+    """The fragments that hold a name; value: its nominal key."""
+    id_ = [F.col("id").alias("source_id"), "value_original"] if "id" in entities.columns else []
+    key = let(F.col("value_normalized"), T.nominal_key).alias("value")
+    return entities.select("doc_id", "entity_type", F.lit("semantic_entity_mention").alias("source_kind"), F.col("value_original").alias("label"), "block_id", "page", "start", "end", "item", "method", key, F.lit(None).cast("boolean").alias("valid"), *id_)
+
+
 def fragments(entities: DataFrame, mentions: DataFrame, references: DataFrame) -> DataFrame:
     """doc_id, entity_type, source_kind, label, block_id, page, start, end, item, method, value, valid.
 
@@ -22,12 +31,31 @@ def fragments(entities: DataFrame, mentions: DataFrame, references: DataFrame) -
     come with id, fragments have source_id and value_original too.
     """
     place = ["block_id", "page", "start", "end"]
-    named = lambda rows: [F.col("id").alias("source_id"), "value_original"] if "id" in rows.columns else []
-    whole = F.lit(None).cast("boolean")
-    a = entities.select("doc_id", "entity_type", F.lit("semantic_entity_mention").alias("source_kind"), F.col("value_original").alias("label"), *place, "item", "method", T.nominal_key(F.col("value_normalized")).alias("value"), whole.alias("valid"), *named(entities))
-    b = mentions.filter(F.col("rule") == "processo_sei").select("doc_id", F.lit("process").alias("entity_type"), F.lit("evidence_mention").alias("source_kind"), F.col("value_normalized").alias("label"), *place, F.lit(None).cast("int").alias("item"), F.lit("process_number_observation_v1").alias("method"), F.col("value_normalized").alias("value"), F.lit(True).alias("valid"), *named(mentions))
-    c = references.filter(F.col("reference_type") == "cnpj").select("doc_id", F.lit("legal_organization").alias("entity_type"), F.lit("semantic_reference").alias("source_kind"), F.col("value_original").alias("label"), *place, "item", "method", T.digits(F.col("value_normalized")).alias("value"), "valid", *named(references))
-    return a.unionByName(b).unionByName(c)
+    ids = lambda rows: [F.col("id").alias("source_id"), "value_original"] if "id" in rows.columns else []
+    b = mentions.filter(F.col("rule") == "processo_sei").select("doc_id", F.lit("process").alias("entity_type"), F.lit("evidence_mention").alias("source_kind"), F.col("value_normalized").alias("label"), *place, F.lit(None).cast("int").alias("item"), F.lit("process_number_observation_v1").alias("method"), F.col("value_normalized").alias("value"), F.lit(True).alias("valid"), *ids(mentions))
+    c = references.filter(F.col("reference_type") == "cnpj").select("doc_id", F.lit("legal_organization").alias("entity_type"), F.lit("semantic_reference").alias("source_kind"), F.col("value_original").alias("label"), *place, "item", "method", T.digits(F.col("value_normalized")).alias("value"), "valid", *ids(references))
+    return named(entities).unionByName(b).unionByName(c)
+
+
+_IDENTIFIERS = [*PROCESS_RULES, Rule("cnpj", V.PATTERNS["cnpj"])]
+_PROCESS = PROCESS_RULES[0].name
+
+
+def _identified(found: DataFrame, *more: str) -> DataFrame:
+    process = F.col("rule") == _PROCESS
+    value = let(F.col("value"), lambda v: F.when(process, T.normalize_process(v)).otherwise(T.digits(v)))
+    found = found.withColumns({"made": value, "sound": F.when(process, True).otherwise(T.valid_cnpj(F.col("value")))})
+    kind = lambda a, b: F.when(process, a).otherwise(b)
+    return found.select(
+        "doc_id", kind("process", "legal_organization").alias("entity_type"), kind("evidence_mention", "semantic_reference").alias("source_kind"), kind(F.col("made"), F.col("value")).alias("label"),
+        "block_id", "page", "start", "end", F.when(~process, F.col("item")).alias("item"), kind("process_number_observation_v1", "cnpj_checksum_v1").alias("method"),
+        F.col("made").alias("value"), F.col("sound").alias("valid"), *more,
+    )
+
+
+def identified(assigned: DataFrame) -> DataFrame:
+    """The fragments that hold an identifier, straight from segmented blocks: process numbers of all visible ones, identifiers of those in items."""
+    return _identified(extract(visible(assigned), "text", _IDENTIFIERS, {"cnpj": F.col("item") > 0}))
 
 
 def same_document(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
 from ledgerloom.functions import vocabulary as V
-from ledgerloom.functions.spans import Rule, extract
+from ledgerloom.functions.spans import Rule, extract, let
 
 PROCESS_RULES = [Rule("processo_sei", V.PATTERNS["processo_sei"])]
 
@@ -18,14 +18,15 @@ def visible(blocks: DataFrame, include_noise: bool = False) -> DataFrame:
     return blocks.withColumn("text", text).filter((F.lit(include_noise) | ~F.coalesce("noise", F.lit(False))) & (F.col("text") != ""))
 
 
-def mentions(blocks: DataFrame, rules: list[Rule] = PROCESS_RULES, include_noise: bool = False, normalize=T.normalize_process) -> DataFrame:
-    """doc_id, block_id, page, ord, rule, rule_version, start, end, value_original, value_normalized, snippet."""
+def mentions(blocks: DataFrame, rules: list[Rule] = PROCESS_RULES, include_noise: bool = False, normalize=T.normalize_process, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, block_id, page, ord, rule, rule_version, start, end, value_original, value_normalized, snippet, and the columns carry of their block."""
     found = extract(visible(blocks, include_noise), "text", rules)
     return found.select(
         "doc_id", "block_id", "page", "ord", "rule", "rule_version", "start", "end",
         F.col("value").alias("value_original"),
-        normalize(F.col("value")).alias("value_normalized"),
-        T.snippet(F.col("text"), F.col("start"), F.col("end")).alias("snippet"),
+        let(F.col("value"), normalize).alias("value_normalized"),
+        let(F.col("text"), lambda text: T.snippet(text, F.col("start"), F.col("end"))).alias("snippet"),
+        *carry,
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
 from ledgerloom.functions import vocabulary as V
-from ledgerloom.functions.spans import Rule, extract
+from ledgerloom.functions.spans import Rule, extract, let, spans
 from ledgerloom.operators.mentions import in_order
 
 METHODS = {"cnpj": "cnpj_checksum_v1", "monetary_value": "brl_literal_v1", "norm": "norm_literal_v1"}
@@ -62,50 +62,68 @@ def actions(assigned: DataFrame, found: DataFrame | None = None) -> DataFrame:
     return _actions(assigned, found).select("doc_id", "item", "block_id", "page", "n", "verb", F.col("value").alias("value_original"), "start", "end")
 
 
-def _persons(actions_: DataFrame, only: bool = True) -> DataFrame:
-    """The name right behind an action (rows of extract), and what stands between its comma and the next; has_name and has_position.
+def _named(text: Column, start: Column, end: Column) -> Column:
+    """Array of the person named right behind an action and of their position, which stands between the name's comma and the next; empty without a name."""
 
-    only: rows without a name are left out. Rows of other rules have none.
-    """
-    rest = F.when(F.col("rule") == "action", F.substring("text", F.col("end") + 1, F.length("text")))
-    rows = actions_.withColumn("lead", F.regexp_extract(rest, V.PERSON, 1)).withColumn("raw", F.regexp_extract(rest, V.PERSON, 2))
-    rows = rows.withColumn("name", T.normalize_spaces(F.col("raw")))
-    barred = (F.col("raw") == "") | (F.upper("name") != F.col("name"))
-    for word in V.NO_PERSON:
-        barred = barred | F.col("name").startswith(word)
-    rows = rows.withColumn("has_name", F.coalesce(~barred, F.lit(False)))
-    rows = rows.filter("has_name") if only else rows
-    rows = rows.withColumn("name_start", F.col("end") + F.length("lead")).withColumn("name_end", F.col("end") + F.length("lead") + F.length("raw"))
-    comma = F.instr(F.substring("text", F.col("name_end") + 2, F.length("text")), ",")
-    rows = rows.withColumn("gap", F.when(comma > 1, F.substring("text", F.col("name_end") + 2, comma - 1)))
-    left = F.length("gap") - F.length(F.regexp_replace("gap", r"(?U)^\s+", ""))
-    rows = rows.withColumn("position", T.strip(F.col("gap"))).withColumn("position_start", F.col("name_end") + 1 + left)
-    barred = ~F.length("position").between(3, 120)
-    for word in V.NO_POSITION:
-        barred = barred | F.lower("position").startswith(word)
-    return rows.withColumn("has_position", F.coalesce(~barred, F.lit(False)))
-
-
-def entities(assigned: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """doc_id, entity_type, value_original, value_normalized, role, item, block_id, page, n, start, end, action_start, method.
+    def entity(kind: str, value: Column, normal: Column, role: str, at: Column, upto: Column, method: str) -> Column:
+        fields = {"entity_type": F.lit(kind), "value_original": value, "value_normalized": normal, "role": F.lit(role), "start": at, "end": upto, "action_start": start, "method": F.lit(method)}
+        return F.struct(*(c.alias(k) for k, c in fields.items()))
+
+    def with_position(person: Column, upto: Column) -> Column:
+        tail = F.substring(text, upto + 2, F.length(text))
+        gap = let(F.instr(tail, ","), lambda comma: F.when(comma > 1, F.substring(text, upto + 2, comma - 1)))
+
+        def held(gap: Column) -> Column:
+            left = F.length(gap) - F.length(F.regexp_replace(gap, r"(?U)^\s+", ""))
+            return let(T.strip(gap), lambda value: F.when(kept(value), placed(value, upto + 1 + left)))
+
+        def kept(value: Column) -> Column:
+            barred = ~F.length(value).between(3, 120)
+            for word in V.NO_POSITION:
+                barred = barred | F.lower(value).startswith(word)
+            return ~barred
+
+        def placed(value: Column, at: Column) -> Column:
+            return let(at, lambda x: entity("position", value, T.normalize_spaces(value), "current_position_of", x, x + F.length(value), "position_after_person_v1"))
+
+        return let(let(gap, held), lambda position: F.when(position.isNotNull(), F.array(person, position)).otherwise(F.array(person)))
+
+    def with_name(rest: Column, raw: Column, name: Column) -> Column:
+        barred = F.upper(name) != name
+        for word in V.NO_PERSON:
+            barred = barred | name.startswith(word)
+        at = end + F.length(F.regexp_extract(rest, V.PERSON, 1))
+        person = lambda x: entity("person", name, name, "subject_of", x, x + F.length(raw), "person_after_action_v1")
+        return F.when(~barred, let(at, lambda x: let(person(x), lambda p: with_position(p, x + F.length(raw)))))
+
+    def found(rest: Column) -> Column:
+        return let(F.regexp_extract(rest, V.PERSON, 2), lambda raw: F.when(raw != "", let(T.normalize_spaces(raw), lambda name: with_name(rest, raw, name))))
+
+    return F.coalesce(let(F.substring(text, end + 1, F.length(text)), found), F.expr(f"cast(array() as array<struct<{NAMED}>>)"))
+
+
+NAMED = "entity_type:string,value_original:string,value_normalized:string,role:string,start:int,end:int,action_start:int,method:string"
+
+
+def entities(assigned: DataFrame, found: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, entity_type, value_original, value_normalized, role, item, block_id, page, n, start, end, action_start, method, and the columns carry of their block.
 
     Organisations are the blocks of contexts (item null); persons and positions follow actions,
-    whose start they carry.
+    whose start they carry. Without stored matches the blocks are read once for all of them.
     """
-    heads = assigned.filter("context > 0")
     nothing = F.lit(None).cast("int")
-    organisations = heads.select(
-        "doc_id", F.lit("organization").alias("entity_type"), F.col("text").alias("value_original"), F.col("text").alias("value_normalized"), F.lit("editorial_context").alias("role"),
-        nothing.alias("item"), "block_id", "page", "n", F.lit(0).alias("start"), F.length("text").alias("end"), nothing.alias("action_start"), F.lit("editorial_heading_v1").alias("method"),
-    )
-    rows = _persons(_actions(assigned, found))
-    pair = lambda kind, value, role, start, end, method: F.struct(F.lit(kind).alias("entity_type"), value.alias("value_original"), T.normalize_spaces(value).alias("value_normalized"), F.lit(role).alias("role"), start.alias("s"), end.alias("e"), F.lit(method).alias("method"))
-    person = pair("person", F.col("name"), "subject_of", F.col("name_start"), F.col("name_end"), "person_after_action_v1")
-    position = pair("position", F.col("position"), "current_position_of", F.col("position_start"), F.col("position_start") + F.length("position"), "position_after_person_v1")
-    both = F.when(F.col("has_position"), F.array(person, position)).otherwise(F.array(person))
-    rows = rows.select("doc_id", "item", "block_id", "page", "n", F.col("start").alias("action_start"), F.explode(both).alias("x"))
-    rest = rows.select("doc_id", "x.entity_type", "x.value_original", "x.value_normalized", "x.role", "item", "block_id", "page", "n", F.col("x.s").alias("start"), F.col("x.e").alias("end"), "action_start", "x.method")
-    return organisations.unionByName(rest)
+    own = {"entity_type": F.lit("organization"), "value_original": F.col("text"), "value_normalized": F.col("text"), "role": F.lit("editorial_context"), "start": F.lit(0), "end": F.length("text"), "action_start": nothing, "method": F.lit("editorial_heading_v1")}
+    heading = F.array(F.struct(*(c.alias(k) for k, c in own.items()))).cast(f"array<struct<{NAMED}>>")
+    if found is None:
+        actions_ = spans(F.col("text"), V.PATTERNS["action"])
+        named = F.flatten(F.transform(actions_, lambda m: _named(F.col("text"), m["start"], m["end"])))
+        rows = assigned.filter("context > 0 or item > 0").withColumn("x", F.explode(F.when(F.col("context") > 0, heading).otherwise(named)))
+        rows = rows.withColumn("item", F.when(F.col("item") > 0, F.col("item")))
+    else:
+        heads = assigned.filter("context > 0").select("doc_id", nothing.alias("item"), "block_id", "page", "n", F.explode(heading).alias("x"), *carry)
+        rest = _matches(assigned, found, ("action",)).select("doc_id", "item", "block_id", "page", "n", F.explode(_named(F.col("text"), F.col("start"), F.col("end"))).alias("x"), *carry)
+        rows = heads.unionByName(rest)
+    return rows.select("doc_id", *(f"x.{c}" for c in ("entity_type", "value_original", "value_normalized", "role")), "item", "block_id", "page", "n", *(f"x.{c}" for c in ("start", "end", "action_start", "method")), *carry)
 
 
 def numbered_actions(found: DataFrame) -> DataFrame:
@@ -132,21 +150,28 @@ def numbered_entities(found: DataFrame) -> DataFrame:
     return found.withColumn("id", in_order(entity_order(), "entity", 6))
 
 
-def semantic_counts(assigned: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """doc_id and its ten counters: blocks are grouped by item and then by document, and matches of all rules are found in one pass."""
-    by_item = assigned.groupBy("doc_id", "item").agg(
+def entity_count(text: Column) -> Column:
+    """How many persons and positions a block names."""
+    return F.aggregate(spans(text, V.PATTERNS["action"]), F.lit(0), lambda n, m: n + F.size(_named(text, m["start"], m["end"])))
+
+
+def semantic_counts(assigned: DataFrame) -> DataFrame:
+    """doc_id and its ten counters: what each block holds is counted where it stands, then blocks are grouped by item and items by document."""
+    inside, text = F.col("item") > 0, F.col("text")
+    all_ = lambda rule: F.regexp_extract_all(text, F.lit(V.PATTERNS[rule]), F.lit(0))
+    counted = lambda *rules: F.when(inside, sum((let(F.size(all_(rule)), lambda n: n) for rule in rules), F.lit(0))).otherwise(0)
+    rows = assigned.select(
+        "doc_id", "item", "page", "category", "context", (F.col("begins") & F.col("title")).alias("titled"),
+        counted("action").alias("acts"), counted("article").alias("arts"), counted(*METHODS).alias("refs"), F.when(inside, entity_count(text)).otherwise(0).alias("named"),
+    )
+    by_item = rows.groupBy("doc_id", "item").agg(
         F.count("*").alias("n"), F.count_if(F.col("category") == "section_heading").alias("sections"), F.max("context").alias("contexts"),
-        (F.min("page") != F.max("page")).alias("multi"), F.bool_or(F.col("begins") & F.col("title")).alias("titled"), F.count_if(F.col("context") > 0).alias("heads"),
+        (F.min("page") != F.max("page")).alias("multi"), F.bool_or("titled").alias("titled"), F.count_if(F.col("context") > 0).alias("heads"),
+        *(F.sum(c).alias(c) for c in ("acts", "arts", "refs", "named")),
     )
     real = F.col("item") > 0
-    base = by_item.groupBy("doc_id").agg(
+    return by_item.groupBy("doc_id").agg(
         F.sum("n").alias("blocks_total"), F.sum("sections").alias("sections"), F.max("contexts").cast("long").alias("contexts"),
         F.count_if(real).alias("published_items"), F.count_if(real & F.col("multi")).alias("multi_page_items"), F.count_if(real & ~F.col("titled")).alias("unclassified_items"),
-        F.sum("heads").alias("heads"),
+        F.sum("acts").alias("actions"), F.sum("arts").alias("provisions"), F.sum("refs").alias("references"), (F.sum("heads") + F.sum("named")).alias("entity_mentions"),
     )
-    found = _persons(_matches(assigned, found, (*METHODS, "article", "action")), False)
-    is_ = lambda rule: F.col("rule") == rule
-    named = F.when(is_("action") & F.col("has_name"), 1 + F.col("has_position").cast("int")).otherwise(0)
-    counts = found.groupBy("doc_id").agg(F.count_if(is_("action")).alias("actions"), F.sum(named).alias("named"), F.count_if(is_("article")).alias("provisions"), F.count_if(F.col("rule").isin(*METHODS)).alias("references"))
-    out = base.join(counts, "doc_id", "left").na.fill(0)
-    return out.withColumn("entity_mentions", F.col("heads") + F.col("named")).drop("heads", "named")

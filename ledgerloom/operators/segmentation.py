@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import vocabulary as V
+from ledgerloom.functions.spans import let
 
 TITLE_CUT = 180
 
@@ -151,8 +152,8 @@ def _labels(rows: DataFrame, order: Window) -> DataFrame:
 _FAR = 1 << 40
 
 
-def _breadcrumbs(rows: DataFrame, order: Window) -> DataFrame:
-    """rows with context, item and breadcrumb.
+def _breadcrumbs(rows: DataFrame, order: Window, titled: bool = False) -> DataFrame:
+    """rows with context, item and breadcrumb; titled: and item_title, which the block that begins an item hands on.
 
     A context of level d cuts the open headings to d - 1 and is added, so their number is the least, over
     the contexts of its section up to it, of a context's level and the contexts since. A heading is
@@ -169,6 +170,9 @@ def _breadcrumbs(rows: DataFrame, order: Window) -> DataFrame:
     })
     place = F.least(F.col("contexts") - F.col("outset"), F.col("contexts") + F.col("least") + F.col("far"))
     rows = rows.withColumn("place", F.when(F.col("is_context"), place))
+    if titled:
+        rows = rows.withColumn("head_title", F.when(F.col("begins"), let(F.col("text"), lambda head: _item_title(head, F.col("title")))))
+        rows = rows.withColumn("item_title", F.last("head_title", ignorenulls=True).over(upto))
     open_ = [F.last(F.when(F.col("place") == p, F.col("label")), ignorenulls=True).over(upto) for p in (1, 2, 3)]
     rows = rows.withColumn("open", F.array(*open_)).withColumn("deep", F.last("place", ignorenulls=True).over(upto))
     deep = F.when(F.col("contexts") > F.col("outset"), F.col("deep")).otherwise(F.lit(0)).cast("int")
@@ -178,17 +182,21 @@ def _breadcrumbs(rows: DataFrame, order: Window) -> DataFrame:
         F.when(F.col("in_item"), F.col("items")).otherwise(F.lit(0)).cast("int").alias("item"),
         "begins",
         F.when(F.col("is_context") | F.col("begins"), F.slice("open", F.lit(1), deep)).alias("breadcrumb"),
+        *([F.when(F.col("in_item") & F.col("doc_id").isNotNull(), F.col("item_title")).alias("item_title")] if titled else []),
     )
 
 
 _KEPT = ("doc_id", "page", "ord", "block_id", "text", "role", "noise", "n", "title", "leads", "section", "kind")
 
 
-def assign(blocks: DataFrame) -> DataFrame:
-    """Every block once, with category, section, context, item (numbers from 1 in the document, else 0), begins and breadcrumb."""
+def assign(blocks: DataFrame, titled: bool = False) -> DataFrame:
+    """Every block once, with category, section, context, item (numbers from 1 in the document, else 0), begins and breadcrumb.
+
+    titled: also item_title, the title of the block's item (null without one), so that what is found in a block needs no join with items.
+    """
     document = Window.partitionBy("doc_id")
     order = document.orderBy(*_ORDER)
-    out = _breadcrumbs(_labels(_states(flags(blocks), order), order), document.orderBy("run", *_ORDER))
+    out = _breadcrumbs(_labels(_states(flags(blocks), order), order), document.orderBy("run", *_ORDER), titled)
     category = F.when(F.col("kind") != "live", F.col("kind")).when(F.col("context") > 0, "editorial_context").otherwise("published_item")
     return out.withColumn("category", category).drop("kind")
 
@@ -231,6 +239,10 @@ def item_title(text: Column) -> Column:
     return F.when(literal != "", F.regexp_replace(upto, r"[ .]+$", "")).otherwise(F.substring(F.substring_index(text, ". ", 1), 1, TITLE_CUT))
 
 
+def _item_title(head: Column, titled: Column) -> Column:
+    return F.when(titled, item_title(head)).otherwise(F.substring(head, 1, TITLE_CUT))
+
+
 def items(assigned: DataFrame) -> DataFrame:
     """doc_id, item, section, breadcrumb, title, item_type, number, date_literal, act_date, block_ids, start_page, end_page, text."""
     rows = assigned.filter("item > 0")
@@ -242,7 +254,7 @@ def items(assigned: DataFrame) -> DataFrame:
     found = lambda p, k: F.when(titled, F.nullif(F.regexp_extract(head, p, k), F.lit("")))
     return out.select(
         "doc_id", "item", "section", "breadcrumb",
-        F.when(titled, item_title(head)).otherwise(F.substring(head, 1, TITLE_CUT)).alias("title"),
+        _item_title(head, titled).alias("title"),
         F.when(titled, item_type(head)).otherwise("unclassified").alias("item_type"),
         found(V.ITEM_NUMBER, 1).alias("number"), found(V.ITEM_DATE, 0).alias("date_literal"),
         F.when(titled, item_date(head)).alias("act_date"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
-from ledgerloom.operators import identity
+from ledgerloom.operators import identity, mentions, observations
 from ledgerloom.operators.mentions import in_order
 from ledgerloom.operators.observations import entity_order
 
@@ -16,16 +16,18 @@ def published_items(items: DataFrame, sections: DataFrame) -> DataFrame:
     return items.join(labels, ["doc_id", "section"]).select("doc_id", "item", "section_label", "item_type", "title", "number", "date_literal", "start_page", "end_page", "breadcrumb")
 
 
-def entity_occurrences(entities: DataFrame, items: DataFrame) -> DataFrame:
-    """Every entity mention with its item, if it is in one."""
-    titles = items.select("doc_id", "item", F.col("title").alias("item_title"))
-    return entities.join(titles, ["doc_id", "item"], "left").select("doc_id", "entity_type", "value_normalized", "role", "item", "item_title", "page", "block_id", "start", "end", "value_original", "method")
+def entity_occurrences(titled: DataFrame) -> DataFrame:
+    """Every entity mention with its item, if it is in one. titled: what segmentation gives, with item_title."""
+    rows = observations.entities(titled, carry=("item_title",))
+    return rows.select("doc_id", "entity_type", "value_normalized", "role", "item", "item_title", "page", "block_id", "start", "end", "value_original", "method")
 
 
-def process_items(mentions: DataFrame, assigned: DataFrame, items: DataFrame) -> DataFrame:
-    members = assigned.filter("item > 0").select("doc_id", "block_id", "item")
-    rows = mentions.filter(F.col("rule") == "processo_sei").join(members, ["doc_id", "block_id"]).join(items.select("doc_id", "item", "title"), ["doc_id", "item"])
-    return rows.select("doc_id", F.col("value_normalized").alias("process_number"), "item", F.col("title").alias("item_title"), "page", "block_id", "start", "end").distinct()
+def process_items(titled: DataFrame) -> DataFrame:
+    """Process numbers and the items that mention them. titled: what segmentation gives, with item_title."""
+    # a block's place in the reading order stands for its ord, which nothing here asks for
+    members = titled.filter("item > 0 and doc_id is not null").withColumn("ord", F.col("n"))
+    rows = mentions.mentions(members, carry=("item", "item_title"))
+    return rows.select("doc_id", F.col("value_normalized").alias("process_number"), "item", "item_title", "page", "block_id", "start", "end").distinct()
 
 
 def action_entities(actions: DataFrame, entities: DataFrame, items: DataFrame) -> DataFrame:
@@ -74,11 +76,11 @@ def entity_groups(entities: DataFrame, items: DataFrame) -> DataFrame:
     return rows.select("doc_id", "entity_type", "name", "id", F.transform("x", occurrence).alias("occurrences"), "item_ids")
 
 
-def process_groups(mentions: DataFrame, assigned: DataFrame) -> DataFrame:
+def process_groups(mentions_: DataFrame, assigned: DataFrame) -> DataFrame:
     """doc_id, value, id, occurrences (array, in order), item_ids of every process number, numbered by its first mention."""
     members = assigned.filter("item > 0").select("doc_id", "block_id", "item")
     place = F.struct("page", "ord", "start", "block_id", "end", "item", F.col("rule").alias("method")).alias("x")
-    rows = mentions.join(members, ["doc_id", "block_id"], "left").select("doc_id", F.col("value_normalized").alias("value"), "item", place)
+    rows = mentions_.join(members, ["doc_id", "block_id"], "left").select("doc_id", F.col("value_normalized").alias("value"), "item", place)
     rows = rows.groupBy("doc_id", "value").agg(F.array_sort(F.collect_list("x")).alias("x"), F.array_sort(F.collect_set("item")).alias("item_ids"))
     occurrence = lambda x: F.struct(*(x[c].alias(c) for c in ("block_id", "page", "start", "end", "item", "method")))
     rows = rows.withColumn("id", in_order([F.col("x")[0]], "process", 5))
@@ -130,10 +132,12 @@ def evidence(rows: DataFrame, blocks: DataFrame) -> DataFrame:
     return out.select(*rows.columns, cut(F.lit(1), F.col("start")).alias("before"), cut(F.col("start") + 1, F.col("end") - F.col("start")).alias("literal"), cut(F.col("end") + 1, F.length("text")).alias("after"))
 
 
-def related_items(groups: DataFrame, items: DataFrame, most: int = 8) -> DataFrame:
-    """Each entity's first `most` items by number, with titles."""
-    rows = groups.select("doc_id", "entity_type", "name", F.explode(F.slice("item_ids", 1, most)).alias("item"))
-    return rows.join(items.select("doc_id", "item", "title"), ["doc_id", "item"])
+def related_items(titled: DataFrame, most: int = 8) -> DataFrame:
+    """The first `most` items by number, with titles, of each person and position. titled: what segmentation gives, with item_title."""
+    members = titled.filter("item > 0 and doc_id is not null")
+    rows = observations.entities(members, carry=("item_title",)).groupBy("doc_id", "entity_type", F.col("value_normalized").alias("name"))
+    first = F.slice(F.array_sort(F.collect_set(F.struct("item", F.col("item_title").alias("title")))), 1, most)
+    return rows.agg(first.alias("items")).select("doc_id", "entity_type", "name", F.inline("items")).select("doc_id", "item", "entity_type", "name", "title")
 
 
 def member_ordinals(items: DataFrame) -> DataFrame:

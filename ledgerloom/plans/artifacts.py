@@ -98,13 +98,13 @@ def semantic(edition: Edition, sources: DataFrame, created_at: str) -> DataFrame
         _part(blocks, "block_assignments", ["n"], assignments, nulls=False),
     ]
     source = F.to_json(F.struct(F.col("uri").alias("structured_uri"), F.col("sha256").alias("document_sha256")))
-    return _artifact(sources, _head(created_at, SEMANTIC_TOOL, [("source", source)]), parts, observations.semantic_counts(blocks, edition.observed))
+    return _artifact(sources, _head(created_at, SEMANTIC_TOOL, [("source", source)]), parts, observations.semantic_counts(blocks))
 
 
 def fragments(edition: Edition) -> DataFrame:
-    """Numbered fragments of an edition."""
-    made = numbered_observations(edition)
-    return identity.numbered_fragments(made["entities"], made["mentions"], made["references"])
+    """Numbered fragments of an edition; what an entity's role names isn't asked for."""
+    found = edition.mentions.withColumn("id", mentions.in_order(["page", "ord", "start"], "processo_sei", 6))
+    return identity.numbered_fragments(observations.numbered_entities(edition.entities), found, observations.numbered_references(edition.references))
 
 
 def identities(found: DataFrame, sources: DataFrame, created_at: str) -> DataFrame:

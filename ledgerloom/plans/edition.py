@@ -45,6 +45,16 @@ class Edition:
     def assigned(self) -> DataFrame:
         return segmentation.assign(self.blocks)
 
+    @cached_property
+    def titled(self) -> DataFrame:
+        """The segmentation with item_title in every block of an item."""
+        return segmentation.assign(self.blocks, titled=True)
+
+    def stored_members(self) -> Edition:
+        """The same with the blocks of items, and nothing else, written to spark.checkpoint.dir."""
+        self.__dict__["titled"] = checkpointed(self.titled.filter("item > 0").select("doc_id", "page", "n", "block_id", "text", "noise", "item", "item_title"))
+        return self
+
     @cached_property
     def observed(self) -> DataFrame | None:
         """The stored matches of all rules; without them each table finds its own."""
@@ -82,9 +92,14 @@ class Edition:
     def fragments(self) -> DataFrame:
         return identity.fragments(self.entities, self.mentions, observations.references(self.assigned, self.observed, ("cnpj",)))
 
+    @cached_property
+    def identified(self) -> DataFrame:
+        """Fragments that hold an identifier, of one pass over the segmentation."""
+        return identity.identified(self.assigned)
+
     @cached_property
     def process_items(self) -> DataFrame:
-        return views.process_items(self.mentions, self.assigned, self.items)
+        return views.process_items(self.titled)
 
 
 def summary(blocks: DataFrame) -> DataFrame:

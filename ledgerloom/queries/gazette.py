@@ -156,21 +156,24 @@ QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Queries that read the segmentation once, so that nothing is written.
+ONE_PASS = {"entity_mentions", "semantic_counts", "canonical_entities", "candidate_ids", "view_process_items", "first_processes", "view_entity_occurrences", "explorer_related_items"}
 #: Queries that read the matches of a rule, or of several, more than once.
-MATCHES_AGAIN = {"explorer_items", "emission_ids", "fragment_ids", "link_ids", "semantic_contract", "identity_contract"}
+MATCHES_AGAIN = {"explorer_items", "emission_ids", "semantic_contract"}
 
 
 def query(name: str, sql: str, *ctes: str):
     """Registers a function of an Edition; sql is the same over the common table expressions.
 
-    What needs observations reads the segmentation several times, so it is stored first; so are the matches
-    of the rules where they are read more than once.
+    What needs observations reads the segmentation several times, so it is stored first, unless it is one of those that
+    read it once; so are the matches of the rules where they are read more than once.
     """
 
     def add(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             edition = Edition(gazette.blocks(spark, sf_dir))
-            return function(edition.stored(name in MATCHES_AGAIN) if FRAGMENTS in ctes or ENTITIES in ctes else edition)
+            again = (FRAGMENTS in ctes or ENTITIES in ctes) and name not in ONE_PASS
+            return function(edition.stored(name in MATCHES_AGAIN) if again else edition)
 
         QUERIES[name], ORACLE[name] = run, gazette.oracle(sql, *ctes)
         return function
@@ -297,7 +300,7 @@ def _(e: Edition) -> DataFrame:
 
 @query("canonical_entities", "select * from canon", *OBSERVED)
 def _(e: Edition) -> DataFrame:
-    return identity.canonical(e.fragments)
+    return identity.canonical(e.identified)
 
 
 LINKS = "links as (select f.*, created_by_rule as reason, display_name, materiality_basis from frags f join canon c on f.doc_id = c.doc_id and f.entity_type = c.entity_type and f.value = c.value where f.valid)"
@@ -345,7 +348,7 @@ def _(e: Edition) -> DataFrame:
 
 @query("view_entity_occurrences", 'select e.doc_id, entity_type, value_normalized, role, e.item, title as item_title, page, block_id, start, end_ as "end", value_original, method from ents e left join full_items i on e.doc_id = i.doc_id and e.item = i.item', *OBSERVED)
 def _(e: Edition) -> DataFrame:
-    return views.entity_occurrences(e.entities, e.items)
+    return views.entity_occurrences(e.titled)
 
 
 PROCESS_ITEMS = "process_items as (select distinct m.doc_id, value_normalized as process_number, a.item, i.title as item_title, m.page, m.block_id, start, end_ from mentions m join assigned a on m.doc_id = a.doc_id and m.block_id = a.block_id and a.item > 0 join full_items i on a.doc_id = i.doc_id and a.item = i.item)"
@@ -353,7 +356,7 @@ PROCESS_ITEMS = "process_items as (select distinct m.doc_id, value_normalized as
 
 @query("view_process_items", 'select doc_id, process_number, item, item_title, page, block_id, start, end_ as "end" from process_items', *OBSERVED, PROCESS_ITEMS)
 def _(e: Edition) -> DataFrame:
-    return e.process_items
+    return e.stored_members().process_items
 
 
 @query("view_action_entities", "select a.doc_id, a.item, title as item_title, verb, entity_type, value_normalized as entity_value, 'subject' as participant_role, a.page, a.block_id, e.start, e.end_ as \"end\" from acts a join ents e on a.doc_id = e.doc_id and a.block_id = e.block_id and a.start = e.action_start and e.role = 'subject_of' join full_items i on a.doc_id = i.doc_id and a.item = i.item", *OBSERVED)
@@ -470,7 +473,7 @@ def _(e: Edition) -> DataFrame:
     *OBSERVED,
 )
 def _(e: Edition) -> DataFrame:
-    return identity.numbered_candidates(identity.candidate_groups(e.fragments)).select("doc_id", "id", "candidate_key")
+    return identity.numbered_candidates(identity.candidate_groups(identity.named(e.entities))).select("doc_id", "id", "candidate_key")
 
 
 @query("item_blocks", "select doc_id, item, block_id, cast(row_number() over (partition by doc_id, item order by n) as int) as ordinal from assigned where item > 0", *SEGMENTED)
@@ -509,7 +512,7 @@ def _(e: Edition) -> DataFrame:
 
 @query("explorer_related_items", "select g.doc_id, g.entity_type, g.name, i.item, i.title from (select doc_id, entity_type, value_normalized as name, unnest(list_sort(list_distinct(list(item)))[1:8]) as item from ents where entity_type <> 'organization' group by 1, 2, 3) g join full_items i on g.doc_id = i.doc_id and g.item = i.item", *OBSERVED)
 def _(e: Edition) -> DataFrame:
-    return views.related_items(views.entity_groups(e.entities.filter("entity_type <> 'organization'"), e.items), e.items)
+    return views.related_items(e.titled)
 
 
 @query("explorer_search", "select doc_id, item, item_type, title from (select * from full_items where contains(lower(strip_accents(title || ' ' || item_type || ' ' || array_to_string(breadcrumb, ' ') || ' ' || text)), 'sicrano avila') and item_type = 'portaria') order by doc_id, item limit 150", *SEGMENTED)
