@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
 from ledgerloom.functions import vocabulary as V
-from ledgerloom.functions.spans import Rule, extract, let
+from ledgerloom.functions.spans import NOTHING, Rule, extract, let
 from ledgerloom.operators.mentions import PROCESS_RULES, in_order, visible
+from ledgerloom.operators.observations import entity_count
 
 RULES = {"process": "same_scoped_process_identifier_v1", "legal_organization": "same_valid_cnpj_v1"}
 
@@ -58,6 +59,17 @@ def identified(assigned: DataFrame) -> DataFrame:
     return _identified(extract(visible(assigned), "text", _IDENTIFIERS, {"cnpj": F.col("item") > 0}))
 
 
+def numbered_identified(assigned: DataFrame) -> DataFrame:
+    """identified with number and id, as numbered_fragments gives them: behind the entities of their document, which are only counted."""
+    entities = F.when(F.col("context") > 0, 1).when(F.col("item") > 0, entity_count(F.col("text"))).otherwise(0)
+    counted = let(entities, lambda n: F.when(n > 0, F.array(F.struct(F.lit("entities").alias("rule"), F.lit("").alias("rule_version"), F.lit(0).alias("start"), n.alias("end"), F.lit("").alias("value")))).otherwise(F.expr(NOTHING)))
+    found = extract(visible(assigned), "text", _IDENTIFIERS, {"cnpj": F.col("item") > 0}, (counted,))
+    kind = F.array_position(F.array(*map(F.lit, ("entities", _PROCESS, "cnpj"))), F.col("rule"))
+    before = Window.partitionBy("doc_id").orderBy(kind, "n", "start").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("number", F.sum(F.when(F.col("rule") == "entities", F.col("end")).otherwise(1)).over(before))
+    return _identified(found.filter(F.col("rule") != "entities"), "number").withColumn("id", F.format_string("fragment-%06d", "number"))
+
+
 def same_document(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of left, failing where its document's hash isn't right's; both have doc_id and sha256."""
     rows = left.join(right.select("doc_id", F.col("sha256").alias("other_")), "doc_id")

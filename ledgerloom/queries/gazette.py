@@ -157,7 +157,7 @@ ORACLE: dict[str, str] = {}
 
 
 #: Queries that read the segmentation once, so that nothing is written.
-ONE_PASS = {"entity_mentions", "semantic_counts", "canonical_entities", "candidate_ids", "view_process_items", "first_processes", "view_entity_occurrences", "explorer_related_items"}
+ONE_PASS = {"entity_mentions", "semantic_counts", "canonical_entities", "candidate_ids", "link_ids", "view_process_items", "first_processes", "view_entity_occurrences", "explorer_related_items"}
 #: Queries that read the matches of a rule, or of several, more than once.
 MATCHES_AGAIN = {"explorer_items", "emission_ids", "semantic_contract"}
 
@@ -568,7 +568,7 @@ union all select doc_id, 'case-' || lpad(cast(row_number() over (partition by do
     *OBSERVED, NUMBERED, NUMBERED_FRAGMENTS,
 )
 def _(e: Edition) -> DataFrame:
-    found = checkpointed(artifacts.fragments(e))
+    found = checkpointed(identity.numbered_identified(e.assigned))  # it is read twice
     links = identity.numbered_links(found).select("doc_id", "id", "fragment_id", F.col("canonical_entity_id").alias("target"))
     return links.unionByName(identity.numbered_cases(found).select("doc_id", "id", "fragment_id", F.lit("UNRESOLVED").alias("target")))
 

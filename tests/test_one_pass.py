@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from ledgerloom.operators import segmentation
+from ledgerloom.operators import identity, segmentation
 from ledgerloom.plans import edition
 from ledgerloom.queries import gazette
 
@@ -36,3 +36,16 @@ def test_titles_of_blocks_are_those_of_their_items(spark):
     titles = {(r.doc_id, r.item): r.title for r in segmentation.items(found).collect()}
     rows = found.select("doc_id", "item", "item_title").collect()
     assert titles and all(r.item_title == titles.get((r.doc_id, r.item)) for r in rows)
+
+
+def test_identifiers_are_numbered_behind_entities_that_are_only_counted(spark):
+    e = edition.Edition(gazette.gazette.blocks(spark, SF))
+    columns = ["doc_id", "id", "entity_type", "source_kind", "label", "block_id", "page", "start", "end", "item", "method", "value", "valid"]
+    every = gazette.artifacts.fragments(e).filter("source_kind <> 'semantic_entity_mention'").select(columns)
+    found = identity.numbered_identified(e.assigned).select(columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, every.collect()))
+
+
+def test_links_are_numbered_from_one_small_table(spark, stored):
+    gazette.QUERIES["link_ids"](spark, SF)
+    assert len(stored) == 1 and "text" not in stored[0] and "source_id" not in stored[0]
