@@ -241,23 +241,23 @@ def min_labels(edges: DataFrame) -> DataFrame:
 
     Each round ties a node's larger neighbours to the smallest of it and its neighbours (large star), then a node
     and its smaller neighbours to the smallest of those (small star). Both keep what is connected, and each edge
-    becomes one edge, so a round has no more rows than the one before, and no join makes rows. Rounds end when only
-    stars are left, whose centres are their smallest nodes.
+    becomes one edge, so a round has no more rows than the one before, and no join makes rows. Rounds end when one
+    moved nothing: only stars are left, whose centres are their smallest nodes. Equal edges meet at the end of a round only,
+    and each edge says itself whether it moved, so that a round is three shuffles.
     """
     pairs = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     smallest = F.first("b").over(Window.partitionBy("a").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     pair = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
     stars = pairs.filter("a <> b")
     while True:
-        ends = stars.select(F.explode(F.array(pair("a", "b"), pair("b", "a"))).alias("e")).select("e.a", (F.col("e.a") > F.col("e.b")).alias("leaf"))
-        ends = ends.groupBy("a").agg(F.count_if("leaf").alias("above"), F.bool_or(~F.col("leaf")).alias("centre"))
-        if ends.filter("above > 1 or (above = 1 and centre)").isEmpty():
-            break
         both = stars.select(F.explode(F.array(pair("a", "b"), pair("b", "a"))).alias("e")).select("e.a", "e.b")
-        large = both.withColumn("m", F.least("a", smallest)).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        small = large.withColumn("m", smallest).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        stars = cut(small.distinct())
+        large = both.withColumn("m", F.least("a", smallest)).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"), (F.col("m") < F.col("a")).alias("moved"))
+        stays = F.col("b") == F.col("m")
+        small = large.withColumn("m", smallest).select(F.when(stays, F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"), (F.col("moved") | ~stays).alias("moved"))
+        stars = cut(small.groupBy("a", "b").agg(F.bool_or("moved").alias("moved")))
         sweep(edges.sparkSession)
+        if stars.filter("moved").isEmpty():
+            break
     found = stars.select(F.explode(F.array(pair("a", "b"), pair("b", "b"))).alias("e")).select("e.a", "e.b").unionByName(pairs.filter("a = b"))
     return cut(found.groupBy("a").agg(F.min("b").alias("label")))
 
@@ -268,7 +268,7 @@ def least(n: str = "n") -> Column:
 
 
 def candidate_edges(rows: DataFrame) -> DataFrame:
-    """a, b: stars of sets that share an indexed hash. rows: key, n, pre, one row per distinct set.
+    """a, b: stars of sets that share an indexed hash, some more than once. rows: key, n, pre, one row per distinct set.
 
     Windows over a hash only look at the row before or behind; those over a key hold one set's hashes.
     """
@@ -283,7 +283,7 @@ def candidate_edges(rows: DataFrame) -> DataFrame:
     order = own.orderBy(F.desc("df"), F.desc("h"))
     kept = held.join(df, "h").withColumn("place", F.row_number().over(order)).filter(F.col("place") >= least()).select("key", "h")
     first = Window.partitionBy("h").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return kept.withColumn("hub", F.first("key").over(first)).filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
+    return kept.withColumn("hub", F.first("key").over(first)).filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
 
 
 def full_sets(docs: DataFrame, regions: DataFrame) -> DataFrame:
@@ -326,7 +326,7 @@ def finer(docs: DataFrame, large: DataFrame) -> DataFrame:
     most = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - F.col("n") + many  # of those that others hold too
     kept = held.join(counts, ["region", "h"]).withColumn("place", place).withColumn("most", most).filter("place <= most").select("region", "key", "h")
     first = Window.partitionBy("region", "h").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edges = kept.withColumn("hub", F.first("key").over(first)).filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
+    edges = kept.withColumn("hub", F.first("key").over(first)).filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
     labels = min_labels(edges).select(F.col("a").alias("key"), F.col("label").cast("string").alias("region"))
     return labels.join(large.drop("region"), "key")
 
@@ -462,8 +462,7 @@ def near_copies(docs: DataFrame, cell: int = CELL, refine: int = REFINE, element
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = stored(sampled(docs))
     nodes = rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("pre").alias("pre"))
-    edges = cut(candidate_edges(nodes.select(F.col("node").alias("key"), "n", "pre")))
-    sweep(docs.sparkSession)
+    edges = candidate_edges(nodes.select(F.col("node").alias("key"), "n", "pre"))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "key", "twin")
     held = cut(rows.filter("n > 0").groupBy("node").agg(F.count("*").alias("n"), F.first("n").alias("size"), F.min("doc_id").alias("id"), F.min(first).alias("first")))
     regions = min_labels(edges).select(F.col("a").alias("key"), F.col("label").cast("string").alias("region"))
@@ -477,9 +476,7 @@ def near_copies(docs: DataFrame, cell: int = CELL, refine: int = REFINE, element
         regions = cut(regions.join(large, "region", "left_anti").unionByName(finer(docs, regions.join(large, "region", "left_semi")).select(regions.columns)))
     sets = cut(full_sets(docs, regions))
     sweep(docs.sparkSession)
-    links = cut(join_regions(sets, cell, elements))
-    sweep(docs.sparkSession)
-    labels = min_labels(links).withColumnRenamed("a", "node")
+    labels = min_labels(join_regions(sets, cell, elements)).withColumnRenamed("a", "node")
     nodes = cut(held.join(labels, "node", "left").select("node", "n", "id", "first", F.coalesce("label", "node").alias("label")))
     classes_ = cut(nodes.groupBy("label").agg(F.count("*").alias("n"), F.min("id").alias("component_id"), F.min("first").alias("first")))
     nodes = salted_join(nodes.select("node", F.col("n").alias("rows"), "label"), classes_, ["label"], ["node"])
