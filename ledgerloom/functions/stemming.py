@@ -129,3 +129,12 @@ def stem(word: Column) -> Column:
 
     # every suffix ends with a letter, so a word that doesn't is its own stem
     return F.when(word.rlike(r"\p{L}$"), let(tilded, marked)).otherwise(F.lower(word))
+
+
+def head(word: Column) -> Column:
+    """What a word in lower case shares with its stem: the first two code points, nasal vowels with their tilde apart, but for a final ç, which becomes c.
+
+    Regions begin behind two of them at least.
+    """
+    tilded = F.replace(F.replace(F.substring(word, 1, 2), F.lit("ã"), F.lit("a~")), F.lit("õ"), F.lit("o~"))
+    return F.translate(F.substring(tilded, 1, 2), "ç", "c")

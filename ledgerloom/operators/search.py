@@ -15,23 +15,39 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import stemming
 from ledgerloom.functions import text as T
+from ledgerloom.functions.spans import let
 from ledgerloom.functions.storage import checkpointed
 
 WORD = r"(?U)[\p{L}\p{N}]+"
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    # by let, so that what made the text and what explodes its words aren't one generated method, which is more than the JVM compiles;
+    # and with a second look at the text, so that what made it is no part of the lambda, which is interpreted
+    return F.when(text.isNotNull(), let(F.lower(text), lambda x: F.regexp_extract_all(x, F.lit(WORD), F.lit(0))))
 
 
 @dataclass
 class TextIndex:
-    """postings: term, keys, positions (of words, from 1, sorted), occurrences, length (words of the row); and how words become terms."""
+    """postings: term, keys, positions (of words, from 1, sorted), occurrences, first (position), length (words of the row); and how words become terms.
+
+    head: what a word shares with its term, if anything; headed: the postings of the terms with given heads only, if they aren't stored;
+    rows: keys and length of the rows that have postings, if those aren't stored.
+    """
 
     postings: DataFrame
     keys: list[str]
     stop: Sequence[str]
     term: Callable[[Column], Column]
+    head: Callable[[Column], Column] | None = None
+    headed: Callable[[list[str]], DataFrame] | None = None
+    rows: DataFrame | None = None
+
+    @property
+    def lengths(self) -> DataFrame:
+        """keys and length of the rows that have postings."""
+        found = self.postings.select(*self.keys, "length") if self.rows is None else self.rows
+        return found.distinct()
 
     def terms(self, queries: DataFrame, text: str) -> DataFrame:
         """query_id, offset (from 0), term of the words of a text column, without stop words."""
@@ -52,20 +68,46 @@ def _met(index: TextIndex, terms: DataFrame, *columns: str) -> tuple[DataFrame,
     terms = checkpointed(terms)
     few = terms.count() <= SENT
     sent = lambda rows: F.broadcast(rows) if few else rows
-    return terms, index.postings.join(sent(terms.select("term").distinct()), "term", "left_semi").select("term", *index.keys, *columns), sent
+    held = index.postings
+    if few and index.headed:
+        held = index.headed([r.head for r in terms.select(index.head(F.col("term")).alias("head")).distinct().collect()])
+    return terms, held.join(sent(terms.select("term").distinct()), "term", "left_semi").select("term", *index.keys, *columns), sent
+
+
+#: The terms of so many words, the most frequent of one in SHARE of the values of the first key, are made once for all.
+FREQUENT, SHARE = 20_000, 64
 
 
-def text_index(rows: DataFrame, keys: Sequence[str], text: str = "text", stop: Sequence[str] = tuple(stemming.STOP_WORDS), term: Callable[[Column], Column] = stemming.stem) -> TextIndex:
+def text_index(rows: DataFrame, keys: Sequence[str], text: str = "text", stop: Sequence[str] = tuple(stemming.STOP_WORDS), term: Callable[[Column], Column] = stemming.stem, head: Callable[[Column], Column] | None = None) -> TextIndex:
     """The index of rows that keys name. Stop words have no postings but keep their positions; null texts and texts without words have none.
 
-    Words are counted by row before they are stemmed, so each distinct word of a row is stemmed once.
+    A word's term depends on the word alone, so those of frequent words are made once and sent to every task. Which ones these are is
+    told by a share of the rows; a word that isn't among them gets its term where it stands, so the postings are the same whatever the share holds.
+    What a search doesn't ask for (positions, the first one) isn't collected. head: what a word and its term have in common (that of stems
+    is known); words whose head no search asks for are left out of it before they get terms.
     """
-    found = rows.select(*keys, words(F.col(text)).alias("words_")).select(*keys, F.size("words_").alias("length"), F.posexplode("words_").alias("at", "word"))
-    found = found.filter(~F.col("word").isin(*stop)) if stop else found
-    found = found.groupBy(*keys, "length", "word").agg(F.collect_list(F.col("at") + 1).alias("at"))
-    # never null, so that no filter on it is inferred and computed before the words are grouped
-    found = found.withColumn("term", F.coalesce(term(F.col("word")), F.lit(""))).groupBy("term", *keys, "length").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("positions"))
-    return TextIndex(found.select("term", *keys, "positions", F.size("positions").alias("occurrences"), "length"), list(keys), list(stop), term)
+    if head is None and term is stemming.stem:
+        head = stemming.head
+    found = rows.select(*keys, words(F.col(text)).alias("words_"))
+    made = lambda word: F.coalesce(term(word), F.lit(""))
+
+    def each(rows: DataFrame, heads: list[str] | None) -> DataFrame:
+        # not a plain column: Spark infers filters on that, which are computed below it, where every row's words are then found three times
+        every = F.coalesce("words_", F.expr("cast(array() as array<string>)"))
+        rows = rows.select(*keys, F.size("words_").alias("length"), F.posexplode(every).alias("at", "word"))
+        rows = rows.filter(~F.col("word").isin(*stop)) if stop else rows
+        return rows if heads is None else rows.filter(head(F.col("word")).isin(*heads))
+
+    def postings(heads: list[str] | None = None) -> DataFrame:
+        frequent = each(found.filter(F.pmod(F.xxhash64(keys[0]), F.lit(SHARE)) == 0), heads).groupBy("word").agg(F.count("*").alias("n_"))
+        frequent = frequent.orderBy(F.desc("n_"), "word").limit(FREQUENT).select("word", made(F.col("word")).alias("made_"))
+        out = each(found, heads).join(F.broadcast(frequent), "word", "left").withColumn("term", F.coalesce(F.col("made_"), made(F.col("word"))))
+        at = F.col("at") + 1
+        out = out.groupBy("term", *keys, "length").agg(F.count("*").cast("int").alias("occurrences"), F.min(at).alias("first"), F.array_sort(F.flatten(F.collect_list(F.array(at)))).alias("positions"))
+        return out.select("term", *keys, "positions", "occurrences", "first", "length")
+
+    told = found.filter(F.exists("words_", lambda w: ~w.isin(*stop) if stop else F.lit(True)))
+    return TextIndex(postings(), list(keys), list(stop), term, head, postings if head else None, told.select(*keys, F.size("words_").alias("length")))
 
 
 def boolean(index: TextIndex, queries: DataFrame) -> DataFrame:
@@ -97,11 +139,12 @@ def phrases(index: TextIndex, queries: DataFrame) -> DataFrame:
 def ranked(index: TextIndex, queries: DataFrame, most: int | None = None, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """query_id, keys, score, rank of the rows that hold a word of `text`: BM25 over the rows that have postings; ties by keys.
 
-    A term's rows are counted from the postings, and so are the rows and their mean length, once.
+    A term's rows are counted from its postings, which are stored as they are read twice; the rows and their mean length once, without terms.
     """
-    rows = index.postings.select(*index.keys, "length").distinct().agg(F.count("*").alias("rows"), F.avg("length").alias("mean")).first()
+    rows = index.lengths.agg(F.count("*").alias("rows"), F.avg("length").alias("mean")).first()
     asked = index.terms(queries, "text").groupBy("query_id", "term").agg(F.count("*").alias("times"))
     asked, met, sent = _met(index, asked, "occurrences", "length")
+    met = checkpointed(met)
     held = met.groupBy("term").agg(F.count("*").alias("holders"))
     rare = F.log1p((F.lit(rows["rows"]) - F.col("holders") + 0.5) / (F.col("holders") + 0.5))
     share = F.col("occurrences") * (k1 + 1) / (F.col("occurrences") + k1 * (1 - b + b * F.col("length") / F.lit(rows["mean"] or 1.0)))

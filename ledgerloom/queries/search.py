@@ -84,7 +84,7 @@ def _terms(text: str) -> str:
 
 @query("text_postings", "select term, doc_id, block_id, tf as occurrences, first_at, length from postings", WORDS)
 def _(spark: SparkSession, e: Edition) -> DataFrame:
-    return _index(e).postings.select("term", "doc_id", "block_id", F.col("occurrences").cast("long").alias("occurrences"), F.col("positions")[0].cast("long").alias("first_at"), F.col("length").cast("long").alias("length"))
+    return _index(e).postings.select("term", "doc_id", "block_id", F.col("occurrences").cast("long").alias("occurrences"), F.col("first").cast("long").alias("first_at"), F.col("length").cast("long").alias("length"))
 
 
 @query("portuguese_stems", "select word, stem from stems where word in (select word from w_b)", WORDS)
@@ -131,9 +131,7 @@ from postings p join (select term, count(*) as times from {_terms(text)} group b
     WORDS, "lengths as (select distinct doc_id, block_id, length from postings)",
 )
 def _(spark: SparkSession, e: Edition) -> DataFrame:
-    index = _index(e)
-    index.postings = checkpointed(index.postings)
-    found = search.ranked(index, spark.createDataFrame(RANKED, "query_id int, text string"), most=100)
+    found = search.ranked(_index(e), spark.createDataFrame(RANKED, "query_id int, text string"), most=100)
     return found.select("query_id", "doc_id", "block_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
