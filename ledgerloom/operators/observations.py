@@ -102,6 +102,11 @@ def _named(text: Column, start: Column, end: Column) -> Column:
     return F.coalesce(let(F.substring(text, end + 1, F.length(text)), found), F.expr(f"cast(array() as array<struct<{NAMED}>>)"))
 
 
+def named_behind(text: Column, actions: Column) -> Column:
+    """The persons and positions that a block names behind its actions (spans of those)."""
+    return F.flatten(F.transform(actions, lambda m: _named(text, m["start"], m["end"])))
+
+
 NAMED = "entity_type:string,value_original:string,value_normalized:string,role:string,start:int,end:int,action_start:int,method:string"
 
 
@@ -115,8 +120,7 @@ def entities(assigned: DataFrame, found: DataFrame | None = None, carry: tuple[s
     own = {"entity_type": F.lit("organization"), "value_original": F.col("text"), "value_normalized": F.col("text"), "role": F.lit("editorial_context"), "start": F.lit(0), "end": F.length("text"), "action_start": nothing, "method": F.lit("editorial_heading_v1")}
     heading = F.array(F.struct(*(c.alias(k) for k, c in own.items()))).cast(f"array<struct<{NAMED}>>")
     if found is None:
-        actions_ = spans(F.col("text"), V.PATTERNS["action"])
-        named = F.flatten(F.transform(actions_, lambda m: _named(F.col("text"), m["start"], m["end"])))
+        named = named_behind(F.col("text"), spans(F.col("text"), V.PATTERNS["action"]))
         rows = assigned.filter("context > 0 or item > 0").withColumn("x", F.explode(F.when(F.col("context") > 0, heading).otherwise(named)))
         rows = rows.withColumn("item", F.when(F.col("item") > 0, F.col("item")))
     else:

@@ -171,7 +171,7 @@ def _breadcrumbs(rows: DataFrame, order: Window, titled: bool = False) -> DataFr
     place = F.least(F.col("contexts") - F.col("outset"), F.col("contexts") + F.col("least") + F.col("far"))
     rows = rows.withColumn("place", F.when(F.col("is_context"), place))
     if titled:
-        rows = rows.withColumn("head_title", F.when(F.col("begins"), let(F.col("text"), lambda head: _item_title(head, F.col("title")))))
+        rows = rows.withColumn("head_title", F.when(F.col("begins"), let(F.col("text"), lambda head: first_title(head, F.col("title")))))
         rows = rows.withColumn("item_title", F.last("head_title", ignorenulls=True).over(upto))
     open_ = [F.last(F.when(F.col("place") == p, F.col("label")), ignorenulls=True).over(upto) for p in (1, 2, 3)]
     rows = rows.withColumn("open", F.array(*open_)).withColumn("deep", F.last("place", ignorenulls=True).over(upto))
@@ -239,7 +239,8 @@ def item_title(text: Column) -> Column:
     return F.when(literal != "", F.regexp_replace(upto, r"[ .]+$", "")).otherwise(F.substring(F.substring_index(text, ". ", 1), 1, TITLE_CUT))
 
 
-def _item_title(head: Column, titled: Column) -> Column:
+def first_title(head: Column, titled: Column) -> Column:
+    """An item's title, from its first block and whether that is a title."""
     return F.when(titled, item_title(head)).otherwise(F.substring(head, 1, TITLE_CUT))
 
 
@@ -254,7 +255,7 @@ def items(assigned: DataFrame) -> DataFrame:
     found = lambda p, k: F.when(titled, F.nullif(F.regexp_extract(head, p, k), F.lit("")))
     return out.select(
         "doc_id", "item", "section", "breadcrumb",
-        _item_title(head, titled).alias("title"),
+        first_title(head, titled).alias("title"),
         F.when(titled, item_type(head)).otherwise("unclassified").alias("item_type"),
         found(V.ITEM_NUMBER, 1).alias("number"), found(V.ITEM_DATE, 0).alias("date_literal"),
         F.when(titled, item_date(head)).alias("act_date"),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
-from ledgerloom.operators import identity, mentions, observations
+from ledgerloom.functions import vocabulary as V
+from ledgerloom.functions.spans import let, spans
+from ledgerloom.operators import identity, mentions, observations, segmentation
 from ledgerloom.operators.mentions import in_order
 from ledgerloom.operators.observations import entity_order
 
@@ -111,6 +115,45 @@ def item_links(items: DataFrame, actions: DataFrame, references: DataFrame, prov
     return out.withColumns({c: F.coalesce(c, nothing) for c in ("actions", "entities", "references", "processes")}).na.fill(0, ["provision_count"])
 
 
+def _events(kind: str, found: Column, made: Callable[[Column], dict[str, Column]]) -> Column:
+    """An array of what a block holds as array of (kind, type, name, a, b, c, d): the last four are its place among those of its kind."""
+
+    def event(x: Column) -> Column:
+        fields = {"type": F.lit(""), "name": F.lit(""), **dict.fromkeys("abcd", F.lit(0))} | made(x)
+        return F.struct(F.lit(kind).alias("kind"), *(v.cast("long" if k in "abcd" else "string").alias(k) for k, v in fields.items()))
+
+    return F.transform(found, event)
+
+
+def item_links_at_once(assigned: DataFrame) -> DataFrame:
+    """What item_links gives for a whole edition, from one pass over its segmentation: nothing is stored, and no text goes beyond its block.
+
+    What a block holds is exploded where it stands and numbered by its place in the document, groups by their first place. All of it
+    stays in its document's task. Rows without a document have no links, as nothing meets them.
+    """
+    text, n = F.col("text"), F.col("n")
+    inside, known = F.col("item") > 0, F.col("doc_id").isNotNull()
+    none = F.expr("cast(array() as array<struct<kind:string,type:string,name:string,a:bigint,b:bigint,c:bigint,d:bigint>>)")
+    parts = [F.when(F.col("begins"), _events("t", F.array(segmentation.first_title(text, F.col("title"))), lambda x: {"name": x})).otherwise(none)]
+    parts += [F.when(inside & known, _events("r", spans(text, V.PATTERNS[k]), lambda x, i=i: {"a": n, "b": F.lit(i), "c": x["start"]})).otherwise(none) for i, k in enumerate(observations.METHODS)]
+    parts.append(F.when(inside & known, _events("p", spans(text, V.PATTERNS["article"]), lambda x: {})).otherwise(none))
+    acts = lambda found: F.concat(_events("a", found, lambda x: {"a": n, "b": x["start"]}), _events("e", observations.named_behind(text, found), lambda x: {"type": x["entity_type"], "name": x["value_normalized"], "a": F.lit(1), "b": n, "c": x["action_start"], "d": x["start"]}))
+    parts.append(F.when(inside & known, let(spans(text, V.PATTERNS["action"]), acts)).otherwise(none))
+    parts.append(F.when((F.col("context") > 0) & known, _events("e", F.array(text), lambda x: {"type": F.lit("organization"), "name": x, "b": n})).otherwise(none))
+    shown = known & ~F.col("noise") & (text != "")
+    process = lambda x: {"name": T.normalize_process(x["value"]), "a": F.col("page"), "b": F.col("ord"), "c": x["start"], "d": n}
+    parts.append(F.when(shown, _events("s", spans(text, mentions.PROCESS_RULES[0].pattern), process)).otherwise(none))
+    rows = assigned.select("doc_id", F.when(inside, F.col("item")).alias("item"), F.explode(F.concat(*parts)).alias("x")).select("doc_id", "item", "x.kind", "x.type", "x.name", F.struct("x.a", "x.b", "x.c", "x.d").alias("place"))
+    group = Window.partitionBy("doc_id", "kind", "type", "name")
+    rows = rows.withColumn("first", F.when(F.col("kind").isin("e", "s"), F.min("place").over(group)).otherwise(F.col("place")))
+    rows = rows.withColumn("number", F.dense_rank().over(Window.partitionBy("doc_id", "kind").orderBy("first")))
+    ids = lambda kind, made, name: F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.format_string(made, "number")))).alias(name)
+    return rows.filter("item is not null").groupBy("doc_id", "item").agg(
+        F.max(F.when(F.col("kind") == "t", F.col("name"))).alias("title"), ids("a", "action-%06d", "actions"), ids("e", "entity-group-%05d", "entities"),
+        ids("r", "reference-%06d", "references"), ids("s", "process-%05d", "processes"), F.count_if(F.col("kind") == "p").alias("provision_count"),
+    )
+
+
 def search(rows: DataFrame, query: str, columns: list[str], facet: str | None = None, value: str | None = None, most: int | None = 150) -> DataFrame:
     """Rows whose columns hold the query, whatever the case and marks; the first `most` in order of all columns."""
     parts = [F.array_join(c, " ") if t.startswith("array") else F.coalesce(F.col(c).cast("string"), F.lit("")) for c, t in rows.dtypes if c in columns]

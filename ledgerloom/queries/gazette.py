@@ -157,9 +157,9 @@ ORACLE: dict[str, str] = {}
 
 
 #: Queries that read the segmentation once, so that nothing is written.
-ONE_PASS = {"entity_mentions", "semantic_counts", "canonical_entities", "candidate_ids", "link_ids", "view_process_items", "first_processes", "view_entity_occurrences", "explorer_related_items"}
+ONE_PASS = {"entity_mentions", "semantic_counts", "canonical_entities", "candidate_ids", "link_ids", "view_process_items", "first_processes", "view_entity_occurrences", "explorer_related_items", "explorer_items"}
 #: Queries that read the matches of a rule, or of several, more than once.
-MATCHES_AGAIN = {"explorer_items", "emission_ids", "semantic_contract"}
+MATCHES_AGAIN = {"emission_ids", "semantic_contract"}
 
 
 def query(name: str, sql: str, *ctes: str):
@@ -437,9 +437,7 @@ left join (select doc_id, item, count(*) as c from provisions group by 1, 2) p u
     *OBSERVED, GROUPS, PROCESSES, NUMBERED,
 )
 def _(e: Edition) -> DataFrame:
-    groups, processes = views.entity_groups(e.entities, e.items), views.process_groups(e.mentions, e.assigned)
-    rows = views.item_links(e.items, observations.numbered_actions(e.actions), observations.numbered_references(e.references), e.provisions, groups, processes)
-    return rows.withColumns({c: _joined(c) for c in ("actions", "entities", "references", "processes")})
+    return views.item_links_at_once(e.assigned).withColumns({c: _joined(c) for c in ("actions", "entities", "references", "processes")})
 
 
 @query(
